@@ -40,11 +40,6 @@ def _common_subsequence(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-def _insert_delete_ratio(a: str, b: str) -> float:
-    total = len(a) + len(b)
-    return 1.0 if total == 0 else 2.0 * _common_subsequence(a, b) / total
-
-
 def token_set_score(a: str, b: str) -> float:
     """Token-set similarity (0 to 1): compare the shared words with shared-plus-own words of each side."""
     left, right = set(a.split()), set(b.split())

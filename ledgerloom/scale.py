@@ -107,10 +107,6 @@ def join_unique(
     return left_salted.join(right_salted, [*on, "__salt"], how).drop("__salt")
 
 
-def _same_key(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
-
-
 def _with_carry(staged: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
     renamed = carry
     for k in keys:
