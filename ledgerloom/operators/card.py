@@ -18,6 +18,7 @@ from ledgerloom.functions.dates import build_date, year_in_period
 from ledgerloom.functions.money import parse_money
 from ledgerloom.functions.text import contains_any, lookup, nonempty_group, strip
 from ledgerloom.operators.cleaning import clean_lines
+from ledgerloom.scale import computed_once
 
 # Printed forms.
 ROW = r"(?U)^([0-9]{2}/[0-9]{2})\s+(.+?)\s+(-?[0-9,]*\.[0-9]{2})\s*\z"
@@ -45,7 +46,8 @@ class CardStatements:
     def _headers(self) -> DataFrame:
         p = {i: F.regexp_extract("text", PERIOD, i).try_cast("int") for i in range(1, 7)}
         cleaned = F.array_join(clean_lines(F.col("text"), undouble=True), "\n")
-        base = self.docs.select(
+        base = computed_once(
+            self.docs,
             "doc_id", "account",
             build_date(p[3] + 2000, p[1], p[2]).alias("period_start"),
             build_date(p[6] + 2000, p[4], p[5]).alias("period_end"),
@@ -60,7 +62,7 @@ class CardStatements:
             F.zip_with(raw, sign, lambda a, s: F.when(s == "-", -parse_money(a)).otherwise(parse_money(a))),
             lambda card, amount: F.struct(card.alias("card"), amount.alias("amount")),
         )
-        return base.withColumn("subtotals", subs).withColumn(
+        return computed_once(base.withColumn("subtotals", subs)).withColumn(
             "error",
             F.when(F.coalesce(*CARD_SUMMARY_LABELS).isNull(), "no account summary").when(
                 F.col("period_start").isNull() | F.col("period_end").isNull(), "no opening/closing date"
@@ -109,7 +111,8 @@ class CardStatements:
         month = F.substring("line", 1, 2).cast("int")
         day = F.substring("line", 4, 2).cast("int")
         date = build_date(year_in_period(month, F.col("period_start"), F.col("period_end")), month, day)
-        return rows.select(
+        return computed_once(
+            rows,
             "doc_id", "account", "cardholder", "block_no", "row_no", "line", date.alias("date"),
             strip(F.regexp_extract("line", ROW, 2)).alias("description"),
             parse_money(F.regexp_extract("line", ROW, 3)).alias("amount"),

@@ -22,6 +22,7 @@ from ledgerloom.functions.dates import build_date, month_name_date, year_in_peri
 from ledgerloom.functions.money import parse_money
 from ledgerloom.functions.text import nonempty_group, starts_with_any, strip
 from ledgerloom.operators.cleaning import clean_lines
+from ledgerloom.scale import computed_once
 
 # Printed forms.
 PERIOD = (
@@ -46,10 +47,6 @@ SECTIONS = {
 }
 
 
-def _heading_positions(stripped: Column) -> dict[str, Column]:
-    return {h: F.array_position(stripped, h) for h in CHECKING_SECTIONS}
-
-
 def section_body(text_lines: Column, positions: Column, start: Column) -> Column:
     """Lines after a heading up to the next heading; null when the heading is absent."""
     following = F.array_min(F.filter(positions, lambda p: p > start))
@@ -95,30 +92,33 @@ class CheckingStatements:
     def _prepared(self) -> DataFrame:
         parts = {f"p{i}": F.regexp_extract("text", PERIOD, i) for i in range(1, 7)}
         text_lines = clean_lines(F.col("text"), keep_plain_check_rows=self.keep_plain_check_rows)
-        base = self.docs.select(
+        base = computed_once(
+            self.docs,
             "doc_id",
             "account",
             month_name_date(parts["p1"], parts["p2"], parts["p3"]).alias("period_start"),
             month_name_date(parts["p4"], parts["p5"], parts["p6"]).alias("period_end"),
             text_lines.alias("lines"),
         )
-        stripped = F.transform("lines", strip)
-        base = base.withColumn("stripped", stripped)
-        found = _heading_positions(F.col("stripped"))
-        base = base.withColumns({f"at_{i}": p for i, p in enumerate(found.values())}).drop("stripped")
-        index = {h: f"at_{i}" for i, h in enumerate(found)}
-        base = base.withColumn("at", F.array(*index.values()))
+        keep = ["doc_id", "account", "period_start", "period_end", "lines"]
+        base = computed_once(base, *keep, F.transform("lines", strip).alias("stripped"))
+        at = F.array(*[F.array_position("stripped", h) for h in CHECKING_SECTIONS])
+        base = computed_once(base, *keep, at.alias("at"))
         bodies = {"summary": "CHECKING SUMMARY", **{s: h for s, (h, _, _) in SECTIONS.items()}}
-        base = base.withColumns(
-            {f"body_{n}": section_body(F.col("lines"), F.col("at"), F.col(index[h])) for n, h in bodies.items()}
+        return computed_once(
+            base,
+            *keep[:-1],
+            *[
+                section_body(F.col("lines"), F.col("at"), F.col("at")[CHECKING_SECTIONS.index(h)]).alias(f"body_{n}")
+                for n, h in bodies.items()
+            ],
         )
-        return base.select("doc_id", "account", "period_start", "period_end", *[f"body_{n}" for n in bodies])
 
     @cached_property
     def _headers(self) -> DataFrame:
         rows = {label: summary_row(F.col("body_summary"), label) for label in CHECKING_SUMMARY_LABELS}
         label_of = {s: label for s, (_, label, _) in SECTIONS.items()}
-        return self._prepared.withColumns(
+        headers = self._prepared.withColumns(
             {
                 "beginning": rows["Beginning Balance"][1],
                 "ending": rows["Ending Balance"][1],
@@ -126,7 +126,8 @@ class CheckingStatements:
                 **{f"total_{s}": rows[label][1] for s, label in label_of.items()},
                 **{f"count_{s}": rows[label][0] for s, label in label_of.items()},
             }
-        ).withColumn(
+        )
+        return computed_once(headers).withColumn(
             "error",
             F.when(F.col("period_end").isNull(), "no statement period").when(
                 F.coalesce("beginning", "total_deposits", "total_checks_paid",
@@ -188,7 +189,7 @@ class CheckingStatements:
         is_check = F.col("section") == "checks_paid"
         head = F.substring_index("record", "\n", 1)
         more = F.substring(F.col("record"), F.length(head) + 2, F.length("record"))
-        rows = rows.withColumns({"head": head, "more": F.translate(more, "\n", " ")})
+        rows = computed_once(rows, *rows.columns, head.alias("head"), F.translate(more, "\n", " ").alias("more"))
         number = nonempty_group(F.col("head"), CHECK, 1)
         month_day = F.when(
             is_check,
@@ -201,13 +202,13 @@ class CheckingStatements:
         own = F.when(is_check, F.concat(F.lit("Check #"), F.coalesce(number, F.lit("(unknown)")))).otherwise(
             strip(F.regexp_extract("head", RECORD, 2))
         )
-        rows = rows.withColumns(
-            {
-                "month_day": month_day,
-                "value": parse_money(raw_amount),
-                "check_number": F.when(is_check, number),
-                "description": F.when(F.col("more") == "", own).otherwise(F.concat_ws(" ", own, F.col("more"))),
-            }
+        rows = computed_once(
+            rows,
+            *[c for c in rows.columns if c not in ("head", "more")],
+            month_day.alias("month_day"),
+            parse_money(raw_amount).alias("value"),
+            F.when(is_check, number).alias("check_number"),
+            F.when(F.col("more") == "", own).otherwise(F.concat_ws(" ", own, F.col("more"))).alias("description"),
         )
         month = F.substring("month_day", 1, 2).try_cast("int")
         day = F.substring("month_day", 4, 2).try_cast("int")

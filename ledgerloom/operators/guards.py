@@ -130,8 +130,9 @@ def pm_report_checks(reports: DataFrame, properties: DataFrame, txns: DataFrame,
 
 def platform_check(platform_total: DataFrame, bank_total: DataFrame, *, tolerance: float = 500.0) -> DataFrame:
     """Platform payouts against bank deposits: two one-row totals named ``total``."""
-    both = platform_total.select(F.col("total").alias("platform")).join(
-        bank_total.select(F.col("total").alias("bank")), F.lit(True)
+    zero = F.lit(0).cast("decimal(18,2)")
+    both = platform_total.select(F.coalesce("total", zero).alias("platform")).join(
+        bank_total.select(F.coalesce("total", zero).alias("bank")), F.lit(True)
     )
     return _checks(both, F.lit("platform"), [("platform_vs_bank", F.col("platform"), F.col("bank"), tolerance)])
 

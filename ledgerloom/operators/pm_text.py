@@ -12,6 +12,7 @@ from ledgerloom.functions.dates import build_date
 from ledgerloom.functions.money import parse_money
 from ledgerloom.functions.text import lines, strip
 from ledgerloom.operators.statement import find_money
+from ledgerloom.scale import computed_once
 
 # Printed forms, with and without preserved column gaps.
 _DATE = r"(?U)^\s*(0?[1-9]|1[0-2])/(0?[1-9]|[12][0-9]|3[01])/([0-9]{4})\s+"
@@ -46,20 +47,21 @@ def split_category(middle: Column, categories: Sequence[str]) -> Column:
 def entries(docs: DataFrame, categories: Sequence[str] = PM_TEXT_CATEGORIES) -> DataFrame:
     """``docs(doc_id, property_id, text)`` -> report lines; rows without a readable category are left out."""
     rows = docs.select("doc_id", "property_id", F.posexplode(lines(F.col("text"))).alias("ord", "line"))
-    strict = F.col("line").rlike(STRICT)
-    rows = rows.filter(F.col("line").rlike(LOOSE)).withColumn("strict", strict)
-    rows = rows.withColumn(
-        "parts",
+    rows = rows.filter(F.col("line").rlike(LOOSE))
+    rows = computed_once(
+        rows,
+        *rows.columns,
         F.when(
-            F.col("strict"),
+            F.col("line").rlike(STRICT),
             F.struct(
                 strip(F.regexp_extract("line", STRICT, 4)).alias("description"),
                 strip(F.regexp_extract("line", STRICT, 5)).alias("category"),
             ),
-        ).otherwise(split_category(strip(F.regexp_extract("line", LOOSE, 4)), categories)),
+        ).otherwise(split_category(strip(F.regexp_extract("line", LOOSE, 4)), categories)).alias("parts"),
     )
     part = [F.regexp_extract("line", LOOSE, i).cast("int") for i in (1, 2, 3)]
-    return rows.select(
+    return computed_once(
+        rows,
         "doc_id", "ord",
         build_date(part[2], part[0], part[1]).alias("date"),
         F.col("parts.description").alias("description"),

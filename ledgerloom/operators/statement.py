@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import build_date
 from ledgerloom.functions.money import parse_money
 from ledgerloom.functions.text import lines, nonempty_group, strip
+from ledgerloom.scale import computed_once
 
 # Fixed value: the printed form of a transaction line.
 ROW = (
@@ -46,10 +47,10 @@ def transactions(docs: DataFrame) -> DataFrame:
     month = F.regexp_extract("line", ROW, 1).cast("int")
     day = F.regexp_extract("line", ROW, 2).cast("int")
     year = F.col("statement_year") + (F.col("month") < F.col("first_month")).cast("int")
+    found = computed_once(docs, "doc_id", "account", "statement_year", rows.alias("rows"))
     return (
-        docs.select("doc_id", "account", "statement_year", rows.alias("rows"))
-        .select("doc_id", "account", "statement_year", first_month.alias("first_month"),
-                F.posexplode("rows").alias("ord", "line"))
+        found.select("doc_id", "account", "statement_year", first_month.alias("first_month"),
+                     F.posexplode("rows").alias("ord", "line"))
         .withColumns({"month": month, "day": day})
         .select(
             "doc_id",

@@ -48,6 +48,16 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def computed_once(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """``df.select(*columns)`` behind a generator, so that expensive columns are evaluated a single time.
+
+    Filters and projections further up refer to the values; the optimizer would otherwise copy the whole
+    expression into each of them.
+    """
+    columns = columns or tuple(df.columns)
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def chunk_of(order: Column | str, rows: int = CHUNK_ROWS) -> Column:
     """Chunk number of an integer order column."""
     order = F.col(order) if isinstance(order, str) else order
