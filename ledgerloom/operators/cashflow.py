@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from ledgerloom.fixed_values import CASHFLOW_SKIPPED_STARTS
 from ledgerloom.functions.money import MONEY
 from ledgerloom.functions.text import starts_with_any, strip
-from ledgerloom.scale import running_last
+from ledgerloom.scale import computed_once, needs_spreading, running_last
 
 AMOUNT = "-?[0-9,]+\\.[0-9]{2}"
 PAGES_PER_CHUNK = 64
+PAGES_IN_ONE_WALK = 20_000
 
 
 def is_cashflow_page(text: Column) -> Column:
@@ -30,10 +31,18 @@ def last_amount(line: Column) -> Column:
 
 @dataclass(frozen=True)
 class CashFlowPages:
-    """``skipped_starts``: further line starts to ignore, such as the property manager's name."""
+    """``skipped_starts``: further line starts to ignore, such as the property manager's name.
+
+    ``spread``: walk pages and lines chunk by chunk, for documents with very many pages; looked up when None.
+    """
 
     pages: DataFrame
     skipped_starts: Sequence[str] = ()
+    spread: bool | None = None
+
+    @cached_property
+    def _spread(self) -> bool:
+        return needs_spreading(self.pages, ["doc_id"], PAGES_IN_ONE_WALK) if self.spread is None else self.spread
 
     @cached_property
     def groups(self) -> DataFrame:
@@ -42,13 +51,13 @@ class CashFlowPages:
         pages = self.pages.select("doc_id", "page_no", text.alias("text"), is_cashflow_page(text).alias("is_cf"))
         chunk = F.floor(F.col("page_no") / PAGES_PER_CHUNK)
         pages = running_last(
-            pages, ["doc_id"], chunk, ["page_no"], {"previous_cf": F.col("is_cf")}, inclusive=False
+            pages, ["doc_id"], chunk, ["page_no"], {"previous_cf": F.col("is_cf")}, inclusive=False, spread=self._spread
         )
         starts = F.col("is_cf") & (
             F.col("text").contains("Properties:") | ~F.coalesce("previous_cf", F.lit(False))
         )
         pages = running_last(
-            pages, ["doc_id"], chunk, ["page_no"], {"group_page": F.when(starts, F.col("page_no"))}
+            pages, ["doc_id"], chunk, ["page_no"], {"group_page": F.when(starts, F.col("page_no"))}, spread=self._spread
         )
         return pages.filter("is_cf").select("doc_id", "group_page", "page_no", "text")
 
@@ -74,20 +83,26 @@ class CashFlowPages:
             .when(s.startswith("Net Other Items"), "reset")
             .otherwise("body")
         )
-        rows = rows.withColumn("kind", kind)
+        rows = computed_once(rows, "doc_id", "group_page", "page_no", "line_no", "s")
+        rows = computed_once(rows, *rows.columns, kind.alias("kind"))
         section = (
             F.when(F.col("kind").isin("income", "expense", "other"), F.col("kind"))
             .when(F.col("kind").isin("income_total", "expense_total", "net_total"), "none")
         )
         rows = running_last(
-            rows, ["doc_id", "group_page"], F.col("page_no"), ["page_no", "line_no"], {"section": section}
+            rows, ["doc_id", "group_page"], F.col("page_no"), ["page_no", "line_no"], {"section": section},
+            spread=self._spread,
         )
         inside = (F.col("kind") == "body") & F.coalesce(F.col("section") != "none", F.lit(False))
         has_amount = F.col("s").rlike(AMOUNT)
         name = strip(F.regexp_extract("s", f"^(.*?)(?:{AMOUNT})", 1))
-        rows = rows.withColumns({"inside": inside, "name": F.when(inside & has_amount, name)})
+        rows = computed_once(
+            rows, *rows.columns, inside.alias("inside"), has_amount.alias("has_amount"),
+            F.when(inside & has_amount, name).alias("name"),
+        )
+        inside = F.col("inside")
         item = (F.col("name") != "") & ~F.lower("name").startswith("total ")
-        fragment = inside & ~has_amount & ~F.col("s").isin("Income", "Expense", "Operating")
+        fragment = inside & ~F.col("has_amount") & ~F.col("s").isin("Income", "Expense", "Operating")
         event = (
             F.when(F.coalesce(item, F.lit(False)), "item")
             .when(fragment, "wrap")
@@ -100,6 +115,7 @@ class CashFlowPages:
             rows, ["doc_id", "group_page"], F.col("page_no"), ["page_no", "line_no"],
             {"owner": F.when(F.col("event").isin("item", "reset"),
                              F.struct(at.alias("at"), (F.col("event") == "item").alias("is_item")))},
+            spread=self._spread,
         )
 
     @cached_property
@@ -140,13 +156,15 @@ class CashFlowPages:
         steps = F.transform(
             F.sequence(F.lit(1), F.size(texts)), lambda n: F.array_join(F.slice(texts, F.lit(1), n), " ")
         )
-        labels = labels.withColumn("steps", steps).withColumn("category", F.element_at("steps", -1))
         key = ["doc_id", "group_page", "side"]
-        latest = (
-            labels.select(*key, "at", F.explode("steps").alias("category"))
-            .groupBy(*key, "category").agg(F.max("at").alias("at"))
+        names = computed_once(labels, *key, "at", "amount", steps.alias("steps")).select(
+            *key, "at", "amount", F.size("steps").alias("n"), F.posexplode("steps").alias("i", "category")
+        )
+        # The latest label that ever reads like this; it stays if that is its complete form.
+        latest = names.groupBy(*key, "category").agg(
+            F.max_by(F.struct((F.col("i") == F.col("n") - 1).alias("final"), "amount"), "at").alias("last")
         )
-        return labels.join(latest, [*key, "category", "at"]).select(*key, "category", "amount")
+        return latest.filter("last.final").select(*key, "category", F.col("last.amount").alias("amount"))
 
     def totals(self) -> DataFrame:
         """Printed totals per group: the last statement of each wins."""

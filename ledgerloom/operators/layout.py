@@ -1,8 +1,8 @@
 """Owner statements as word boxes: ``words(doc_id, page, word_no, text, x0, top)`` -> properties and rows.
 
-Words are clustered into physical lines, lines are walked in (page, y) order by three chunked scans
-(one page is one chunk, so a document of any length spreads over its pages), and wrapped lines are given to
-the nearest date row with windows that never leave a page.
+Words are clustered into physical lines, lines are walked in (page, y) order by three scans, and wrapped lines
+are given to the nearest date row with windows that never leave a page. The scans are windows over a document;
+when some document is very long they run page by page instead, so that it spreads over its pages.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from ledgerloom.fixed_values import (
 from ledgerloom.functions.dates import month_day_year, us_date
 from ledgerloom.functions.money import MONEY
 from ledgerloom.functions.text import first_rule, nonempty_group, quote, starts_with_any, strip
-from ledgerloom.scale import running_last
+from ledgerloom.scale import computed_once, needs_spreading, running_last
 
 COLUMNS = ("date", "payee", "type", "ref", "desc", "cash_in", "cash_out", "balance")
 _PERIOD = r"(?U)([A-Z][a-z]{2}\s+\d{1,2},\s+\d{4})\s*-\s*([A-Z][a-z]{2}\s+\d{1,2},\s+\d{4})"
@@ -119,13 +119,19 @@ class OwnerStatements:
     """Parsed view of word boxes.
 
     ``header_start`` and ``property_rules`` recognize a property heading: the line starts with the first and
-    contains the needle of a rule ``(needle, canonical name)``; the first rule wins.
+    contains the needle of a rule ``(needle, canonical name)``; the first rule wins. ``spread`` decides how long
+    documents are walked; by default the longest one is looked up first, so pass stored words.
     """
 
     words: DataFrame
     property_rules: Sequence[tuple[str, str]]
     header_start: str = "SW "
     categories: Sequence[str] = field(default=PM_CATEGORIES)
+    spread: bool | None = None
+
+    @cached_property
+    def _spread(self) -> bool:
+        return needs_spreading(self.words, ["doc_id"]) if self.spread is None else self.spread
 
     @cached_property
     def _walked(self) -> DataFrame:
@@ -145,8 +151,9 @@ class OwnerStatements:
                 "row_date": F.when(first["x0"] < DEFAULT_COLUMN_LIMITS["date"], us_date(first["text"])),
             }
         )
+        lines = computed_once(lines)
         pos = F.struct("page", "y")
-        scan = {"group": ["doc_id"], "chunk": F.col("page"), "order": ["page", "y"]}
+        scan = {"group": ["doc_id"], "chunk": F.col("page"), "order": ["page", "y"], "spread": self._spread}
         # 1. Current property and the limits of the latest table header.
         lines = running_last(
             lines,
@@ -165,7 +172,7 @@ class OwnerStatements:
         starts = F.col("limits_here").isNotNull() & F.col("property").isNotNull()
         ends = F.col("is_appendix") | F.col("header_name").isNotNull() | is_total
         event = F.when(ends, "end").when(starts, "start")
-        lines = lines.withColumns({"is_total": is_total, "event": event})
+        lines = computed_once(lines.withColumns({"is_total": is_total, "event": event}))
         lines = running_last(lines, values={"before": F.col("event")}, inclusive=False, **scan)
         # 3. The block each line is in, the consolidated state, and where the appendix begins.
         opens = (F.col("event") == "start") & (F.coalesce("before", F.lit("end")) == "end")
@@ -330,7 +337,7 @@ class OwnerStatements:
             readable = F.filter(F.transform(texts(name), word_amount), lambda a: a.isNotNull())
             return F.try_element_at(readable, F.lit(-1))
 
-        rows = rows.select(
+        rows = computed_once(rows).select(
             "doc_id", "page", F.col("owner_y").alias("y"),
             F.col("property.name").alias("property"),
             F.col("property.at.page").alias("property_page"),
@@ -344,6 +351,7 @@ class OwnerStatements:
             last_amount("cash_out").alias("cash_out"),
             last_amount("balance").alias("balance"),
         )
+        rows = computed_once(rows)
         unit, category = unit_and_category(F.col("description"), self.categories)
         return rows.withColumns({"unit": unit, "category": category})
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerloom.fixed_values import OWNER_PAYOUT_CATEGORY
 from ledgerloom.functions.similarity import edit_similarity, matching_blocks_ratio, token_set_ratio
 from ledgerloom.functions.text import vendor_key
-from ledgerloom.scale import chunk_of, durable, group_rank, join_unique
+from ledgerloom.scale import chunk_of, durable, group_rank, join_unique, needs_spreading
 
 _SEP = "\u0001"
 
@@ -29,27 +29,30 @@ def class_key(*parts: Column) -> Column:
     return F.concat_ws(_SEP, *[F.coalesce(p.cast("string"), F.lit("\u0000")) for p in parts])
 
 
-def assign_in_order(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFrame:
-    """Exact in-order assignment.
+def _ranked(df: DataFrame, group: list[str], order: str, name: str) -> DataFrame:
+    return group_rank(df, group, chunk_of(order), [order], name, spread=needs_spreading(df, group))
 
-    ``seekers(q_id, q_ord, q_class)``, ``offers(w_id, w_ord, w_class)``, ``edges(q_class, w_class, score)`` with
-    one row per pair of classes. Orders are unique integers. Returns ``(q_id, w_id, score)``: each seeker in order
-    takes the free offer with the best score, the earliest offer on ties.
-    """
-    edges = durable(edges)
+
+def _pair_exclusive(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFrame:
+    """Classes that only have each other: k-th to k-th."""
+    q = _ranked(seekers.join(edges, "q_class"), ["q_class"], "q_ord", "place")
+    w = _ranked(offers.join(edges.select("q_class", "w_class"), "w_class"), ["w_class"], "w_ord", "place")
+    return q.join(w.select("q_class", "place", "w_id"), ["q_class", "place"]).select("q_id", "w_id", "score")
+
+
+def _propose(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rounds of proposals between classes that compete."""
     # Classes that tie for some seeker are taken apart: ties go to the earliest single offer.
     several = edges.groupBy("q_class", "score").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     tied = (
         edges.join(several, ["q_class", "score"], "left_semi").select("w_class").distinct()
         .withColumn("tied", F.lit(True))
     )
-    wanted = edges.select("w_class").distinct()
-    offers = (
-        offers.join(wanted, "w_class", "left_semi").join(tied, "w_class", "left")
+    offers = durable(
+        offers.join(edges.select("w_class").distinct(), "w_class", "left_semi").join(tied, "w_class", "left")
         .withColumn("slot", F.when(F.col("tied"), F.col("w_ord")).otherwise(F.lit(-1).cast("bigint")))
         .drop("tied")
     )
-    offers = durable(offers)
     slots = offers.groupBy("w_class", "slot").agg(
         F.count(F.lit(1)).alias("capacity"), F.min("w_ord").alias("head")
     )
@@ -59,11 +62,12 @@ def assign_in_order(seekers: DataFrame, offers: DataFrame, edges: DataFrame) ->
             "q_class", "choice", "w_class", "slot", "capacity", "score"
         )
     )
-    classes = choices.select("q_class").distinct()
-    state = seekers.join(classes, "q_class", "left_semi").withColumn("choice", F.lit(1))
+    state = durable(
+        seekers.join(edges.select("q_class").distinct(), "q_class", "left_semi").withColumn("choice", F.lit(1))
+    )
     while True:
         proposals = state.join(choices, ["q_class", "choice"])
-        ranked = group_rank(proposals, ["w_class", "slot"], chunk_of("q_ord"), ["q_ord"], "place")
+        ranked = _ranked(proposals, ["w_class", "slot"], "q_ord", "place")
         ranked = durable(ranked.withColumn("refused", F.col("place") > F.col("capacity")))
         if ranked.filter("refused").isEmpty():
             break
@@ -72,10 +76,33 @@ def assign_in_order(seekers: DataFrame, offers: DataFrame, edges: DataFrame) ->
             "q_id", "q_ord", "q_class", (F.col("choice") + F.col("refused").cast("int")).alias("choice")
         )
     held = ranked.select("q_id", "w_class", "slot", "place", "score")
-    members = group_rank(offers, ["w_class", "slot"], chunk_of("w_ord"), ["w_ord"], "place")
+    members = _ranked(offers, ["w_class", "slot"], "w_ord", "place")
     return held.join(members, ["w_class", "slot", "place"]).select("q_id", "w_id", "score")
 
 
+def assign_in_order(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFrame:
+    """Exact in-order assignment.
+
+    ``seekers(q_id, q_ord, q_class)``, ``offers(w_id, w_ord, w_class)``, ``edges(q_class, w_class, score)`` with
+    one row per pair of classes. Orders are unique integers. Returns ``(q_id, w_id, score)``: each seeker in order
+    takes the free offer with the best score, the earliest offer on ties. Only classes that compete with others
+    go through rounds of proposals.
+    """
+    q_degree = edges.groupBy("q_class").agg(F.count(F.lit(1)).alias("q_degree"))
+    w_degree = edges.groupBy("w_class").agg(F.count(F.lit(1)).alias("w_degree"))
+    marked = durable(
+        edges.join(q_degree, "q_class").join(w_degree, "w_class")
+        .withColumn("exclusive", (F.col("q_degree") == 1) & (F.col("w_degree") == 1))
+        .select("q_class", "w_class", "score", "exclusive")
+    )
+    columns = ["q_class", "w_class", "score"]
+    paired = _pair_exclusive(seekers, offers, marked.filter("exclusive").select(*columns))
+    contested = marked.filter("NOT exclusive").select(*columns)
+    if contested.isEmpty():
+        return paired
+    return paired.unionByName(_propose(seekers, offers, contested))
+
+
 def _near(bucket: Column) -> Column:
     return F.explode(F.array(bucket - 1, bucket, bucket + 1))
 
@@ -107,8 +134,8 @@ def match_date_amount(
     pairs = durable(pairs.select("q_class", "w_class", "a", "b"))
     several = pairs.groupBy("q_class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("q_class")
     score = matching_blocks_ratio(F.col("a"), F.col("b")) if similarity == "blocks" else edit_similarity(F.col("a"), F.col("b"))
-    scored = pairs.join(several, "q_class", "left_semi").withColumn("score", score)
     single = pairs.join(several, "q_class", "left_anti").withColumn("score", F.lit(0.0))
+    scored = pairs.join(several, "q_class", "left_semi").withColumn("score", score)
     edges = scored.unionByName(single).select("q_class", "w_class", "score")
     return assign_in_order(
         q.select("q_id", "q_ord", "q_class"), w.select("w_id", "w_ord", "w_class"), edges

@@ -2,9 +2,8 @@
 
 * ``durable``        cut lineage through a table in the shared checkpoint folder
 * ``join_unique``    join to a one-row-per-key side: broadcast only after a size check, salt hot keys beyond it
-* ``running_last``   last non-null value in order, per group, computed chunk by chunk
-* ``running_sum``    running total in order, per group, computed chunk by chunk
-* ``group_rank``     1-based position in order, per group, computed chunk by chunk
+* ``running_last``   last non-null value in order, per group, chunk by chunk when groups are large
+* ``group_rank``     1-based position in order, per group, chunk by chunk when groups are large
 * ``dense_index``    0-based position in a total order over the whole table
 
 A *chunk* is any column that never decreases along the order (a page number, a row number divided by
@@ -117,6 +116,17 @@ def join_unique(
     return left_salted.join(right_salted, [*on, "__salt"], how).drop("__salt")
 
 
+def needs_spreading(df: DataFrame, group: Sequence[str], limit: int = HOT_KEY_ROWS) -> bool:
+    """Does any group hold more than ``limit`` rows? One map-side count; run it on stored data."""
+    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return (largest or 0) > limit
+
+
+def _staged(df: DataFrame, chunk: Column, extra: dict[str, Column]) -> DataFrame:
+    # Stored once: the chunk summary and the detail rows both read it.
+    return durable(df.withColumns({"__chunk": chunk.cast("bigint"), **extra}))
+
+
 def _with_carry(staged: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
     renamed = carry
     for k in keys:
@@ -125,14 +135,6 @@ def _with_carry(staged: DataFrame, carry: DataFrame, keys: list[str]) -> DataFra
     return staged.join(renamed, cond, "left").drop(*[f"__k_{k}" for k in keys])
 
 
-def _staged(df: DataFrame, group: list[str], chunk: Column, extra: dict[str, Column]) -> DataFrame:
-    # One explicit exchange: the chunk summary and the detail rows both read it.
-    return (
-        df.withColumns({"__chunk": chunk.cast("bigint"), **extra})
-        .repartition(*[F.col(g) for g in group], F.col("__chunk"))
-    )
-
-
 def running_last(
     df: DataFrame,
     group: Sequence[str],
@@ -140,11 +142,22 @@ def running_last(
     order: Sequence[str],
     values: dict[str, Column],
     *,
+    spread: bool,
     inclusive: bool = True,
 ) -> DataFrame:
-    """Add, per name in ``values``, the last non-null value at (or before) each row."""
+    """Add, per name in ``values``, the last non-null value at (or before) each row.
+
+    ``spread=False`` is one window per group, right while groups are small (see ``needs_spreading``).
+    """
     group, order = list(group), list(order)
-    staged = _staged(df, group, chunk, {f"__v_{n}": v for n, v in values.items()})
+    frame = (Window.unboundedPreceding, 0 if inclusive else -1)
+    if not spread:
+        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(*frame)
+        staged = df.withColumns({f"__v_{n}": v for n, v in values.items()})
+        return staged.withColumns({n: F.last(f"__v_{n}", ignorenulls=True).over(w) for n in values}).drop(
+            *[f"__v_{n}" for n in values]
+        )
+    staged = _staged(df, chunk, {f"__v_{n}": v for n, v in values.items()})
     key = F.struct(*order)
     summary = staged.groupBy(*group, "__chunk").agg(
         *[F.max_by(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), key)).alias(f"__s_{n}") for n in values]
@@ -153,40 +166,27 @@ def running_last(
     carry = summary.select(
         *group, "__chunk", *[F.last(f"__s_{n}", ignorenulls=True).over(earlier).alias(f"__c_{n}") for n in values]
     )
-    local = Window.partitionBy(*group, "__chunk").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, 0 if inclusive else -1
-    )
+    local = Window.partitionBy(*group, "__chunk").orderBy(*order).rowsBetween(*frame)
     joined = _with_carry(staged, carry, [*group, "__chunk"])
     return joined.withColumns(
         {n: F.coalesce(F.last(f"__v_{n}", ignorenulls=True).over(local), F.col(f"__c_{n}")) for n in values}
     ).drop("__chunk", *[f"__v_{n}" for n in values], *[f"__c_{n}" for n in values])
 
 
-def running_sum(
-    df: DataFrame, group: Sequence[str], chunk: Column, order: Sequence[str], values: dict[str, Column]
-) -> DataFrame:
-    """Add, per name in ``values``, the running total up to and including each row."""
-    group, order = list(group), list(order)
-    staged = _staged(df, group, chunk, {f"__v_{n}": v for n, v in values.items()})
-    summary = staged.groupBy(*group, "__chunk").agg(*[F.sum(f"__v_{n}").alias(f"__s_{n}") for n in values])
-    earlier = Window.partitionBy(*group).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*group, "__chunk", *[F.sum(f"__s_{n}").over(earlier).alias(f"__c_{n}") for n in values])
-    local = Window.partitionBy(*group, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = _with_carry(staged, carry, [*group, "__chunk"])
-    return joined.withColumns(
-        {
-            n: F.coalesce(F.sum(f"__v_{n}").over(local), F.lit(0)) + F.coalesce(F.col(f"__c_{n}"), F.lit(0))
-            for n in values
-        }
-    ).drop("__chunk", *[f"__v_{n}" for n in values], *[f"__c_{n}" for n in values])
-
-
 def group_rank(
-    df: DataFrame, group: Sequence[str], chunk: Column, order: Sequence[str], name: str = "position"
+    df: DataFrame,
+    group: Sequence[str],
+    chunk: Column,
+    order: Sequence[str],
+    name: str = "position",
+    *,
+    spread: bool,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group."""
     group, order = list(group), list(order)
-    staged = _staged(df, group, chunk, {})
+    if not spread:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint"))
+    staged = _staged(df, chunk, {})
     summary = staged.groupBy(*group, "__chunk").agg(F.count(F.lit(1)).alias("__s"))
     earlier = Window.partitionBy(*group).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*group, "__chunk", F.sum("__s").over(earlier).alias("__c"))

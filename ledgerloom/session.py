@@ -22,6 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -232,7 +232,7 @@ def _(s: Source) -> DataFrame:
 
 
 @query("review_transactions", f"""
-SELECT '1998-' || lpad(CAST(row_no AS STRING), greatest(4, length(CAST(row_no AS STRING))), '0') AS row_id, CAST(date AS STRING) AS date,
+SELECT '1998-' || lpad(CAST(row_no AS STRING), CAST(greatest(4, length(CAST(row_no AS STRING))) AS INT), '0') AS row_id, CAST(date AS STRING) AS date,
   vendor, description, CAST(amount AS DOUBLE) AS amount, account,
   coalesce(f.category, '') AS category, coalesce(f.property, '') AS property, coalesce(f.expense_type, '') AS expense_type
 FROM ({TXN_TABLE_SQL}) AS q LEFT JOIN ({PREFILL_SQL}) AS f ON q.txn_id = f.txn_id""")
@@ -1085,7 +1085,7 @@ FROM <<ledger>> AS l
 
 
 def owner_statements(s: Source) -> OwnerStatements:
-    return OwnerStatements(render.layout_words(s.adapter("ledger")), render.PROPERTY_RULES)
+    return OwnerStatements(durable(render.layout_words(s.adapter("ledger"))), render.PROPERTY_RULES)
 
 
 @query("pm_layout", f"""
@@ -1133,7 +1133,7 @@ FROM <<pm_txn>> AS p WHERE category <> '' GROUP BY 1, 2, 3, 4
 
 
 def cashflow_parsed(s: Source) -> CashFlowPages:
-    return CashFlowPages(render.cashflow_pages(s.sql(CASHFLOW_SQL)), (PAYER,))
+    return CashFlowPages(durable(render.cashflow_pages(s.sql(CASHFLOW_SQL))), (PAYER,))
 
 
 @query("cashflow", f"""
