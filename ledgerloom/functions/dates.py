@@ -26,9 +26,9 @@ def _full_year(y: Column) -> Column:
 
 def worksheet_date(raw: Column) -> Column:
     """M/D/YY or M/D/YYYY; years below 100 are in the 2000s."""
-    pattern = r"(?U)^\s*(\d+)\s*/\s*(\d+)\s*/\s*(\d+)\s*\z"
-    m, d, y = (_int(nonempty_group(raw, pattern, i)) for i in (1, 2, 3))
-    return build_date(_full_year(y), m, d)
+    parts = F.split(raw, "/")
+    m, d, y = (_int(strip(F.get(parts, F.lit(i)))) for i in range(3))
+    return F.when(F.size(parts) == 3, build_date(_full_year(y), m, d))
 
 
 def flexible_date(raw: Column, year: int | Column) -> Column:

@@ -13,7 +13,7 @@ SHARE = "decimal(28,10)"
 
 def parse_money(c: Column) -> Column:
     """'$1,234.50' -> 1234.50; blank or unparsable -> null."""
-    return F.nullif(strip(F.regexp_replace(c, "[$,]", "")), F.lit("")).try_cast(MONEY)
+    return F.nullif(strip(F.translate(c, "$,", "")), F.lit("")).try_cast(MONEY)
 
 
 def signed(amount: Column, negative: Column | bool) -> Column:

@@ -11,11 +11,16 @@ from ledgerloom.fixed_values import BANK_PREFIXES
 
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
 _PREFIX = "^(?:" + "|".join(BANK_PREFIXES) + ")"
+# All white space characters, Unicode included.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
     """Remove all leading and trailing white space (Spark's trim only removes blanks)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -36,9 +41,9 @@ def vendor_key(description: Column, *, strip_leading_date: bool = False) -> Colu
     s = F.regexp_replace(s, r"(?U)#\s*\w+", "")
     s = F.regexp_replace(s, r"(?U)\*\s*\w+", "")
     s = F.regexp_replace(s, r"(?U)\s+\d+\b", "")
-    s = F.regexp_replace(s, r"[.,;:!?]", "")
+    s = F.translate(s, ".,;:!?", "")
     s = F.regexp_replace(s, r"(?U)\s+", " ")
-    return F.coalesce(strip(s), F.lit(""))
+    return F.coalesce(F.trim(s), F.lit(""))
 
 
 def lines(text: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerloom.fixed_values import OWNER_PAYOUT_CATEGORY
 from ledgerloom.functions.similarity import edit_similarity, matching_blocks_ratio, token_set_ratio
 from ledgerloom.functions.text import vendor_key
-from ledgerloom.scale import chunk_of, durable, group_rank, join_unique, needs_spreading
+from ledgerloom.scale import chunk_of, computed_once, durable, group_rank, join_unique, needs_spreading
 
 _SEP = "\u0001"
 
@@ -88,6 +88,7 @@ def assign_in_order(seekers: DataFrame, offers: DataFrame, edges: DataFrame) ->
     takes the free offer with the best score, the earliest offer on ties. Only classes that compete with others
     go through rounds of proposals.
     """
+    edges = durable(edges)
     q_degree = edges.groupBy("q_class").agg(F.count(F.lit(1)).alias("q_degree"))
     w_degree = edges.groupBy("w_class").agg(F.count(F.lit(1)).alias("w_degree"))
     marked = durable(
@@ -121,12 +122,13 @@ def match_date_amount(
     computed for those alone. ``similarity``: 'blocks' (exact rule) or 'edit' (no Python on the executors).
     """
     tol = F.lit(str(tolerance)).cast("decimal(18,2)")
-    q = queue.filter("date IS NOT NULL AND amount IS NOT NULL").select(
+    # Both sides are parsed and keyed once; every later step reads the stored rows.
+    q = durable(queue.filter("date IS NOT NULL AND amount IS NOT NULL").select(
         "q_id", "q_ord", "date", F.abs("amount").alias("size"), F.lower(F.coalesce("description", F.lit(""))).alias("a")
-    ).withColumn("q_class", class_key(F.col("date"), F.col("size"), F.col("a")))
-    w = worksheet.filter("date IS NOT NULL AND cost IS NOT NULL").select(
+    ).withColumn("q_class", class_key(F.col("date"), F.col("size"), F.col("a"))))
+    w = durable(worksheet.filter("date IS NOT NULL AND cost IS NOT NULL").select(
         "w_id", "w_ord", "date", "cost", F.lower(F.coalesce("source", F.lit(""))).alias("b")
-    ).withColumn("w_class", class_key(F.col("date"), F.col("cost"), F.col("b")))
+    ).withColumn("w_class", class_key(F.col("date"), F.col("cost"), F.col("b"))))
     bucket = F.floor(F.col("size") / tol)
     qc = q.select("q_class", "date", "size", "a").distinct().withColumn("bucket", bucket)
     wc = w.select("w_class", "date", "cost", "b").distinct().withColumn("bucket", _near(F.floor(F.col("cost") / tol)))
@@ -163,12 +165,10 @@ def match_fuzzy(txns: DataFrame, filings: DataFrame, *, days: int = 3, threshold
 
     ``txns(q_id, q_ord, date, amount, description)``; ``filings(w_id, w_ord, date, amount, description)``.
     """
-    t = txns.select("q_id", "q_ord", "date", "amount", vendor_key(F.col("description")).alias("a")).withColumn(
-        "q_class", class_key(F.col("date"), F.col("amount"), F.col("a"))
-    )
-    p = filings.select("w_id", "w_ord", "date", "amount", vendor_key(F.col("description")).alias("b")).withColumn(
-        "w_class", class_key(F.col("date"), F.col("amount"), F.col("b"))
-    )
+    t = computed_once(txns, "q_id", "q_ord", "date", "amount", vendor_key(F.col("description")).alias("a"))
+    t = durable(t.withColumn("q_class", class_key(F.col("date"), F.col("amount"), F.col("a"))))
+    p = computed_once(filings, "w_id", "w_ord", "date", "amount", vendor_key(F.col("description")).alias("b"))
+    p = durable(p.withColumn("w_class", class_key(F.col("date"), F.col("amount"), F.col("b"))))
     edges = fuzzy_candidates(t, p, days=days, threshold=threshold)
     return assign_in_order(t.select("q_id", "q_ord", "q_class"), p.select("w_id", "w_ord", "w_class"), edges)
 
@@ -206,8 +206,10 @@ def double_counts(
         pm_txns.filter((F.col("category") == category) & F.col("reference").isNotNull())
         .select("reference", F.col("date").alias("paid")).distinct()
     )
-    q = deposits.filter((F.col("amount") > 0) & F.lower("description").contains(payer.lower())).withColumn(
-        "q_class", class_key(F.col("date"), F.col("amount"))
+    q = durable(
+        deposits.filter((F.col("amount") > 0) & F.lower("description").contains(payer.lower())).select(
+            "q_id", "q_ord", "date", "amount", class_key(F.col("date"), F.col("amount")).alias("q_class")
+        )
     )
     qc = (
         q.select("q_class", "date", "amount").distinct()

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from ledgerloom.fixed_values import REVIEW_TRANSACTION_HEADERS, REVIEW_VENDOR_HEADERS
 from ledgerloom.functions.text import strip, vendor_key
 from ledgerloom.operators.worksheet import expense_type, type_category
-from ledgerloom.scale import dense_index, join_unique
+from ledgerloom.scale import dense_index, durable, join_unique
 
 PREFILL = ("category", "property", "expense_type")
 NO_VENDOR = "(unknown)"
 
 
-def review_vendor(description: Column) -> Column:
-    return F.coalesce(F.nullif(vendor_key(description), F.lit("")), F.lit(NO_VENDOR))
+def with_review_vendor(queue: DataFrame) -> DataFrame:
+    """Add the display key; a key from categorization is used as it is."""
+    key = F.col("vendor") if "vendor" in queue.columns else vendor_key(F.col("description"))
+    return queue.withColumn("vendor", F.coalesce(F.nullif(key, F.lit("")), F.lit(NO_VENDOR)))
 
 
 def group_by_vendor(queue: DataFrame) -> DataFrame:
@@ -24,7 +26,7 @@ def group_by_vendor(queue: DataFrame) -> DataFrame:
     ``queue(ord, date, description, amount, account)``; order the result by ``count`` descending, then
     ``first_ord``. Accounts are made distinct before they are gathered.
     """
-    keyed = queue.withColumn("vendor", review_vendor(F.col("description")))
+    keyed = with_review_vendor(queue)
     by_account = keyed.groupBy("vendor", "account").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.abs("amount")).alias("total"),
@@ -48,7 +50,7 @@ def prefill_consensus(queue: DataFrame, prefills: DataFrame) -> DataFrame:
 
     ``prefills(ord, category, property, expense_type)``, keyed by the queue row.
     """
-    rows = queue.select("ord", review_vendor(F.col("description")).alias("vendor")).join(
+    rows = with_review_vendor(queue).select("ord", "vendor").join(
         prefills.select("ord", *[F.coalesce(c, F.lit("")).alias(c) for c in PREFILL]), "ord"
     )
     agree = F.lit(True)
@@ -70,7 +72,7 @@ def _prefilled(df: DataFrame, prefills: DataFrame | None, on: str) -> DataFrame:
 def vendor_table(queue: DataFrame, prefills: DataFrame | None = None) -> DataFrame:
     """Vendor-level review table; ``vendor_ord`` is the display position."""
     groups = group_by_vendor(queue)
-    consensus = None if prefills is None else prefill_consensus(queue, prefills)
+    consensus = None if prefills is None else durable(prefill_consensus(queue, prefills))
     table = _prefilled(groups, consensus, "vendor")
     return dense_index(table, [F.desc("count"), "first_ord"], "vendor_ord").withColumn("notes", F.lit(""))
 
@@ -81,8 +83,10 @@ def transaction_table(queue: DataFrame, *, year: int, prefills: DataFrame | None
     The id is assigned once here and written with the row; decisions come back by this id, so they cannot land on
     another row.
     """
-    groups = group_by_vendor(queue).select("vendor", F.col("count").alias("vendor_count"), F.col("first_ord").alias("vendor_first"))
-    rows = queue.withColumn("vendor", review_vendor(F.col("description")))
+    groups = durable(
+        group_by_vendor(queue).select("vendor", F.col("count").alias("vendor_count"), F.col("first_ord").alias("vendor_first"))
+    )
+    rows = with_review_vendor(queue)
     rows = join_unique(rows, groups, ["vendor"], "left")
     rows = rows.drop(*[c for c in PREFILL if c in rows.columns])
     rows = _prefilled(rows, prefills, "ord")
@@ -134,7 +138,9 @@ def row_overrides(rows: DataFrame) -> DataFrame:
 
 def resolve(queue: DataFrame, by_vendor: DataFrame, by_row: DataFrame) -> DataFrame:
     """Apply decisions to ``queue(row_id, description, ...)``: the row's own, else its vendor's, else drop it."""
-    rows = queue.drop(*PREFILL, "confidence", "source").withColumn("__vendor", vendor_key(F.col("description")))
+    rows = with_review_vendor(queue).drop(*PREFILL, "confidence", "source").withColumn(
+        "__vendor", F.nullif("vendor", F.lit(NO_VENDOR))
+    )
     own = by_row.select("row_id", F.struct(*PREFILL).alias("__own"))
     shared = by_vendor.select(F.col("vendor").alias("__vendor"), F.struct(*PREFILL).alias("__shared"))
     rows = join_unique(join_unique(rows, own, ["row_id"], "left"), shared, ["__vendor"], "left")

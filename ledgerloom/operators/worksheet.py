@@ -16,6 +16,7 @@ from ledgerloom.fixed_values import (
 from ledgerloom.functions.dates import worksheet_date
 from ledgerloom.functions.money import SHARE, parse_money, share
 from ledgerloom.functions.text import first_rule, lookup, strip
+from ledgerloom.scale import computed_once
 
 SPLIT = "STR - Split"
 
@@ -47,7 +48,9 @@ def expense_type(description: Column) -> Column:
 
 def parse(rows: DataFrame) -> DataFrame:
     """Add ``txn_date`` and ``amount`` to the text columns ``date, cost, source, type, description``."""
-    return rows.withColumns({"txn_date": worksheet_date(F.col("date")), "amount": parse_money(F.col("cost"))})
+    return computed_once(
+        rows, *rows.columns, worksheet_date(F.col("date")).alias("txn_date"), parse_money(F.col("cost")).alias("amount")
+    )
 
 
 def classify(rows: DataFrame, *, year: int, property_of: Mapping[str, str]) -> DataFrame:
@@ -64,7 +67,7 @@ def classify(rows: DataFrame, *, year: int, property_of: Mapping[str, str]) -> D
     fixed = fixed_category.isNotNull()
     in_year = F.col("txn_date").isNull() | (F.year("txn_date") == year)
     known = fixed | F.coalesce(category != "Skip", F.lit(False))
-    return parsed.withColumns(
+    return computed_once(parsed.withColumns(
         {
             "category": F.coalesce(fixed_category, category),
             "property": F.when(~fixed, prop),
@@ -73,7 +76,7 @@ def classify(rows: DataFrame, *, year: int, property_of: Mapping[str, str]) -> D
             "status": F.when(~in_year, "skipped").when(F.col("amount").isNull(), "no_amount").when(~known, "skipped")
             .otherwise("item"),
         }
-    )
+    ))
 
 
 def to_items(classified: DataFrame, split_properties: Sequence[str]) -> DataFrame:

@@ -47,6 +47,12 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_out(scan: DataFrame) -> DataFrame:
+    """A scan of a few small files, dealt out to all cores; larger tables already have enough splits."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
+
+
 def computed_once(df: DataFrame, *columns: Column | str) -> DataFrame:
     """``df.select(*columns)`` behind a generator, so that expensive columns are evaluated a single time.
 

@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.scale import spread_out
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -158,7 +160,8 @@ class Source:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        scan = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread_out(scan) if name in ("orders", "lineitem", "events", "documents") else scan
 
     def sql(self, sql: str) -> DataFrame:
         text = expand(sql, spark=True)

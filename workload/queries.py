@@ -308,8 +308,8 @@ def typed_rows(table: DataFrame) -> DataFrame:
 
 def resolved(s: Source) -> DataFrame:
     queued = durable(queue(s))
-    table = durable(review.transaction_table(queued, year=SPLIT_YEAR))
-    by_vendor = review.vendor_decisions(typed_vendors(review.group_by_vendor(queued)))
+    table = review.transaction_table(queued, year=SPLIT_YEAR)
+    by_vendor = durable(review.vendor_decisions(typed_vendors(review.group_by_vendor(queued))))
     by_row = review.row_overrides(typed_rows(table))
     return review.resolve(table, by_vendor, by_row)
 
@@ -328,7 +328,7 @@ SELECT coalesce(m.vendor, d.vendor) AS vendor, coalesce(m.category, d.category)
 FROM ({MAP_SQL}) AS m FULL JOIN (SELECT * FROM ({DECIDED_VENDORS_SQL}) AS x WHERE category <> 'Skip') AS d ON m.vendor = d.vendor""")
 def _(s: Source) -> DataFrame:
     queued = durable(queue(s))
-    by_vendor = review.vendor_decisions(typed_vendors(review.group_by_vendor(queued)))
+    by_vendor = durable(review.vendor_decisions(typed_vendors(review.group_by_vendor(queued))))
     after = learning.learn_from_vendor_decisions(learned_map(s), by_vendor, year=SPLIT_YEAR)
     return after.select("vendor", "category", "confidence", "occurrences", "ambiguous", "property", "expense_type")
 
@@ -1260,8 +1260,8 @@ def ledger_to_pnl(s: Source) -> DataFrame:
     tagged = durable(tagged_ledger(s))
     queued = categorize.review_queue(tagged).withColumn(
         "ord", F.col("queue_part").cast("bigint") * 1_000_000_000_000 + F.col("txn_id"))
-    table = durable(review.transaction_table(queued, year=SPLIT_YEAR))
-    by_vendor = review.vendor_decisions(typed_vendors(review.group_by_vendor(queued)))
+    table = review.transaction_table(queued, year=SPLIT_YEAR)
+    by_vendor = durable(review.vendor_decisions(typed_vendors(review.group_by_vendor(queued))))
     decided = review.resolve(table, by_vendor, review.row_overrides(typed_rows(table)))
     columns = ["txn_id", "date", "description", "amount", "category", "property", "expense_type", "source"]
     booked = rollup.tagged_union(tagged.filter("source = 'auto'").select(*columns), decided.select(*columns))
