@@ -27,16 +27,20 @@ SALTS = 64
 CHUNK_ROWS = 65_536
 
 
+_local_folder: str | None = None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by the cluster in ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _local_folder
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from ledgerloom.fixed_values import EARNINGS_HEADERS
 from ledgerloom.functions.dates import cell_date, flexible_date
 from ledgerloom.functions.money import parse_money
 from ledgerloom.functions.text import blank_to_null, strip
+from ledgerloom.scale import computed_once
 from ledgerloom.schemas import STR_EARNING, VENDOR_MAP
 
 
@@ -102,8 +103,8 @@ def earnings_by_position(rows: DataFrame, *, year: int) -> DataFrame:
 
     blank = F.coalesce(blank_to_null(cell(1)), blank_to_null(cell(2)), blank_to_null(cell(3))).isNull()
     return (
-        rows.filter((F.size("cells") >= 3) & ~blank)
-        .select(
+        computed_once(
+            rows.filter((F.size("cells") >= 3) & ~blank),
             "property",
             flexible_date(cell(1), year).alias("stay_start"),
             flexible_date(cell(2), year).alias("stay_end"),

@@ -83,10 +83,11 @@ TXN_TABLE_SQL = f"""
 SELECT q.*, row_number() OVER (ORDER BY v.count DESC, v.first_ord, q.date, q.ord) AS row_no
 FROM ({QUEUE_SQL}) AS q JOIN ({VENDORS_SQL}) AS v ON q.vendor = v.vendor
 """
-# Prefill labels depend on the vendor for most rows, so some vendors agree and some do not.
+# Prefill labels depend on the vendor's region; rare rows differ, so some vendors agree and some do not.
 PREFILL_SQL = """
-SELECT txn_id, category, CASE WHEN category = 'STR' THEN 'S1' ELSE '' END AS property,
-  CASE WHEN txn_id % 500 = 0 THEN 'HOA' ELSE '' END AS expense_type
+SELECT txn_id, CASE substr(property, 1, 1) WHEN 'S' THEN 'STR' WHEN 'L' THEN 'LTR' ELSE 'Personal' END AS category,
+  CASE substr(property, 1, 1) WHEN 'S' THEN 'S1' ELSE '' END AS property,
+  CASE WHEN txn_id % 500 = 0 AND account = '2-HIGH' THEN 'HOA' ELSE '' END AS expense_type
 FROM <<decision>> AS d WHERE category <> 'Skip'
 """
 
