@@ -42,7 +42,7 @@ class CashFlowPages:
 
     @cached_property
     def _spread(self) -> bool:
-        return needs_spreading(self.pages, ["doc_id"], PAGES_IN_ONE_WALK) if self.spread is None else self.spread
+        return needs_spreading(self.pages, ["doc_id"], PAGES_IN_ONE_WALK, stored=self.pages) if self.spread is None else self.spread
 
     @cached_property
     def groups(self) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import blank_to_null, contains_any, vendor_key
-from ledgerloom.scale import join_unique
+from ledgerloom.scale import computed_once, join_unique
 
 SOURCES = ("auto", "ambiguous", "unknown")
 
@@ -53,7 +53,9 @@ def categorize(
     ``source`` is 'unknown' without a map entry, 'ambiguous' when the entry is flagged, not confident enough
     or has no category, else 'auto'. Property and expense type travel with the tag.
     """
-    keyed = txns.withColumn("vendor", vendor_key(F.col(description), strip_leading_date=strip_leading_date))
+    others = [c for c in txns.columns if c != "vendor"]
+    key = vendor_key(F.col(description), strip_leading_date=strip_leading_date)
+    keyed = computed_once(txns, *others, key.alias("vendor"))
     entries = vendor_map.select(
         "vendor",
         F.col("category").alias("__category"),

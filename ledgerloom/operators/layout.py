@@ -131,7 +131,7 @@ class OwnerStatements:
 
     @cached_property
     def _spread(self) -> bool:
-        return needs_spreading(self.words, ["doc_id"]) if self.spread is None else self.spread
+        return needs_spreading(self.words, ["doc_id"], stored=self.words) if self.spread is None else self.spread
 
     @cached_property
     def _walked(self) -> DataFrame:

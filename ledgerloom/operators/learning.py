@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.fixed_values import NOT_LEARNED
 from ledgerloom.functions.text import vendor_key
+from ledgerloom.scale import computed_once
 from ledgerloom.schemas import VENDOR_MAP
 
 
@@ -26,6 +27,11 @@ def _text(c: str) -> Column:
     return F.nullif(F.col(c), F.lit(""))
 
 
+def _keyed(rows: DataFrame, source: str) -> DataFrame:
+    others = [c for c in rows.columns if c != "vendor"]
+    return computed_once(rows, *others, vendor_key(F.col(source)).alias("vendor"))
+
+
 def fold(prior: DataFrame, observations: DataFrame) -> DataFrame:
     """Merge ``observations(vendor, category, year, occurrences, confidence, property, expense_type, source, seq)``.
 
@@ -73,9 +79,8 @@ def learn_from_reviews(
 ) -> DataFrame:
     """``decisions(description, category, property, expense_type, year, seq)``, one row per reviewed transaction."""
     rows = (
-        decisions.withColumn("vendor", vendor_key(F.col("description")))
-        .filter((F.col("vendor") != "") & (F.coalesce("category", F.lit("")) != ""))
-        .filter(~F.col("category").isin(*not_learned))
+        _keyed(decisions.filter(F.coalesce("category", F.lit("")) != ""), "description")
+        .filter((F.col("vendor") != "") & ~F.col("category").isin(*not_learned))
     )
     return fold(prior, rows.withColumns(
         {"occurrences": F.lit(1), "confidence": F.lit(confidence), "source": F.lit("review")}))
@@ -102,8 +107,7 @@ def learn_from_vendor_decisions(
 def pm_observations(txns: DataFrame, *, confidence: float = 0.95) -> DataFrame:
     """``txns(payee, category, year, seq)`` keyed by payee."""
     return (
-        txns.filter(F.coalesce("category", F.lit("")) != "")
-        .withColumn("vendor", vendor_key(F.col("payee")))
+        _keyed(txns.filter(F.coalesce("category", F.lit("")) != ""), "payee")
         .filter("vendor <> ''")
         .withColumns(
             {
@@ -133,7 +137,7 @@ def pm_learning_report(prior: DataFrame, txns: DataFrame) -> DataFrame:
 
 def learn_from_matches(prior: DataFrame, matched: DataFrame, *, year: int, confidence: float = 0.9) -> DataFrame:
     """``matched(description, category, seq)``: transactions paired with a prior filing's category."""
-    rows = matched.withColumn("vendor", vendor_key(F.col("description"))).filter("vendor <> ''").withColumns(
+    rows = _keyed(matched, "description").filter("vendor <> ''").withColumns(
         {
             "year": F.lit(year), "occurrences": F.lit(1), "confidence": F.lit(confidence), "property": F.lit(""),
             "expense_type": F.lit(""), "source": F.lit("prior_filing"),

@@ -29,14 +29,15 @@ def class_key(*parts: Column) -> Column:
     return F.concat_ws(_SEP, *[F.coalesce(p.cast("string"), F.lit("\u0000")) for p in parts])
 
 
-def _ranked(df: DataFrame, group: list[str], order: str, name: str) -> DataFrame:
-    return group_rank(df, group, chunk_of(order), [order], name, spread=needs_spreading(df, group))
+def _ranked(df: DataFrame, group: list[str], order: str, stored: DataFrame) -> DataFrame:
+    spread = needs_spreading(df, group, stored=stored)
+    return group_rank(df, group, chunk_of(order), [order], "place", spread=spread)
 
 
 def _pair_exclusive(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFrame:
     """Classes that only have each other: k-th to k-th."""
-    q = _ranked(seekers.join(edges, "q_class"), ["q_class"], "q_ord", "place")
-    w = _ranked(offers.join(edges.select("q_class", "w_class"), "w_class"), ["w_class"], "w_ord", "place")
+    q = _ranked(seekers.join(edges, "q_class"), ["q_class"], "q_ord", seekers)
+    w = _ranked(offers.join(edges.select("q_class", "w_class"), "w_class"), ["w_class"], "w_ord", offers)
     return q.join(w.select("q_class", "place", "w_id"), ["q_class", "place"]).select("q_id", "w_id", "score")
 
 
@@ -67,7 +68,7 @@ def _propose(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFra
     )
     while True:
         proposals = state.join(choices, ["q_class", "choice"])
-        ranked = _ranked(proposals, ["w_class", "slot"], "q_ord", "place")
+        ranked = _ranked(proposals, ["w_class", "slot"], "q_ord", state)
         ranked = durable(ranked.withColumn("refused", F.col("place") > F.col("capacity")))
         if ranked.filter("refused").isEmpty():
             break
@@ -76,7 +77,7 @@ def _propose(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFra
             "q_id", "q_ord", "q_class", (F.col("choice") + F.col("refused").cast("int")).alias("choice")
         )
     held = ranked.select("q_id", "w_class", "slot", "place", "score")
-    members = _ranked(offers, ["w_class", "slot"], "w_ord", "place")
+    members = _ranked(offers, ["w_class", "slot"], "w_ord", offers)
     return held.join(members, ["w_class", "slot", "place"]).select("q_id", "w_id", "score")
 
 
@@ -84,7 +85,7 @@ def assign_in_order(seekers: DataFrame, offers: DataFrame, edges: DataFrame) ->
     """Exact in-order assignment.
 
     ``seekers(q_id, q_ord, q_class)``, ``offers(w_id, w_ord, w_class)``, ``edges(q_class, w_class, score)`` with
-    one row per pair of classes. Orders are unique integers. Returns ``(q_id, w_id, score)``: each seeker in order
+    one row per pair of classes. Orders are unique integers; seekers and offers should be stored tables. Returns ``(q_id, w_id, score)``: each seeker in order
     takes the free offer with the best score, the earliest offer on ties. Only classes that compete with others
     go through rounds of proposals.
     """

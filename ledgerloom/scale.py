@@ -126,8 +126,16 @@ def join_unique(
     return left_salted.join(right_salted, [*on, "__salt"], how).drop("__salt")
 
 
-def needs_spreading(df: DataFrame, group: Sequence[str], limit: int = HOT_KEY_ROWS) -> bool:
-    """Does any group hold more than ``limit`` rows? One map-side count; run it on stored data."""
+def needs_spreading(
+    df: DataFrame, group: Sequence[str], limit: int = HOT_KEY_ROWS, *, stored: DataFrame | None = None
+) -> bool:
+    """Does any group hold more than ``limit`` rows?
+
+    ``stored``: a stored table with at least as many rows as ``df``. If it is small as a whole, its row count
+    answers the question; otherwise the groups are counted, map-side first.
+    """
+    if stored is not None and stored.count() <= limit:
+        return False
     largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     return (largest or 0) > limit
 

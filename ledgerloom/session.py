@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Vendor aggregates keep strings and year sets: stay hash-based beyond the default of 128 keys per task.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
 }
 
 

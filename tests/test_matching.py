@@ -80,7 +80,7 @@ def test_hot_copies_pair_in_order_whatever_the_path(spark, monkeypatch):
     )
     want = [(i, 100 + i) for i in range(20)]
     assert rows(make()) == sorted(want, key=repr)
-    monkeypatch.setattr(matching, "needs_spreading", lambda *_: True)
+    monkeypatch.setattr(matching, "needs_spreading", lambda *_, **__: True)
     monkeypatch.setattr(matching, "chunk_of", lambda c: scale.chunk_of(c, 4))
     assert rows(make()) == sorted(want, key=repr)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.scale import durable
 from workload.adapters import CARDS, LTR_PROPERTIES, PAYER
 
 BLOCK = 2048
@@ -270,7 +271,7 @@ def layout_rows(ledger: DataFrame) -> DataFrame:
 
 def layout_words(ledger: DataFrame) -> DataFrame:
     """``words(doc_id, page, word_no, text, x0, top)`` of owner statements."""
-    rows = layout_rows(ledger)
+    rows = durable(layout_rows(ledger))
     top = F.col("top")
     ref = F.concat(F.lit("R"), F.col("txn_id").cast("string"))
     head = F.when(F.col("unit") == "", F.col("category")).otherwise(F.concat_ws(" - ", "unit", "category"))
