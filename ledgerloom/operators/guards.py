@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import strip
-from ledgerloom.scale import join_unique
+from ledgerloom.scale import durable, join_unique
 
 CENTS = 0.02
 
@@ -160,11 +158,6 @@ def _with_duplicate_key(txns: DataFrame) -> DataFrame:
 def duplicate_members(txns: DataFrame) -> DataFrame:
     """Every row of a duplicate group, with the size of its group. Members stay rows, never one list."""
     key = ["date", "amount", "dup_description"]
-    return join_unique(
-        _with_duplicate_key(txns), duplicate_groups(txns).select(*key, "copies"), key, "inner"
-    )
-
+    groups = durable(duplicate_groups(txns).select(*key, "copies"))
+    return join_unique(_with_duplicate_key(txns), groups, key, "inner")
 
-def all_missing(columns: list[str]) -> Column:
-    """Predicate of documents whose control block could not be read at all."""
-    return reduce(lambda a, b: a & b, [F.col(c).isNull() for c in columns])

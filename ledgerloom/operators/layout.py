@@ -364,8 +364,12 @@ class OwnerStatements:
             "doc_id", "page", "y", "date", "description"
         )
 
-    def errors(self) -> DataFrame:
-        """Documents without any property section."""
-        docs = self.words.select("doc_id").distinct()
+    def errors(self, docs: DataFrame | None = None) -> DataFrame:
+        """Documents without any property section; with a list ``docs(doc_id)`` also those without any text."""
+        with_text = self.words.select("doc_id").distinct()
         found = self._walked.filter(F.col("header_name").isNotNull() & ~F.col("ended")).select("doc_id").distinct()
-        return docs.join(found, "doc_id", "left_anti").withColumn("error", F.lit("no property sections"))
+        out = with_text.join(found, "doc_id", "left_anti").withColumn("error", F.lit("no property sections"))
+        if docs is None:
+            return out
+        empty = docs.select("doc_id").distinct().join(with_text, "doc_id", "left_anti")
+        return out.unionByName(empty.withColumn("error", F.lit("no extractable text")))

@@ -201,6 +201,8 @@ def test_owner_statement(owner_words, spread):
     report = parsed.reports().filter("doc_id = 1").first()
     assert report.consolidated_cash_in == d("300.00") and report.consolidated_cash_out is None
     assert rows(parsed.errors(), "doc_id") == [(2,)]
+    docs = owner_words.select("doc_id").unionByName(owner_words.sparkSession.createDataFrame([(3,)], "doc_id INT"))
+    assert rows(parsed.errors(docs)) == [(2, "no property sections"), (3, "no extractable text")]
 
 
 def test_lines_round_half_to_even(spark):
