@@ -83,8 +83,9 @@ class CashFlowPages:
             .when(s.startswith("Net Other Items"), "reset")
             .otherwise("body")
         )
-        rows = computed_once(rows, "doc_id", "group_page", "page_no", "line_no", "s")
-        rows = computed_once(rows, *rows.columns, kind.alias("kind"))
+        place = ["doc_id", "group_page", "page_no", "line_no"]
+        rows = computed_once(rows, "s", keys=place)
+        rows = computed_once(rows, "s", kind.alias("kind"), keys=place)
         section = (
             F.when(F.col("kind").isin("income", "expense", "other"), F.col("kind"))
             .when(F.col("kind").isin("income_total", "expense_total", "net_total"), "none")
@@ -97,8 +98,8 @@ class CashFlowPages:
         has_amount = F.col("s").rlike(AMOUNT)
         name = strip(F.regexp_extract("s", f"^(.*?)(?:{AMOUNT})", 1))
         rows = computed_once(
-            rows, *rows.columns, inside.alias("inside"), has_amount.alias("has_amount"),
-            F.when(inside & has_amount, name).alias("name"),
+            rows, "s", "kind", "section", inside.alias("inside"), has_amount.alias("has_amount"),
+            F.when(inside & has_amount, name).alias("name"), keys=place,
         )
         inside = F.col("inside")
         item = (F.col("name") != "") & ~F.lower("name").startswith("total ")

@@ -136,7 +136,9 @@ class OwnerStatements:
     @cached_property
     def _walked(self) -> DataFrame:
         """Lines outside and inside transaction blocks, with property, block and summary state."""
-        lines = words_to_lines(self.words)
+        # One exchange by document serves the line grouping, the scans and the page windows alike.
+        words = self.words if self._spread else self.words.repartition("doc_id")
+        lines = words_to_lines(words)
         text = F.col("line")
         first = F.col("words")[0]
         lower_rules = [(needle.lower(), name) for needle, name in self.property_rules]
@@ -151,7 +153,7 @@ class OwnerStatements:
                 "row_date": F.when(first["x0"] < DEFAULT_COLUMN_LIMITS["date"], us_date(first["text"])),
             }
         )
-        lines = computed_once(lines)
+        lines = computed_once(lines, keys=["doc_id", "page", "y"])
         pos = F.struct("page", "y")
         scan = {"group": ["doc_id"], "chunk": F.col("page"), "order": ["page", "y"], "spread": self._spread}
         # 1. Current property and the limits of the latest table header.
@@ -172,7 +174,7 @@ class OwnerStatements:
         starts = F.col("limits_here").isNotNull() & F.col("property").isNotNull()
         ends = F.col("is_appendix") | F.col("header_name").isNotNull() | is_total
         event = F.when(ends, "end").when(starts, "start")
-        lines = computed_once(lines.withColumns({"is_total": is_total, "event": event}))
+        lines = computed_once(lines.withColumns({"is_total": is_total, "event": event}), keys=["doc_id", "page", "y"])
         lines = running_last(lines, values={"before": F.col("event")}, inclusive=False, **scan)
         # 3. The block each line is in, the consolidated state, and where the appendix begins.
         opens = (F.col("event") == "start") & (F.coalesce("before", F.lit("end")) == "end")

@@ -57,14 +57,15 @@ def spread_out(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
 
 
-def computed_once(df: DataFrame, *columns: Column | str) -> DataFrame:
-    """``df.select(*columns)`` behind a generator, so that expensive columns are evaluated a single time.
+def computed_once(df: DataFrame, *columns: Column | str, keys: Sequence[str] = ()) -> DataFrame:
+    """``df.select(*keys, *columns)`` with the columns behind a generator, so that each is evaluated a single time.
 
     Filters and projections further up refer to the values; the optimizer would otherwise copy the whole
-    expression into each of them.
+    expression into each of them. ``keys`` pass by the generator: partitioning and order by them stay known, so
+    later windows and groupings need no new exchange.
     """
-    columns = columns or tuple(df.columns)
-    return df.select(F.inline(F.array(F.struct(*columns))))
+    values = columns or tuple(c for c in df.columns if c not in keys)
+    return df.select(*keys, F.inline(F.array(F.struct(*values))))
 
 
 def chunk_of(order: Column | str, rows: int = CHUNK_ROWS) -> Column:
