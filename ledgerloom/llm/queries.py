@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontamination, near_dedup, packing, pii, quality, token_file
+from ledgerloom.llm import decontamination, licenses, lm_score, near_dedup, packing, pii, quality, repeats, token_file, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,72 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.quality(table(spark, folder, "documents"))
     return judged.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+@query("op4_lm_score")
+def op4_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").filter("quality = 1")
+    scored = lm_score.cross_entropy_difference(table(spark, folder, "documents").select("doc_id", "text"), good)
+    return scored.select("doc.doc_id", "n_tokens", "target_loss", "background_loss", "score")
+
+
+_TEMPLATE_ROWS = ", ".join(f"({k}, '{label}', '{text.replace(chr(39), chr(39) * 2)}')" for k, (label, text) in enumerate(licenses.TEMPLATES))
+_PHRASE_ROWS = ", ".join(f"('{label}', '{text}', {len(text.split())})" for label, text in licenses.PHRASES)
+_OP6 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+t AS (SELECT no, label, list_distinct({_WORDS}) AS s FROM (VALUES {_TEMPLATE_ROWS}) v(no, label, text)),
+p AS (SELECT * FROM (VALUES {_PHRASE_ROWS}) v(label, phrase, n)),
+places AS (
+  SELECT doc_id, label, i FROM (SELECT doc_id, label, phrase, n, w, unnest(range(0, len(w) - n + 1)) AS i FROM d, p WHERE len(w) >= n)
+  WHERE array_to_string(w[i + 1:i + n], ' ') = phrase
+),
+blocks AS (
+  SELECT doc_id, list_distinct(w[i + 1:i + {licenses.BLOCK_WORDS}]) AS s FROM (SELECT doc_id, w, unnest(range(0, len(w), {licenses.STEP})) AS i FROM d)
+),
+met AS (
+  SELECT doc_id, label, len(list_intersect(blocks.s, t.s)) / CAST(len(t.s) AS DOUBLE) AS c FROM blocks, t
+  WHERE len(list_intersect(blocks.s, t.s)) >= ceil({licenses.THRESHOLD} * len(t.s) - 1e-9)
+),
+base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM places GROUP BY doc_id),
+base_labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS base_labels FROM (SELECT DISTINCT doc_id, label FROM places) GROUP BY doc_id),
+all_labels AS (
+  SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels
+  FROM (SELECT DISTINCT doc_id, label FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM met)) GROUP BY doc_id
+),
+best AS (SELECT doc_id, max(c) AS c FROM met GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0.0) END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN base_labels USING (doc_id) LEFT JOIN all_labels USING (doc_id) LEFT JOIN best USING (doc_id)
+"""
+
+
+@query("op6_licenses", _OP6)
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.license_scan(table(spark, folder, "documents").select("doc_id", "text"))
+    listed = lambda *arrays: F.array_join(F.array_sort(F.array_distinct(F.concat(*[F.transform(a, lambda x: x["label"]) for a in arrays]))), ",")
+    word = F.transform("places", lambda x: x["word"])
+    best = F.coalesce(F.array_max(F.transform("blocks", lambda x: x["containment"])), F.lit(0.0))
+    return found.select(
+        "doc.doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(word).alias("first_word"), F.array_max(word).alias("last_word"),
+        listed("places").alias("base_labels"), listed("places", "blocks").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(best).alias("score"),
+    )
+
+
+def held_out(id: str = "doc_id") -> Column:
+    return F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    weights, intercept = toxicity.fit(docs, table(spark, folder, "labels").filter(~held_out()))
+    scored = toxicity.toxicity(docs, weights, intercept).select("doc.doc_id", "score")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op10_repeats")
+def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return found.select("doc.doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
