@@ -9,10 +9,11 @@ Trees. Two contexts that share a repeat agree on 225 bytes from the anchor or on
 hashes. A bucket's contexts are sorted as suffixes (an enhanced suffix array: order and common prefixes of neighbours);
 a stack scan yields the tree of common-prefix intervals. In each interval the left sides are sorted too: a member's longest common left
 extension with another member plus the interval's prefix length says whether they share ``LENGTH`` bytes. Intervals whose left neighbours
-differ are maximal repeats: ``repeat_groups`` returns them with all occurrences.
+differ are maximal repeats: ``repeat_groups`` returns them with all occurrences (a report for tables of moderate repetition: it
+keeps every bucket whole).
 
-Buckets of more than ``LARGE`` different contexts don't go through one task: their windows are hashed and counted as rows, which
-gives the same result.
+For removal, buckets of more than ``LARGE`` different contexts don't go through one task: their windows are hashed and counted as
+rows, which gives the same result.
 
 Defined results: a null text has no bytes; texts shorter than ``LENGTH`` keep everything; matches never cross documents and are judged on the
 input; repeated rows are copies of each other; extra columns stay in ``doc``.
@@ -25,6 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,12 +104,6 @@ def anchors(texts: DataFrame, shape: Shape) -> DataFrame:
     return texts.mapInArrow(find, "key binary, position int, gram long, context long, ahead long, behind long, left int, right int")
 
 
-def _matrix(side: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    values = side.to_pylist()
-    size = np.array([len(v) for v in values], dtype=np.int64)
-    return np.frombuffer(b"".join(v.ljust(width, b"\0") for v in values), dtype=np.uint8).reshape(len(values), width), size
-
-
 def _common(x: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Length of the common prefix of rows i and j."""
     out = np.empty(len(i), dtype=np.int64)
@@ -134,72 +130,105 @@ def intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((value, first))
 
 
-def _tree(right: np.ndarray, right_size: np.ndarray, left: np.ndarray, left_size: np.ndarray, group: np.ndarray, length: int):
-    """(member, left extent, right extent, interval, maximal) for every interval of every group in which a member shares ``length`` bytes."""
-    order = _order(right, group)
-    lcp = _common(right, right_size, order[:-1], order[1:]) if len(order) > 1 else np.zeros(0, dtype=np.int64)
-    place = np.empty(len(order), dtype=np.int64)
-    place[_order(left, group)] = np.arange(len(order))
-    bounds = np.flatnonzero(np.concatenate([[True], group[order][1:] != group[order][:-1], [True]]))
-    found, number = [], 0
-    pairs = bounds[:-1][np.diff(bounds) == 2]  # two leaves, one interval: all at once
-    if len(pairs):
-        i, j = order[pairs], order[pairs + 1]
-        common = _common(left, left_size, i, j)
-        on = common + lcp[pairs] >= length
-        ids = np.arange(on.sum())
-        for member in (i[on], j[on]):
-            found.append((member, common[on], lcp[pairs][on], ids, np.ones(on.sum(), dtype=bool)))
-        number = len(ids)
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        if b - a < 3:
-            continue
-        for prefix, first, last in intervals(lcp[a : b - 1].tolist()):
-            own = order[a + first : a + last + 1]
-            own = own[np.argsort(place[own])]
-            common = _common(left, left_size, own[:-1], own[1:])
-            best = np.maximum(np.append(common, 0), np.insert(common, 0, 0))
-            on = best + prefix >= length
-            if on.any():
-                maximal = bool((left[own, 0] != left[own[0], 0]).any() or (left_size[own] == 0).any())
-                found.append((own[on], best[on], np.full(on.sum(), prefix), np.full(on.sum(), number), np.full(on.sum(), maximal)))
-                number += 1
-    return [np.concatenate(x) for x in zip(*found)] if found else None
-
-
-def _trees(contexts: DataFrame, shape: Shape) -> DataFrame:
-    """Buckets through the trees; contexts: bucket, context, before (reversed), after."""
+class Side(NamedTuple):
+    """One side of the contexts of a batch: bytes outward from the part a bucket has in common, and how many there are."""
+
+    data: np.ndarray
+    size: np.ndarray
+    shared: int
+
+
+def _tree(left: Side, right: Side, group: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(member, left extent, right extent, interval, maximal) where a member shares ``length`` bytes within a prefix interval of its group."""
+    n = len(group)
+    order = _order(right.data, group)
+    # One more than the common bytes; 0 closes all intervals between groups.
+    lcp = np.where(group[order[:-1]] == group[order[1:]], _common(right.data, right.size, order[:-1], order[1:]) + 1, 0)
+    place = np.empty(n, dtype=np.int64)
+    by_left = _order(left.data, group)
+    place[by_left] = np.arange(n)
+    found = np.array(list(intervals(lcp.tolist())), dtype=np.int64).reshape(-1, 3)
+    sizes = found[:, 2] - found[:, 1] + 1
+    upto = np.cumsum(sizes)
+    first = 0
+    while first < len(found):  # some intervals at a time, about two million members
+        last = max(int(np.searchsorted(upto, (upto[first - 1] if first else 0) + (2 << 20), side="right")), first + 1)
+        own, size = found[first:last], sizes[first:last]
+        number = np.repeat(np.arange(first, last), size)
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - own[:, 1], size)
+        # Members of each interval by their left sides.
+        key = np.sort(number * n + place[order[at]])
+        number, member = key // n, by_left[key % n]
+        same = number[1:] == number[:-1]
+        common = np.full(len(member) + 1, -1, dtype=np.int64)
+        pair = np.flatnonzero(same)
+        common[pair + 1] = _common(left.data, left.size, member[pair], member[pair + 1])
+        best = np.maximum(common[:-1], common[1:]) + left.shared
+        prefix = found[number, 0] - 1 + right.shared
+        # Left-diverse: the bytes before the members are not all the same.
+        before = np.where(left.size[member] > 0, left.data[member, 0], -1) if left.shared == 0 else None
+        if before is None:
+            diverse = np.ones(len(found), dtype=bool)
+        else:
+            diverse = np.zeros(len(found), dtype=bool)
+            diverse[number[1:][same & ((before[1:] != before[:-1]) | (before[1:] < 0))]] = True
+        on = best + prefix >= length
+        yield member[on], best[on], prefix[on], number[on], diverse[number[on]]
+        first = last
+
+
+def _sides(table: pa.Table, shape: Shape, ahead: bool) -> tuple[Side, Side]:
+    body = table["body"].combine_chunks()
+    width = 2 * shape.before - shape.half
+    start = int(np.frombuffer(body.buffers()[1], dtype=np.int32)[body.offset])
+    data = np.frombuffer(body.buffers()[2], dtype=np.uint8)[start : start + len(body) * width].reshape(-1, width)
+    cut = shape.before if ahead else shape.before - shape.half
+    shared_left, shared_right = (0, shape.gram + shape.half) if ahead else (shape.half, shape.gram)
+    return (
+        Side(data[:, :cut], table["left"].to_numpy().astype(np.int64) - shared_left, shared_left),
+        Side(data[:, cut:], table["right"].to_numpy().astype(np.int64) - shared_right, shared_right),
+    )
+
+
+def _trees(contexts: DataFrame, shape: Shape, groups: bool) -> DataFrame:
+    """Buckets through the trees: extents of each context, with ``groups`` for each interval."""
+    names = ["context", "l", "r", *(["interval", "maximal"] if groups else [])]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
         def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            if not table.num_rows:
-                return
-            table = table.combine_chunks()
-            bucket, context = (table[c].to_numpy() for c in ("bucket", "context"))
-            once = np.sort(np.unique(np.stack([bucket, context]), axis=1, return_index=True)[1])
-            table, bucket, context = table.take(pa.array(once)), bucket[once], context[once]
-            left, left_size = _matrix(table["before"].combine_chunks(), shape.before)
-            right, right_size = _matrix(table["after"].combine_chunks(), shape.length)
-            found = _tree(right, right_size, left, left_size, np.unique(bucket, return_inverse=True)[1], shape.length)
-            if found:
-                member, l, r, interval, maximal = found
-                name = mixed(bucket[member].view(U64) ^ mixed(interval.astype(U64))).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(context[member]), pa.array(l), pa.array(r), pa.array(name), pa.array(maximal)], names=["context", "l", "r", "interval", "maximal"])
+            for ahead in (True, False):
+                own = table.filter(pc.equal(table["is_ahead"], ahead)).combine_chunks()
+                if own.num_rows < 2:
+                    continue
+                bucket, context = own["bucket"].to_numpy(), own["context"].to_numpy()
+                left, right = _sides(own, shape, ahead)
+                l, r = np.full(len(bucket), -1, dtype=np.int64), np.full(len(bucket), -1, dtype=np.int64)
+                for member, a, b, interval, maximal in _tree(left, right, np.cumsum(np.concatenate([[0], bucket[1:] != bucket[:-1]])), shape.length):
+                    if groups:
+                        name = mixed(bucket[member].view(U64) ^ mixed(interval.astype(U64))).view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(context[member]), pa.array(a), pa.array(b), pa.array(name), pa.array(maximal)], names=names)
+                    else:
+                        np.maximum.at(l, member, a)
+                        np.maximum.at(r, member, b)
+                on = l >= 0
+                if on.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(context[on]), pa.array(l[on]), pa.array(r[on])], names=names)
 
         for batch in batches:
             table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
             bucket = table["bucket"].to_numpy()
             cut = int(np.searchsorted(bucket, bucket[-1])) if len(bucket) else 0
-            if len(bucket):
+            if cut:
                 yield from done(table.slice(0, cut))
-                rest = table.slice(cut)
+            rest = table.slice(cut)
         if rest is not None:
             yield from done(rest)
 
     dealt = contexts.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.select("bucket", "context", "before", "after").mapInArrow(scan, "context long, l long, r long, interval long, maximal boolean")
+    kinds = {"context": "long", "l": "long", "r": "long", "interval": "long", "maximal": "boolean"}
+    return dealt.mapInArrow(scan, ", ".join(f"{c} {kinds[c]}" for c in names))
 
 
 def _windows(contexts: DataFrame, shape: Shape) -> DataFrame:
@@ -207,64 +236,95 @@ def _windows(contexts: DataFrame, shape: Shape) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, context, before, after in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                data = np.frombuffer(before[::-1] + after, dtype=np.uint8)
-                start = np.arange(max(0, len(before) - shape.before), min(len(before), len(data) - shape.length) + 1)
-                hashes = Sums(data).of(start, start + shape.length)
-                # Only windows at the same distance from the anchors of one bucket: others may be the same place.
-                window = mixed(hashes ^ mixed(np.full(len(start), bucket).view(U64) + (len(before) - start).astype(U64)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), context)), pa.array(window.view(np.int64)), pa.array(len(before) - start)], names=["context", "window", "back"])
-
-    rows = durable(contexts.select("bucket", "context", "before", "after").distinct().mapInArrow(cut, "context long, window long, back long"))
+            table = pa.Table.from_batches([batch])
+            for ahead in (True, False):
+                own = table.filter(pc.equal(table["is_ahead"], ahead)).combine_chunks()
+                if not own.num_rows:
+                    continue
+                left, right = _sides(own, shape, ahead)
+                for at, (bucket, context) in enumerate(zip(own["bucket"].to_pylist(), own["context"].to_pylist())):
+                    # A window goes ``back`` bytes before the anchor; what the bucket has in common need not be hashed.
+                    back = np.arange(max(left.shared, shape.length - right.shared - int(right.size[at])), min(left.shared + int(left.size[at]), shape.length - right.shared) + 1)
+                    if len(back):
+                        zero = np.zeros(len(back), dtype=np.int64)
+                        a = Sums(left.data[at]).of(zero, back - left.shared)
+                        b = Sums(right.data[at]).of(zero, shape.length - back - right.shared)
+                        window = mixed(mixed(a ^ mixed(b + back.astype(U64))) ^ np.array([bucket]).view(U64))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(back), context)), pa.array(window.view(np.int64)), pa.array(back)], names=["context", "window", "back"])
+
+    rows = durable(contexts.mapInArrow(cut, "context long, window long, back long"))
     twice = rows.groupBy("window").agg(F.min("context").alias("a"), F.max("context").alias("b")).filter("a <> b").select("window")
     held = rows.join(twice, "window", "left_semi").groupBy("context").agg(F.max("back").alias("l"), (F.lit(shape.length) - F.min("back")).alias("r"))
-    return held.select("context", "l", "r", F.lit(None).cast("long").alias("interval"), F.lit(False).alias("maximal"))
+    return held.select("context", "l", "r")
 
 
-def _found(docs: DataFrame, text: str, shape: Shape, large: int) -> tuple[DataFrame, DataFrame]:
-    """Anchors that may repeat, and for contexts their extents by interval."""
+def _found(docs: DataFrame, text: str, shape: Shape, large: int, groups: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Anchors that may repeat, and extents of their contexts: the largest, with ``groups`` those of each interval."""
     texts = docs.filter(F.length(text) > 0).select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("key"), F.col(text).cast("string").alias("text"))
     every = durable(anchors(texts, shape))
     twice = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     shared = durable(every.join(twice, "gram", "left_semi").drop("gram"))
     distinct = durable(shared.groupBy("context").agg(
-        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("ahead", "behind", "left", "right")], F.min(F.struct("key", "position")).alias("at")))
-    full = distinct.filter((F.col("n") > 1) & (F.col("left") + F.col("right") >= shape.length)).select(
-        "context", F.col("left").cast("long").alias("l"), F.col("right").cast("long").alias("r"), F.col("context").alias("interval"), F.lit(True).alias("maximal"))
-    by_bucket = distinct.select("context", "at", F.explode(F.array("ahead", "behind")).alias("bucket")).filter("bucket IS NOT NULL")
-    sizes = by_bucket.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("ahead", "behind", "left", "right")], F.min(F.struct("key", "position")).alias("at"))
+        .withColumn("repeated", (F.col("n") > 1) & (F.col("left") + F.col("right") >= shape.length))
+        .withColumn("whole", F.col("repeated") & (F.col("left") == shape.before) & (F.col("right") == shape.length)))
+    full = distinct.filter("repeated").select("context", F.col("left").cast("long").alias("l"), F.col("right").cast("long").alias("r"))
+    by_bucket = distinct.select(
+        "context", "at", "whole", F.posexplode(F.array("ahead", "behind")).alias("kind", "bucket")).filter("bucket IS NOT NULL")
+    # A bucket in which every context is covered as a whole has nothing to add.
+    sizes = by_bucket.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.bool_and("whole").alias("settled")).filter(
+        "size > 1" if groups else "size > 1 AND NOT settled").select("bucket", "size")
     meeting = by_bucket.join(sizes, "bucket").select(
-        F.col("at.key").alias("key"), F.struct(F.col("at.position").alias("position"), "context", "bucket", (F.col("size") > large).alias("large")).alias("a"))
-    wanted = meeting.groupBy("key").agg(F.collect_list("a").alias("anchors"))
+        F.col("at.key").alias("key"), F.struct(F.col("at.position").alias("position"), "context", "bucket", (F.col("kind") == 0).alias("is_ahead"), (F.col("size") > large).alias("large")).alias("a"))
+    wanted = durable(meeting.groupBy("key").agg(F.collect_list("a").alias("anchors")))
     bodies = texts.groupBy("key").agg(F.first("text").alias("text"))
+    width = 2 * shape.before - shape.half
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(0).cast(pa.binary())
-            for at in range(batch.num_rows):
-                body, rows = raw[at].as_py(), batch.column(1)[at].as_py()
-                p = [r["position"] for r in rows]
+            for doc in range(batch.num_rows):
+                row = batch.column(1)[doc].values
+                position, context, bucket, ahead, big = (row.field(k).to_numpy(zero_copy_only=False) for k in range(5))
+                body = np.frombuffer(raw[doc].as_buffer(), dtype=np.uint8)
+                # Outward from what the bucket has in common, filled up with zeros.
+                padded = np.concatenate([np.zeros(shape.length, dtype=np.uint8), body, np.zeros(shape.length, dtype=np.uint8)])
+                at = position.astype(np.int64) + shape.length
+                sides = np.empty((len(at), width), dtype=np.uint8)
+                for kind, skip_left, skip_right in ((ahead, 0, shape.gram + shape.half), (~ahead, shape.half, shape.gram)):
+                    p = at[kind][:, None]
+                    sides[kind] = np.concatenate([
+                        padded[p - 1 - np.arange(skip_left, shape.before)], padded[p + np.arange(skip_right, shape.length)]], axis=1)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([r["bucket"] for r in rows], pa.int64()), pa.array([r["context"] for r in rows], pa.int64()), pa.array([r["large"] for r in rows], pa.bool_()),
-                    pa.array([body[max(0, x - shape.before) : x][::-1] for x in p], pa.binary()), pa.array([body[x : x + shape.length] for x in p], pa.binary()),
-                ], names=["bucket", "context", "large", "before", "after"])
-
-    contexts = durable(bodies.join(wanted, "key").select("text", "anchors").mapInArrow(cut, "bucket long, context long, large boolean, before binary, after binary"))
-    found = _trees(contexts.filter("NOT large"), shape).unionByName(_windows(contexts.filter("large"), shape)).unionByName(full)
-    return shared, durable(found)
-
-
-def repeat_groups(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, large: int = LARGE) -> DataFrame:
+                    pa.array(bucket), pa.array(context), pa.array(ahead), pa.array(big),
+                    pa.array(np.minimum(position, shape.before).astype(np.int32)), pa.array(np.minimum(len(body) - position, shape.length).astype(np.int32)),
+                    pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.arange(0, (len(at) + 1) * width, width, dtype=np.int32)), pa.py_buffer(sides)]),
+                ], names=["bucket", "context", "is_ahead", "large", "left", "right", "body"])
+
+    contexts = bodies.join(wanted, "key").select("text", "anchors").mapInArrow(
+        cut, "bucket long, context long, is_ahead boolean, large boolean, left int, right int, body binary")
+    crowded = not sizes.filter(F.col("size") > large).isEmpty()
+    if crowded:
+        contexts = durable(contexts)
+    found = _trees(contexts.filter("NOT large").drop("large") if crowded else contexts.drop("large"), shape, groups)
+    if crowded and not groups:
+        found = found.unionByName(_windows(contexts.filter("large").drop("large"), shape))
+    if groups:
+        full = full.select("*", F.col("context").alias("interval"), F.lit(True).alias("maximal"))
+        return shared, durable(found.unionByName(full))
+    return shared, durable(found.unionByName(full).groupBy("context").agg(F.max("l").alias("l"), F.max("r").alias("r")))
+
+
+def repeat_groups(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(group, key, start, end): maximal repeats around anchors with all their occurrences; key is the MD5 of the text."""
-    shared, found = _found(docs, text, Shape(length, gram), large)
+    shared, found = _found(docs, text, Shape(length, gram), 1 << 62, groups=True)
     return shared.join(found.filter("maximal"), "context").select(
         F.col("interval").alias("group"), "key", (F.col("position") - F.col("l")).alias("start"), (F.col("position") + F.col("r")).alias("end")).distinct()
 
 
 def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, large: int = LARGE) -> DataFrame:
     """One row per document: ``doc``, n_bytes, removed (maximal runs of bytes, end exclusive), kept (the other bytes)."""
-    shared, found = _found(docs, text, Shape(length, gram), large)
-    extents = found.groupBy("context").agg(F.max("l").alias("l"), F.max("r").alias("r"))
+    shared, extents = _found(docs, text, Shape(length, gram), large)
     spans = shared.select("key", "position", "context").distinct().join(extents, "context").select(
         "key", F.struct((F.col("position") - F.col("l")).alias("start"), (F.col("position") + F.col("r")).alias("end")).alias("span"))
     removed = spans.groupBy("key").agg(F.collect_set("span").alias("spans"))

@@ -2,7 +2,7 @@
 
 Features are the distinct lower-cased n-grams (``SIZES`` characters) of a text, hashed into ``2 ** CELLS`` cells. From labelled rows come
 document counts per cell and class; a cell's log-count ratio scales its feature, and a logistic regression on the
-``FEATURES`` cells with the largest ratio, weighted by the square root of their count, gives the weights.
+``FEATURES`` cells whose shares in the two classes differ most, in standard errors, gives the weights.
 
 Training uses at most ``TRAIN_ROWS`` labelled rows of each class, those with the smallest hash of their id. So what the join broadcasts and
 what one task gathers for the regression are bounded; the classes' true shares, counted over all labelled rows, correct
@@ -28,8 +28,8 @@ from ledgerloom.llm.arrays import LOWER, U64, Sums, slices, text_of, whole
 SIZES = (3, 4, 5)
 CELLS = 18
 TRAIN_ROWS = 6000
-FEATURES = 20_000
-STEPS = 200
+FEATURES = 1000
+STEPS = 300
 RIDGE = 1e-4
 RATE = 0.05
 
@@ -110,7 +110,9 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     cell, n = counted["cell"].to_numpy(), np.stack([counted["n0"].to_numpy(), counted["n1"].to_numpy()])
     texts, n, cell = n[:, cell < 0].sum(axis=1), n[:, cell >= 0], cell[cell >= 0]
     ratio = np.log((n[1] + 1) / (texts[1] + 2)) - np.log((n[0] + 1) / (texts[0] + 2))
-    best = np.argsort(-np.abs(ratio) * np.sqrt(n.sum(axis=0)), kind="stable")[:FEATURES]
+    share_of = n / texts[:, None]
+    error = np.sqrt((share_of * (1 - share_of) / texts[:, None]).sum(axis=0) + 1e-6)
+    best = np.argsort(-np.abs(share_of[1] - share_of[0]) / error, kind="stable")[:FEATURES]
     chosen, scale = cell[best], ratio[best]
     number = np.full(1 << CELLS, -1, dtype=np.int32)
     number[chosen] = np.arange(len(chosen))

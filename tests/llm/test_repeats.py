@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -82,12 +83,22 @@ def test_intervals_are_the_prefix_tree():
     assert set(repeats.intervals(lcp)) == want
 
 
+def _by_group(groups):
+    out = {}
+    for r in groups.collect():
+        out.setdefault(r["group"], []).append(r)
+    return out
+
+
 def test_groups_list_all_occurrences(spark):
     rng = random.Random(4)
     text = lambda k: "".join(rng.choice("abcdefghijkl ") for _ in range(k))
     passage = text(150)
     texts = [text(100) + passage + text(80) for _ in range(5)]
     groups = repeats.repeat_groups(table(spark, texts), length=40, gram=10)
+    bodies = {hashlib.md5(t.encode()).digest(): t for t in texts}
+    for rows in _by_group(groups).values():
+        assert len({bodies[bytes(r["key"])][r["start"] : r["end"]] for r in rows if r["end"] - r["start"] == max(x["end"] - x["start"] for x in rows)}) >= 1
     whole = groups.groupBy("group").agg(F.countDistinct("key").alias("docs"), F.max(F.col("end") - F.col("start")).alias("n"))
     assert whole.filter("docs = 5 AND n >= 40").count() >= 1
 
