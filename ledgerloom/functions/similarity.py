@@ -64,6 +64,19 @@ def token_set_score(a: str, b: str) -> float:
     return best
 
 
+def token_set_quick(a: Column, b: Column, threshold: float) -> Column:
+    """The token-set score where the sets of words decide it, 0 where it cannot reach the threshold, else null."""
+    left, right = (F.array_distinct(F.filter(F.split(x, r"(?U)\s+"), lambda w: w != "")) for x in (a, b))
+    shared = F.size(F.array_intersect(left, right))
+    # Without a shared word the score is at most twice the shorter length over both.
+    n, m = (F.length(F.array_join(x, " ")) for x in (left, right))
+    return (
+        F.when((F.size(left) == 0) | (F.size(right) == 0), 0.0)
+        .when((shared > 0) & ((shared == F.size(left)) | (shared == F.size(right))), 1.0)
+        .when((shared == 0) & (2.0 * F.least(n, m) < F.lit(threshold) * (n + m)), 0.0)
+    )
+
+
 @F.pandas_udf(DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_score(x, y) for x, y in zip(a, b)], dtype="float64")

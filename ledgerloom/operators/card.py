@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.fixed_values import CARD_NOISE_SUBSTRINGS, CARD_SUMMARY_LABELS
+from ledgerloom.fixed_values import CARD_NOISE_SUBSTRINGS, CARD_NOISE_YEAR, CARD_SUMMARY_LABELS
 from ledgerloom.functions.dates import build_date, year_in_period
 from ledgerloom.functions.money import parse_money
 from ledgerloom.functions.text import contains_any, lookup, nonempty_group, strip
@@ -104,7 +104,7 @@ class CardStatements:
         )
         keep = F.filter(
             F.transform(F.split("block", "\n"), strip),
-            lambda x: x.rlike(ROW) & ~contains_any(x, CARD_NOISE_SUBSTRINGS),
+            lambda x: x.rlike(ROW) & ~contains_any(x, CARD_NOISE_SUBSTRINGS) & ~x.rlike(CARD_NOISE_YEAR),
         )
         rows = blocks.select("doc_id", "account", "period_start", "period_end", "cardholder", "block_no",
                              F.posexplode(keep).alias("row_no", "line"))

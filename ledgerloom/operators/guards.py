@@ -2,35 +2,38 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import strip
-from ledgerloom.scale import durable, join_unique
+from ledgerloom.scale import durable, join_unique, shared_folder
 
 CENTS = 0.02
 
 
 class GuardError(Exception):
-    """Some checks failed; ``failed`` holds the first failed rows."""
+    """Some checks failed: ``failed`` is the stored table of all failed rows, ``count`` their number, ``path`` its place."""
 
-    def __init__(self, failed: list):
-        self.failed = failed
-        super().__init__("; ".join(str(r.asDict()) for r in failed))
+    def __init__(self, failed: DataFrame, count: int, path: str):
+        self.failed, self.count, self.path = failed, count, path
+        super().__init__(f"{count} failed rows, stored in {path}")
 
 
-def enforce(checks: DataFrame, *, show: int = 20) -> None:
-    """Raise ``GuardError`` when a check failed. Only the first few failed rows reach the driver."""
-    failed = checks.filter("NOT ok").limit(show).collect()
-    if failed:
-        raise GuardError(failed)
+def enforce_empty(findings: DataFrame, path: str | None = None) -> None:
+    """Strict mode of detectors (duplicates, double counts): any finding is an error; all are stored."""
+    path = path or f"{shared_folder(findings.sparkSession)}/failed-{uuid.uuid4().hex}"
+    findings.write.mode("overwrite").parquet(path)
+    stored = findings.sparkSession.read.schema(findings.schema).parquet(path)
+    count = stored.count()
+    if count:
+        raise GuardError(stored, count, path)
 
 
-def enforce_empty(findings: DataFrame, *, show: int = 20) -> None:
-    """Strict mode of detectors (duplicates, double counts): any finding is an error."""
-    found = findings.limit(show).collect()
-    if found:
-        raise GuardError(found)
+def enforce(checks: DataFrame, path: str | None = None) -> None:
+    """Raise ``GuardError`` when a check failed; all failed rows are stored."""
+    enforce_empty(checks.filter("NOT ok"), path)
 
 
 def _checks(df: DataFrame, entity: Column, specs: list[tuple[str, Column, Column, float]]) -> DataFrame:

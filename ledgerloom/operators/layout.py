@@ -29,11 +29,10 @@ from ledgerloom.fixed_values import (
 from ledgerloom.functions.dates import month_day_year, us_date
 from ledgerloom.functions.money import MONEY
 from ledgerloom.functions.text import first_rule, nonempty_group, quote, starts_with_any, strip
-from ledgerloom.scale import computed_once, needs_spreading, running_last
+from ledgerloom.scale import computed_once, durable, needs_spreading, running_last
 
 COLUMNS = ("date", "payee", "type", "ref", "desc", "cash_in", "cash_out", "balance")
 _PERIOD = r"(?U)([A-Z][a-z]{2}\s+\d{1,2},\s+\d{4})\s*-\s*([A-Z][a-z]{2}\s+\d{1,2},\s+\d{4})"
-_PERIOD_LINES = 40
 _UNIT = r"(?iU)^(\d{3,4}|1/2\s+upper|1/2\s+lower|upper|lower)\s*-\s*(.+)\z"
 _TRANSFER = r"(?iU)^Transfer\s+(?:to|from)\b"
 
@@ -120,14 +119,16 @@ class OwnerStatements:
 
     ``header_start`` and ``property_rules`` recognize a property heading: the line starts with the first and
     contains the needle of a rule ``(needle, canonical name)``; the first rule wins. ``spread`` decides how long
-    documents are walked; by default the longest one is looked up first, so pass stored words.
+    documents are walked; by default the longest one is looked up first, so pass stored words. ``stored``
+    keeps the walked lines in a table: set it when more than one output is read, else each walks the words again.
     """
 
     words: DataFrame
     property_rules: Sequence[tuple[str, str]]
-    header_start: str = "SW "
+    header_start: str
     categories: Sequence[str] = field(default=PM_CATEGORIES)
     spread: bool | None = None
+    stored: bool = False
 
     @cached_property
     def _spread(self) -> bool:
@@ -193,7 +194,8 @@ class OwnerStatements:
             },
             **scan,
         )
-        return lines.withColumn("ended", F.coalesce("ended", F.lit(False)))
+        lines = lines.withColumn("ended", F.coalesce("ended", F.lit(False)))
+        return durable(lines) if self.stored else lines
 
     @cached_property
     def _outside(self) -> DataFrame:
@@ -222,25 +224,7 @@ class OwnerStatements:
                 for label, c in CONSOLIDATED_LABELS.items()
             ]
         )
-        # Only the first lines can carry the period: take the first few pages' lines that match.
-        lines = words_to_lines(self.words)
-        number = Window.partitionBy("doc_id", "page").orderBy("y")
-        sizes = lines.groupBy("doc_id", "page").agg(F.count(F.lit(1)).alias("n"))
-        pages_before = sizes.select(
-            "doc_id", "page",
-            F.coalesce(
-                F.sum("n").over(Window.partitionBy("doc_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ).alias("lines_before"),
-        )
-        head = (
-            lines.withColumn("n", F.row_number().over(number))
-            .filter(F.col("line").rlike(_PERIOD) & (F.col("n") <= _PERIOD_LINES))
-            .join(pages_before, ["doc_id", "page"])
-            .filter(F.col("lines_before") + F.col("n") <= _PERIOD_LINES)
-            .groupBy("doc_id")
-            .agg(F.min_by("line", order).alias("line"))
-        )
+        head = self._walked.filter(F.col("line").rlike(_PERIOD)).groupBy("doc_id").agg(F.min_by("line", order).alias("line"))
         periods = head.select(
             "doc_id",
             month_day_year(F.regexp_extract("line", _PERIOD, 1)).alias("period_start"),
@@ -272,12 +256,14 @@ class OwnerStatements:
             F.transform(F.slice("words", F.lit(2), F.size("words")), lambda w: word_amount(w["text"])),
             lambda a: a.isNotNull(),
         )
+        totals = F.struct(F.try_element_at("amounts", F.lit(1)).alias("i"), F.try_element_at("amounts", F.lit(2)).alias("o"))
+        inside = (F.col("before") == "start") & F.col("header_name").isNull() & ~F.col("is_appendix")
+        closes = F.coalesce(inside & F.col("is_total"), F.lit(False))
+        # The last event of a property counts: a block that begins after a printed total and prints none leaves none.
         printed = (
-            keyed(self._in_blocks.filter("is_total"))
-            .withColumn("amounts", F.when(F.size(amounts) >= 2, amounts))
-            .groupBy(*key)
-            .agg(F.max_by(F.struct(F.try_element_at("amounts", F.lit(1)).alias("i"),
-                                   F.try_element_at("amounts", F.lit(2)).alias("o")), order).alias("t"))
+            keyed(self._walked.filter(~F.col("ended") & (closes | F.col("opens"))))
+            .withColumn("amounts", F.when(closes & (F.size(amounts) >= 2), amounts))
+            .groupBy(*key).agg(F.max_by(F.when(F.col("amounts").isNotNull(), totals), order).alias("t"))
             .select(*key, F.col("t.i").alias("total_cash_in_printed"), F.col("t.o").alias("total_cash_out_printed"))
         )
         return headers.join(summary, key, "left").join(printed, key, "left")

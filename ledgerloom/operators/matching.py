@@ -1,6 +1,10 @@
 """One-to-one record linkage: rows in order, each takes its best partner that is still free.
 
-The sequential rule ("serial dictatorship") is computed in parallel rounds of proposals. Every row
+Rows that compete, directly or through others, form a connected component, and components don't influence each other. A
+component of at most ``COMPONENT_ROWS`` rows and pairs is settled by the sequential rule itself, inside one task; all
+components run in parallel.
+
+For larger components the rule ("serial dictatorship") is computed in parallel rounds of proposals. Every row
 proposes to its best partner that has not refused it; a partner keeps the earliest proposer and refuses the others;
 refused rows move on to their next choice. Because all partners rank rows the same way (by order), the
 stable outcome is unique and equals the sequential one, whatever the number of rounds.
@@ -13,15 +17,21 @@ therefore never enters the number of candidate pairs.
 
 from __future__ import annotations
 
+from collections import deque
+from decimal import Decimal
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.fixed_values import OWNER_PAYOUT_CATEGORY
-from ledgerloom.functions.similarity import edit_similarity, matching_blocks_ratio, token_set_ratio
+from ledgerloom.functions.similarity import edit_similarity, matching_blocks_ratio, token_set_quick, token_set_ratio
 from ledgerloom.functions.text import vendor_key
-from ledgerloom.scale import chunk_of, computed_once, durable, group_rank, join_unique, needs_spreading
+from ledgerloom.scale import CHUNK_ROWS, chunk_of, components, computed_once, durable, group_rank, join_unique, needs_spreading
 
 _SEP = "\u0001"
+COMPONENT_ROWS = 100_000
 
 
 def class_key(*parts: Column) -> Column:
@@ -31,7 +41,12 @@ def class_key(*parts: Column) -> Column:
 
 def _ranked(df: DataFrame, group: list[str], order: str, stored: DataFrame) -> DataFrame:
     spread = needs_spreading(df, group, stored=stored)
-    return group_rank(df, group, chunk_of(order), [order], "place", spread=spread)
+    chunk = F.lit(0)
+    if spread:
+        # Orders may be sparse: a chunk spans as much of their range as holds about CHUNK_ROWS of the rows.
+        low, high, n = stored.agg(F.min(order), F.max(order), F.count(F.lit(1))).first() if order in stored.columns else df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
+        chunk = chunk_of(F.col(order) - F.lit(low), max(1, (high - low + 1) * CHUNK_ROWS // max(n, 1)))
+    return group_rank(df, group, chunk, [order], "place", spread=spread)
 
 
 def _pair_exclusive(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFrame:
@@ -63,8 +78,15 @@ def _propose(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFra
             "q_class", "choice", "w_class", "slot", "capacity", "score"
         )
     )
+    # The j-th row of a class cannot get anything before the j-th place on the class's list, so it begins there.
+    places = choices.withColumn(
+        "upto", F.sum("capacity").over(Window.partitionBy("q_class").orderBy("choice"))
+    ).select("q_class", F.col("choice"), (F.col("upto") - F.col("capacity")).alias("after"), "upto")
+    inside = durable(seekers.join(edges.select("q_class").distinct(), "q_class", "left_semi"))
     state = durable(
-        seekers.join(edges.select("q_class").distinct(), "q_class", "left_semi").withColumn("choice", F.lit(1))
+        _ranked(inside, ["q_class"], "q_ord", inside).join(places, "q_class")
+        .filter((F.col("place") > F.col("after")) & (F.col("place") <= F.col("upto")))
+        .select("q_id", "q_ord", "q_class", "choice")
     )
     while True:
         proposals = state.join(choices, ["q_class", "choice"])
@@ -81,15 +103,60 @@ def _propose(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFra
     return held.join(members, ["w_class", "slot", "place"]).select("q_id", "w_id", "score")
 
 
+def _settle(table: pa.Table) -> pa.Table:
+    """The sequential rule on one component: rows (seekers), offers and pairs of classes in one table."""
+    columns = {c: table[c].to_pylist() for c in table.column_names if c != "root"}
+    rows = list(zip(*(columns[c] for c in ("kind", "q_id", "q_ord", "q_class", "w_id", "w_ord", "w_class", "score"))))
+    queues: dict[str, deque] = {}
+    for _, _, _, _, w_id, w_ord, w_class, _ in sorted((r for r in rows if r[0] == "offer"), key=lambda r: r[5]):
+        queues.setdefault(w_class, deque()).append((w_ord, w_id))
+    partners: dict[str, list] = {}
+    for _, _, _, q_class, _, _, w_class, score in (r for r in rows if r[0] == "pair"):
+        partners.setdefault(q_class, []).append((score, w_class))
+    found = []
+    for _, q_id, _, q_class, *_ in sorted((r for r in rows if r[0] == "seeker"), key=lambda r: r[2]):
+        free = [(-score, queues[w_class][0][0], w_class) for score, w_class in partners.get(q_class, ()) if queues.get(w_class)]
+        if free:
+            score, _, w_class = min(free)
+            found.append((q_id, queues[w_class].popleft()[1], -score))
+    q, w, scores = zip(*found) if found else ((), (), ())
+    kinds = {c: table.schema.field(c).type for c in ("q_id", "w_id")}
+    return pa.table({"q_id": pa.array(q, kinds["q_id"]), "w_id": pa.array(w, kinds["w_id"]), "score": pa.array(scores, pa.float64())})
+
+
+def _contested(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFrame:
+    """Small components by the rule itself, larger ones by rounds of proposals."""
+    node = lambda side, c: F.xxhash64(F.lit(side), F.col(c))
+    roots = components(edges.select(node("q", "q_class").alias("a"), node("w", "w_class").alias("b")))
+    roots = durable(roots.union(roots.select(F.col("root"), "root")).distinct())
+    pairs = durable(edges.join(roots.withColumnRenamed("node", "n"), node("q", "q_class") == F.col("n")).drop("n"))
+    own = lambda rows, c: rows.join(pairs.select(c, "root").distinct(), c)
+    q, w = durable(own(seekers, "q_class")), durable(own(offers, "w_class"))
+    sizes = (
+        pairs.select("root").unionAll(q.select("root")).unionAll(w.select("root"))
+        .groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    )
+    large = durable(sizes.filter(F.col("n") > COMPONENT_ROWS).select("root"))
+    rows = (
+        q.withColumn("kind", F.lit("seeker"))
+        .unionByName(w.withColumn("kind", F.lit("offer")), allowMissingColumns=True)
+        .unionByName(pairs.withColumn("kind", F.lit("pair")), allowMissingColumns=True)
+    )
+    schema = T.StructType([seekers.schema["q_id"], offers.schema["w_id"], T.StructField("score", T.DoubleType())])
+    settled = rows.join(large, "root", "left_anti").groupBy("root").applyInArrow(_settle, schema)
+    if large.isEmpty():
+        return settled
+    rest = lambda df: df.join(large, "root", "left_semi").drop("root")
+    return settled.unionByName(_propose(durable(rest(q)), durable(rest(w)), durable(rest(pairs))))
+
+
 def assign_in_order(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFrame:
     """Exact in-order assignment.
 
     ``seekers(q_id, q_ord, q_class)``, ``offers(w_id, w_ord, w_class)``, ``edges(q_class, w_class, score)`` with
-    one row per pair of classes. Orders are unique integers; seekers and offers should be stored tables. Returns ``(q_id, w_id, score)``: each seeker in order
-    takes the free offer with the best score, the earliest offer on ties. Only classes that compete with others
-    go through rounds of proposals.
+    one row per pair of classes. Orders are unique integers; all three are read several times and should be stored tables. Returns ``(q_id, w_id, score)``:
+    each seeker in order takes the free offer with the best score, the earliest offer on ties.
     """
-    edges = durable(edges)
     q_degree = edges.groupBy("q_class").agg(F.count(F.lit(1)).alias("q_degree"))
     w_degree = edges.groupBy("w_class").agg(F.count(F.lit(1)).alias("w_degree"))
     marked = durable(
@@ -102,7 +169,22 @@ def assign_in_order(seekers: DataFrame, offers: DataFrame, edges: DataFrame) ->
     contested = marked.filter("NOT exclusive").select(*columns)
     if contested.isEmpty():
         return paired
-    return paired.unionByName(_propose(seekers, offers, contested))
+    return paired.unionByName(_contested(seekers, offers, contested))
+
+
+def _cents(tolerance: float) -> Decimal:
+    return Decimal(str(tolerance)).quantize(Decimal("0.01"))
+
+
+def _bucket(money: Column, tolerance: float) -> Column:
+    """Amounts within the tolerance fall into the same or into neighboring buckets; without one, equal amounts do."""
+    tol = _cents(tolerance)
+    return F.floor(money / F.lit(str(tol)).cast("decimal(18,2)")) if tol else money.cast("decimal(18,2)")
+
+
+def _near_money(money: Column, tolerance: float) -> Column:
+    bucket = _bucket(money, tolerance)
+    return _near(bucket) if _cents(tolerance) else bucket
 
 
 def _near(bucket: Column) -> Column:
@@ -130,16 +212,20 @@ def match_date_amount(
     w = durable(worksheet.filter("date IS NOT NULL AND cost IS NOT NULL").select(
         "w_id", "w_ord", "date", "cost", F.lower(F.coalesce("source", F.lit(""))).alias("b")
     ).withColumn("w_class", class_key(F.col("date"), F.col("cost"), F.col("b"))))
-    bucket = F.floor(F.col("size") / tol)
-    qc = q.select("q_class", "date", "size", "a").distinct().withColumn("bucket", bucket)
-    wc = w.select("w_class", "date", "cost", "b").distinct().withColumn("bucket", _near(F.floor(F.col("cost") / tol)))
+    qc = q.select("q_class", "date", "size", "a").distinct().withColumn("bucket", _bucket(F.col("size"), tolerance))
+    wc = w.select("w_class", "date", "cost", "b").distinct().withColumn("bucket", _near_money(F.col("cost"), tolerance))
     pairs = qc.join(wc, ["date", "bucket"]).filter(F.abs(F.col("size") - F.col("cost")) <= tol)
     pairs = durable(pairs.select("q_class", "w_class", "a", "b"))
     several = pairs.groupBy("q_class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("q_class")
-    score = matching_blocks_ratio(F.col("a"), F.col("b")) if similarity == "blocks" else edit_similarity(F.col("a"), F.col("b"))
     single = pairs.join(several, "q_class", "left_anti").withColumn("score", F.lit(0.0))
-    scored = pairs.join(several, "q_class", "left_semi").withColumn("score", score)
-    edges = scored.unionByName(single).select("q_class", "w_class", "score")
+    scored = pairs.join(several, "q_class", "left_semi")
+    if similarity == "blocks":
+        # Equal texts need no comparison; only the rest goes to Python.
+        equal = scored.filter("a = b").withColumn("score", F.lit(1.0))
+        scored = equal.unionByName(scored.filter("a <> b").withColumn("score", matching_blocks_ratio(F.col("a"), F.col("b"))))
+    else:
+        scored = scored.withColumn("score", edit_similarity(F.col("a"), F.col("b")))
+    edges = durable(scored.unionByName(single).select("q_class", "w_class", "score"))
     return assign_in_order(
         q.select("q_id", "q_ord", "q_class"), w.select("w_id", "w_ord", "w_class"), edges
     ).select("q_id", "w_id")
@@ -154,11 +240,11 @@ def fuzzy_candidates(txns: DataFrame, filings: DataFrame, *, days: int = 3, thre
         "bucket", _near(F.floor(F.unix_date("filed") / F.lit(days + 1)))
     )
     pairs = t.join(p, ["amount", "bucket"]).filter(F.abs(F.datediff("date", "filed")) <= days)
-    return (
-        pairs.withColumn("score", token_set_ratio(F.col("a"), F.col("b")))
-        .filter((F.col("score") >= threshold) & (F.col("score") > 0))
-        .select("q_class", "w_class", "score")
-    )
+    pairs = durable(pairs.withColumn("quick", token_set_quick(F.col("a"), F.col("b"), threshold)))
+    # Most pairs are decided by their sets of words; only the rest goes to Python.
+    open_ = pairs.filter("quick IS NULL").withColumn("score", token_set_ratio(F.col("a"), F.col("b")))
+    scored = pairs.filter("quick IS NOT NULL").withColumn("score", F.col("quick")).unionByName(open_)
+    return scored.filter((F.col("score") >= threshold) & (F.col("score") > 0)).select("q_class", "w_class", "score")
 
 
 def match_fuzzy(txns: DataFrame, filings: DataFrame, *, days: int = 3, threshold: float = 0.72) -> DataFrame:
@@ -170,7 +256,7 @@ def match_fuzzy(txns: DataFrame, filings: DataFrame, *, days: int = 3, threshold
     t = durable(t.withColumn("q_class", class_key(F.col("date"), F.col("amount"), F.col("a"))))
     p = computed_once(filings, "w_id", "w_ord", "date", "amount", vendor_key(F.col("description")).alias("b"))
     p = durable(p.withColumn("w_class", class_key(F.col("date"), F.col("amount"), F.col("b"))))
-    edges = fuzzy_candidates(t, p, days=days, threshold=threshold)
+    edges = durable(fuzzy_candidates(t, p, days=days, threshold=threshold))
     return assign_in_order(t.select("q_id", "q_ord", "q_class"), p.select("w_id", "w_ord", "w_class"), edges)
 
 
@@ -202,10 +288,14 @@ def double_counts(
     Each group is used once; deposits go in order and take the first fitting group.
     """
     tol = F.lit(str(tolerance)).cast("decimal(18,2)")
-    groups = durable(payout_groups(pm_txns, category=category))
-    member_dates = (
+    # Payouts with the same sum and the same days are interchangeable: one class, used in order.
+    members = (
         pm_txns.filter((F.col("category") == category) & F.col("reference").isNotNull())
-        .select("reference", F.col("date").alias("paid")).distinct()
+        .groupBy("reference").agg(F.array_sort(F.collect_set("date")).alias("paid_on"))  # days of one payout: bounded by the calendar
+    )
+    groups = durable(
+        payout_groups(pm_txns, category=category).join(members, "reference")
+        .withColumn("w_class", class_key(F.col("group_sum"), F.array_join(F.transform("paid_on", lambda x: x.cast("string")), " ")))
     )
     q = durable(
         deposits.filter((F.col("amount") > 0) & F.lower("description").contains(payer.lower())).select(
@@ -214,25 +304,21 @@ def double_counts(
     )
     qc = (
         q.select("q_class", "date", "amount").distinct()
-        .withColumn("money", _near(F.floor(F.col("amount") / tol)))
+        .withColumn("money", _near_money(F.col("amount"), tolerance))
         .withColumn("span", _near(F.floor(F.unix_date("date") / F.lit(days + 1))))
     )
-    g = groups.join(member_dates, "reference").select(
-        "reference", "group_sum", "paid",
-        F.floor(F.col("group_sum") / tol).alias("money"),
-        F.floor(F.unix_date("paid") / F.lit(days + 1)).alias("span"),
-    )
-    edges = (
+    g = groups.select("w_class", "group_sum", "paid_on").distinct().select(
+        "w_class", "group_sum", F.explode("paid_on").alias("paid"), _bucket(F.col("group_sum"), tolerance).alias("money")
+    ).withColumn("span", F.floor(F.unix_date("paid") / F.lit(days + 1)))
+    edges = durable(
         qc.join(g, ["money", "span"])
         .filter((F.abs(F.col("amount") - F.col("group_sum")) <= tol) & (F.abs(F.datediff("date", "paid")) <= days))
-        .select("q_class", F.col("reference").alias("w_class")).distinct()
+        .select("q_class", "w_class").distinct()
         .withColumn("score", F.lit(0.0))
     )
-    offers = groups.select(
-        F.col("reference").alias("w_id"), F.col("first_ord").alias("w_ord"), F.col("reference").alias("w_class")
-    )
+    offers = durable(groups.select(F.col("reference").alias("w_id"), F.col("first_ord").alias("w_ord"), "w_class"))
     pairs = assign_in_order(q.select("q_id", "q_ord", "q_class"), offers, edges)
-    return pairs.select("q_id", F.col("w_id").alias("reference")).join(groups, "reference").select(
+    return pairs.select("q_id", F.col("w_id").alias("reference")).join(groups.drop("w_class", "paid_on"), "reference").select(
         "q_id", "reference", "group_sum", "members"
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.fixed_values import REPORT_HEADER, REPORT_RULE, REPORT_SUMMARY
 from ledgerloom.functions.money import tolerance
 from ledgerloom.functions.text import blank_to_null, strip
 
@@ -48,7 +49,7 @@ def _money(c: str, plus: bool = False) -> Column:
 def report_lines(compared: DataFrame) -> DataFrame:
     """The comparison as markdown table lines ``(section, sheet, row_no, line)``, one row per line.
 
-    Order by section (0 head, 1 cells, 2 summary), sheet and row_no when writing the report.
+    Order by section (0 head, 1 cells, 2 summary after an empty line), sheet and row_no when writing the report.
     """
     ok = F.when(F.col("within_tolerance"), "YES").otherwise("**NO**")
     cell = F.concat(
@@ -60,12 +61,12 @@ def report_lines(compared: DataFrame) -> DataFrame:
     body = compared.select(F.lit(1).alias("section"), "sheet", "row_no", cell.alias("line"))
     spark = compared.sparkSession
     head = spark.createDataFrame(
-        [(0, None, 1, "| Sheet | Row | Label | Filed | Generated | Delta | OK? |"), (0, None, 2, "|---|---|---|---|---|---|---|")],
+        [(0, None, 1, REPORT_HEADER), (0, None, 2, REPORT_RULE), (2, None, 0, "")],
         "section INT, sheet STRING, row_no INT, line STRING",
     )
     tail = summary(compared).select(
         F.lit(2).alias("section"), F.lit(None).cast("string").alias("sheet"), F.lit(1).alias("row_no"),
-        F.format_string("**%d/%d cells within tolerance (%.1f%%)**", "matched", "total", "percent").alias("line"),
+        F.format_string(REPORT_SUMMARY, "matched", "total", "percent").alias("line"),
     )
     return head.unionByName(body).unionByName(tail)
 

@@ -5,6 +5,7 @@
 * ``running_last``   last non-null value in order, per group, chunk by chunk when groups are large
 * ``group_rank``     1-based position in order, per group, chunk by chunk when groups are large
 * ``dense_index``    0-based position in a total order over the whole table
+* ``components``     connected components of a graph
 
 A *chunk* is any column that never decreases along the order (a page number, a row number divided by
 a constant). A window then only ever sorts one chunk; between chunks travels one summary row, so a group
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_KEY_ROWS = 1_000_000
 SALTS = 64
 CHUNK_ROWS = 65_536
@@ -51,12 +53,6 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_out(scan: DataFrame) -> DataFrame:
-    """A scan of a few small files, dealt out to all cores; larger tables already have enough splits."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
-
-
 def computed_once(df: DataFrame, *columns: Column | str, keys: Sequence[str] = ()) -> DataFrame:
     """``df.select(*keys, *columns)`` with the columns behind a generator, so that each is evaluated a single time.
 
@@ -74,8 +70,12 @@ def chunk_of(order: Column | str, rows: int = CHUNK_ROWS) -> Column:
     return F.floor(order / F.lit(rows))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Few rows and few bytes: long strings count too. Reading stops after ``max_rows`` rows."""
+    wide = [c for c, t in df.dtypes if t == "string" or t.startswith(("array", "map", "struct", "binary"))]
+    size = sum((F.coalesce(F.octet_length(F.col(c) if t in ("string", "binary") else F.to_json(F.struct(c))), F.lit(0)) for c, t in df.dtypes if c in wide), F.lit(8 * len(df.columns)))
+    n, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    return n <= max_rows and (total or 0) <= max_bytes
 
 
 def join_unique(
@@ -91,11 +91,12 @@ def join_unique(
     """Join ``left`` to ``right``, which holds at most one row per key, whatever the sizes.
 
     The right side is counted first (the count stops at ``max_rows``). Small: broadcast, no shuffle.
-    Large: keys with ``hot_rows`` or more rows on the left are found by a map-side count. There are at most
+    Its bytes count too. Large: keys with ``hot_rows`` or more rows on the left are found by a map-side count. There are at most
     rows / hot_rows of them, so that list is small; only those keys are salted, with the right row
     repeated once per salt.
     """
     on = list(on)
+    right = durable(right)  # it is read for its size and for the join
     if fits_broadcast(right, max_rows):
         return left.join(F.broadcast(right), on, how)
     hot = (
@@ -240,3 +241,24 @@ def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "posit
         .withColumn(name, F.col("__off") + F.col("__mono").bitwiseAND((1 << 33) - 1))
         .drop("__part", "__mono", "__off")
     )
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for all nodes of an undirected graph (a, b) but the roots, the least node of each component.
+
+    Alternating contraction to stars, about log(nodes) rounds; edges never gather in one row.
+    """
+    known = durable(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    seen = None
+    while True:
+        both = known.union(known.select("b", "a"))
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = durable(large.distinct())
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        known = durable(small.filter("a <> b").distinct())
+        state = known.agg(F.count("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == seen:
+            return known.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        seen = state

@@ -5,20 +5,22 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerloom.sources.tables import map_versions
 
 
 def save_vendor_map(vendor_map: DataFrame, path: str) -> None:
-    """Replace the map, sorted by vendor. It may be computed from the map it replaces: stage first, then swap."""
-    spark = vendor_map.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    vendor_map.orderBy("vendor").write.parquet(staged)
-    target, source = hadoop.Path(path), hadoop.Path(staged)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"could not move {staged} to {path}")
+    """Store a new version of the map, sorted by vendor, then point to it.
+
+    Versions are never overwritten: a run that dies leaves the version before it in place, and the map may be computed from the
+    one it follows. The pointer is one appended row, which stores without an atomic rename can do as well.
+    """
+    spark, name = vendor_map.sparkSession, uuid.uuid4().hex
+    vendor_map.orderBy("vendor").write.parquet(f"{path.rstrip('/')}/versions/{name}")
+    known = map_versions(spark, path)
+    number = 0 if known is None else known.agg(F.max("number")).first()[0] + 1
+    spark.createDataFrame([(number, name)], "number LONG, name STRING").coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/pointer")
 
 
 def write_stage(df: DataFrame, path: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +16,14 @@ from ledgerloom.scale import computed_once
 from ledgerloom.schemas import STR_EARNING, VENDOR_MAP
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+def _read(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """A stored table, or None where nothing is stored."""
+    try:
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def stage_path(root: str, name: str, year: int) -> str:
@@ -26,18 +31,24 @@ def stage_path(root: str, name: str, year: int) -> str:
     return f"{root.format(year=year).rstrip('/')}/{name}"
 
 
+def map_versions(spark: SparkSession, path: str) -> DataFrame | None:
+    """Stored versions of a vendor map, one row per save; None before the first."""
+    return _read(spark, f"{path.rstrip('/')}/pointer", "number LONG, name STRING")
+
+
 def load_vendor_map(spark: SparkSession, path: str) -> DataFrame:
     """The learned map; empty when nothing was saved yet."""
-    if not _exists(spark, path):
+    known = map_versions(spark, path)
+    if known is None:
         return spark.createDataFrame([], VENDOR_MAP)
-    return spark.read.schema(VENDOR_MAP).parquet(path)
+    name = known.agg(F.max_by("name", "number")).first()[0]
+    return spark.read.schema(VENDOR_MAP).parquet(f"{path.rstrip('/')}/versions/{name}")
 
 
 def read_stage(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stage table with its declared schema; empty when the stage has not run."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    found = _read(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def find_column(columns: Sequence[str], alternatives: Sequence[str]) -> str | None:
@@ -130,12 +141,7 @@ def interest_by_year(nested: DataFrame, *, year: int) -> DataFrame:
     )
 
 
-def first_existing(spark: SparkSession, candidates: Sequence[str]) -> str | None:
-    """Year-specific review table if it exists, else the older shared one."""
-    return next((p for p in candidates if _exists(spark, p)), None)
-
-
 def read_review_rows(spark: SparkSession, root: str, name: str, year: int) -> DataFrame | None:
     """Review rows typed by people: ``<root>/<name>_<year>`` first, then ``<root>/<name>``."""
-    path = first_existing(spark, [f"{root}/{name}_{year}", f"{root}/{name}"])
-    return None if path is None else spark.read.parquet(path)
+    own = _read(spark, f"{root}/{name}_{year}")
+    return _read(spark, f"{root}/{name}") if own is None else own

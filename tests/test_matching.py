@@ -6,7 +6,6 @@ from difflib import SequenceMatcher
 
 import pytest
 
-from ledgerloom import scale
 from ledgerloom.functions.similarity import token_set_score
 from ledgerloom.operators import matching
 from tests.helpers import d, rows
@@ -43,8 +42,15 @@ def sequential(q, w, fits, score, least=None):
     return sorted(pairs)
 
 
+@pytest.fixture(params=["components", "rounds"])
+def way(request, monkeypatch):
+    """Small components in one task each, or everything by rounds of proposals."""
+    if request.param == "rounds":
+        monkeypatch.setattr(matching, "COMPONENT_ROWS", 0)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_date_amount_equals_sequential(spark, seed):
+def test_date_amount_equals_sequential(spark, seed, way):
     q, w = ledger(40, seed), sheet(35, seed + 10)
     want = sequential(
         q, w, lambda a, b: a[2] == b[2] and abs(abs(a[3]) - b[3]) <= d("0.50"),
@@ -59,7 +65,7 @@ def test_date_amount_equals_sequential(spark, seed):
 
 
 @pytest.mark.parametrize("seed", [4, 5])
-def test_fuzzy_equals_sequential(spark, seed):
+def test_fuzzy_equals_sequential(spark, seed, way):
     r = random.Random(seed)
     make = lambda base, n: [
         (base + i, i, DAY + dt.timedelta(days=r.randrange(8)), d(str(r.randrange(3))), r.choice(WORDS)) for i in range(n)]
@@ -81,11 +87,11 @@ def test_hot_copies_pair_in_order_whatever_the_path(spark, monkeypatch):
     want = [(i, 100 + i) for i in range(20)]
     assert rows(make()) == sorted(want, key=repr)
     monkeypatch.setattr(matching, "needs_spreading", lambda *_, **__: True)
-    monkeypatch.setattr(matching, "chunk_of", lambda c: scale.chunk_of(c, 4))
+    monkeypatch.setattr(matching, "CHUNK_ROWS", 4)
     assert rows(make()) == sorted(want, key=repr)
 
 
-def test_double_counts_equal_sequential(spark):
+def test_double_counts_equal_sequential(spark, way):
     r = random.Random(9)
     groups = []
     for g in range(12):
@@ -124,3 +130,23 @@ def test_exclusion_drops_every_equal_row(spark):
     schema = "id INT, date DATE, description STRING, amount DECIMAL(18,2)"
     data = spark.createDataFrame([(1, DAY, "x", d("1")), (2, DAY, "x", d("1")), (3, DAY, "y", d("1"))], schema)
     assert rows(matching.exclude_deposits(data, data.filter("id = 1")), "id") == [(3,)]
+
+
+def test_zero_tolerance_means_equal_amounts(spark):
+    q = [(1, 1, DAY, d("-5.00"), "a"), (2, 2, DAY, d("-5.01"), "b"), (3, 3, DAY, d("7.00"), "c")]
+    w = [(11, 1, DAY, d("5.01"), "x"), (12, 2, DAY, d("5.00"), "y")]
+    for tolerance in (0, 0.001):
+        got = matching.match_date_amount(
+            spark.createDataFrame(q, "q_id INT, q_ord BIGINT, date DATE, amount DECIMAL(18,2), description STRING"),
+            spark.createDataFrame(w, "w_id INT, w_ord BIGINT, date DATE, cost DECIMAL(18,2), source STRING"), tolerance=tolerance)
+        assert rows(got) == [(1, 12), (2, 11)]
+
+
+def test_equal_payouts_in_one_week_are_one_class(spark):
+    """n equal deposits on one day and n equal payouts: paired in order, without a round per row."""
+    pm = [(i, f"R{i:02d}", DAY, d("9.00"), "Owner Distributions / S corp Distributions") for i in range(25)]
+    deposits = [(i, i, DAY, d("9.00"), "acme pm") for i in range(20)]
+    got = matching.double_counts(
+        spark.createDataFrame(deposits, "q_id INT, q_ord BIGINT, date DATE, amount DECIMAL(18,2), description STRING"),
+        spark.createDataFrame(pm, "ord BIGINT, reference STRING, date DATE, cash_out DECIMAL(18,2), category STRING"), payer="Acme PM", tolerance=0)
+    assert rows(got, "q_id", "reference") == [(i, f"R{i:02d}") for i in range(20)]

@@ -65,3 +65,18 @@ def test_shared_folder_comes_from_the_session():
     with pytest.raises(RuntimeError):
         scale.shared_folder(_Session(None, "yarn"))
     assert scale.shared_folder(_Session(None, "local[2]")).startswith("/tmp/spark-")
+
+
+@pytest.mark.parametrize("edges,want", [
+    ([(1, 2), (2, 3), (3, 4), (9, 8)], [(2, 1), (3, 1), (4, 1), (9, 8)]),
+    ([(i, i + 1) for i in range(40)], [(i, 0) for i in range(1, 41)]),
+    ([(0, i) for i in range(1, 30)] + [(5, 77)], [*((i, 0) for i in range(1, 30)), (77, 0)]),
+])
+def test_components(spark, edges, want):
+    found = scale.components(spark.createDataFrame(edges, "a LONG, b LONG"))
+    assert rows(found) == sorted(want, key=repr)
+
+
+def test_long_strings_do_not_fit_a_broadcast(spark):
+    few = spark.createDataFrame([("x" * 1000,)] * 5, "t STRING")
+    assert scale.fits_broadcast(few) and not scale.fits_broadcast(few, max_bytes=4000) and not scale.fits_broadcast(few, max_rows=4)

@@ -169,9 +169,9 @@ def _(s: Source) -> DataFrame:
     return learning.learn_from_reviews(learning.empty_map(reviewed), reviewed)
 
 
-@query("learn_year_by_year", MAP_SQL.replace(f"year(date) < {SPLIT_YEAR}", "TRUE"))
+@query("learn_in_two_steps", MAP_SQL.replace(f"year(date) < {SPLIT_YEAR}", "TRUE"))
 def _(s: Source) -> DataFrame:
-    """A prior map extended by the later years equals one pass over all years, given rows ordered by year."""
+    """A map learned from the first half of the rows and extended by the rest equals one pass over all."""
     rows = s.adapter("decision").withColumns({"year": F.year("date"), "seq": F.col("txn_id")})
     # Order of first sight is by transaction number: fold the lower numbers first, whatever their year.
     middle = rows.agg(F.expr("percentile_approx(txn_id, 0.5)").alias("m"))
@@ -419,7 +419,7 @@ SELECT property, CAST(stay AS STRING) AS stay_start, platform, count(*) AS n, CA
   CAST(sum(gross) AS DOUBLE) AS gross
 FROM (SELECT property, stay, payout, CASE property WHEN 'S1' THEN event_type ELSE '' END AS platform,
         CASE property WHEN 'S1' THEN payout + 1 END AS gross
-      FROM <<earning_base>> AS e WHERE event_type <> 'error' AND property IN ('S1', 'S2')) AS x
+      FROM <<earning_base>> AS e WHERE event_type <> 'error' AND property IN ('S1', 'S2', 'S4')) AS x
 GROUP BY property, stay, platform""")
 def _(s: Source) -> DataFrame:
     """Sheets whose headers differ; a sheet without a payout column is skipped, unreadable payouts are dropped."""
@@ -431,6 +431,7 @@ def _(s: Source) -> DataFrame:
                                                  (F.col("payout") + 1).cast("string").alias("Gross Amount")),
         "S2": e.filter("property = 'S2'").select(stay.alias("arrival"), paid.alias("Net Payout"), F.lit("9").alias("payee")),
         "S3": e.filter("property = 'S3'").select(stay.alias("arrival"), paid.alias("amount")),
+        "S4": e.filter("property = 'S4'").select(stay.alias("Arrival"), paid.alias("payout")),
     }
     rows = tables.earnings_by_header(sheets)
     return rows.groupBy("property", "stay_start", "platform").agg(
@@ -899,6 +900,7 @@ SELECT CAST(1 AS BIGINT) AS section, sheet, CAST(row_no AS BIGINT) AS row_no,
 FROM ({COMPARE_SQL}) AS c
 UNION ALL SELECT 0, NULL, 1, '| Sheet | Row | Label | Filed | Generated | Delta | OK? |'
 UNION ALL SELECT 0, NULL, 2, '|---|---|---|---|---|---|---|'
+UNION ALL SELECT 2, NULL, 0, ''
 UNION ALL SELECT 2, NULL, 1, '**' || CAST(count(*) FILTER (WHERE within_tolerance) AS STRING) || '/' || CAST(count(*) AS STRING) || ' cells within tolerance ('
   || format('{{:.1f}}', count(*) FILTER (WHERE within_tolerance) * 100.0 / count(*)) || '%)**' FROM ({COMPARE_SQL}) AS c""")
 def _(s: Source) -> DataFrame:
@@ -1089,7 +1091,7 @@ FROM <<ledger>> AS l
 
 
 def owner_statements(s: Source) -> OwnerStatements:
-    return OwnerStatements(durable(render.layout_words(s.adapter("ledger"))), render.PROPERTY_RULES)
+    return OwnerStatements(durable(render.layout_words(s.adapter("ledger"))), render.PROPERTY_RULES, "SW ")
 
 
 @query("pm_layout", f"""

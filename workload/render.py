@@ -118,9 +118,9 @@ def checking_statements(ledger: DataFrame) -> DataFrame:
     period = F.concat(F.date_format(first, "MMMM d, yyyy"), F.lit("through"), F.date_format(last, "MMMM d, yyyy"))
     ending = F.col("net") + 1000 + F.when(block % 7 == 0, F.lit(5)).otherwise(F.lit(0))
     ending_text = F.concat(F.when(ending < 0, "-").otherwise(""), F.lit("$"), money(F.abs(ending)))
-    footer = F.concat(F.lit("\nPage of\n1 6\n"), period, F.lit("\nAccount Number:\n000000399999999\n"))
+    footer = F.concat(F.lit("\nPage of\n1 6\n"), period, F.lit("\nAccount Number:\n000000123450000\n"))
     header = F.concat(
-        F.lit("CUSTOMER SERVICE INFORMATION\n"), period, F.lit("\nAccount Number:\n000000399999999\n*start*summary\n"),
+        F.lit("CUSTOMER SERVICE INFORMATION\n"), period, F.lit("\nAccount Number:\n000000123450000\n*start*summary\n"),
         F.lit("CHECKING SUMMARY\nINSTANCES AMOUNT\nBeginning Balance $1,000.00\nDeposits and Additions "),
         (F.col("n_deposits") + F.when(block % 5 == 0, 1).otherwise(0)).cast("string"), F.lit(" "), money(F.col("sum_deposits")),
         F.lit("\nChecks Paid "), F.col("n_checks_paid").cast("string"), F.lit(" -"), money(F.col("sum_checks_paid")),
@@ -186,13 +186,13 @@ def card_statements(ledger: DataFrame) -> DataFrame:
                         F.when(v < 0, "-").otherwise(""), F.lit("\nINCLUDING PAYMENTS RECEIVED\n"))
 
     text = F.concat(
-        F.lit("AACCCCOOUUNNTT SSUUMMMMAARRYY\nPrevious Balance $1,249.98\nPayment, Credits -$"), money(-F.col("credits")),
+        F.lit("AACCCCOOUUNNTT SSUUMMMMAARRYY\nPrevious Balance $820.40\nPayment, Credits -$"), money(-F.col("credits")),
         F.lit("\nPurchases +$"), money(F.col("purchases")),
-        F.lit("\nCash Advances $0.00\nBalance Transfers $0.00\nFees Charged +$40.00\nInterest Charged $0.00\nNew Balance $1,017.91\n"),
+        F.lit("\nCash Advances $0.00\nBalance Transfers $0.00\nFees Charged +$40.00\nInterest Charged $0.00\nNew Balance $655.15\n"),
         F.lit("Opening/Closing Date "), F.date_format("start", "MM/dd/yy"), F.lit(" - "), F.date_format("end", "MM/dd/yy"),
         F.lit("\nAACCCCOOUUNNTT AACCTTIIVVIITTYY ((CCOONNTTIINNUUEEDD))\nDate of\nTransaction Merchant Name or Transaction Description $ Amount\n"),
         F.col("body_0"), subtotal(0), F.lit("TRANSACTIONS THIS CYCLE (CARD 9999) $7.00\n"), F.col("body_1"), subtotal(1),
-        F.lit("03/03 after both blocks 9.99\n2024 Totals Year-to-Date\nTotal fees charged in 2024 $80.00\nIINNTTEERREESSTT CCHHAARRGGEESS\n"),
+        F.lit("03/03 after both blocks 9.99\n2031 Totals\nTotal fees charged in 2031 $80.00\nIINNTTEERREESSTT CCHHAARRGGEESS\n"),
     )
     return docs.select("doc_id", F.lit("card-1").alias("account"), text.alias("text"))
 
