@@ -249,16 +249,16 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating contraction to stars, about log(nodes) rounds; edges never gather in one row.
     """
     known = durable(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
     while True:
         both = known.union(known.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = durable(large.distinct())
+        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         known = durable(small.filter("a <> b").distinct())
-        state = known.agg(F.count("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
+        # Done when all are stars: each node has one edge, and no root is a node of another star.
+        nodes = known.select(F.col("a").alias("n"), F.lit(1).alias("as_node"), F.lit(0).alias("as_root")).unionAll(
+            known.select(F.col("b").alias("n"), F.lit(0), F.lit(1)))
+        each = nodes.groupBy("n").agg(F.sum("as_node").alias("as_node"), F.max("as_root").alias("as_root"))
+        if each.filter("as_node > 1 OR as_node = 1 AND as_root = 1").isEmpty():
             return known.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = state
