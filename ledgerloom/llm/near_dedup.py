@@ -9,8 +9,8 @@ Candidates. Each text gets ``BANDS * ROWS`` consistent samples; texts that agree
 bucket. A pair of similarity 0.8 is missed with probability (1 - 0.8**3)**12 = 0.0002.
 
 Links. Copies with the same words are one node from the start. In every bucket a *hub* is compared with the members of
-other components, links merge components, and buckets that lie in one component are finished. The number of hubs
-doubles each round, so a bucket of thousands of near copies is settled after about one comparison each, while every
+other components, links merge components, and buckets that lie in one component are finished. There are eight times as many
+hubs in the next round, so a bucket of thousands of near copies is settled after about one comparison each, while every
 candidate pair is either compared or already connected: no cap, and no pairs within a settled group.
 
 Defined results: null and empty texts have no words and form one class; a text of fewer than five words is one
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.arrays import U64, Words, mixed, shingles, slices, whole
-from ledgerloom.scale import durable
+from ledgerloom.scale import components, durable
 
 THRESHOLD = 0.8
 SIZE = 5
@@ -179,24 +179,6 @@ def _similar(pairs: DataFrame, idf, size: int) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, similarity double")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of an undirected graph (a, b): alternating star contraction, about log(nodes) rounds."""
-    known = durable(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
-    while True:
-        both = known.union(known.select("b", "a"))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = durable(large.distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        known = durable(small.filter("a <> b").distinct())
-        state = known.agg(F.count("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            return known.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = state
-
-
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                     size: int = SIZE, bands: int = BANDS, rows: int = ROWS, cells: int = CELLS) -> DataFrame:
     """One row per document: ``doc`` (its columns), uid, representative (a uid), class_id (smallest id), class_size.
@@ -252,7 +234,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
                 roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
                 .select("node", F.coalesce("new", "root").alias("root"))
             )
-        hubs_at_once *= 2
+        hubs_at_once *= 8
 
     grouped = (
         signed.select("uid", "digest").join(same.select("digest", "node"), "digest")

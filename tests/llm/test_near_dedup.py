@@ -4,7 +4,6 @@ from itertools import combinations
 from math import log
 
 import numpy as np
-import pytest
 
 from ledgerloom.llm import near_dedup
 from ledgerloom.llm.arrays import Words, shingles
@@ -89,16 +88,6 @@ def test_odd_rows(spark):
     assert near_dedup.near_duplicates(table(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("edges,want", [
-    ([(1, 2), (2, 3), (3, 4), (9, 8)], {2: 1, 3: 1, 4: 1, 9: 8}),
-    ([(i, i + 1) for i in range(40)], {i: 0 for i in range(1, 41)}),
-    ([(0, i) for i in range(1, 30)] + [(5, 77)], {**{i: 0 for i in range(1, 30)}, 77: 0}),
-])
-def test_components(spark, edges, want):
-    found = near_dedup.components(spark.createDataFrame(edges, "a long, b long"))
-    assert {r["node"]: r["root"] for r in found.collect()} == want
-
-
 def test_samples_agree_as_often_as_weights(spark):
     """The share of equal samples estimates the weighted Jaccard similarity."""
     rng = np.random.default_rng(5)
