@@ -76,7 +76,8 @@ def test_cross_entropy_equals_brute_force(spark):
     target = spark.createDataFrame([(k,) for k in [*good, good[0], None]], "doc_id long")
     head, tail = 20, 8
     rows = lm_score.cross_entropy_difference(table(spark, texts), target, head=head, tail=tail).select("doc.doc_id", "n_tokens", "target_loss", "background_loss", "score").collect()
-    split = [[int(h) for h in Words(d := np.frombuffer((t or "").encode(), dtype=np.uint8), np.array([0, len(d)])).hash] for t in texts]
+    data = [np.frombuffer((t or "").encode(), dtype=np.uint8) for t in texts]
+    split = [Words(d, np.array([0, len(d)])).hash.tolist() for d in data]
     n = Counter(h for s in split for h in s)
     signed = lambda h: h - (1 << 64) if h >> 63 else h
     top = sorted(sorted(n, key=lambda h: (-n[h], signed(h)))[:head])
