@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from ledgerloom.fixed_values import CASHFLOW_CATEGORY_LABELS, PM_CATEGORY_LABELS, STR_LAYOUT
 from ledgerloom.operators import categorize, guards, learning, matching, review, rollup, verify, worksheet
 from ledgerloom.operators.card import CardStatements
+from ledgerloom.operators.cashflow import CashFlowPages
 from ledgerloom.operators.checking import CheckingStatements
+from ledgerloom.operators.layout import OwnerStatements
 from ledgerloom.scale import durable
 from ledgerloom.sources.sinks import write_stage
 from ledgerloom.sources.tables import stage_path
@@ -37,8 +39,28 @@ class Business:
     cashflow_labels: Mapping[str, str | None] = field(default_factory=lambda: CASHFLOW_CATEGORY_LABELS)
     min_confidence: float = 0.80
     card_sign: int = 1
+    property_rules: Sequence[tuple[str, str]] = ()
+    property_header: str = ""
 
 
+@dataclass(frozen=True)
+class OwnerReports:
+    """What owner statements hold: rows, property sections and document totals."""
+
+    transactions: DataFrame
+    properties: DataFrame
+    reports: DataFrame
+
+
+@dataclass(frozen=True)
+class Year:
+    """Tables of a built year."""
+
+    str_totals: DataFrame
+    ltr_totals: DataFrame
+    detail: DataFrame
+    double_counts: DataFrame
+
 
 def ingest(checking_docs: DataFrame, card_docs: DataFrame, business: Business, *, strict: bool = True) -> DataFrame:
     """Statement texts -> one ledger ``(txn_id, date, description, amount, raw_amount, account, kind, section)``.
@@ -70,6 +92,22 @@ def ingest(checking_docs: DataFrame, card_docs: DataFrame, business: Business, *
     )
 
 
+def ingest_owner_statements(words: DataFrame, business: Business, *, strict: bool = True) -> OwnerReports:
+    """Word boxes -> owner reports. With ``strict`` unreadable documents and failed report checks raise.
+
+    The words are walked once; rows, sections and totals come from the stored walk.
+    """
+    parsed = OwnerStatements(words, business.property_rules, business.property_header, stored=True)
+    # A section is named by the place of its heading.
+    section = F.concat_ws(":", "property_page", "property_y").alias("property_id")
+    out = OwnerReports(parsed.transactions().select("*", section), parsed.properties().select("*", section), parsed.reports())
+    if strict:
+        guards.enforce_empty(parsed.errors())
+        guards.enforce(guards.pm_report_checks(
+            out.reports, out.properties, out.transactions.select("doc_id", "property_id", "cash_in", "cash_out")))
+    return out
+
+
 def tag(ledger: DataFrame, vendor_map: DataFrame, business: Business) -> tuple[DataFrame, DataFrame]:
     """(tagged rows, rows skipped because their money is counted elsewhere)."""
     skip = categorize.skip_rule(
@@ -134,6 +172,39 @@ def build(
     return rollup.rollup(str_items, sign=sign), rollup.rollup(ltr_items, sign=sign)
 
 
+def build_year(
+    auto: DataFrame,
+    resolved: DataFrame,
+    business: Business,
+    *,
+    year: int,
+    earnings: DataFrame,
+    interest: DataFrame,
+    deposits: DataFrame,
+    pm_txns: DataFrame,
+    cashflow_pages: DataFrame,
+    strict: bool = False,
+    sign: str = "abs",
+) -> Year:
+    """The whole build: double counts are found and left out, cash-flow pages are parsed, the audit detail is kept.
+
+    ``deposits(q_id, q_ord, date, amount, description)`` are the bank's incoming rows,
+    ``pm_txns(ord, reference, property, date, payee, description, cash_in, cash_out, category)`` the property manager's.
+    With ``strict`` any double count raises.
+    """
+    found = durable(matching.double_counts(deposits, pm_txns, payer=business.pm_payer))
+    if strict:
+        guards.enforce_empty(found)
+    double_counted = durable(deposits.join(found.select("q_id"), "q_id", "left_semi").select("date", "description", "amount"))
+    cashflow = CashFlowPages(cashflow_pages, (business.pm_payer,)).summaries()
+    str_totals, ltr_totals = build(
+        auto, resolved, business, year=year, earnings=earnings, interest=interest, cashflow=cashflow,
+        double_counted=double_counted, sign=sign,
+    )
+    detail = rollup.pm_detail(pm_txns, year=year, labels=business.pm_labels, aliases=business.aliases)
+    return Year(str_totals, ltr_totals, detail, found)
+
+
 def build_from_worksheet(
     worksheet_rows: DataFrame, business: Business, *, year: int, earnings: DataFrame, interest: DataFrame
 ) -> DataFrame:

@@ -11,8 +11,9 @@ from ledgerloom.operators import guards, matching
 from ledgerloom.plans import pipeline
 from ledgerloom.scale import durable, shared_folder
 from ledgerloom.sources import sinks, tables
-from workload.adapters import PAYER, PAYOUT, Source
-from workload.queries import DOUBLE_SQL, double_counted
+from workload import render
+from workload.adapters import LTR_PROPERTIES, PAYER, PAYOUT, STR_PROPERTIES, Source
+from workload.queries import _CF_LABEL, CASHFLOW_SQL, DOUBLE_SQL, double_counted
 from workload.registry import ORACLES, QUERIES, query
 
 #: rows per group of rows that can compete; half of them seek, half are offered
@@ -104,6 +105,26 @@ def _(s: Source) -> DataFrame:
     return pairs
 
 
+@query("build_year", f"""
+SELECT property, template_category, CAST(round(sum(abs(amount)), 2) AS DOUBLE) AS amount FROM (
+  SELECT CASE property WHEN 'L1' THEN 'L1' ELSE property || ' Elm St, IA' END AS property, {_CF_LABEL} AS template_category, amount
+  FROM ({CASHFLOW_SQL}) AS c WHERE year = 1998 AND {_CF_LABEL} IS NOT NULL
+  UNION ALL
+  SELECT 'L1', 'Deposits', amount FROM <<deposits>> AS d WHERE q_id NOT IN (SELECT q_id FROM ({DOUBLE_SQL}) AS x)
+) AS i GROUP BY property, template_category""")
+def _(s: Source) -> DataFrame:
+    """Long-term totals of a whole build: parsed cash-flow pages, and deposits without those that repeat owner payouts."""
+    deposits, pm_txns = durable(s.adapter("deposits")), durable(s.adapter("pm_txn"))
+    booked = deposits.select("date", "description", "amount", F.lit("LTR").alias("category"), F.lit("L1").alias("property"), F.lit("Deposits").alias("expense_type"))
+    business = pipeline.Business(
+        STR_PROPERTIES, LTR_PROPERTIES, pm_payer=PAYER, aliases={"L1 Elm St, IA": "L1"})
+    built = pipeline.build_year(
+        booked, booked.limit(0), business, year=1998, earnings=tables.empty_earnings(s.spark),
+        interest=s.spark.createDataFrame([], "year INT, property STRING, amount DECIMAL(18,2)"), deposits=deposits,
+        pm_txns=pm_txns.withColumn("description", F.col("reference")), cashflow_pages=durable(render.cashflow_pages(s.sql(CASHFLOW_SQL))))
+    return built.ltr_totals
+
+
 # ---------------------------------------------------------------- sinks
 
 
