@@ -240,9 +240,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
         signed.select("uid", "digest").join(same.select("digest", "node"), "digest")
         .join(roots, "node", "left").select("uid", F.coalesce("root", "node").alias("root"))
     )
-    rows_ = keyed.join(grouped, "uid")
-    ids = rows_.select("root", "uid", F.col("doc").getField(id).alias("id"))
+    # Labels are settled on narrow rows; the documents themselves move once.
+    ids = durable(grouped.join(keyed.select("uid", F.col("doc").getField(id).alias("id")), "uid"))
     best = ids.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first"), F.count(F.lit(1)).alias("class_size")
     ).select("root", F.col("first.uid").alias("representative"), F.col("first.id").alias("class_id"), "class_size")
-    return rows_.join(best, "root").select("doc", "uid", "representative", "class_id", "class_size")
+    labels = ids.select("uid", "root").join(best, "root").drop("root")
+    return keyed.join(labels, "uid").select("doc", "uid", "representative", "class_id", "class_size")

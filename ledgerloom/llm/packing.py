@@ -1,6 +1,7 @@
 """Best-fit packing: partitions pack locally, nearly full bins are final, the rest is merged up a tree.
 
-A partition sorts its items by size, largest first, and puts each into the bin with the least room that still holds it. Bins
+A partition sorts its items by size, largest first, and puts each into the bin with the least room that still holds it (in blocks
+of ``BLOCK`` items or ``BLOCK_BYTES``, so that its memory is bounded). Bins
 filled to ``NEARLY_FULL`` of the capacity are final. The others go up as *items* of their own: nodes of ``FAN`` children
 pack them again, round by round, until one node is left. A node passes on at most ``CARRIED`` bins, the emptiest; fuller
 ones are final too, so that no node ever holds more than ``FAN * CARRIED`` bins, whatever the input.
@@ -29,8 +30,9 @@ from ledgerloom.scale import durable
 CAPACITY = 2048
 NEARLY_FULL = 0.99
 FAN = 8
-CARRIED = 4096
+CARRIED = 1024
 BLOCK = 200_000
+BLOCK_BYTES = 64 << 20
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -99,13 +101,13 @@ def pack(items: DataFrame, size: str, capacity: int = CAPACITY) -> DataFrame:
                 at += b.num_rows
             before += len(fill)
 
-        block, held = [], 0
+        block, held, size_ = [], 0, 0
         for batch in batches:
             block.append(batch)
-            held += batch.num_rows
-            if held >= BLOCK:
+            held, size_ = held + batch.num_rows, size_ + batch.nbytes
+            if held >= BLOCK or size_ >= BLOCK_BYTES:
                 yield from packed(block)
-                block, held = [], 0
+                block, held, size_ = [], 0, 0
         if block:
             yield from packed(block)
 
@@ -168,5 +170,4 @@ def pieces(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "tex
 
 def packed_sequences(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their ids, sequence_id and offset."""
-    stored = durable(pieces(docs, tokenizer, id, text, capacity))
-    return pack(stored, "length", capacity).select("item.*", "sequence_id", "offset")
+    return pack(pieces(docs, tokenizer, id, text, capacity), "length", capacity).select("item.*", "sequence_id", "offset")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.arrays import whole
-from ledgerloom.scale import computed_once, durable
+from ledgerloom.scale import computed_once, durable, join_unique
 
 LEAST_WORDS = 50
 MOST_REPEATED = 50
@@ -88,14 +88,14 @@ def _quantile(rows: DataFrame, values: dict[str, Column], share: float) -> DataF
     return reached.groupBy("g").agg(*[F.min(F.when(F.col("name") == n, (F.col("cell") + 1) * _STEP)).alias(n) for n in values])
 
 
-def _distance(means: list[Column], low: list[list[Column]]) -> Column:
-    """Squared Mahalanobis distance: forward substitution with a Cholesky factor."""
+def _distance() -> Column:
+    """Squared Mahalanobis distance of the FEATURES: forward substitution with a Cholesky factor."""
     z: list[Column] = []
     for i, name in enumerate(FEATURES):
-        rest = F.col(name) - means[i]
+        rest = F.col(name) - F.col(f"m_{i}")
         for j in range(i):
-            rest = rest - low[i][j] * z[j]
-        z.append(rest / low[i][i])
+            rest = rest - F.col(f"l_{i}_{j}") * z[j]
+        z.append(rest / F.col(f"l_{i}_{i}"))
     return sum((x * x for x in z[1:]), z[0] * z[0])
 
 
@@ -111,68 +111,85 @@ def _with_factor(model: DataFrame) -> DataFrame:
     return model
 
 
+def _place(lang: Column, source: Column) -> Column:
+    """Key of a language and source; nulls are values."""
+    return F.to_json(F.array(lang, source), {"ignoreNullFields": "false"})
+
+
 def _groups(rows: DataFrame) -> DataFrame:
-    """Adds ``g``: language and source, or a wider pool where these have few rows."""
-    own = F.to_json(F.array(F.col("lang"), F.col("source")), {"ignoreNullFields": "false"})
+    """(place, g): the group in which each language and source is judged, a wider pool where these have few rows."""
     wide = F.to_json(F.array(F.col("lang")), {"ignoreNullFields": "false"})
     sizes = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     pooled = sizes.withColumn("pool", F.sum(F.when(F.col("n") < LEAST, F.col("n"))).over(Window.partitionBy("lang")))
-    named = pooled.select(
-        F.col("lang").alias("l_"), F.col("source").alias("s_"),
-        F.when(F.col("n") >= LEAST, own).when(F.col("pool") >= LEAST, wide).otherwise(F.lit("*")).alias("g"),
-    )
-    return rows.join(named, F.col("lang").eqNullSafe(F.col("l_")) & F.col("source").eqNullSafe(F.col("s_"))).drop("l_", "s_")
+    place = _place(F.col("lang"), F.col("source"))
+    return pooled.select(
+        place.alias("place"), F.when(F.col("n") >= LEAST, place).when(F.col("pool") >= LEAST, wide).otherwise(F.lit("*")).alias("g"))
 
 
-def outliers(rows: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """(uid, distance) with the distance scaled so that values over ``cutoff`` are outliers; rows: uid, lang, source, FEATURES."""
+_MEANS = [f"m_{i}" for i in range(len(FEATURES))]
+_FACTOR = [f"l_{i}_{j}" for i in range(len(FEATURES)) for j in range(i + 1)]
+
+
+def estimates(rows: DataFrame) -> DataFrame:
+    """(place, means, Cholesky factor, scale, group_size) of every language and source; rows: lang, source, FEATURES."""
     names, floors, k = list(FEATURES), list(FEATURES.values()), len(FEATURES)
-    rows = durable(_groups(rows))
-    centre = _quantile(rows, {n: F.col(n) for n in names}, 0.5).withColumnsRenamed({n: f"m_{i}" for i, n in enumerate(names)})
-    centre = durable(centre)
-    spread = _quantile(rows.join(centre, "g"), {n: F.abs(F.col(n) - F.col(f"m_{i}")) for i, n in enumerate(names)}, 0.5)
+    groups = durable(_groups(rows))
+    rows = durable(join_unique(rows.withColumn("place", _place(F.col("lang"), F.col("source"))), groups, ["place"], "inner").select("g", *names))
+    centre = durable(_quantile(rows, {n: F.col(n) for n in names}, 0.5).withColumnsRenamed(dict(zip(names, _MEANS))))
+    spread = _quantile(rows.join(centre, "g"), {n: F.abs(F.col(n) - F.col(m)) for n, m in zip(names, _MEANS)}, 0.5)
     model = centre.join(spread, "g").select(
-        "g", *[f"m_{i}" for i in range(k)],
+        "g", *_MEANS,
         *[((F.pow(F.col(n) * 1.4826, 2) + floors[i] ** 2) if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, n in enumerate(names) for j in range(i + 1)],
     )
     size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("group_size"))
-    means, low = [F.col(f"m_{i}") for i in range(k)], [[F.col(f"l_{i}_{j}") for j in range(k)] for i in range(k)]
     for _ in range(STEPS):
         model = durable(_with_factor(model))
-        placed = rows.join(model, "g").withColumn("d", F.log1p(_distance(means, low)))
+        placed = rows.join(model, "g").withColumn("d", F.log1p(_distance()))
         near = placed.join(_quantile(placed, {"limit": F.col("d")}, SUPPORT), "g").filter(F.col("d") < F.col("limit"))
         model = near.groupBy("g").agg(
-            *[F.avg(n).alias(f"m_{i}") for i, n in enumerate(names)],
+            *[F.avg(n).alias(m) for n, m in zip(names, _MEANS)],
             *[(F.covar_pop(names[i], names[j]) + (floors[i] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}") for i in range(k) for j in range(i + 1)],
         )
     model = durable(_with_factor(model).join(size, "g"))
-    placed = rows.join(model, "g").withColumn("d", F.log1p(_distance(means, low)))
+    placed = rows.join(model, "g").withColumn("d", F.log1p(_distance()))
     scale = _quantile(placed, {"median": F.col("d")}, 0.5).select("g", F.greatest(F.expm1("median") / MEDIAN_4, F.lit(1.0)).alias("scale"))
-    judged = placed.join(scale, "g")
-    return judged.select("uid", F.when(F.col("group_size") >= LEAST, F.expm1("d") / F.col("scale")).otherwise(F.lit(0.0)).alias("distance"))
+    return groups.join(model.join(scale, "g"), "g").select("place", *_MEANS, *_FACTOR, "scale", "group_size")
+
+
+def _scaled() -> Column:
+    """Distance in units in which the group's median is as expected; 0 in a group too small to judge."""
+    return F.when(F.col("group_size") >= LEAST, _distance() / F.col("scale")).otherwise(F.lit(0.0))
+
+
+def outliers(rows: DataFrame) -> DataFrame:
+    """The rows with their ``distance``; rows: lang, source, FEATURES and any others."""
+    keyed = rows.withColumn("place", _place(F.col("lang"), F.col("source")))
+    return join_unique(keyed, estimates(rows), ["place"], "left").withColumn("distance", _scaled()).select(*rows.columns, "distance")
 
 
 def quality(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = CUTOFF) -> DataFrame:
-    """One row per document: ``doc``, the counts, base_failed, distance (null if base_failed) and kept."""
-    keyed = durable(docs.select(F.monotonically_increasing_id().alias("uid"), whole(docs)))
-    body = F.col("doc").getField(text)
-    counted = computed_once(
-        keyed.select("uid", F.col("doc").getField(lang).cast("string").alias("lang"), F.col("doc").getField(source).cast("string").alias("source"), *counts(body)),
-        keys=["uid"],
-    ).select(
-        "uid", "lang", "source", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", "n_lines",
-        F.col("w.repeated").alias("n_repeat_words"),
-    ).withColumn(
-        "base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    )
-    counted = durable(counted)
-    features = counted.filter(~F.col("base_failed")).select(
-        "uid", "lang", "source",
-        F.log(F.col("word_chars") / F.col("n_words")).alias("word_length"),
-        F.log1p(F.col("n_symbols") * 10.0 / F.col("n_words")).alias("symbols"),
-        F.sqrt(F.col("n_dup_lines") / F.col("n_lines")).alias("dup_lines"),
-        F.sqrt(F.col("n_repeat_words") / F.col("n_words")).alias("repeats"),
-    )
-    judged = counted.drop("lang", "source", "n_lines").join(outliers(features, cutoff), "uid", "left")
-    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff))
-    return keyed.join(judged, "uid").drop("uid")
+    """One row per document: ``doc``, the counts, base_failed, distance (null if base_failed) and kept.
+
+    Documents are read twice, for the estimates and for the verdicts, and never shuffled: each meets the estimates of its
+    language and source, a table whose size is checked before it is broadcast.
+    """
+    def counted(*kept: Column) -> DataFrame:
+        rows = docs.select(
+            *kept, F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{source}`").cast("string").alias("source"), *counts(F.col(f"`{text}`")))
+        once = computed_once(rows, keys=["doc"] if kept else [])
+        n, repeated = F.col("w.n"), F.col("w.repeated")
+        features = {
+            "word_length": F.log(F.col("word_chars") / n), "symbols": F.log1p(F.col("n_symbols") * 10.0 / n),
+            "dup_lines": F.sqrt(F.col("n_dup_lines") / F.col("n_lines")), "repeats": F.sqrt(repeated / n),
+        }
+        return once.select(
+            *(["doc"] if kept else []), "lang", "source", n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"),
+            ((n < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * n)).alias("base_failed"), *[F.when(n > 0, v).alias(c) for c, v in features.items()])
+
+    described = counted().filter(~F.col("base_failed")).select("lang", "source", *FEATURES)
+    models = estimates(durable(described))
+    rows = counted(whole(docs)).withColumn("place", _place(F.col("lang"), F.col("source")))
+    judged = join_unique(rows, models, ["place"], "left").withColumn("distance", F.when(~F.col("base_failed"), _scaled()))
+    return judged.select(
+        "doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
+        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"))

@@ -37,7 +37,7 @@ def query(name: str, sql: str | None = None) -> Callable:
 @query("op1_pack")
 def op1_pack(spark: SparkSession, folder: str) -> DataFrame:
     cut = packing.pieces(table(spark, folder, "documents"), tokenizer_path())
-    digest = packing.durable(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    digest = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(digest, "length").select("item.*", "sequence_id", "offset")
 
 
