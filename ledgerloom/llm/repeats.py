@@ -36,7 +36,8 @@ from ledgerloom.scale import durable
 
 LENGTH = 400
 GRAM = 50
-LARGE = 4096
+#: contexts of a bucket that one task takes: about 50 MB of bytes
+LARGE = 100_000
 
 
 class Shape(NamedTuple):
