@@ -54,7 +54,7 @@ def month_name_date(month: Column, day: Column, year: Column, *, short: bool = F
 
 def month_day_year(s: Column) -> Column:
     """'Jan 5, 2024'."""
-    pattern = r"(?U)^\s*([A-Z][a-z]{2})\s+(\d{1,2}),\s+(\d{4})\s*\z"
+    pattern = r"(?U)^\s*([A-Z][a-z]{2})\s+([0-9]{1,2}),\s+([0-9]{4})\s*\z"
     m, d, y = (nonempty_group(s, pattern, i) for i in (1, 2, 3))
     return month_name_date(m, d, y, short=True)
 

@@ -18,7 +18,7 @@ from ledgerloom.functions.dates import build_date, year_in_period
 from ledgerloom.functions.money import parse_money
 from ledgerloom.functions.text import contains_any, lookup, nonempty_group, strip
 from ledgerloom.operators.cleaning import clean_lines
-from ledgerloom.scale import computed_once
+from ledgerloom.scale import computed_once, durable
 
 # Printed forms.
 ROW = r"(?U)^([0-9]{2}/[0-9]{2})\s+(.+?)\s+(-?[0-9,]*\.[0-9]{2})\s*\z"
@@ -37,10 +37,14 @@ def summary_amount(text: Column, label: str) -> Column:
 
 @dataclass(frozen=True)
 class CardStatements:
-    """Parsed view of ``docs(doc_id, account, text)``; ``cards`` lists the card numbers in print order."""
+    """Parsed view of ``docs(doc_id, account, text)``; ``cards`` lists the card numbers in print order.
+
+    ``stored`` keeps the prepared documents in a table: set it when more than one output is read.
+    """
 
     docs: DataFrame
     cards: Sequence[str]
+    stored: bool = False
 
     @cached_property
     def _headers(self) -> DataFrame:
@@ -62,12 +66,13 @@ class CardStatements:
             F.zip_with(raw, sign, lambda a, s: F.when(s == "-", -parse_money(a)).otherwise(parse_money(a))),
             lambda card, amount: F.struct(card.alias("card"), amount.alias("amount")),
         )
-        return computed_once(base.withColumn("subtotals", subs)).withColumn(
+        headers = computed_once(base.withColumn("subtotals", subs)).withColumn(
             "error",
             F.when(F.coalesce(*CARD_SUMMARY_LABELS).isNull(), "no account summary").when(
                 F.col("period_start").isNull() | F.col("period_end").isNull(), "no opening/closing date"
             ),
         )
+        return durable(headers) if self.stored else headers
 
     def statements(self) -> DataFrame:
         def last_amount(card: str) -> Column:

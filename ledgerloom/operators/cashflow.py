@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.fixed_values import CASHFLOW_SKIPPED_STARTS
 from ledgerloom.functions.money import MONEY
 from ledgerloom.functions.text import starts_with_any, strip
-from ledgerloom.scale import computed_once, needs_spreading, running_last
+from ledgerloom.scale import computed_once, durable, needs_spreading, running_last
 
 AMOUNT = "-?[0-9,]+\\.[0-9]{2}"
 PAGES_PER_CHUNK = 64
@@ -33,12 +33,13 @@ def last_amount(line: Column) -> Column:
 class CashFlowPages:
     """``skipped_starts``: further line starts to ignore, such as the property manager's name.
 
-    ``spread``: walk pages and lines chunk by chunk, for documents with very many pages; looked up when None.
+    ``stored``: keep the chosen pages in a table, for more than one output. ``spread``: walk pages and lines chunk by chunk, for documents with very many pages; looked up when None.
     """
 
     pages: DataFrame
     skipped_starts: Sequence[str] = ()
     spread: bool | None = None
+    stored: bool = False
 
     @cached_property
     def _spread(self) -> bool:
@@ -59,7 +60,8 @@ class CashFlowPages:
         pages = running_last(
             pages, ["doc_id"], chunk, ["page_no"], {"group_page": F.when(starts, F.col("page_no"))}, spread=self._spread
         )
-        return pages.filter("is_cf").select("doc_id", "group_page", "page_no", "text")
+        pages = pages.filter("is_cf").select("doc_id", "group_page", "page_no", "text")
+        return durable(pages) if self.stored else pages
 
     @cached_property
     def _lines(self) -> DataFrame:

@@ -22,7 +22,7 @@ from ledgerloom.functions.dates import build_date, month_name_date, year_in_peri
 from ledgerloom.functions.money import parse_money
 from ledgerloom.functions.text import nonempty_group, starts_with_any, strip
 from ledgerloom.operators.cleaning import clean_lines
-from ledgerloom.scale import computed_once
+from ledgerloom.scale import computed_once, durable
 
 # Printed forms.
 PERIOD = (
@@ -81,12 +81,14 @@ class CheckingStatements:
     """Parsed view of ``docs(doc_id, account, text)``.
 
     ``year_rule``: 'end' stamps every row with the year of the period's end; 'period' lets a row of a
-    statement that spans two years keep the start year.
+    statement that spans two years keep the start year. ``stored`` keeps the prepared documents in a table: set it when
+    more than one output is read, else each parses the texts again.
     """
 
     docs: DataFrame
     year_rule: str = "end"
     keep_plain_check_rows: bool = False
+    stored: bool = False
 
     @cached_property
     def _prepared(self) -> DataFrame:
@@ -127,7 +129,7 @@ class CheckingStatements:
                 **{f"count_{s}": rows[label][0] for s, label in label_of.items()},
             }
         )
-        return computed_once(headers).withColumn(
+        headers = computed_once(headers).withColumn(
             "error",
             F.when(F.col("period_end").isNull(), "no statement period").when(
                 F.coalesce("beginning", "total_deposits", "total_checks_paid",
@@ -135,6 +137,7 @@ class CheckingStatements:
                 "no checking summary",
             ),
         )
+        return durable(headers) if self.stored else headers
 
     def statements(self) -> DataFrame:
         """One row per readable document: period, balances, section totals, instance counts."""

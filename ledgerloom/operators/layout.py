@@ -32,8 +32,8 @@ from ledgerloom.functions.text import first_rule, nonempty_group, quote, starts_
 from ledgerloom.scale import computed_once, durable, needs_spreading, running_last
 
 COLUMNS = ("date", "payee", "type", "ref", "desc", "cash_in", "cash_out", "balance")
-_PERIOD = r"(?U)([A-Z][a-z]{2}\s+\d{1,2},\s+\d{4})\s*-\s*([A-Z][a-z]{2}\s+\d{1,2},\s+\d{4})"
-_UNIT = r"(?iU)^(\d{3,4}|1/2\s+upper|1/2\s+lower|upper|lower)\s*-\s*(.+)\z"
+_PERIOD = r"(?U)([A-Z][a-z]{2}\s+[0-9]{1,2},\s+[0-9]{4})\s*-\s*([A-Z][a-z]{2}\s+[0-9]{1,2},\s+[0-9]{4})"
+_UNIT = r"(?iU)^([0-9]{3,4}|1/2\s+upper|1/2\s+lower|upper|lower)\s*-\s*(.+)\z"
 _TRANSFER = r"(?iU)^Transfer\s+(?:to|from)\b"
 
 

@@ -68,8 +68,8 @@ def ingest(checking_docs: DataFrame, card_docs: DataFrame, business: Business, *
     With ``strict`` unreadable documents and failed section checks raise. ``card_sign=-1`` turns card purchases
     negative like withdrawals.
     """
-    checking = CheckingStatements(checking_docs)
-    card = CardStatements(card_docs, business.cards)
+    checking = CheckingStatements(checking_docs, stored=strict)
+    card = CardStatements(card_docs, business.cards, stored=strict)
     if strict:
         guards.enforce_empty(checking.errors().unionByName(card.errors()))
         guards.enforce(guards.section_checks(checking.statements(), checking.transactions()))
@@ -196,7 +196,7 @@ def build_year(
     if strict:
         guards.enforce_empty(found)
     double_counted = durable(deposits.join(found.select("q_id"), "q_id", "left_semi").select("date", "description", "amount"))
-    cashflow = CashFlowPages(cashflow_pages, (business.pm_payer,)).summaries()
+    cashflow = CashFlowPages(cashflow_pages, (business.pm_payer,), stored=True).summaries()
     str_totals, ltr_totals = build(
         auto, resolved, business, year=year, earnings=earnings, interest=interest, cashflow=cashflow,
         double_counted=double_counted, sign=sign,

@@ -67,7 +67,7 @@ def test_checking_rows(checking):
     assert got == sorted([
         ("deposits", dt.date(2024, 12, 31), "Orig CO Name:Aa Descr:Payment Sec:CCD Trn: 1Tc", d("1050.00"), None),
         ("deposits", dt.date(2024, 1, 3), "Plain", d("10.00"), None),
-        ("deposits", dt.date(2024, 1, 29), "Leaked prefix", d("7.00"), None),
+        ("deposits", dt.date(2024, 1, 17), "Leaked prefix", d("7.00"), None),
         ("checks_paid", dt.date(2024, 1, 23), "Check #1025", d("-10.00"), "1025"),
         ("checks_paid", dt.date(2024, 1, 24), "Check #(unknown)", d("-5.00"), None),
         ("electronic_withdrawals", dt.date(2024, 1, 5), "Payment", d("-5.00"), None),

@@ -1009,7 +1009,7 @@ def _(s: Source) -> DataFrame:
     check_sql("doc_id", "balance", "net + CASE WHEN doc_id % 10000000000 % 7 = 0 THEN 5 ELSE 0 END", "net", "0.02", f"({CHECKING_DOCS_SQL}) AS c"),
 ]))
 def _(s: Source) -> DataFrame:
-    parsed = CheckingStatements(render.checking_statements(s.adapter("ledger")))
+    parsed = CheckingStatements(render.checking_statements(s.adapter("ledger")), stored=True)
     return guards.section_checks(parsed.statements(), parsed.transactions())
 
 
@@ -1139,7 +1139,7 @@ FROM <<pm_txn>> AS p WHERE category <> '' GROUP BY 1, 2, 3, 4
 
 
 def cashflow_parsed(s: Source) -> CashFlowPages:
-    return CashFlowPages(durable(render.cashflow_pages(s.sql(CASHFLOW_SQL))), (PAYER,))
+    return CashFlowPages(durable(render.cashflow_pages(s.sql(CASHFLOW_SQL))), (PAYER,), stored=True)
 
 
 @query("cashflow", f"""
