@@ -5,13 +5,15 @@ documents and live in a table of ``2 ** CELLS`` hashed cells, whose size does no
 it is safe. The damping keeps passages that half the corpus shares from deciding, and keeps copies of which there are
 thousands together.
 
-Candidates. Each text gets ``BANDS * ROWS`` consistent samples; texts that agree on all samples of a band share a
+Candidates. Each text gets ``SAMPLES`` consistent samples; texts that agree on all ``ROWS`` samples of one of ``BANDS`` bands share a
 bucket. A pair of similarity 0.8 is missed with probability (1 - 0.8**3)**12 = 0.0002.
 
-Links. Copies with the same words are one node from the start. In every bucket a *hub* is compared with the members of
-other components, links merge components, and buckets that lie in one component are finished. There are eight times as many
-hubs in the next round, so a bucket of thousands of near copies is settled after about one comparison each, while every
-candidate pair is either compared or already connected: no cap, and no pairs within a settled group.
+Links. Copies with the same words are one node from the start. In every bucket the most popular member (the one that meets
+most others over all buckets) is compared with the others, and links merge components: a group of thousands of near copies mostly ends
+here, after one comparison each. Buckets that still hold several components are compared in blocks of ``CHUNK`` members: the
+share of equal samples estimates the similarity of every pair of different components, and pairs that may reach the
+threshold (``MARGIN`` standard deviations) are verified on their texts. So every candidate pair is verified, estimated to be too far apart, or already
+connected: there is no cap, and pairs of a block never become rows unless they are nearly similar.
 
 Defined results: null and empty texts have no words and form one class; a text of fewer than five words is one
 shingle; rows with a null or repeated id stay separate rows; extra columns stay inside the struct ``doc``.
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.arrays import U64, Words, mixed, shingles, slices, whole
@@ -33,6 +35,9 @@ from ledgerloom.scale import components, durable
 THRESHOLD = 0.8
 SIZE = 5
 BANDS, ROWS = 12, 3
+SAMPLES = 144
+MARGIN = 4
+CHUNK = 512
 CELLS = 18
 _HASH_BITS = U64(48)
 _HASH_MASK = U64((1 << 48) - 1)
@@ -126,13 +131,14 @@ def idf_table(table: np.ndarray, texts: int) -> np.ndarray:
     return ((1 + idf / max(idf.max(), 1e-9)) / 2).astype(np.float32)
 
 
-def _signed(docs: DataFrame, idf, size: int, bands: int, rows: int) -> DataFrame:
+def _signed(docs: DataFrame, idf, size: int, bands: int, rows: int, samples: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n, data, offsets in slices(batch.column(1)):
                 keys, times, words = _elements(data, offsets, size)
                 begin = np.searchsorted(keys >> _HASH_BITS, np.arange(n + 1, dtype=U64))
-                drawn = _samples(mixed(keys & _HASH_MASK), _weights(keys, times, idf.value), begin, bands * rows)
+                drawn = _samples(mixed(keys & _HASH_MASK), _weights(keys, times, idf.value), begin, samples)
+                own = np.ascontiguousarray(drawn.T)
                 buckets = np.empty((n, bands), dtype=U64)
                 for band in range(bands):
                     x = np.full(n, band + 1, dtype=U64)
@@ -145,11 +151,12 @@ def _signed(docs: DataFrame, idf, size: int, bands: int, rows: int) -> DataFrame
                 flat = pa.array(buckets.view(np.int64).ravel())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(digests, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), flat)],
-                    names=["uid", "text", "digest", "buckets"],
+                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), flat),
+                     pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * (4 * samples)), pa.py_buffer(own)])],
+                    names=["uid", "text", "digest", "buckets", "samples"],
                 )
 
-    return docs.mapInArrow(sign, "uid long, text string, digest binary, buckets array<long>")
+    return docs.mapInArrow(sign, "uid long, text string, digest binary, buckets array<long>, samples binary")
 
 
 def _similar(pairs: DataFrame, idf, size: int) -> DataFrame:
@@ -179,8 +186,48 @@ def _similar(pairs: DataFrame, idf, size: int) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, similarity double")
 
 
+def _close(members: DataFrame, threshold: float, rows: int, samples: int) -> DataFrame:
+    """Pairs (a, b) of members (band, bucket, size, node, root, samples) whose samples don't rule the threshold out.
+
+    A pair of different roots is given by the first band in which it shares a bucket.
+    """
+    least = threshold - MARGIN * (threshold * (1 - threshold) / samples) ** 0.5
+    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK)).alias("chunk")
+    held = durable(
+        members.withColumn("chunk", chunk).groupBy("band", "bucket", "chunk")
+        .agg(F.collect_list(F.struct("node", "root", "samples")).alias("held"))  # about CHUNK members
+    )
+    other = held.select("bucket", F.col("chunk").alias("other"), F.col("held").alias("others"))
+    blocks = held.join(other, "bucket").filter("chunk <= other").select("held", "others", (F.col("chunk") == F.col("other")).alias("alone"), "band")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def side(column: pa.Array, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            own = column[at].values
+            drawn = b"".join(own.field(2).to_pylist())
+            return own.field(0).to_numpy(), own.field(1).to_numpy(), np.frombuffer(drawn, dtype=np.uint32).reshape(-1, samples)
+
+        for batch in batches:
+            a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+            for at in range(batch.num_rows):
+                (x, x_root, x_drawn), (y, y_root, y_drawn) = side(batch.column(0), at), side(batch.column(1), at)
+                band = batch.column(3)[at].as_py()
+                for first in range(0, len(x), 64):
+                    equal = x_drawn[first : first + 64, None, :] == y_drawn[None, :, :]
+                    on = (equal.mean(axis=2) >= least) & (x_root[first : first + 64, None] != y_root[None, :])
+                    if batch.column(2)[at].as_py():
+                        on &= x[first : first + 64, None] < y[None, :]
+                    i, j = np.nonzero(on)
+                    before = equal[i, j, : band * rows].reshape(len(i), band, rows).all(axis=2).any(axis=1) if band else np.zeros(len(i), dtype=bool)
+                    a.append(x[first + i[~before]])
+                    b.append(y[j[~before]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    found = blocks.mapInArrow(compare, "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
-                    size: int = SIZE, bands: int = BANDS, rows: int = ROWS, cells: int = CELLS) -> DataFrame:
+                    size: int = SIZE, bands: int = BANDS, rows: int = ROWS, samples: int = SAMPLES, cells: int = CELLS) -> DataFrame:
     """One row per document: ``doc`` (its columns), uid, representative (a uid), class_id (smallest id), class_size.
 
     The representative of a class is its row with the smallest id (nulls last).
@@ -192,49 +239,35 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     keyed = docs.select(F.monotonically_increasing_id().alias("uid"), whole(docs))
     keyed = durable(keyed)
     plain = keyed.select("uid", F.coalesce(F.col("doc").getField(text).cast("string"), F.lit("")).alias("text"))
-    signed = _signed(plain, idf, size, bands, rows).select("uid", "digest", "buckets")
-    signed = durable(signed)
-    same = durable(
-        signed.groupBy("digest").agg(F.min("uid").alias("node"), F.min("buckets").alias("buckets"))
-    )
+    signed = durable(_signed(plain, idf, size, bands, rows, samples).select("uid", "digest", "buckets", "samples"))
+    same = durable(signed.groupBy("digest").agg(F.min("uid").alias("node"), F.min("buckets").alias("buckets")))
     # Word-less texts share one digest and so are one node that meets nobody else.
-    drawn = same.select("node", F.explode("buckets").alias("bucket"))
-    shared = drawn.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    live = durable(drawn.join(shared, "bucket", "left_semi").distinct())
-    nodes = live.select("node").distinct()
-    bodies = durable(plain.join(nodes.withColumnRenamed("node", "uid"), "uid", "left_semi"))
-    roots = durable(nodes.withColumn("root", F.col("node")))
-
-    hubs_at_once = 1
-    while True:
-        placed = live.join(roots, "node")
-        open_ = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("bucket")
-        live = durable(placed.join(open_, "bucket", "left_semi"))
-        if live.isEmpty():
-            break
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "node"), "node")
-        hubs = durable(
-            live.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= hubs_at_once)
-            .select("bucket", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-        )
-        pairs = (
-            live.join(hubs, "bucket").filter("root <> hub_root")
-            .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        )
+    drawn = same.select("node", F.posexplode("buckets").alias("band", "bucket"))
+    shared = drawn.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    live = durable(drawn.join(shared, "bucket"))
+    nodes = live.groupBy("node").agg(F.sum("size").alias("popularity"))
+    bodies = durable(plain.join(nodes.select(F.col("node").alias("uid")), "uid", "left_semi"))
+
+    def links(pairs: DataFrame) -> DataFrame:
         texts_of = lambda name: bodies.select(F.col("uid").alias(name), F.col("text").alias(f"text_{name}"))
         compared = _similar(pairs.join(texts_of("a"), "a").join(texts_of("b"), "b"), idf, size)
-        links = durable(compared.filter(F.col("similarity") >= threshold).select("a", "b"))
-        live = live.join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").drop("root")
-        if not links.isEmpty():
-            at = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
-            merged = components(
-                links.join(at("a"), "a").join(at("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-            )
-            roots = durable(
-                roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
-                .select("node", F.coalesce("new", "root").alias("root"))
-            )
-        hubs_at_once *= 8
+        return durable(compared.filter(F.col("similarity") >= threshold).select("a", "b"))
+
+    hubs = live.join(nodes, "node").groupBy("bucket").agg(F.max_by("node", F.struct("popularity", "node")).alias("hub"))
+    to_hubs = live.join(hubs, "bucket").filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    first = links(to_hubs)
+    of_first = components(first)
+    roots = durable(nodes.join(of_first, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+    placed = live.join(roots, "node")
+    open_ = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("bucket")
+    members = placed.join(open_, "bucket", "left_semi").join(signed.select(F.col("uid").alias("node"), "samples"), "node")
+    second = links(_close(members, threshold, rows, samples))
+    at = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+    merged = components(second.join(at("a"), "a").join(at("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    roots = (
+        roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
+        .select("node", F.coalesce("new", "root").alias("root"))
+    )
 
     grouped = (
         signed.select("uid", "digest").join(same.select("digest", "node"), "digest")
