@@ -55,7 +55,7 @@ class Sums:
         return mixed((self.sums[end] - self.sums[start]) * self.down[start])
 
 
-def slices(texts: pa.Array, most: int = 4 << 20, rows: int = 1 << 15) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, most: int = 2 << 20, rows: int = 1 << 15) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows with about ``most`` bytes of text: (first row, rows, bytes, offsets of each row and the end)."""
     if texts.null_count:
         texts = texts.fill_null("" if not pa.types.is_binary(texts.type) else b"")

@@ -32,7 +32,7 @@ NEARLY_FULL = 0.99
 FAN = 8
 CARRIED = 1024
 BLOCK = 200_000
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 32 << 20
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,4 +170,6 @@ def pieces(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "tex
 
 def packed_sequences(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their ids, sequence_id and offset."""
-    return pack(pieces(docs, tokenizer, id, text, capacity), "length", capacity).select("item.*", "sequence_id", "offset")
+    # Stored first: encoding and packing in one task would hold the memory of both.
+    stored = durable(pieces(docs, tokenizer, id, text, capacity))
+    return pack(stored, "length", capacity).select("item.*", "sequence_id", "offset")

@@ -159,7 +159,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id:
             return row
 
         for batch in batches:
-            for first, rows, data, offsets in slices(batch.column(1), most=min(4 << 20, 4 * file_ids)):
+            for first, rows, data, offsets in slices(batch.column(1), most=min(2 << 20, 4 * file_ids)):
                 ids, begin = encoder.encode(data, offsets)
                 held.append(np.insert(ids, begin[1:], end_id))
                 sizes.append(np.diff(begin) + 1)

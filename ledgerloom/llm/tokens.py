@@ -16,7 +16,7 @@ import pandas as pd
 
 from ledgerloom.llm.arrays import U64, Sums, runs
 
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 TOGETHER = 500
 
 _SPACE = np.zeros(256, dtype=bool)
