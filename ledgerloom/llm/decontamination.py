@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.arrays import U64, Words, mixed, runs, slices, text_of, whole
+from ledgerloom.llm.arrays import U64, Words, mixed, runs, slices, text_of, tidy, whole
 from ledgerloom.scale import durable
 
 WINDOW = 10
@@ -53,7 +53,7 @@ def windows(benchmark: DataFrame, id: str, text: str, size: int) -> DataFrame:
                 )
 
     rows = benchmark.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    cut_ = rows.mapInArrow(cut, "item long, n int, words binary, bytes binary")
+    cut_ = rows.mapInArrow(tidy(cut), "item long, n int, words binary, bytes binary")
     return cut_.groupBy("n", "words", "bytes").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
@@ -135,7 +135,7 @@ def _scan(docs: DataFrame, tables, at: int) -> DataFrame:
                     names=["doc", "n_words", "mask", "items"],
                 )
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(tidy(scan), schema)
 
 
 def _summed(scanned: DataFrame) -> DataFrame:
@@ -160,7 +160,7 @@ def _summed(scanned: DataFrame) -> DataFrame:
                 names=["doc", "n_words", "items", "n_hit", "hits"],
             )
 
-    return scanned.mapInArrow(add_up, schema)
+    return scanned.mapInArrow(tidy(add_up), schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",

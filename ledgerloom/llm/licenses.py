@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.arrays import Words, slices, text_of, whole
+from ledgerloom.llm.arrays import Words, slices, text_of, tidy, whole
 
 THRESHOLD = 0.8
 BLOCK_WORDS = 128
@@ -73,7 +73,7 @@ def frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) -> np.ndarra
         full = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], names=["word", "n"])
 
-    counted = docs.select(F.col(text).cast("string")).mapInArrow(count, "word long, n long")
+    counted = docs.select(F.col(text).cast("string")).mapInArrow(tidy(count), "word long, n long")
     out = np.zeros(len(vocabulary), dtype=np.int64)
     for row in counted.groupBy("word").agg(F.sum("n").alias("n")).collect():  # at most one row per template word
         out[row["word"]] = row["n"]
@@ -174,4 +174,4 @@ def license_scan(docs: DataFrame, text: str = "text", templates: Sequence[tuple[
                     pa.array(blocks, pa.list_(pa.struct([("label", pa.string()), ("template", pa.int64()), ("first", pa.int64()), ("end", pa.int64()), ("containment", pa.float64())]))),
                 ], names=schema.names)
 
-    return rows.mapInArrow(scan, schema)
+    return rows.mapInArrow(tidy(scan), schema)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.arrays import U64, Words, mixed, shingles, slices, whole
+from ledgerloom.llm.arrays import U64, Words, mixed, shingles, slices, tidy, whole
 from ledgerloom.scale import components, durable
 
 THRESHOLD = 0.8
@@ -118,7 +118,7 @@ def document_frequencies(texts: DataFrame, size: int, cells: int) -> tuple[np.nd
             [pa.array(np.append(full, -1)), pa.array(np.append(total[full], seen))], names=["cell", "n"]
         )
 
-    counts = texts.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counts = texts.mapInArrow(tidy(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     found = counts.toArrow()
     cell, n = found["cell"].to_numpy(), found["n"].to_numpy()
     table = np.zeros(1 << cells, dtype=np.int64)
@@ -156,7 +156,7 @@ def _signed(docs: DataFrame, idf, size: int, bands: int, rows: int, samples: int
                     names=["uid", "text", "digest", "buckets", "samples"],
                 )
 
-    return docs.mapInArrow(sign, "uid long, text string, digest binary, buckets array<long>, samples binary")
+    return docs.mapInArrow(tidy(sign), "uid long, text string, digest binary, buckets array<long>, samples binary")
 
 
 def _similar(pairs: DataFrame, idf, size: int) -> DataFrame:
@@ -183,7 +183,7 @@ def _similar(pairs: DataFrame, idf, size: int) -> DataFrame:
                     [batch.column(0), batch.column(1), pa.array(both / np.maximum(either, 1e-12))], names=["a", "b", "similarity"]
                 )
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, similarity double")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidy(compare), "a long, b long, similarity double")
 
 
 def _close(members: DataFrame, threshold: float, rows: int, samples: int) -> DataFrame:
@@ -222,7 +222,7 @@ def _close(members: DataFrame, threshold: float, rows: int, samples: int) -> Dat
                     b.append(y[j[~before]])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
-    found = blocks.mapInArrow(compare, "a long, b long")
+    found = blocks.mapInArrow(tidy(compare), "a long, b long")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

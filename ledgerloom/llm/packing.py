@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.arrays import slices
+from ledgerloom.llm.arrays import slices, tidy
 from ledgerloom.llm.tokens import chunk_ids
 from ledgerloom.scale import durable
 
@@ -125,7 +125,7 @@ def pack(items: DataFrame, size: str, capacity: int = CAPACITY) -> DataFrame:
 
         return merge
 
-    level = durable(item.mapInArrow(leaf, state))
+    level = durable(item.mapInArrow(tidy(leaf), state))
     done, round_ = [level.filter("final").withColumn("round", F.lit(0).cast("long"))], 0
     highest = level.agg(F.max("node")).first()[0]
     while highest is not None:
@@ -164,7 +164,7 @@ def pieces(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "tex
                 )
 
     found = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        cut, "id long, piece int, start long, length long, ids binary")
+        tidy(cut), "id long, piece int, start long, length long, ids binary")
     return found.withColumnRenamed("id", id)
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.arrays import U64, Sums, mixed, slices, text_of, whole
+from ledgerloom.llm.arrays import U64, Sums, mixed, slices, text_of, tidy, whole
 from ledgerloom.scale import durable
 
 LENGTH = 400
@@ -102,7 +102,7 @@ def anchors(texts: DataFrame, shape: Shape) -> DataFrame:
                     pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)),
                 ], names=["key", "position", "gram", "context", "ahead", "behind", "left", "right"])
 
-    return texts.mapInArrow(find, "key binary, position int, gram long, context long, ahead long, behind long, left int, right int")
+    return texts.mapInArrow(tidy(find), "key binary, position int, gram long, context long, ahead long, behind long, left int, right int")
 
 
 def _common(x: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -229,7 +229,7 @@ def _trees(contexts: DataFrame, shape: Shape, groups: bool) -> DataFrame:
 
     dealt = contexts.repartition("bucket").sortWithinPartitions("bucket")
     kinds = {"context": "long", "l": "long", "r": "long", "interval": "long", "maximal": "boolean"}
-    return dealt.mapInArrow(scan, ", ".join(f"{c} {kinds[c]}" for c in names))
+    return dealt.mapInArrow(tidy(scan), ", ".join(f"{c} {kinds[c]}" for c in names))
 
 
 def _windows(contexts: DataFrame, shape: Shape) -> DataFrame:
@@ -253,7 +253,7 @@ def _windows(contexts: DataFrame, shape: Shape) -> DataFrame:
                         window = mixed(mixed(a ^ mixed(b + back.astype(U64))) ^ np.array([bucket]).view(U64))
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(back), context)), pa.array(window.view(np.int64)), pa.array(back)], names=["context", "window", "back"])
 
-    rows = durable(contexts.mapInArrow(cut, "context long, window long, back long"))
+    rows = durable(contexts.mapInArrow(tidy(cut), "context long, window long, back long"))
     twice = rows.groupBy("window").agg(F.min("context").alias("a"), F.max("context").alias("b")).filter("a <> b").select("window")
     held = rows.join(twice, "window", "left_semi").groupBy("context").agg(F.max("back").alias("l"), (F.lit(shape.length) - F.min("back")).alias("r"))
     return held.select("context", "l", "r")
@@ -303,7 +303,7 @@ def _found(docs: DataFrame, text: str, shape: Shape, large: int, groups: bool =
                 ], names=["bucket", "context", "is_ahead", "large", "left", "right", "body"])
 
     contexts = bodies.join(wanted, "key").select("text", "anchors").mapInArrow(
-        cut, "bucket long, context long, is_ahead boolean, large boolean, left int, right int, body binary")
+        tidy(cut), "bucket long, context long, is_ahead boolean, large boolean, left int, right int, body binary")
     crowded = not sizes.filter(F.col("size") > large).isEmpty()
     if crowded:
         contexts = durable(contexts)
@@ -354,4 +354,4 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, g
                     batch.column(0).slice(first, len(sizes)), pa.array(sizes, pa.int64()),
                     pa.array(runs_, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())], names=schema.names)
 
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(tidy(cut), schema)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.arrays import slices
+from ledgerloom.llm.arrays import slices, tidy
 from ledgerloom.llm.tokens import chunk_ids
 from ledgerloom.scale import durable, shared_folder
 
@@ -172,7 +172,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id:
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    files = durable(dealt.mapInArrow(write, "path string, partition long, part long, n_docs long, n_ids long"))
+    files = durable(dealt.mapInArrow(tidy(write), "path string, partition long, part long, n_docs long, n_ids long"))
     # One row per file of millions of ids: the window's single task sees no more than that.
     before = Window.orderBy("partition", "part").rowsBetween(Window.unboundedPreceding, -1)
     return durable(files.select("*", F.lit(folder).alias("folder"), F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start")))
@@ -201,4 +201,4 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                     at = to
 
     spread = manifest.select("folder", "path", "start").repartition(F.col("path"))
-    return spread.mapInArrow(read, "id long, start long, n_tokens long, ids binary")
+    return spread.mapInArrow(tidy(read), "id long, start long, n_tokens long, ids binary")

@@ -48,7 +48,10 @@ class ChunkIds:
         chunks = [t.decode("utf-8", "replace") for t in texts]
         groups = [chunks[at : at + TOGETHER] for at in range(0, len(chunks), TOGETHER)]
         starts, lengths = [self.start], [self.length]
-        for group, encoded in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+        for at, group in enumerate(groups):
+            if at % 20 == 0:  # some at a time: encodings are large
+                some = self.tokenizer.encode_batch([" ".join(g) for g in groups[at : at + 20]], add_special_tokens=False)
+            encoded = some[at % 20]
             begins = np.cumsum([0, *[len(c) + 1 for c in group]])
             place = np.array([a for a, _ in encoded.offsets], dtype=np.int64)
             split = np.searchsorted(place, begins)

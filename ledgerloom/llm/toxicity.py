@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.arrays import LOWER, U64, Sums, slices, text_of, whole
+from ledgerloom.llm.arrays import LOWER, U64, Sums, slices, text_of, tidy, whole
 
 SIZES = (3, 4, 5)
 CELLS = 18
@@ -106,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(full, -1)), pa.array(np.append(seen[0, full], texts[0])), pa.array(np.append(seen[1, full], texts[1]))], names=["cell", "n0", "n1"])
 
-    counted = rows.mapInArrow(count, "cell long, n0 long, n1 long").groupBy("cell").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    counted = rows.mapInArrow(tidy(count), "cell long, n0 long, n1 long").groupBy("cell").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
     cell, n = counted["cell"].to_numpy(), np.stack([counted["n0"].to_numpy(), counted["n1"].to_numpy()])
     texts, n, cell = n[:, cell < 0].sum(axis=1), n[:, cell >= 0], cell[cell >= 0]
     ratio = np.log((n[1] + 1) / (texts[1] + 2)) - np.log((n[0] + 1) / (texts[0] + 2))
@@ -133,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
         return pd.DataFrame({"weights": [w.astype("<f8").tobytes()], "intercept": [b]})
 
     # One task, of bounded size: at most 2 * train_rows texts by their chosen features.
-    model = rows.mapInArrow(reduce_, "label int, features binary").groupBy().applyInPandas(train, "weights binary, intercept double").first()
+    model = rows.mapInArrow(tidy(reduce_), "label int, features binary").groupBy().applyInPandas(train, "weights binary, intercept double").first()
     if model is None:
         return weights, float(np.log(share[1] / share[0]))
     weights[chosen] = np.frombuffer(model["weights"], dtype="<f8")
@@ -156,4 +156,4 @@ def toxicity(docs: DataFrame, weights: np.ndarray, intercept: float, text: str =
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, n), pa.array(1 / (1 + np.exp(-np.clip(margin, -500, 500))))], names=["doc", "score"])
 
-    return rows.mapInArrow(score, T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(tidy(score), T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())]))
