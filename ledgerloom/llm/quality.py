@@ -2,9 +2,14 @@
 
 Everything is DataFrame expressions. Counts are taken inside each row. Documents within the fixed limits are described by
 four transformed statistics (``FEATURES``); per language and source a minimum-covariance-determinant estimate is found by
-concentration steps: start from medians and absolute deviations, keep the ``SUPPORT`` share of rows nearest to the
-centre, re-estimate mean and covariance from them, repeat. Rows whose squared Mahalanobis distance exceeds ``CUTOFF``
-times what the median distance of the group leads to expect are rejected.
+concentration steps: keep the ``SUPPORT`` share of rows nearest to the centre, re-estimate mean and covariance from them,
+repeat. There are three starts: medians and absolute deviations, the half of the rows nearest to the medians, all rows;
+of their ends the least determinant counts. The kept share varies less than all rows, so distances are divided by the
+group's median over that of the chi-squared law (the consistency factor), where it is above 1. Rows whose squared
+Mahalanobis distance then exceeds ``CUTOFF``, a quantile of that law, are rejected.
+
+Shares are square roots and lines count two more, so that one repeated line of a short text is no outlier; each feature
+can reject alone, even in a group without spread (above about a third of words repeated or lines duplicated).
 
 Quantiles within groups come from histograms of fixed resolution (``_quantile``): map-side counts, so a source with a
 third of all rows costs no more than any other, and equal inputs give equal results.
@@ -19,6 +24,8 @@ repeated rows stay; extra columns stay inside ``doc``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,11 +37,11 @@ MOST_REPEATED = 50
 LEAST = 60
 SUPPORT = 0.75
 STEPS = 4
-#: far beyond the chi-squared quantiles, as the statistics of good texts have heavy tails: only gross outliers go
-CUTOFF = 120.0
+#: chi-squared law with four degrees of freedom: one of 10,000 rows is beyond it
+CUTOFF = 23.513
 #: median of the chi-squared law with four degrees of freedom
 MEDIAN_4 = 3.3567
-FEATURES = {"word_length": 0.05, "symbols": 0.10, "dup_lines": 0.10, "repeats": 0.10}
+FEATURES = {"word_length": 0.05, "symbols": 0.10, "dup_lines": 0.12, "repeats": 0.12}
 _STEP = 1 / 128
 
 
@@ -137,20 +144,35 @@ def estimates(rows: DataFrame) -> DataFrame:
     rows = durable(join_unique(rows.withColumn("place", _place(F.col("lang"), F.col("source"))), groups, ["place"], "inner").select("g", *names))
     centre = durable(_quantile(rows, {n: F.col(n) for n in names}, 0.5).withColumnsRenamed(dict(zip(names, _MEANS))))
     spread = _quantile(rows.join(centre, "g"), {n: F.abs(F.col(n) - F.col(m)) for n, m in zip(names, _MEANS)}, 0.5)
-    model = centre.join(spread, "g").select(
+    size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("group_size"))
+
+    def moments(of: DataFrame) -> DataFrame:
+        return of.groupBy("g").agg(
+            *[F.avg(n).alias(m) for n, m in zip(names, _MEANS)],
+            *[(F.covar_pop(names[i], names[j]) + (floors[i] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}") for i in range(k) for j in range(i + 1)],
+        )
+
+    def nearest(placed: DataFrame, share: float) -> DataFrame:
+        return placed.join(_quantile(placed, {"limit": F.col("d")}, share), "g").filter(F.col("d") < F.col("limit"))
+
+    by_medians = centre.join(spread, "g").select(
         "g", *_MEANS,
         *[((F.pow(F.col(n) * 1.4826, 2) + floors[i] ** 2) if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, n in enumerate(names) for j in range(i + 1)],
     )
-    size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("group_size"))
+    from_medians = sum((F.pow((F.col(n) - F.col(m)) / f, 2) for n, m, f in zip(names, _MEANS, floors)), F.lit(0.0))
+    by_half = moments(nearest(rows.join(centre, "g").withColumn("d", F.log1p(from_medians)), 0.5).select("g", *names))
+    starts = [by_medians, by_half, moments(rows)]
+    started = lambda no: F.concat(F.lit(f"{no} "), F.col("g")).alias("g")
+    model = reduce(DataFrame.union, [m.select(started(no), *m.columns[1:]) for no, m in enumerate(starts)])
+    tries = rows.select(F.explode(F.array(*[started(no) for no in range(len(starts))])).alias("g"), *names)
     for _ in range(STEPS):
         model = durable(_with_factor(model))
-        placed = rows.join(model, "g").withColumn("d", F.log1p(_distance()))
-        near = placed.join(_quantile(placed, {"limit": F.col("d")}, SUPPORT), "g").filter(F.col("d") < F.col("limit"))
-        model = near.groupBy("g").agg(
-            *[F.avg(n).alias(m) for n, m in zip(names, _MEANS)],
-            *[(F.covar_pop(names[i], names[j]) + (floors[i] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}") for i in range(k) for j in range(i + 1)],
-        )
-    model = durable(_with_factor(model).join(size, "g"))
+        model = moments(nearest(tries.join(model, "g").withColumn("d", F.log1p(_distance())), SUPPORT).select("g", *names))
+    model = durable(_with_factor(model))
+    determinant = reduce(lambda a, b: a * b, [F.col(f"l_{i}_{i}") for i in range(k)])
+    best = model.groupBy(F.substr(F.col("g"), F.lit(3)).alias("g")).agg(
+        F.min_by(F.struct(*_MEANS, *_FACTOR), F.struct(determinant, F.col("g"))).alias("best"))
+    model = durable(best.select("g", "best.*").join(size, "g"))
     placed = rows.join(model, "g").withColumn("d", F.log1p(_distance()))
     scale = _quantile(placed, {"median": F.col("d")}, 0.5).select("g", F.greatest(F.expm1("median") / MEDIAN_4, F.lit(1.0)).alias("scale"))
     return groups.join(model.join(scale, "g"), "g").select("place", *_MEANS, *_FACTOR, "scale", "group_size")
@@ -180,7 +202,7 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
         n, repeated = F.col("w.n"), F.col("w.repeated")
         features = {
             "word_length": F.log(F.col("word_chars") / n), "symbols": F.log1p(F.col("n_symbols") * 10.0 / n),
-            "dup_lines": F.sqrt(F.col("n_dup_lines") / F.col("n_lines")), "repeats": F.sqrt(repeated / n),
+            "dup_lines": F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + 2)), "repeats": F.sqrt(repeated / n),
         }
         return once.select(
             *(["doc"] if kept else []), "lang", "source", n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"),

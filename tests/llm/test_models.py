@@ -69,6 +69,24 @@ def test_small_groups_reject_nobody_and_odd_groups_count_apart(spark):
     assert all(r["kept"] for r in rows if not r["base_failed"]) and sum(r["base_failed"] for r in rows) == 1
 
 
+def test_junk_within_the_fixed_limits_is_rejected(spark):
+    """Each kind of junk by itself, in a group whose other texts have no symbols or repetitions."""
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(10**6):06d}" for _ in range(n)]
+    lines = lambda n: [" ".join(fresh(12)) for _ in range(n)]
+    clean = ["\n".join(lines(rng.randrange(6, 30))) for _ in range(150)]
+    clean += ["\n".join(x + [x[0]]) for x in (lines(9) for _ in range(3))] + ["\n".join(lines(8)) + " #1" for _ in range(3)]
+    double = lambda x: x + x[: len(x) // 2 - 1]
+    repeated = [" ".join(double(fresh(100))[:130]) for _ in range(3)]
+    duplicated = ["\n".join(x + ["ab"] * 18) for x in (lines(18) for _ in range(3))]
+    marked = ["\n".join(" ".join([*fresh(11), "#"]) for _ in range(20)) for _ in range(3)]
+    texts = clean + repeated + duplicated + marked
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    rows = {r["doc_id"]: r for r in quality.quality(docs).select("doc.doc_id", "base_failed", "kept", "distance").collect()}
+    assert not any(r["base_failed"] for r in rows.values())
+    assert [i for i in rows if rows[i]["kept"] != (i < len(clean))] == []
+
+
 def test_cross_entropy_equals_brute_force(spark):
     rng = random.Random(4)
     texts = [" ".join(words(rng, 90, 40) if k % 3 else [f"t{rng.randrange(30)}" for _ in range(90)]) for k in range(60)] + odd_texts()
