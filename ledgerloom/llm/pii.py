@@ -2,7 +2,7 @@
 
 Everything is DataFrame expressions on the row; there is no shuffle. Base kinds are accepted by pattern and check alone:
 ``email``, ``ip`` (parts at most 255), ``card`` (14 to 19 digits, Luhn), ``phone`` (leading +, 10 to 15 digits). The
-method adds ``iban`` (mod-97) and ``local_phone`` (national notation without +, which needs a context word). A span's score is
+method adds ``iban`` (length of its country, mod-97) and ``local_phone`` (national notation without +, which needs a context word). A span's score is
 its kind's ``SCORE`` plus ``CONTEXT_GAIN`` if one of the kind's context words stands in the ``CONTEXT_CHARS`` characters
 before it; spans scoring at least ``ACCEPT`` are kept.
 
@@ -25,15 +25,26 @@ KINDS = ("email", "ip", "card", "phone", "iban", "local_phone")
 BASE = KINDS[:4]
 _LOCAL = "A-Za-z0-9._%+-"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+#: Length of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM TL SO", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST AO CV GW MZ", 26: "IS TR DZ IR",
+    27: "BI DJ FR GR IT MC MR SM CF CG CM GA GQ KM MG TD",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV BF BJ CI MA ML NE SN TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+_OTHER = rf"(?!{'|'.join(' '.join(IBAN_LENGTHS.values()).split())})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+"
 #: An address can only begin where the run of its characters begins, or right after the address before it (\G).
 PATTERNS = {
     "email": rf"((?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)",
     "ip": r"((?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3})",
     "card": r"([0-9](?:[\x20-]?[0-9]){13,}+)",
     "phone": r"(\+[0-9][\x20().0-9-]+[0-9])",
-    "iban": r"((?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9]))",
+    "iban": rf"(?<![A-Za-z0-9])(?=((?:{_IBAN}|{_OTHER})(?![A-Za-z0-9])))[A-Z]",
     "local_phone": r"((?<![0-9+().-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9]))",
 }
+#: Kinds whose matches take one letter and look ahead for the value: what fails its check hides nothing behind it.
+AHEAD = ("iban",)
 #: A text without this never matches, which spares it the search.
 NEEDED = {"email": "@", "phone": "+"}
 SCORE = {"email": 0.9, "ip": 0.7, "card": 0.9, "phone": 0.8, "iban": 0.9, "local_phone": 0.4}
@@ -84,7 +95,7 @@ def _proposed(kind: str, text: Column) -> Column:
         end = begin + F.length(x["value"])
         # Only confirmed spans are carried, so the array stays as short as the result.
         span = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.when(_confirmed(kind, x["value"]), F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+        return F.struct((begin + 1 if kind in AHEAD else end).alias("at"), F.when(_confirmed(kind, x["value"]), F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
     # The last gap has no match behind it and is cut off.
     pairs = F.slice(F.arrays_zip(between.alias("gap"), found.alias("value")), 1, F.size(found))

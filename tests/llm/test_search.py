@@ -120,6 +120,19 @@ def test_added_kinds_need_checks_and_context(spark):
     assert [s["kind"] for s in rows[2]] == ["local_phone"] and not rows[3] and rows[4][0]["score"] == pytest.approx(1.0)
 
 
+def test_account_numbers_end_at_their_country_s_length(spark):
+    numbers = ["GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    after = [" Please pay", " BIC DEUTDEFF", " 12 pieces", " 5", " A", ". End", "", " " + "DE89370400440532013000"]
+    texts = [f"to {n}{a}" for n in numbers for a in after] + ["GB82WEST12345698765432X", "GB82WEST123456987654321", "XGB82WEST12345698765432"]
+    rows = {r["doc_id"]: r["spans"] for r in pii.find_pii(table(spark, texts)).select("doc.doc_id", "spans").collect()}
+    for i, t in enumerate(texts):
+        found = [s["value"] for s in rows[i] if s["kind"] == "iban"]
+        want = [] if i >= len(numbers) * len(after) else [numbers[i // len(after)]] + ["DE89370400440532013000"] * (i % len(after) == len(after) - 1)
+        assert found == want, t
+    both = pii.find_pii(table(spark, ["GB82 WEST 1234 5698 7654 32", "lot BE12 GB82 WEST 1234 5698 7654 32 X"])).select("doc.doc_id", "spans").collect()
+    assert {r[0]: [(s["start"], s["value"]) for s in r[1] if s["kind"] == "iban"] for r in both} == {i: [(a, numbers[0])] for i, a in ((0, 0), (1, 9))}
+
+
 def test_redaction(spark):
     texts = ["mail me@x.org or 10.0.0.1 now", "none", None, "a@b.c@d.e", "é me@x.org é", ""]
     out = pii.redacted(table(spark, texts))
