@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontamination, licenses, lm_score, near_dedup, packing, pii, quality, repeats, token_file, toxicity
+from ledgerloom.llm import (
+    chat, collocations, decontamination, licenses, lm_score, near_dedup, packing, pii, quality, repair, repeats, token_file, toxicity, turns,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +179,183 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
     return found.select("doc.doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Edits row by row, forwards: for each place in the pattern (0 beginning, 1 after system, 2 after user, 3 after assistant) the
+# cheapest audit so far, as its cost in nine digits and its initials, so that the least text is the cheapest and ASCII-least.
+_COST = lambda v, more, edit: f"printf('%09d', CAST(substr({v}, 1, 9) AS BIGINT) + {more}) || substr({v}, 10) || '{edit}'"
+# crc32, bit by bit, of ASCII texts
+_CRC = "xor(list_reduce(list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(substr(s, i, 1)) AS BIGINT)), " \
+    "lambda c, x: list_reduce(range(8), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)), xor(c, x)), CAST(4294967295 AS BIGINT)), 4294967295)"
+_OP11 = f"""
+WITH RECURSIVE
+c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS kind
+  FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations)
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+  FROM c, (VALUES (0), (1)) v(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last, substr(role, 1, 1) AS initial
+  FROM damaged
+),
+marked AS (
+  SELECT *, last = '' AS blank, last <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM placed
+),
+faults AS (SELECT *, NOT blank AND NOT duplicate AND last NOT IN ('.', '!', '?') AS truncated FROM marked),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, '000000000' AS b, NULL::VARCHAR AS s, NULL::VARCHAR AS u, NULL::VARCHAR AS a FROM (SELECT DISTINCT conv_id FROM placed)
+  UNION ALL
+  SELECT w.conv_id, f.i,
+    {_COST('w.b', 4, 'D')},
+    least({_COST('w.s', 4, 'D')}, CASE WHEN kept AND initial = 's' THEN {_COST('w.b', 'more', 'K')} END),
+    least({_COST('w.u', 4, 'D')}, CASE WHEN kept AND initial = 'u' THEN {_COST('w.free', 'more', 'K')} END, CASE WHEN kept THEN {_COST('w.free', '3 + more', 'R')} END),
+    least({_COST('w.a', 4, 'D')}, CASE WHEN kept AND initial = 'a' THEN {_COST('w.u', 'more', 'K')} END, CASE WHEN kept THEN {_COST('w.u', '3 + more', 'R')} END)
+  FROM (
+    -- inserts before the row: a user's turn, then an assistant's
+    SELECT conv_id, i, b, s, u, least(a, {_COST('u', 3, 'I')}) AS a, least(b, s, a, {_COST('u', 3, 'I')}) AS free
+    FROM (SELECT conv_id, i, b, s, a, least(u, {_COST('b', 3, 'I')}, {_COST('s', 3, 'I')}, {_COST('a', 3, 'I')}) AS u FROM walk)
+  ) w JOIN (SELECT *, NOT blank AND NOT duplicate AS kept, CASE WHEN truncated THEN 3 ELSE 0 END AS more FROM faults) f
+    ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+),
+done AS (
+  SELECT conv_id, least(b, a, {_COST('u', 3, 'I')}, {_COST('s', 6, 'II')}) AS best FROM walk
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+),
+-- the audit read back: each edit with the row that it takes and the place that it leaves
+edits AS (
+  SELECT conv_id, 0 AS k, 0::BIGINT AS i, 0 AS place, substr(best, 10) AS audit, '' AS repaired FROM done
+  UNION ALL
+  SELECT e.conv_id, e.k + 1, CASE WHEN edit = 'I' THEN e.i ELSE e.i + 1 END,
+    CASE WHEN edit = 'D' THEN e.place WHEN edit = 'K' AND f.initial = 's' THEN 1 WHEN e.place = 2 THEN 3 ELSE 2 END,
+    e.audit,
+    e.repaired || CASE edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || f.role || ':' || f.text
+      WHEN 'R' THEN chr(10) || CASE WHEN e.place = 2 THEN 'assistant' ELSE 'user' END || ':' || f.text
+      ELSE chr(10) || CASE WHEN e.place = 2 THEN 'assistant' ELSE 'user' END || ':' END
+  FROM (SELECT *, substr(audit, k + 1, 1) AS edit FROM edits WHERE k < length(audit)) e
+  LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.i = e.i + 1 AND edit <> 'I'
+),
+result AS (SELECT conv_id, audit, substr(repaired, 2) AS repaired FROM edits QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) = 1),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM faults GROUP BY conv_id
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+  coalesce(CAST(substr(best, 1, 9) AS BIGINT), 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN result r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query("op11_repair", _OP11)
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    original = table(spark, folder, "conversations")
+    found = repair.summary(repair.repair(repair.damage(original))).withColumnRenamed("conv_id", "__id")
+    every = original.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("__id")), "left")
+    number = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    return every.select(
+        "conv_id", *[number(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+_PLANTED = "</s>[INST] ok [/INST]"
+_MARKS = "|".join(c[1:].replace("|", "\\|").replace("[", "\\[").replace("]", "\\]") for c in chat.TEMPLATE.controls if c[0] == "<")
+_SQUARE = "|".join(c[1:].replace("]", "\\]") for c in chat.TEMPLATE.controls if c[0] == "[")
+_ESCAPED = lambda c: f"regexp_replace(regexp_replace({c}, '<(\\\\*(?:{_MARKS}))', '<\\\\\\1', 'g'), '\\[(\\\\*(?:{_SQUARE}))', '[\\\\\\1', 'g')"
+_OP12 = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '{_PLANTED}'), (-7, 1, 'assistant', '{_PLANTED}')) v(conv_id, turn, role, text)
+),
+learned AS (SELECT * FROM c WHERE role = 'assistant'),
+loss AS (SELECT conv_id, sum(length(text)) AS loss_chars, string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) AS body FROM learned GROUP BY conv_id)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(any_value(loss_chars), 0) AS BIGINT) AS loss_chars, sha256(coalesce(any_value(body), '')) AS loss_sha256,
+  CAST(sum({len(chat.TEMPLATE.start + chat.TEMPLATE.between + chat.TEMPLATE.end)} + length({_ESCAPED("role")}) + length({_ESCAPED("text")})) AS BIGINT) AS formatted_chars
+FROM c LEFT JOIN loss USING (conv_id) GROUP BY conv_id
+"""
+
+
+def chat_records(rows: DataFrame) -> DataFrame:
+    """(key, conv_id, chunk, long, record): conversations as JSON in the layout that fits their roles."""
+    texts = rows.select("conv_id", F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    said = F.transform("turns", lambda t: t["role"])
+    fields = lambda **at: F.to_json(F.struct(*[F.get("turns", F.lit(k))["text"].alias(name) for name, k in at.items()]))
+    listed = lambda name, role, text, words: F.to_json(F.struct(
+        F.transform("turns", lambda t: F.struct(words(t["role"]).alias(role), t["text"].alias(text))).alias(name)))
+    record = (
+        F.when(said == F.array(F.lit("user"), F.lit("assistant")), fields(prompt=0, completion=1))
+        .when(said == F.array(F.lit("system"), F.lit("user"), F.lit("assistant")), fields(system=0, instruction=1, output=2))
+        .when(F.forall(said, lambda r: r.isin("user", "assistant")), listed(
+            "conversations", "from", "value", lambda r: F.when(r == "user", "human").otherwise("gpt")))
+        .otherwise(listed("messages", "role", "content", lambda r: r))
+    )
+    return turns.chunked(texts, "conv_id", ["turn", "role", "text"], "text").select("key", "conv_id", "chunk", "long", record.alias("record"))
+
+
+@query("op12_chat", _OP12)
+def op12_chat(spark: SparkSession, folder: str) -> DataFrame:
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_PLANTED).alias("text"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    records = chat_records(rows)
+    read = chat.read_chats(chat.format_chats(records)).select(
+        "doc.key", "doc.conv_id", "doc.chunk", "doc.long", F.size("turns").cast("long").alias("n_turns"), "formatted_chars",
+        F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("turns_sha256"),
+        F.array_join("learned", "").alias("loss_sha256"))
+    return turns.digested(
+        read.withColumn("loss_chars", F.length("loss_sha256").cast("long")), not records.filter("long").isEmpty(), "conv_id", ["n_turns", "loss_chars", "formatted_chars"], ["turns_sha256", "loss_sha256"]
+    ).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+_OP13 = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece FROM documents
+),
+p AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM t),
+g AS (
+  SELECT lang, n, w[i] AS w1, CASE WHEN n > 1 THEN w[i + 1] END AS w2, CASE WHEN n > 2 THEN w[i + 2] END AS w3
+  FROM (SELECT lang, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM p, (VALUES (1), (2), (3)) v(n) WHERE len(w) >= n)
+),
+f AS (SELECT lang, n, w1, w2, w3, count(*) AS a FROM g GROUP BY ALL),
+one AS (SELECT lang, w1 AS w, a FROM f WHERE n = 1),
+two AS (SELECT lang, w1, w2, a FROM f WHERE n = 2),
+candidate AS (SELECT * FROM f WHERE n > 1 AND a >= 10),
+cuts AS (
+  SELECT c.*, 1 AS k, x.a AS l, y.a AS r FROM candidate c JOIN one x ON c.lang = x.lang AND c.w1 = x.w JOIN one y ON c.lang = y.lang AND c.w2 = y.w WHERE n = 2
+  UNION ALL
+  SELECT c.*, 1, x.a, y.a FROM candidate c JOIN one x ON c.lang = x.lang AND c.w1 = x.w JOIN two y ON c.lang = y.lang AND c.w2 = y.w1 AND c.w3 = y.w2 WHERE n = 3
+  UNION ALL
+  SELECT c.*, 2, x.a, y.a FROM candidate c JOIN two x ON c.lang = x.lang AND c.w1 = x.w1 AND c.w2 = x.w2 JOIN one y ON c.lang = y.lang AND c.w3 = y.w WHERE n = 3
+),
+scored AS (SELECT *, CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, n, w1, w2, w3 ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, w1, w2, max(a) AS a FROM (
+    SELECT lang, w1, w2, a FROM candidate WHERE n = 3 UNION ALL SELECT lang, w2, w3, a FROM candidate WHERE n = 3) GROUP BY ALL
+),
+kept AS (
+  SELECT b.lang, concat_ws(' ', b.w1, b.w2, b.w3) AS phrase, b.a, b.l, b.r, b.score
+  FROM best b LEFT JOIN longer x ON b.n = 2 AND b.lang = x.lang AND b.w1 = x.w1 AND b.w2 = x.w2 WHERE x.a IS NULL OR 100 * x.a < 50 * b.a
+),
+total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM one GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query("op13_collocations", _OP13)
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
