@@ -36,6 +36,8 @@ CELLS = 1 << 14
 #: Suffixes that a task counts before it sends them on.
 HELD = 1 << 20
 FILTER_BITS = 1 << 28
+#: Parts of a language whose best phrases are found on their own first.
+PARTS = 64
 
 BREAK = np.zeros(256, dtype=bool)
 BREAK[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
@@ -300,9 +302,13 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", *, lea
         F.when(second, F.col("r2")).otherwise(F.col("r1")).alias("r"), F.least("s1", "s2").alias("score"))
     tongue = word.select(F.col("id").alias("first"), "lang")
     found = two.unionAll(three).withColumn("first", F.col("ids")[0]).join(tongue, "first").drop("first")
-    # Phrases that tie with the last one stay until their words are known; each task passes on its own best only.
-    by_score = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    best = durable(found.withColumn("place", F.rank().over(by_score)).filter(F.col("place") <= top).drop("place"))
+    # A language may hold nearly all phrases: parts of it pass on their best only. Phrases that tie with the last one stay until
+    # their words are known.
+    best = found.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(PARTS)))
+    for group in (["lang", "part"], ["lang"]):
+        by_score = Window.partitionBy(*group).orderBy(F.desc("score"), F.desc("a"))
+        best = best.withColumn("place", F.rank().over(by_score)).filter(F.col("place") <= top)
+    best = durable(best.drop("place", "part"))
     parts = best.select("*", F.posexplode("ids").alias("at", "id")).join(words.select("id", "word"), "id")
     phrase = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ")
     named = parts.groupBy("lang", "ids", "a", "l", "r", "score").agg(phrase.alias("phrase"))
