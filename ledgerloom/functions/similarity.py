@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,10 +22,49 @@ def edit_similarity(a: Column, b: Column) -> Column:
     return F.when(longest == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(x, y) / longest)
 
 
+#: Letters are counted in so many classes.
+LETTERS = 32
+
+
+def letter_counts(text: Column) -> Column:
+    """Occurrences of letters by class: an array of ``LETTERS`` small numbers."""
+    classes = F.transform(F.split(text, ""), lambda c: F.pmod(F.ascii(c), F.lit(LETTERS)))
+    empty = F.array_repeat(F.lit(0), LETTERS)
+    return F.when(F.length(text) == 0, empty).otherwise(
+        F.transform(F.sequence(F.lit(0), F.lit(LETTERS - 1)), lambda k: F.size(F.filter(classes, lambda c: c == k))))
+
+
+def common_letters(x: Column, y: Column) -> Column:
+    """At least as many letters as any alignment of two texts can match, from their letter counts."""
+    return F.aggregate(F.zip_with(x, y, lambda m, n: F.least(m, n)), F.lit(0), lambda acc, n: acc + n)
+
+
+def blocks_bound(n: Column, x: Column, m: Column, y: Column) -> Column:
+    """No matching-blocks ratio of texts with these lengths and letter counts is higher."""
+    return F.when(n + m == 0, F.lit(1.0)).otherwise(2.0 * common_letters(x, y) / (n + m))
+
+
+def edit_bound(n: Column, x: Column, m: Column, y: Column) -> Column:
+    """No edit similarity of texts with these lengths and letter counts is higher."""
+    longest = F.greatest(n, m)
+    return F.when(longest == 0, F.lit(1.0)).otherwise(common_letters(x, y) / longest)
+
+
 @F.pandas_udf(DoubleType())
 def matching_blocks_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Share of characters in matching blocks, ignoring case (0 to 1)."""
-    return pd.Series([SequenceMatcher(None, x.lower(), y.lower()).ratio() for x, y in zip(a, b)], dtype="float64")
+    """Share of characters in matching blocks, ignoring case (0 to 1).
+
+    Pairs are taken by their second text, whose index of positions is built once for all its partners in a batch.
+    """
+    first, second = a.str.lower().to_numpy(), b.str.lower().to_numpy()
+    out, matcher, now = np.zeros(len(first)), SequenceMatcher(None), None
+    for k in np.argsort(second, kind="stable"):
+        if now is None or second[k] != now:
+            now = second[k]
+            matcher.set_seq2(now)
+        matcher.set_seq1(first[k])
+        out[k] = matcher.ratio()
+    return pd.Series(out)
 
 
 def _common_subsequence(a: str, b: str) -> int:
@@ -68,12 +108,15 @@ def token_set_quick(a: Column, b: Column, threshold: float) -> Column:
     """The token-set score where the sets of words decide it, 0 where it cannot reach the threshold, else null."""
     left, right = (F.array_distinct(F.filter(F.split(x, r"(?U)\s+"), lambda w: w != "")) for x in (a, b))
     shared = F.size(F.array_intersect(left, right))
-    # Without a shared word the score is at most twice the shorter length over both.
-    n, m = (F.length(F.array_join(x, " ")) for x in (left, right))
+    # The words as one text each: no alignment matches more than their common letters, and shared words alone give the rest.
+    (n, x), (m, y) = ((F.length(t), letter_counts(t)) for t in (F.array_join(left, " "), F.array_join(right, " ")))
+    base = F.length(F.array_join(F.array_intersect(left, right), " "))
+    alone = F.when(base == 0, 0.0).otherwise(2.0 * base / (base + F.least(n, m)))
     return (
         F.when((F.size(left) == 0) | (F.size(right) == 0), 0.0)
         .when((shared > 0) & ((shared == F.size(left)) | (shared == F.size(right))), 1.0)
-        .when((shared == 0) & (2.0 * F.least(n, m) < F.lit(threshold) * (n + m)), 0.0)
+        .when((2.0 * F.least(n, m) < F.lit(threshold) * (n + m)) & (alone < threshold), 0.0)
+        .when((blocks_bound(n, x, m, y) < threshold) & (alone < threshold), 0.0)
     )
 
 

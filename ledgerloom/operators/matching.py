@@ -7,7 +7,12 @@ components run in parallel.
 For larger components the rule ("serial dictatorship") is computed in parallel rounds of proposals. Every row
 proposes to its best partner that has not refused it; a partner keeps the earliest proposer and refuses the others;
 refused rows move on to their next choice. Because all partners rank rows the same way (by order), the
-stable outcome is unique and equals the sequential one, whatever the number of rounds.
+stable outcome is unique and equals the sequential one, whatever the number of rounds. A round carries the refused rows and the
+partners they touch only, and a row passes over all partners that earlier rows hold: they would refuse it for good.
+
+Where very many different texts share a date and amount, not all pairs are scored. Pairs are made in bands of falling upper bounds
+(letters that two texts have in common), and a row that has found a partner above its band needs no further ones. The outcome over
+the pairs known so far is final for such rows; only rows left over, and those they displace, go on to the next band.
 
 Copies are matched as classes. Rows that agree on everything the candidate test reads form one class,
 candidate pairs exist between classes only, and a class of partners has a capacity. A class is consumed in
@@ -18,7 +23,9 @@ therefore never enters the number of candidate pairs.
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Callable
 from decimal import Decimal
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -26,12 +33,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.fixed_values import OWNER_PAYOUT_CATEGORY
-from ledgerloom.functions.similarity import edit_similarity, matching_blocks_ratio, token_set_quick, token_set_ratio
+from ledgerloom.functions.similarity import (
+    blocks_bound, edit_bound, edit_similarity, letter_counts, matching_blocks_ratio, token_set_quick, token_set_ratio,
+)
 from ledgerloom.functions.text import vendor_key
 from ledgerloom.scale import CHUNK_ROWS, chunk_of, components, computed_once, durable, group_rank, join_unique, needs_spreading
 
 _SEP = "\u0001"
 COMPONENT_ROWS = 100_000
+#: Rounds whose tables are read side by side before they become one.
+ROUNDS_KEPT = 16
+ROW = ("root", "q_id", "q_ord", "list", "n_choices")
+#: Pairs of different texts on one date that are scored without asking whether they are needed.
+ALL_PAIRS = 4_000_000
+#: Upper bounds of similarity at which bands of pairs begin.
+BANDS = (0.9, 0.75, 0.6, 0.45, 0.0)
+#: Offers of one date and amount that share a task while pairs are made.
+PIECE_ROWS = 20_000
 
 
 def class_key(*parts: Column) -> Column:
@@ -78,29 +96,147 @@ def _propose(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFra
             "q_class", "choice", "w_class", "slot", "capacity", "score"
         )
     )
-    # The j-th row of a class cannot get anything before the j-th place on the class's list, so it begins there.
-    places = choices.withColumn(
-        "upto", F.sum("capacity").over(Window.partitionBy("q_class").orderBy("choice"))
-    ).select("q_class", F.col("choice"), (F.col("upto") - F.col("capacity")).alias("after"), "upto")
-    inside = durable(seekers.join(edges.select("q_class").distinct(), "q_class", "left_semi"))
-    state = durable(
-        _ranked(inside, ["q_class"], "q_ord", inside).join(places, "q_class")
+    # Classes with the same list in the same order are one.
+    lists = choices.groupBy("q_class").agg(
+        F.count(F.lit(1)).alias("n_choices"), F.sum(F.xxhash64("choice", "w_class", "slot", "score").cast("decimal(20,0)")).alias("mark"))
+    same = durable(lists.join(lists.groupBy("n_choices", "mark").agg(F.min("q_class").alias("list")), ["n_choices", "mark"]).select("q_class", "list", "n_choices"))
+    choices = durable(choices.join(same.select("list").distinct(), F.col("q_class") == F.col("list"), "left_semi").withColumnRenamed("q_class", "list"))
+    # The j-th row of a list cannot get anything before the j-th place on it, so it begins there.
+    places = choices.withColumn("upto", F.sum("capacity").over(Window.partitionBy("list").orderBy("choice"))).select(
+        "list", "choice", (F.col("upto") - F.col("capacity")).alias("after"), "upto")
+    inside = durable(seekers.join(same, "q_class"))
+    state = (
+        _ranked(inside, ["list"], "q_ord", inside).join(places, "list")
         .filter((F.col("place") > F.col("after")) & (F.col("place") <= F.col("upto")))
-        .select("q_id", "q_ord", "q_class", "choice")
+        .select(*ROW, "choice")
     )
-    while True:
-        proposals = state.join(choices, ["q_class", "choice"])
-        ranked = _ranked(proposals, ["w_class", "slot"], "q_ord", state)
-        ranked = durable(ranked.withColumn("refused", F.col("place") > F.col("capacity")))
-        if ranked.filter("refused").isEmpty():
-            break
-        # Refused rows whose list is exhausted find no further choice and drop out at the next join.
-        state = ranked.select(
-            "q_id", "q_ord", "q_class", (F.col("choice") + F.col("refused").cast("int")).alias("choice")
-        )
-    held = ranked.select("q_id", "w_class", "slot", "place", "score")
+    held = _frontier_rounds(durable(state), choices)
+    ranked = _ranked(held, ["w_class", "slot"], "q_ord", held)
     members = _ranked(offers, ["w_class", "slot"], "w_ord", offers)
-    return held.join(members, ["w_class", "slot", "place"]).select("q_id", "w_id", "score")
+    return ranked.join(members, ["w_class", "slot", "place"]).select("q_id", "w_id", "score")
+
+
+def _frontier_rounds(frontier: DataFrame, choices: DataFrame) -> DataFrame:
+    """Rows and the slots that hold them in the end; a round reads and writes what its refused rows touch.
+
+    ``frontier(root, q_id, q_ord, list, n_choices, choice)``; ``choices(list, choice, w_class, slot, capacity, score)``. A slot that is
+    full has a last holder, and refuses all later rows. Acceptances and last holders are only added to: last holders only become
+    earlier, and a slot holds the rows accepted so far that are not later than its last holder.
+
+    Where rows push each other on in long chains, a round settles few of them. Then the earliest rows of every component are settled
+    by the rule itself, as many as fit one task: nothing that comes later can change what they get.
+    """
+    slot, width, size = ["w_class", "slot"], 4, frontier.count()
+    accepted: list[DataFrame] = []
+    lasts: list[DataFrame] = []
+
+    def now(parts: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, parts)
+
+    def holders() -> DataFrame:
+        last = now(lasts).groupBy(*slot).agg(F.min("last").alias("last"))
+        return now(accepted).join(last, slot, "left").filter("last IS NULL OR q_ord <= last").drop("last")
+
+    def rank(rivals: DataFrame) -> DataFrame:
+        """Settle who stays at the touched slots; the refused rows, one choice further."""
+        rivals = durable(rivals)
+        rivals = durable(_ranked(rivals, slot, "q_ord", rivals))
+        accepted.append(rivals.filter("new AND place <= capacity").drop("place", "new"))
+        lasts.append(rivals.filter("place = capacity").select(*slot, F.col("q_ord").alias("last")))
+        return rivals.filter("place > capacity").select(*ROW, (F.col("choice") + 1).alias("choice"))
+
+    while size:
+        # The next few choices of every row, less the slots that would refuse it.
+        ahead = frontier.withColumn(
+            "choice", F.explode(F.sequence(F.col("choice"), F.least(F.col("choice") + width - 1, F.col("n_choices")))))
+        ahead = ahead.join(choices, ["list", "choice"])
+        if lasts:
+            ahead = ahead.join(now(lasts).groupBy(*slot).agg(F.min("last").alias("last")), slot, "left").filter("last IS NULL OR q_ord < last").drop("last")
+        best = F.min_by(F.struct("choice", *slot, "capacity", "score"), "choice").alias("b")
+        proposed = durable(ahead.groupBy(*ROW).agg(best).select(*ROW, "b.*"))
+        rivals = proposed.withColumn("new", F.lit(True))
+        if accepted:
+            touched = proposed.select(*slot).distinct()
+            rivals = rivals.unionByName(holders().join(touched, slot, "left_semi").withColumn("new", F.lit(False)))
+        refused = rank(rivals)
+        passed = frontier.join(proposed.select("q_id"), "q_id", "left_anti").withColumn("choice", F.col("choice") + width)
+        # Rows whose list is exhausted drop out.
+        frontier = durable(refused.unionByName(passed).filter("choice <= n_choices"))
+        before, size = size, frontier.count()
+        width = min(2 * width, 256)
+        if 2 * size > before:
+            frontier = _settle_earliest(frontier, choices, holders(), rank)
+            size = frontier.count()
+        if len(accepted) >= ROUNDS_KEPT:
+            accepted, lasts = [durable(holders())], [durable(now(lasts).groupBy(*slot).agg(F.min("last").alias("last")))]
+    if not accepted:
+        return frontier.join(choices, ["list", "choice"]).select("q_id", "q_ord", *slot, "score")
+    return durable(holders().select("q_id", "q_ord", *slot, "score"))
+
+
+def _settle_earliest(frontier: DataFrame, choices: DataFrame, holders: DataFrame, rank: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Settle the earliest unsettled rows of every component in one task each; the frontier that is left.
+
+    Rows earlier than all of a component's frontier are final. From there on, rows are taken up to an order that leaves about
+    ``COMPONENT_ROWS`` rows and choices to the task.
+    """
+    slot = ["w_class", "slot"]
+    start = frontier.groupBy("root").agg(F.min("q_ord").alias("start"))
+    holders = durable(holders.join(start, "root"))
+    open_rows = holders.filter("q_ord >= start").select(*ROW).unionByName(frontier.select(*ROW))
+    size = open_rows.groupBy("root", "list").agg(F.count(F.lit(1)).alias("n"), F.first("n_choices").alias("m")).groupBy("root").agg(F.sum(F.col("n") + F.col("m")).alias("size"))
+    # Any border is right; the sketch only makes the share fit.
+    share = F.least(F.lit(1.0), F.lit(max(COMPONENT_ROWS, 1)) / F.col("size"))
+    sketch = open_rows.groupBy("root").agg(F.percentile_approx("q_ord", [k / 100 for k in range(101)], 10_000).alias("at"))
+    border = durable(sketch.join(size, "root").join(start, "root").select("root", "start", F.greatest(F.col("start"), F.get("at", F.floor(share * 100).cast("int"))).alias("border")))
+    taken = durable(open_rows.join(border, "root").filter("q_ord <= border").select(*ROW))
+    full = holders.filter("q_ord < start").groupBy(*slot).agg(F.count(F.lit(1)).alias("gone"))
+    lists = (
+        choices.join(taken.select("root", "list").distinct(), "list").join(full, slot, "left")
+        .withColumn("room", F.col("capacity") - F.coalesce("gone", F.lit(0))).filter("room > 0").drop("gone")
+    )
+    rows = taken.withColumn("room", F.lit(None).cast("long")).unionByName(lists, allowMissingColumns=True)
+    schema = T.StructType([taken.schema["q_id"], *[choices.schema[c] for c in ("choice", *slot, "capacity", "score")]])
+    outcome = taken.join(rows.groupBy("root").applyInArrow(_first_with_room, schema), "q_id")
+    outcome = durable(outcome.join(holders.select("q_id", *[F.col(c).alias(f"h_{c}") for c in slot]), "q_id", "left").withColumn(
+        "stays", (F.col("w_class") == F.col("h_w_class")) & (F.col("slot") == F.col("h_slot"))))
+    moved = outcome.filter("stays IS NULL OR NOT stays").drop("stays", "h_w_class", "h_slot")
+    others = holders.join(border.select("root", "border"), "root").join(outcome.select(*slot).distinct(), slot, "left_semi")
+    # What the settled rows held before and no longer do is no rival.
+    others = others.filter("q_ord < start OR q_ord > border").unionByName(
+        others.filter("q_ord >= start AND q_ord <= border").join(outcome.filter("stays").select("q_id"), "q_id", "left_semi"))
+    refused = rank(moved.withColumn("new", F.lit(True)).unionByName(others.drop("start", "border").withColumn("new", F.lit(False))))
+    later = frontier.join(border, "root").filter("q_ord > border").select(*ROW, "choice")
+    return durable(refused.unionByName(later).filter("choice <= n_choices"))
+
+
+def _first_with_room(table: pa.Table) -> pa.Table:
+    """Rows of one component in order, each takes the first slot on its list that has room."""
+    lists: dict[str, list] = {}
+    room: dict[tuple, int] = {}
+    rows = []
+    for row in table.to_pylist():
+        if row["q_id"] is not None:
+            rows.append((row["q_ord"], row["q_id"], row["list"]))
+        else:
+            lists.setdefault(row["list"], []).append((row["choice"], (row["w_class"], row["slot"]), row["capacity"], row["score"]))
+            room[row["w_class"], row["slot"]] = row["room"]
+    for choices in lists.values():
+        choices.sort()
+    begin = dict.fromkeys(lists, 0)  # slots before it are full for good
+    out = []
+    for _, q_id, name in sorted(rows):
+        choices, k = lists.get(name, ()), begin.get(name, 0)
+        while k < len(choices) and not room[choices[k][1]]:
+            k += 1
+        begin[name] = k
+        if k < len(choices):
+            choice, place, capacity, score = choices[k]
+            room[place] -= 1
+            out.append((q_id, choice, *place, capacity, score))
+    names = ["q_id", "choice", "w_class", "slot", "capacity", "score"]
+    types = [table.schema.field(c).type for c in names]
+    return pa.table([pa.array(v, t) for v, t in zip(zip(*out) if out else [()] * len(names), types)], names)
 
 
 def _settle(table: pa.Table) -> pa.Table:
@@ -146,8 +282,8 @@ def _contested(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataF
     settled = rows.join(large, "root", "left_anti").groupBy("root").applyInArrow(_settle, schema)
     if large.isEmpty():
         return settled
-    rest = lambda df: df.join(large, "root", "left_semi").drop("root")
-    return settled.unionByName(_propose(durable(rest(q)), durable(rest(w)), durable(rest(pairs))))
+    rest = lambda df: df.join(large, "root", "left_semi")
+    return settled.unionByName(_propose(durable(rest(q)), durable(rest(w).drop("root")), durable(rest(pairs).drop("root"))))
 
 
 def assign_in_order(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFrame:
@@ -197,12 +333,14 @@ def match_date_amount(
     *,
     tolerance: float = 0.50,
     similarity: str = "blocks",
+    all_pairs: int = ALL_PAIRS,
 ) -> DataFrame:
     """Pair queue rows with worksheet rows of the same date and nearly the same amount.
 
     ``queue(q_id, q_ord, date, amount, description)``; ``worksheet(w_id, w_ord, date, cost, source)``. Bank
     amounts are compared by size. Similarity of texts only decides between several candidates, so it is
-    computed for those alone. ``similarity``: 'blocks' (exact rule) or 'edit' (no Python on the executors).
+    computed for those alone. ``similarity``: 'blocks' (exact rule) or 'edit' (no Python on the executors). Dates with more than
+    ``all_pairs`` pairs of different texts have their pairs made in bands; the outcome is the same.
     """
     tol = F.lit(str(tolerance)).cast("decimal(18,2)")
     # Both sides are parsed and keyed once; every later step reads the stored rows.
@@ -214,21 +352,93 @@ def match_date_amount(
     ).withColumn("w_class", class_key(F.col("date"), F.col("cost"), F.col("b"))))
     qc = q.select("q_class", "date", "size", "a").distinct().withColumn("bucket", _bucket(F.col("size"), tolerance))
     wc = w.select("w_class", "date", "cost", "b").distinct().withColumn("bucket", _near_money(F.col("cost"), tolerance))
-    pairs = qc.join(wc, ["date", "bucket"]).filter(F.abs(F.col("size") - F.col("cost")) <= tol)
-    pairs = durable(pairs.select("q_class", "w_class", "a", "b"))
-    several = pairs.groupBy("q_class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("q_class")
-    single = pairs.join(several, "q_class", "left_anti").withColumn("score", F.lit(0.0))
-    scored = pairs.join(several, "q_class", "left_semi")
+    crowded = durable(_crowded_dates(q, w, qc, wc, all_pairs))
+    if crowded.isEmpty():
+        return _match_all_pairs(q, w, qc, wc, tol, similarity)
+    rest = lambda df: df.join(crowded, "date", "left_anti")
+    hot = lambda df: durable(df.join(crowded, "date", "left_semi"))
+    return _match_all_pairs(durable(rest(q)), durable(rest(w)), rest(qc), rest(wc), tol, similarity).unionByName(
+        _match_in_bands(hot(q), hot(w), hot(qc), hot(wc), tol, similarity))
+
+
+def _crowded_dates(q: DataFrame, w: DataFrame, qc: DataFrame, wc: DataFrame, all_pairs: int) -> DataFrame:
+    """Dates whose classes make more than ``all_pairs`` pairs."""
+
+    def products(left: DataFrame, right: DataFrame, *by: str) -> DataFrame:
+        n = lambda df, name: df.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias(name))
+        pairs = n(left, "n").join(n(right, "m"), list(by)).groupBy("date").agg(F.sum(F.col("n") * F.col("m")).alias("pairs"))
+        return pairs.filter(F.col("pairs") > all_pairs).select("date")
+
+    # Rows are counted first: where they make few pairs, their classes do, too.
+    rows = durable(products(q, w, "date"))
+    if rows.isEmpty():
+        return rows
+    some = lambda df: df.join(rows, "date", "left_semi")
+    return products(some(qc), some(wc), "date", "bucket")
+
+
+def _scored(pairs: DataFrame, similarity: str) -> DataFrame:
+    """(q_class, w_class, score) of pairs with texts ``a`` and ``b``."""
     if similarity == "blocks":
         # Equal texts need no comparison; only the rest goes to Python.
-        equal = scored.filter("a = b").withColumn("score", F.lit(1.0))
-        scored = equal.unionByName(scored.filter("a <> b").withColumn("score", matching_blocks_ratio(F.col("a"), F.col("b"))))
+        equal = pairs.filter("a = b").withColumn("score", F.lit(1.0))
+        pairs = equal.unionByName(pairs.filter("a <> b").withColumn("score", matching_blocks_ratio(F.col("a"), F.col("b"))))
     else:
-        scored = scored.withColumn("score", edit_similarity(F.col("a"), F.col("b")))
-    edges = durable(scored.unionByName(single).select("q_class", "w_class", "score"))
-    return assign_in_order(
-        q.select("q_id", "q_ord", "q_class"), w.select("w_id", "w_ord", "w_class"), edges
-    ).select("q_id", "w_id")
+        pairs = pairs.withColumn("score", edit_similarity(F.col("a"), F.col("b")))
+    return pairs.select("q_class", "w_class", "score")
+
+
+def _rows(q: DataFrame, w: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return q.select("q_id", "q_ord", "q_class"), w.select("w_id", "w_ord", "w_class")
+
+
+def _match_all_pairs(q: DataFrame, w: DataFrame, qc: DataFrame, wc: DataFrame, tol: Column, similarity: str) -> DataFrame:
+    pairs = qc.join(wc, ["date", "bucket"]).filter(F.abs(F.col("size") - F.col("cost")) <= tol)
+    pairs = durable(pairs.select("q_class", "w_class", "a", "b"))
+    several = pairs.groupBy("q_class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("q_class")
+    single = pairs.join(several, "q_class", "left_anti").select("q_class", "w_class", F.lit(0.0).alias("score"))
+    edges = durable(_scored(pairs.join(several, "q_class", "left_semi"), similarity).unionByName(single))
+    return assign_in_order(*_rows(q, w), edges).select("q_id", "w_id")
+
+
+def _match_in_bands(q: DataFrame, w: DataFrame, qc: DataFrame, wc: DataFrame, tol: Column, similarity: str, bands: tuple[float, ...] = BANDS) -> DataFrame:
+    """The rule for crowded dates, with pairs made band by band.
+
+    A seeker's pairs are complete above the bound of its band. Rows without a partner go on to the next band; of its offers those
+    that earlier rows hold are left out: an offer only ever passes to earlier rows.
+    """
+    pieces = wc.groupBy("date", "bucket").agg(F.ceil(F.count(F.lit(1)) / PIECE_ROWS).cast("int").alias("pieces"))
+    offers = durable(wc.join(pieces, ["date", "bucket"]).select(
+        "w_class", "date", "bucket", "cost", "b", F.length("b").alias("m"), letter_counts(F.col("b")).alias("y"),
+        F.pmod(F.xxhash64("w_class"), F.col("pieces")).cast("int").alias("piece")))
+    texts = durable(qc.join(pieces, ["date", "bucket"]).select(
+        "q_class", "date", "bucket", "size", "a", F.length("a").alias("n"), letter_counts(F.col("a")).alias("x"),
+        F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece")))
+    bound = (blocks_bound if similarity == "blocks" else edit_bound)(F.col("n"), F.col("x"), F.col("m"), F.col("y"))
+    edge = F.array(*[F.lit(x) for x in (2.0, *bands)])  # a class that has seen k bands knows all pairs above edge[k]
+    level = durable(qc.select("q_class", F.lit(0).alias("seen")))
+    going = level.withColumn("first", F.lit(-1).cast("long"))
+    reach, known = None, None
+    while True:
+        # Pairs of the next band of every class that goes on, with offers that may still take one of its rows.
+        pairs = texts.join(going, "q_class").join(offers, ["date", "bucket", "piece"]).filter(F.abs(F.col("size") - F.col("cost")) <= tol)
+        if reach is not None:
+            pairs = pairs.join(reach, "w_class").filter("reach IS NULL OR first < reach")
+        fresh = pairs.withColumn("bound", bound + 1e-9).filter(  # a score may be rounded up
+            (F.col("bound") < F.get(edge, F.col("seen"))) & (F.col("bound") >= F.get(edge, F.col("seen") + 1))).select("q_class", "w_class", "a", "b")
+        fresh = _scored(durable(fresh), similarity)
+        known = durable(fresh if known is None else known.unionByName(fresh))
+        level = durable(level.join(going.select("q_class", F.lit(1).alias("more")), "q_class", "left").select(
+            "q_class", (F.col("seen") + F.coalesce("more", F.lit(0))).alias("seen")))
+        complete = durable(known.join(level, "q_class").filter(F.col("score") >= F.get(edge, F.col("seen"))).select("q_class", "w_class", "score"))
+        found = durable(assign_in_order(*_rows(q, w), complete).select("q_id", "w_id"))
+        left = q.join(found, "q_id", "left_anti").groupBy("q_class").agg(F.min("q_ord").alias("first"))
+        going = durable(left.join(level, "q_class").filter(F.col("seen") < len(bands)))
+        if going.isEmpty():
+            return found
+        held = w.join(found, "w_id", "left").join(q.select("q_id", "q_ord"), "q_id", "left")
+        # Null: a row of the class is free.
+        reach = durable(held.groupBy("w_class").agg(F.when(F.count("q_ord") == F.count(F.lit(1)), F.max("q_ord")).alias("reach")))
 
 
 def fuzzy_candidates(txns: DataFrame, filings: DataFrame, *, days: int = 3, threshold: float = 0.72) -> DataFrame:

@@ -6,7 +6,9 @@ from difflib import SequenceMatcher
 
 import pytest
 
-from ledgerloom.functions.similarity import token_set_score
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.similarity import blocks_bound, edit_bound, edit_similarity, letter_counts, token_set_quick, token_set_score
 from ledgerloom.operators import matching
 from tests.helpers import d, rows
 
@@ -126,6 +128,64 @@ def test_double_counts_equal_sequential(spark, way):
     assert len(want) > 3
 
 
+@pytest.mark.parametrize("similarity", ["blocks"])
+def test_bands_equal_sequential_and_score_less(spark, monkeypatch, similarity):
+    """One date and amount with many different texts: pairs in bands, the outcome of the rule."""
+    r = random.Random(3)
+    names = ["alpha bakery", "Bolt hardware", "city of xyz", "DELTA air", "echo gym membership", "f", ""]
+    text = lambda: r.choice(names) + r.choice(["", " ", f" {r.randrange(10 ** 5)}", f" #{r.randrange(40)} inc"])
+    q = [(i, i, DAY, d(f"-5.{r.choice(['00', '30'])}"), text()) for i in range(60)]
+    w = [(200 + i, i, DAY, d(f"5.{r.choice(['00', '40', '60'])}"), text()) for i in range(50)]
+    lev = {}
+
+    def edit(a, b):
+        if (a, b) not in lev:
+            row = list(range(len(b) + 1))
+            for i, x in enumerate(a):
+                row, old = [i + 1], row
+                for j, y in enumerate(b):
+                    row.append(min(row[-1] + 1, old[j + 1] + 1, old[j] + (x != y)))
+            lev[a, b] = 1 - row[-1] / max(len(a), len(b)) if a or b else 1.0
+        return lev[a, b]
+
+    score = (lambda a, b: SequenceMatcher(None, a, b).ratio()) if similarity == "blocks" else edit
+    want = sequential(q, w, lambda a, b: abs(abs(a[3]) - b[3]) <= d("0.50"), lambda a, b: score(a[4].lower(), b[4].lower()))
+    scored = []
+    whole = matching._scored
+    monkeypatch.setattr(matching, "_scored", lambda pairs, s: scored.append(pairs.count()) or whole(pairs, s))
+    got = matching.match_date_amount(
+        spark.createDataFrame(q, "q_id INT, q_ord BIGINT, date DATE, amount DECIMAL(18,2), description STRING"),
+        spark.createDataFrame(w, "w_id INT, w_ord BIGINT, date DATE, cost DECIMAL(18,2), source STRING"), similarity=similarity, all_pairs=50)
+    assert sorted(tuple(x) for x in got.collect()) == want and len(want) > 40
+    assert sum(scored) < 0.9 * len({(a[3], a[4].lower()) for a in q}) * len({(b[3], b[4].lower()) for b in w})
+
+
+def test_letter_bounds_hold(spark):
+    r = random.Random(8)
+    make = lambda: "".join(r.choice("abcde é漢👩") for _ in range(r.randrange(12)))
+    pairs = [(make(), make()) for _ in range(300)]
+    df = spark.createDataFrame(pairs, "a STRING, b STRING")
+    letters = (F.length("a"), letter_counts(F.col("a")), F.length("b"), letter_counts(F.col("b")))
+    for row in df.select("a", "b", blocks_bound(*letters).alias("x"), edit_bound(*letters).alias("y"), edit_similarity(F.col("a"), F.col("b")).alias("e")).collect():
+        assert row.x >= SequenceMatcher(None, row.a, row.b).ratio() and row.y + 1e-9 >= row.e
+    quick = df.select("a", "b", token_set_quick(F.col("a"), F.col("b"), 0.72).alias("s")).filter("s IS NOT NULL").collect()
+    for row in quick:
+        assert row.s == token_set_score(row.a, row.b) or row.s == 0 and token_set_score(row.a, row.b) < 0.72
+
+
+def test_competing_lists_in_few_rounds(spark, monkeypatch):
+    """Two kinds of rows want the same offers in the same order: the later ones pass over all that is held."""
+    monkeypatch.setattr(matching, "COMPONENT_ROWS", 40)  # too few for any component, so the earliest rows are settled in several steps
+    n = 60
+    seekers = spark.createDataFrame([(i, i, f"q{i % 3}") for i in range(n)], "q_id INT, q_ord BIGINT, q_class STRING")
+    offers = spark.createDataFrame([(1000 + i, i, f"w{i % 5}") for i in range(n)], "w_id INT, w_ord BIGINT, w_class STRING")
+    pairs = [(f"q{a}", f"w{b}", 0.0) for a in range(3) for b in range(5) if (a, b) != (2, 4)]
+    edges = spark.createDataFrame(pairs, "q_class STRING, w_class STRING, score DOUBLE")
+    got = matching.assign_in_order(*[matching.durable(x) for x in (seekers, offers, edges)])
+    want = sequential([(i, i, i % 3) for i in range(n)], [(1000 + i, i, i % 5) for i in range(n)], lambda a, b: (a[2], b[2]) != (2, 4), lambda a, b: 0)
+    assert sorted((x.q_id, x.w_id) for x in got.collect()) == want
+
+
 def test_exclusion_drops_every_equal_row(spark):
     schema = "id INT, date DATE, description STRING, amount DECIMAL(18,2)"
     data = spark.createDataFrame([(1, DAY, "x", d("1")), (2, DAY, "x", d("1")), (3, DAY, "y", d("1"))], schema)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,13 +21,19 @@ from workload.registry import ORACLES, QUERIES, query
 GROUP = 40
 
 
-def sequential_sql(seekers: str, offers: str, fits: str, score: str) -> str:
-    """``seekers(q_id, g, ...)`` in order of q_id take the best free row of ``offers(w_id, g, ...)``, the lowest w_id on ties."""
+LEDGER_ROWS = f"SELECT txn_id, txn_id // {GROUP} AS g, txn_id % {GROUP} AS k, description FROM <<ledger>> AS x"
+
+
+def sequential_sql(seekers: str, offers: str, fits: str, score: str, rows: str = LEDGER_ROWS, scores: str = "", scored: str = "") -> str:
+    """``seekers(q_id, g, ...)`` in order of q_id take the best free row of ``offers(w_id, g, ...)``, the lowest w_id on ties.
+
+    ``scores``: further named queries between the two sides and the choice; ``scored``: a join to them.
+    """
     return f"""
-WITH RECURSIVE l AS (SELECT txn_id, txn_id // {GROUP} AS g, txn_id % {GROUP} AS k, description FROM <<ledger>> AS x),
+WITH RECURSIVE l AS ({rows}),
 q AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY q_id) AS n FROM ({seekers}) AS s),
-w AS ({offers}),
-c AS (SELECT q_id, list(w_id ORDER BY {score} DESC, w_id) AS choices FROM q JOIN w USING (g) WHERE {fits} GROUP BY q_id),
+w AS ({offers}),{scores}
+c AS (SELECT q_id, list(w_id ORDER BY {score} DESC, w_id) AS choices FROM q JOIN w USING (g) {scored} WHERE {fits} GROUP BY q_id),
 r(g, n, used, q_id, w_id) AS (
   SELECT DISTINCT g, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM q
   UNION ALL
@@ -50,20 +57,103 @@ def day(number: Column) -> Column:
 seeks, offered = "txn_id % 2 = 0", "txn_id % 2 = 1"
 
 
+# Payments of customers: different texts that share words in another order.
+PAYMENTS = "SELECT c_custkey AS id, c_mktsegment AS segment, n_name AS nation FROM <<customer>> AS c JOIN <<nation>> AS n ON c_nationkey = n_nationkey"
+PAYMENT_ROWS = f"SELECT *, id // {GROUP} AS g, id % {GROUP} AS k FROM ({PAYMENTS}) AS p"
+BANK_TEXT, SHEET_TEXT = "segment || ' ' || nation || ' ' || CAST(id AS STRING)", "nation || ' *' || CAST(id AS STRING) || ' ' || segment"
+
+# The longest common substring, the first in a and then in b, and again left and right of it; lengths and places in one number.
+_LONGEST = """list_max(list_transform(list_filter(range(0, length(a) * length(a)),
+      lambda x: x // length(a) + x % length(a) + 1 <= length(a) AND contains(b, substr(a, x // length(a) + 1, x % length(a) + 1))),
+      lambda x: (x % length(a) + 1) * 1000 - (x // length(a) + 1)))"""
+BLOCKS_SQL = f"""
+parts AS (
+  SELECT q_id, w_id, a, b, CAST(0 AS BIGINT) AS matched FROM q JOIN w USING (g) WHERE abs(size - cost) <= 0.5
+  UNION ALL
+  SELECT q_id, w_id, CASE side WHEN 0 THEN substr(a, 1, i - 1) ELSE substr(a, i + n) END,
+    CASE side WHEN 0 THEN substr(b, 1, strpos(b, substr(a, i, n)) - 1) ELSE substr(b, strpos(b, substr(a, i, n)) + n) END, CASE side WHEN 0 THEN n ELSE 0 END
+  FROM (SELECT *, (best + 999) // 1000 AS n, (best + 999) // 1000 * 1000 - best AS i FROM (SELECT *, {_LONGEST} AS best FROM parts) AS x WHERE best IS NOT NULL) AS y, (VALUES (0), (1)) AS v(side)
+),
+ratios AS (SELECT q_id, w_id, sum(matched) AS matched FROM parts GROUP BY q_id, w_id),"""
+
+
 @query("match_date_amount_contested", sequential_sql(
-    "SELECT txn_id AS q_id, g, 100 + k % 5 * 0.25 AS size, lower(left(description, 14)) AS a FROM l WHERE txn_id % 2 = 0",
-    "SELECT txn_id AS w_id, g, 100 + k % 7 * 0.25 AS cost, lower(left(description, 12)) AS b FROM l WHERE txn_id % 2 = 1",
+    f"SELECT id AS q_id, g, 100 + k % 5 * 0.25 AS size, lower({BANK_TEXT}) AS a FROM l WHERE id % 2 = 0",
+    f"SELECT id AS w_id, g, 100 + k % 7 * 0.25 AS cost, lower({SHEET_TEXT}) AS b FROM l WHERE id % 2 = 1",
+    "abs(size - cost) <= 0.5", "2.0::DOUBLE * matched / (length(a) + length(b))", PAYMENT_ROWS, BLOCKS_SQL, "JOIN ratios USING (q_id, w_id)"))
+def _(s: Source) -> DataFrame:
+    """Whole texts, compared by matching blocks."""
+    rows = s.sql(PAYMENTS).select("*", F.floor(F.col("id") / GROUP).alias("g"), (F.col("id") % GROUP).alias("k"))
+    return matching.match_date_amount(*payments(rows, "id % 2 = 0", lambda m: 100 + F.col("k") % m * 0.25))
+
+
+def payments(rows: DataFrame, seeking: str, money: Callable[[int], Column]) -> tuple[DataFrame, DataFrame]:
+    """Bank rows and worksheet rows of one day per ``g``."""
+    side = lambda keep, m, amount, text, id, order, name: rows.filter(keep).select(
+        F.col("id").alias(id), F.col("id").alias(order), day(F.col("g")).alias("date"), money(m).cast("decimal(18,2)").alias(amount), F.expr(text).alias(name))
+    return side(seeking, 5, "amount", BANK_TEXT, "q_id", "q_ord", "description"), side(f"NOT ({seeking})", 7, "cost", SHEET_TEXT, "w_id", "w_ord", "source")
+
+
+_CROWD = "CASE WHEN id % 3 < 2 THEN -1 ELSE id // 40 END"
+
+
+CROWDED_SQL = sequential_sql(
+    f"SELECT id AS q_id, g, lower({BANK_TEXT}) AS a FROM l WHERE id // 3 % 7 = 0",
+    f"SELECT id AS w_id, g, lower({SHEET_TEXT}) AS b FROM l WHERE id // 3 % 7 > 0",
+    "true", "1 - CAST(levenshtein(a, b) AS DOUBLE) / greatest(length(a), length(b))", f"SELECT *, {_CROWD} AS g FROM ({PAYMENTS}) AS p")
+
+
+def crowded(s: Source) -> tuple[DataFrame, DataFrame]:
+    """Two thirds of all rows, with different texts, on one date and amount."""
+    crowd = F.when(F.col("id") % 3 < 2, F.lit(-1)).otherwise(F.floor(F.col("id") / 40)).cast("bigint")
+    return payments(s.sql(PAYMENTS).select("*", crowd.alias("g")), "floor(id / 3) % 7 = 0", lambda m: F.lit(100))
+
+
+@query("match_date_amount_crowded", CROWDED_SQL)
+def _(s: Source) -> DataFrame:
+    """The crowded date's pairs are made in bands of their upper bounds."""
+    return matching.match_date_amount(*crowded(s), similarity="edit", all_pairs=10_000)
+
+
+@query("match_date_amount_component", CROWDED_SQL)
+def _(s: Source) -> DataFrame:
+    """All pairs: one component of over 100,000 rows and pairs, settled in rounds."""
+    return matching.match_date_amount(*crowded(s), similarity="edit")
+
+
+@query("match_edit_contested", sequential_sql(
+    "SELECT txn_id AS q_id, g, 100 + k % 5 * 0.25 AS size, lower(description) AS a FROM l WHERE txn_id % 2 = 0",
+    "SELECT txn_id AS w_id, g, 100 + k % 7 * 0.25 AS cost, lower(description) AS b FROM l WHERE txn_id % 2 = 1",
     "abs(size - cost) <= 0.5", "1 - CAST(levenshtein(a, b) AS DOUBLE) / greatest(length(a), length(b))"))
 def _(s: Source) -> DataFrame:
     rows = grouped(s)
     money = lambda m: (F.lit(100) + F.col("k") % m * F.lit(0.25)).cast("decimal(18,2)")
     q = rows.filter(seeks).select(
-        F.col("txn_id").alias("q_id"), F.col("txn_id").alias("q_ord"), day(F.col("g")).alias("date"), money(5).alias("amount"), F.substr("description", F.lit(1), F.lit(14)).alias("description"))
+        F.col("txn_id").alias("q_id"), F.col("txn_id").alias("q_ord"), day(F.col("g")).alias("date"), money(5).alias("amount"), "description")
     w = rows.filter(offered).select(
-        F.col("txn_id").alias("w_id"), F.col("txn_id").alias("w_ord"), day(F.col("g")).alias("date"), money(7).alias("cost"), F.substr("description", F.lit(1), F.lit(12)).alias("source"))
+        F.col("txn_id").alias("w_id"), F.col("txn_id").alias("w_ord"), day(F.col("g")).alias("date"), money(7).alias("cost"), F.col("description").alias("source"))
     return matching.match_date_amount(q, w, similarity="edit")
 
 
+# Words that both sides share, and one word of each side that has no letter in common with the other side's.
+SHARED = "CASE k % 3 WHEN 0 THEN 'acme corp' WHEN 1 THEN 'blue hut' ELSE 'ox quay' END"
+_FULL = "(length(f) + 1 + {0})"
+_BETWEEN = f"greatest(1 - (own + theirs) / CAST({_FULL.format('own')} + {_FULL.format('theirs')} AS DOUBLE), 2.0::DOUBLE * length(f) / (length(f) + {_FULL.format('least(own, theirs)')}))"
+
+
+@query("match_fuzzy_between", sequential_sql(
+    f"SELECT txn_id AS q_id, g, k % 6 AS day, {SHARED} AS f, 1 + k % 7 AS own FROM l WHERE txn_id % 2 = 0",
+    f"SELECT txn_id AS w_id, g, k % 6 AS paid, {SHARED} AS h, 1 + k % 9 AS theirs FROM l WHERE txn_id % 2 = 1",
+    f"f = h AND abs(day - paid) <= 3 AND {_BETWEEN} >= 0.72", _BETWEEN))
+def _(s: Source) -> DataFrame:
+    """Scores between the threshold and 1 decide who gets whom."""
+    rows = grouped(s).select("txn_id", day(F.col("k") % 6).alias("date"), F.col("g").cast("decimal(18,2)").alias("amount"), "k", F.expr(SHARED).alias("f"))
+    own = lambda letter, m: F.concat("f", F.lit(" "), F.repeat(F.lit(letter), (1 + F.col("k") % m).cast("int"))).alias("description")
+    q = rows.filter(seeks).select(F.col("txn_id").alias("q_id"), F.col("txn_id").alias("q_ord"), "date", "amount", own("i", 7))
+    w = rows.filter(offered).select(F.col("txn_id").alias("w_id"), F.col("txn_id").alias("w_ord"), "date", "amount", own("z", 9))
+    return matching.match_fuzzy(q, w).select("q_id", "w_id")
+
+
 # Words of one family contain each other (score 1); words of different families share no word and hardly a letter.
 FAMILY = "CASE k % 5 WHEN 0 THEN 'acme' WHEN 1 THEN 'acme corp' WHEN 2 THEN 'blue' WHEN 3 THEN 'blue hut' ELSE 'zzyx' END"
 

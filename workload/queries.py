@@ -1043,7 +1043,7 @@ FROM <<ledger>> AS l GROUP BY 1
 
 
 @query("stmt_card_totals", f"""
-SELECT doc_id, CAST(1249.98 AS DOUBLE) AS previous_balance, CAST(credits AS DOUBLE) AS payments_credits, CAST(purchases AS DOUBLE) AS purchases_total,
+SELECT doc_id, CAST({render.PREVIOUS_BALANCE} AS DOUBLE) AS previous_balance, CAST(credits AS DOUBLE) AS payments_credits, CAST(purchases AS DOUBLE) AS purchases_total,
   CAST(40 AS DOUBLE) AS fees_charged, CAST(c0 AS DOUBLE) AS cycle_4001, CAST(c1 + CASE WHEN doc_id % 10000000000 % 6 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS cycle_4002
 FROM ({CARD_DOCS_SQL}) AS c""")
 def _(s: Source) -> DataFrame:

@@ -13,6 +13,8 @@ from ledgerloom.scale import durable
 from workload.adapters import CARDS, LTR_PROPERTIES, PAYER
 
 BLOCK = 2048
+#: printed on every card statement
+PREVIOUS_BALANCE = "820.40"
 PROPERTY_RULES = (("elm st", "L1"), ("oak ave", "L2"), ("pine rd", "L3"))
 PROPERTY_TITLES = {"L1": "SW 12 Elm St", "L2": "SW 34 Oak Ave", "L3": "SW 56 Pine Rd"}
 
@@ -186,7 +188,7 @@ def card_statements(ledger: DataFrame) -> DataFrame:
                         F.when(v < 0, "-").otherwise(""), F.lit("\nINCLUDING PAYMENTS RECEIVED\n"))
 
     text = F.concat(
-        F.lit("AACCCCOOUUNNTT SSUUMMMMAARRYY\nPrevious Balance $820.40\nPayment, Credits -$"), money(-F.col("credits")),
+        F.lit(f"AACCCCOOUUNNTT SSUUMMMMAARRYY\nPrevious Balance ${PREVIOUS_BALANCE}\nPayment, Credits -$"), money(-F.col("credits")),
         F.lit("\nPurchases +$"), money(F.col("purchases")),
         F.lit("\nCash Advances $0.00\nBalance Transfers $0.00\nFees Charged +$40.00\nInterest Charged $0.00\nNew Balance $655.15\n"),
         F.lit("Opening/Closing Date "), F.date_format("start", "MM/dd/yy"), F.lit(" - "), F.date_format("end", "MM/dd/yy"),
