@@ -170,6 +170,8 @@ def pieces(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "tex
 
 def packed_sequences(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their ids, sequence_id and offset."""
-    # Stored first: encoding and packing in one task would hold the memory of both.
-    stored = durable(pieces(docs, tokenizer, id, text, capacity))
-    return pack(stored, "length", capacity).select("item.*", "sequence_id", "offset")
+    # Stored first: encoding and packing in one task would hold the memory of both. Only places and sizes are packed; a piece's ids
+    # join its place at the end. A row number tells equal ids and pieces apart.
+    stored = durable(pieces(docs, tokenizer, id, text, capacity).withColumn("row", F.monotonically_increasing_id()))
+    placed = durable(pack(stored.select("row", "length"), "length", capacity).select(F.col("item.row").alias("row"), "sequence_id", "offset"))
+    return stored.join(placed, "row").drop("row")

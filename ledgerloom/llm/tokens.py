@@ -2,12 +2,13 @@
 
 The vocabulary drops white space and never joins a letter or digit to a punctuation mark, so a text's ids are the ids of its
 chunks in order, where chunks are cut at ASCII white space and between ASCII letters or digits and ASCII marks other than the
-apostrophe. Texts repeat their chunks, so each distinct chunk of a slice is encoded once, and a task process remembers
+apostrophe. A string that is an added token of the vocabulary (``<|endoftext|>``) is one chunk wherever it stands. Texts repeat their chunks, so each distinct chunk of a slice is encoded once, and a task process remembers
 up to ``REMEMBERED`` of them. ``tests/llm/test_tokens.py`` compares with encoding whole texts.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 
@@ -33,7 +34,8 @@ class ChunkIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.added = re.compile(b"|".join(map(re.escape, added[::-1]))) if added else None
         self._forget()
 
     def _forget(self) -> None:
@@ -70,8 +72,18 @@ class ChunkIds:
         if len(self.known) > REMEMBERED:
             self._forget()
         side = _SIDE[data]
-        cut = np.append(offsets, np.flatnonzero(side[1:] * side[:-1] == 2) + 1) if len(data) else offsets
-        start, end = runs(~_SPACE[data], cut)
+        cut = np.flatnonzero(side[1:] * side[:-1] == 2) + 1
+        raw = data.tobytes()
+        spans = np.array([m.span() for m in self.added.finditer(raw)] if self.added else [], dtype=np.int64).reshape(-1, 2)
+        if len(spans):
+            # Not what only two rows together spell; and no cuts inside.
+            row = np.searchsorted(offsets, spans[:, 0], side="right")
+            spans = spans[spans[:, 1] <= offsets[row]]
+            inside = np.zeros(len(data) + 1, dtype=np.int64)
+            np.add.at(inside, spans[:, 0] + 1, 1)
+            np.add.at(inside, spans[:, 1], -1)
+            cut = cut[np.cumsum(inside)[cut] == 0]
+        start, end = runs(~_SPACE[data], np.concatenate([offsets, cut, spans.ravel()]))
         code, distinct = pd.factorize(Sums(data).of(start, end))
         at = np.searchsorted(self.known, distinct)
         fresh = np.ones(len(distinct), dtype=bool)
@@ -80,7 +92,7 @@ class ChunkIds:
         if fresh.any():
             first = np.zeros(len(distinct), dtype=np.int64)
             first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
-            raw, new = data.tobytes(), np.flatnonzero(fresh)
+            new = np.flatnonzero(fresh)
             self._learn(distinct[new], [raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
             at = np.searchsorted(self.known, distinct)
         lengths = self.length[at][code]

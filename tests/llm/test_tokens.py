@@ -21,7 +21,6 @@ ODD = ["", "Hello, world's 'tis don't!! ", "a≠b .́x ΑΣ.ΒΣ' ΣΑΣ <|endof
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -44,11 +43,18 @@ def test_chunks_equal_whole_texts(plain):
 @given(st.text(st.one_of(st.sampled_from("ab 'st.!=,̸́Σσé漢\n1"), st.characters(exclude_categories=["Cs"])), max_size=40))
 def test_any_text_equals_whole(text):
     t = Tokenizer.from_file(tokenizer_path()) if not hasattr(test_any_text_equals_whole, "t") else test_any_text_equals_whole.t
-    t.encode_special_tokens = True
     test_any_text_equals_whole.t = t
     assert encoded([text]) == [t.encode(text, add_special_tokens=False).ids]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|endof", "text|>", "<", "|", ">", "a", "Ab1", " ", "é", "\u0301", "'s", ".", "\n"]), max_size=12).map("".join))
+def test_added_tokens_anywhere(text):
+    t = Tokenizer.from_file(tokenizer_path()) if not hasattr(test_added_tokens_anywhere, "t") else test_added_tokens_anywhere.t
+    test_added_tokens_anywhere.t = t
+    assert encoded([text, text]) == [t.encode(text, add_special_tokens=False).ids] * 2
+
+
 def test_blocks_round_trip():
     rng = np.random.default_rng(3)
     for n in (0, 1, 127, 128, 129, 5000):
