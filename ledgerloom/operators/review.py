@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.fixed_values import REVIEW_TRANSACTION_HEADERS, REVIEW_VENDOR_HEADERS
 from ledgerloom.functions.text import strip, vendor_key
-from ledgerloom.operators.worksheet import expense_type, type_category
+from ledgerloom.operators.worksheet import Rules, expense_type, type_category
 from ledgerloom.scale import dense_index, durable, join_unique
 
 PREFILL = ("category", "property", "expense_type")
@@ -158,13 +158,13 @@ def resolve(queue: DataFrame, by_vendor: DataFrame, by_row: DataFrame) -> DataFr
     )
 
 
-def prefills_from_pairs(pairs: DataFrame, worksheet: DataFrame, property_of: dict[str, str]) -> DataFrame:
+def prefills_from_pairs(pairs: DataFrame, worksheet: DataFrame, rules: Rules) -> DataFrame:
     """Prefill labels of matched queue rows: ``pairs(q_id, w_id)``, ``worksheet(w_id, type, description)``."""
-    category, prop = type_category(F.col("type"), property_of)
+    category, prop = type_category(F.col("type"), rules)
     return join_unique(pairs, worksheet.select("w_id", "type", "description"), ["w_id"], "inner").select(
         F.col("q_id").alias("ord"),
         F.coalesce(category, F.lit("")).alias("category"),
         F.coalesce(prop, F.lit("")).alias("property"),
-        F.coalesce(expense_type(F.col("description")), F.lit("")).alias("expense_type"),
+        F.coalesce(expense_type(F.col("description"), rules), F.lit("")).alias("expense_type"),
     )
 

@@ -3,16 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.fixed_values import (
-    WORKSHEET_EXPENSE_TYPES,
-    WORKSHEET_SKIPPED_TYPES,
-    WORKSHEET_SPLIT_TYPES,
-    WORKSHEET_TYPE_OVERRIDES,
-)
 from ledgerloom.functions.dates import worksheet_date
 from ledgerloom.functions.money import SHARE, parse_money, share
 from ledgerloom.functions.text import first_rule, lookup, strip
@@ -21,29 +16,44 @@ from ledgerloom.scale import computed_once
 SPLIT = "STR - Split"
 
 
+@dataclass(frozen=True)
+class Rules:
+    """A bookkeeper's words, all lower case.
+
+    ``property_of``: type -> property. ``skipped`` and ``split``: types that are left out of reconciliation or belong to all
+    properties. ``fixed``: type -> (category, expense type) where the worksheet itself is booked. ``expense_types``: description ->
+    expense type; an exact entry first, then the first contained one in this order.
+    """
+
+    property_of: Mapping[str, str] = field(default_factory=dict)
+    skipped: Sequence[str] = ()
+    split: Sequence[str] = ()
+    fixed: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+    expense_types: Sequence[tuple[str, str]] = ()
+
+
 def _key(c: Column) -> Column:
     return strip(F.lower(F.coalesce(c, F.lit(""))))
 
 
-def type_category(type_: Column, property_of: Mapping[str, str]) -> tuple[Column, Column]:
-    """(category, property) of a worksheet type; both null when the type is unknown.
-
-    ``property_of`` maps lower-case type words to properties.
-    """
+def type_category(type_: Column, rules: Rules) -> tuple[Column, Column]:
+    """(category, property) of a worksheet type; both null when the type is unknown."""
     key = _key(type_)
-    prop = lookup(key, dict(property_of))
+    prop = lookup(key, dict(rules.property_of))
     category = (
-        F.when(key.isin(*WORKSHEET_SKIPPED_TYPES), "Skip")
-        .when(key.isin(*WORKSHEET_SPLIT_TYPES), SPLIT)
+        F.when(key.isin(*rules.skipped), "Skip")
+        .when(key.isin(*rules.split), SPLIT)
         .when(prop.isNotNull(), "STR")
     )
     return category, F.when(category == "STR", prop)
 
 
-def expense_type(description: Column) -> Column:
+def expense_type(description: Column, rules: Rules) -> Column:
     """Expense type of a worksheet description: exact entry, else first contained pattern; null if none."""
     key = _key(description)
-    return F.coalesce(lookup(key, dict(WORKSHEET_EXPENSE_TYPES)), first_rule(key, WORKSHEET_EXPENSE_TYPES))
+    if not rules.expense_types:
+        return F.lit(None).cast("string")
+    return F.coalesce(lookup(key, dict(rules.expense_types)), first_rule(key, rules.expense_types))
 
 
 def parse(rows: DataFrame) -> DataFrame:
@@ -53,17 +63,17 @@ def parse(rows: DataFrame) -> DataFrame:
     )
 
 
-def classify(rows: DataFrame, *, year: int, property_of: Mapping[str, str]) -> DataFrame:
+def classify(rows: DataFrame, *, year: int, rules: Rules) -> DataFrame:
     """Outcome per row: ``status`` is 'skipped', 'no_amount' or 'item'; undated rows stay in the year.
 
     Types with a prescribed outcome come first; a type that is neither one property nor a split is skipped.
     """
     parsed = parse(rows)
     key = _key(F.col("type"))
-    fixed_category = lookup(key, {k: c for k, (c, _) in WORKSHEET_TYPE_OVERRIDES.items()})
-    fixed_expense = lookup(key, {k: e for k, (_, e) in WORKSHEET_TYPE_OVERRIDES.items()})
-    category, prop = type_category(F.col("type"), property_of)
-    found = expense_type(F.col("description"))
+    fixed_category = lookup(key, {k: c for k, (c, _) in rules.fixed.items()})
+    fixed_expense = lookup(key, {k: e for k, (_, e) in rules.fixed.items()})
+    category, prop = type_category(F.col("type"), rules)
+    found = expense_type(F.col("description"), rules)
     fixed = fixed_category.isNotNull()
     in_year = F.col("txn_date").isNull() | (F.year("txn_date") == year)
     known = fixed | F.coalesce(category != "Skip", F.lit(False))

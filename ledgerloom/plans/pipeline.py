@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.fixed_values import CASHFLOW_CATEGORY_LABELS, PM_CATEGORY_LABELS, STR_LAYOUT
+from ledgerloom.fixed_values import STR_LAYOUT
 from ledgerloom.operators import categorize, guards, learning, matching, review, rollup, verify, worksheet
 from ledgerloom.operators.card import CardStatements
 from ledgerloom.operators.cashflow import CashFlowPages
@@ -33,10 +33,10 @@ class Business:
     pm_payer: str = ""
     payout_patterns: Sequence[str] = ()
     card_patterns: Sequence[str] = ("payment thank you",)
-    property_of_type: Mapping[str, str] = field(default_factory=dict)
+    worksheet_rules: worksheet.Rules = worksheet.Rules()
     aliases: Mapping[str, str] = field(default_factory=dict)
-    pm_labels: Mapping[str, str | None] = field(default_factory=lambda: PM_CATEGORY_LABELS)
-    cashflow_labels: Mapping[str, str | None] = field(default_factory=lambda: CASHFLOW_CATEGORY_LABELS)
+    pm_labels: Mapping[str, str | None] = field(default_factory=dict)
+    cashflow_labels: Mapping[str, str | None] = field(default_factory=dict)
     min_confidence: float = 0.80
     card_sign: int = 1
     property_rules: Sequence[tuple[str, str]] = ()
@@ -131,7 +131,7 @@ def review_tables(
             queue.select(F.col("ord").alias("q_id"), F.col("ord").alias("q_ord"), "date", "amount", "description"),
             parsed.select("w_id", "w_ord", F.col("txn_date").alias("date"), F.col("amount").alias("cost"), "source"),
         )
-        prefills = durable(review.prefills_from_pairs(pairs, parsed, dict(business.property_of_type)))
+        prefills = durable(review.prefills_from_pairs(pairs, parsed, business.worksheet_rules))
     return review.vendor_table(queue, prefills), review.transaction_table(queue, year=year, prefills=prefills)
 
 
@@ -209,7 +209,7 @@ def build_from_worksheet(
     worksheet_rows: DataFrame, business: Business, *, year: int, earnings: DataFrame, interest: DataFrame
 ) -> DataFrame:
     """Short-term totals straight from the bookkeeper's worksheet, without review."""
-    classified = worksheet.classify(worksheet_rows, year=year, property_of=business.property_of_type)
+    classified = worksheet.classify(worksheet_rows, year=year, rules=business.worksheet_rules)
     items = (
         worksheet.to_items(classified, business.str_properties)
         .unionByName(rollup.earning_items(rollup.net_payout_by_property(earnings)))

@@ -110,11 +110,11 @@ WORKSHEET = "date STRING, cost STRING, source STRING, type STRING, description S
 
 def test_worksheet(spark):
     sheet = spark.createDataFrame([
-        ("1/5/24", "$10.00", "x", "Elm", "Cleaning"), ("", "8", "x", "Short Term Rentals", "Odd"), ("1/5/23", "9", "x", "Elm", "HOA"),
-        ("1/5/24", "", "x", "Elm", "HOA"), ("1/5/24", "4.00", "x", "Home Office", "HOA"), ("1/5/24", "5", "x", "Boat", "HOA")], WORKSHEET)
-    c = worksheet.classify(sheet, year=2024, property_of={"elm": "S1"})
+        ("1/5/24", "$10.00", "x", "Elm", "Cleaning"), ("", "8", "x", "All Cottages", "Odd"), ("1/5/23", "9", "x", "Elm", "HOA"),
+        ("1/5/24", "", "x", "Elm", "HOA"), ("1/5/24", "4.00", "x", "Garage", "HOA"), ("1/5/24", "5", "x", "Boat", "HOA")], WORKSHEET)
+    c = worksheet.classify(sheet, year=2024, rules=worksheet.Rules({"elm": "S1"}, ("garage",), ("all cottages",), {"garage": ("STR - Split", "other")}, (("cleaning", "Housekeeping"), ("hoa", "Dues"))))
     assert rows(worksheet.to_items(c, ["S1", "S2"])) == sorted([
-        ("S1", "Cleaning Fees", d("10.0000000000")), ("S1", "other", d("4.0000000000")), ("S2", "other", d("4.0000000000")),
+        ("S1", "Housekeeping", d("10.0000000000")), ("S1", "other", d("4.0000000000")), ("S2", "other", d("4.0000000000")),
         ("S1", "other", d("2.0000000000")), ("S2", "other", d("2.0000000000"))], key=repr)
     assert rows(worksheet.unmapped_descriptions(c)) == [("Odd", 1)]
     assert one(worksheet.counters(c)) == (6, 2, 2)
@@ -269,10 +269,10 @@ def test_pipeline(spark):
     interest = spark.createDataFrame([(2024, "L1", d("7.00"))], "year INT, property STRING, amount DECIMAL(18,2)")
     cash = spark.createDataFrame([("L1 St", "Jan 2024 to Dec 2024", "expense", "Water", d("3.00"))],
                                  "property STRING, period STRING, side STRING, category STRING, amount DECIMAL(18,2)")
-    business = pipeline.Business(["S1"], ["L1"], aliases={"L1 St": "L1"})
+    business = pipeline.Business(["S1"], ["L1"], aliases={"L1 St": "L1"}, cashflow_labels={"Water": "Services"})
     st, lt = pipeline.build(tagged.filter("source = 'auto'"), none, business, year=2024, earnings=earnings, interest=interest, cashflow=cash,
                             double_counted=ledger.filter("description = 'Plain'"))
     assert rows(st) == [("S1", "Supplies", d("5.0000000000"))]
-    assert rows(lt) == [("L1", "Interest expense", d("7.0000000000")), ("L1", "Utilities", d("3.0000000000"))]
+    assert rows(lt) == [("L1", "Interest expense", d("7.0000000000")), ("L1", "Services", d("3.0000000000"))]
     filed = spark.createDataFrame([("S1", 29, "Supplies", "5.00")], "sheet STRING, row_no INT, label STRING, raw STRING")
     assert one(pipeline.check_filing(filed, st), "within_tolerance") == (True,)

@@ -3,11 +3,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.fixed_values import PM_CATEGORY_LABELS, WORKSHEET_EXPENSE_TYPES
 from ledgerloom.functions import dates, money, text
 from ledgerloom.functions.similarity import edit_similarity, matching_blocks_ratio, token_set_score
 from ledgerloom.operators.layout import unit_and_category
-from ledgerloom.operators.worksheet import expense_type, type_category
+from ledgerloom.operators.worksheet import Rules, expense_type, type_category
+
 from tests.helpers import d
 
 
@@ -72,20 +72,20 @@ def test_year_in_period(spark):
 
 
 def test_lookup_and_status(spark):
-    c = F.col("x")
-    got = values(spark, ["Water", "Security Deposits", "Moon", None], text.lookup(c, PM_CATEGORY_LABELS), text.map_status(c, PM_CATEGORY_LABELS))
-    assert got == [("Utilities", "mapped"), (None, "excluded"), (None, "unknown"), (None, "unknown")]
+    c, labels = F.col("x"), {"Water": "Services", "Security Deposits": None}
+    got = values(spark, ["Water", "Security Deposits", "Moon", None], text.lookup(c, labels), text.map_status(c, labels))
+    assert got == [("Services", "mapped"), (None, "excluded"), (None, "unknown"), (None, "unknown")]
 
 
 def test_expense_type_prefers_exact_then_first_rule(spark):
-    got = values(spark, ["repair", "Deep cleaning and supplies", "Utility bill", "??", None], expense_type(F.col("x")))
-    assert got == ["Repairs and Maintenance", "Cleaning Fees", "Utilities", None, None]
-    for key, value in WORKSHEET_EXPENSE_TYPES[:3]:
-        assert values(spark, [key], expense_type(F.col("x"))) == [value]
+    rules = Rules(expense_types=(("paint", "Colour"), ("soap", "Wash"), ("paint and soap", "Both")))
+    got = values(spark, ["paint", "Soap for paint", "Paint and soap", "??", None], expense_type(F.col("x"), rules))
+    assert got == ["Colour", "Colour", "Both", None, None]
+    assert values(spark, ["paint"], expense_type(F.col("x"), Rules())) == [None]
 
 
 def test_worksheet_types(spark):
-    got = values(spark, [" Elm ", "Short Term Rentals", "home office", "Boat"], *type_category(F.col("x"), {"elm": "S1"}))
+    got = values(spark, [" Elm ", "All Cottages", "garage", "Boat"], *type_category(F.col("x"), Rules({"elm": "S1"}, ("garage",), ("all cottages",))))
     assert got == [("STR", "S1"), ("STR - Split", None), ("Skip", None), (None, None)]
 
 

@@ -97,8 +97,8 @@ FROM (SELECT CAST(reference AS BIGINT) AS key, max(date) AS last_paid, sum(cash_
 ADAPTERS["worksheet_base"] = """
 SELECT txn_id, date, amount, account,
   CAST(abs(amount) + CASE txn_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 0.25 ELSE 0.75 END AS DECIMAL(18,2)) AS cost,
-  CASE txn_id % 8 WHEN 0 THEN 'Elm' WHEN 1 THEN ' OAK ' WHEN 2 THEN 'pine' WHEN 3 THEN 'Short Term Rentals'
-       WHEN 4 THEN 'Home Office' WHEN 5 THEN 'Storefront' WHEN 6 THEN 'Boat' ELSE 'Ash' END AS type,
+  CASE txn_id % 8 WHEN 0 THEN 'Elm' WHEN 1 THEN ' OAK ' WHEN 2 THEN 'pine' WHEN 3 THEN 'All Cottages'
+       WHEN 4 THEN 'Garage' WHEN 5 THEN 'Booth' WHEN 6 THEN 'Boat' ELSE 'Ash' END AS type,
   CASE txn_id % 7 WHEN 0 THEN 'Cleaning Fees' WHEN 1 THEN 'Lawn mowing' WHEN 2 THEN 'HOA dues' WHEN 3 THEN 'wifi service'
        WHEN 4 THEN 'Mystery' WHEN 5 THEN ' Supplies ' ELSE 'Pest control and repairs' END AS label,
   description AS source

@@ -12,7 +12,7 @@ from ledgerloom.operators import guards, matching
 from ledgerloom.plans import pipeline
 from ledgerloom.scale import durable, shared_folder
 from ledgerloom.sources import sinks, tables
-from workload import render
+from workload import maps, render
 from workload.adapters import LTR_PROPERTIES, PAYER, PAYOUT, STR_PROPERTIES, Source
 from workload.queries import _CF_LABEL, CASHFLOW_SQL, DOUBLE_SQL, double_counted
 from workload.registry import ORACLES, QUERIES, query
@@ -207,7 +207,7 @@ def _(s: Source) -> DataFrame:
     deposits, pm_txns = durable(s.adapter("deposits")), durable(s.adapter("pm_txn"))
     booked = deposits.select("date", "description", "amount", F.lit("LTR").alias("category"), F.lit("L1").alias("property"), F.lit("Deposits").alias("expense_type"))
     business = pipeline.Business(
-        STR_PROPERTIES, LTR_PROPERTIES, pm_payer=PAYER, aliases={"L1 Elm St, IA": "L1"})
+        STR_PROPERTIES, LTR_PROPERTIES, pm_payer=PAYER, pm_labels=maps.PM_LABELS, cashflow_labels=maps.CASHFLOW_LABELS, aliases={"L1 Elm St, IA": "L1"})
     built = pipeline.build_year(
         booked, booked.limit(0), business, year=1998, earnings=tables.empty_earnings(s.spark),
         interest=s.spark.createDataFrame([], "year INT, property STRING, amount DECIMAL(18,2)"), deposits=deposits,

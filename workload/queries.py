@@ -20,14 +20,13 @@ from ledgerloom.operators import pm_text
 from ledgerloom.plans import pipeline
 from ledgerloom.scale import durable, shared_folder
 from ledgerloom.sources import documents, sinks, tables
-from workload import render
+from workload import maps, render
 from workload.adapters import CARDS, LTR_PROPERTIES, PAYER, STR_PROPERTIES, Source
 from workload.registry import query
 
 SPLIT_YEAR = 1998
 PAYOUT_PATTERNS = ("furniture kenya", "household peru")
 CARD_PATTERNS = ("building iran",)
-PROPERTY_OF = {"elm": "S1", "oak": "S2", "pine": "S3", "ash": "S4"}
 ALIASES = {"L1": "L1 Street", "L3": "L3 Avenue"}
 
 # ---------------------------------------------------------------- SQL pieces shared by the oracles
@@ -145,8 +144,8 @@ def _(s: Source) -> DataFrame:
 
 
 @query("category_map", f"""
-SELECT category, {case_sql('category', fixed.PM_CATEGORY_LABELS)} AS label,
-  CASE WHEN {case_sql('category', fixed.PM_CATEGORY_LABELS)} IS NOT NULL THEN 'mapped'
+SELECT category, {case_sql('category', maps.PM_LABELS)} AS label,
+  CASE WHEN {case_sql('category', maps.PM_LABELS)} IS NOT NULL THEN 'mapped'
        WHEN category IN ('Security Deposits', 'Security Deposits Clearing', 'Owner Distributions / S corp Distributions') THEN 'excluded'
        ELSE 'unknown' END AS map_status,
   count(*) AS n, CAST(sum(coalesce(nullif(cash_in, 0), nullif(cash_out, 0), 0)) AS DOUBLE) AS amount
@@ -154,7 +153,7 @@ FROM <<pm_txn>> AS p GROUP BY category""")
 def _(s: Source) -> DataFrame:
     c = F.col("category")
     return s.adapter("pm_txn").groupBy(
-        "category", lookup(c, fixed.PM_CATEGORY_LABELS).alias("label"), map_status(c, fixed.PM_CATEGORY_LABELS).alias("map_status")
+        "category", lookup(c, maps.PM_LABELS).alias("label"), map_status(c, maps.PM_LABELS).alias("map_status")
     ).agg(F.count(F.lit(1)).alias("n"), F.sum(cash_amount(F.col("cash_in"), F.col("cash_out"))).alias("amount"))
 
 
@@ -538,12 +537,12 @@ SELECT property, 'D', CASE WHEN category = 'STR' THEN '=SUM(D5:D9)' ELSE CAST(am
 @query("pm_detail", f"""
 SELECT {case_sql('property', ALIASES)} AS alias, property, CAST(date AS STRING) AS date, 'pm' AS source, 'order ' || reference AS description,
   CAST(coalesce(nullif(cash_in, 0), nullif(cash_out, 0), 0) AS DOUBLE) AS amount,
-  {case_sql('category', fixed.PM_CATEGORY_LABELS)} AS template_category, 'payee=' || payee AS notes
-FROM <<pm_txn>> AS p WHERE year(date) = 1998 AND {case_sql('category', fixed.PM_CATEGORY_LABELS)} IS NOT NULL""".replace(
+  {case_sql('category', maps.PM_LABELS)} AS template_category, 'payee=' || payee AS notes
+FROM <<pm_txn>> AS p WHERE year(date) = 1998 AND {case_sql('category', maps.PM_LABELS)} IS NOT NULL""".replace(
     f"{case_sql('property', ALIASES)} AS alias, property", f"coalesce({case_sql('property', ALIASES)}, property) AS property"))
 def _(s: Source) -> DataFrame:
     rows = s.adapter("pm_txn").withColumn("description", F.concat(F.lit("order "), "reference"))
-    return rollup.pm_detail(rows, year=1998, labels=fixed.PM_CATEGORY_LABELS, aliases=ALIASES)
+    return rollup.pm_detail(rows, year=1998, labels=maps.PM_LABELS, aliases=ALIASES)
 
 
 @query("flatten_reports", f"""
@@ -568,12 +567,12 @@ def _(s: Source) -> DataFrame:
 # ---------------------------------------------------------------- worksheet
 
 WORKSHEET_CLASS_SQL = """
-SELECT *, CASE lower(trim(type)) WHEN 'storefront' THEN 'STR - Split' WHEN 'home office' THEN 'STR - Split'
-    WHEN 'short term rentals' THEN 'STR - Split' WHEN 'elm' THEN 'STR' WHEN 'oak' THEN 'STR' WHEN 'pine' THEN 'STR' WHEN 'ash' THEN 'STR' END AS cat,
+SELECT *, CASE lower(trim(type)) WHEN 'booth' THEN 'STR - Split' WHEN 'garage' THEN 'STR - Split'
+    WHEN 'all cottages' THEN 'STR - Split' WHEN 'elm' THEN 'STR' WHEN 'oak' THEN 'STR' WHEN 'pine' THEN 'STR' WHEN 'ash' THEN 'STR' END AS cat,
   CASE lower(trim(type)) WHEN 'elm' THEN 'S1' WHEN 'oak' THEN 'S2' WHEN 'pine' THEN 'S3' WHEN 'ash' THEN 'S4' END AS prop,
-  CASE lower(trim(type)) WHEN 'storefront' THEN 'Advertising' WHEN 'home office' THEN 'other' ELSE
-    CASE lower(trim(label)) WHEN 'cleaning fees' THEN 'Cleaning Fees' WHEN 'lawn mowing' THEN 'Landscaping' WHEN 'hoa dues' THEN 'HOA'
-      WHEN 'wifi service' THEN 'Commissions/Service Fees' WHEN 'supplies' THEN 'Supplies' WHEN 'pest control and repairs' THEN 'Pest Control'
+  CASE lower(trim(type)) WHEN 'booth' THEN 'Promotion' WHEN 'garage' THEN 'other' ELSE
+    CASE lower(trim(label)) WHEN 'cleaning fees' THEN 'Housekeeping' WHEN 'lawn mowing' THEN 'Garden' WHEN 'hoa dues' THEN 'Dues'
+      WHEN 'wifi service' THEN 'Services' WHEN 'supplies' THEN 'Goods' WHEN 'pest control and repairs' THEN 'Services'
       ELSE 'other' END END AS exp
 FROM <<worksheet_base>> AS w WHERE txn_id % 29 <> 0 AND (txn_id % 31 = 0 OR year(date) = 1999)
 """
@@ -598,16 +597,16 @@ SELECT property, template_category, count(*) AS n, CAST(round(sum(amount), 2) AS
   SELECT p.property, exp, CAST(cost / 4.0 AS DECIMAL(28,10)) FROM ({WORKSHEET_CLASS_SQL}) AS c, (VALUES ('S1'), ('S2'), ('S3'), ('S4')) AS p(property) WHERE cat = 'STR - Split'
 ) AS i GROUP BY property, template_category""")
 def _(s: Source) -> DataFrame:
-    classified = worksheet.classify(worksheet_rows(s), year=1999, property_of=PROPERTY_OF)
+    classified = worksheet.classify(worksheet_rows(s), year=1999, rules=maps.WORKSHEET)
     items = worksheet.to_items(classified, STR_PROPERTIES)
     return items.groupBy("property", "template_category").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
 
 
 @query("worksheet_unmapped", f"""
 SELECT label AS description, count(*) AS occurrences FROM ({WORKSHEET_CLASS_SQL}) AS c
-WHERE cat IS NOT NULL AND exp = 'other' AND lower(trim(type)) <> 'home office' GROUP BY label""")
+WHERE cat IS NOT NULL AND exp = 'other' AND lower(trim(type)) <> 'garage' GROUP BY label""")
 def _(s: Source) -> DataFrame:
-    return worksheet.unmapped_descriptions(worksheet.classify(worksheet_rows(s), year=1999, property_of=PROPERTY_OF))
+    return worksheet.unmapped_descriptions(worksheet.classify(worksheet_rows(s), year=1999, rules=maps.WORKSHEET))
 
 
 @query("worksheet_counters", f"""
@@ -616,7 +615,7 @@ SELECT count(*) AS rows_read,
   count(*) FILTER (WHERE (txn_id % 31 = 0 OR year(date) = 1999) AND txn_id % 29 <> 0 AND txn_id % 8 IN (3, 4, 5)) AS split_rows
 FROM <<worksheet_base>> AS w""")
 def _(s: Source) -> DataFrame:
-    return worksheet.counters(worksheet.classify(worksheet_rows(s), year=1999, property_of=PROPERTY_OF))
+    return worksheet.counters(worksheet.classify(worksheet_rows(s), year=1999, rules=maps.WORKSHEET))
 
 
 # ---------------------------------------------------------------- linkage
@@ -631,11 +630,11 @@ def _(s: Source) -> DataFrame:
 
 
 @query("match_prefills", f"""
-SELECT w.txn_id AS ord, CASE lower(trim(type)) WHEN 'home office' THEN 'Skip' WHEN 'short term rentals' THEN 'STR - Split' WHEN 'elm' THEN 'STR'
+SELECT w.txn_id AS ord, CASE lower(trim(type)) WHEN 'garage' THEN 'Skip' WHEN 'all cottages' THEN 'STR - Split' WHEN 'elm' THEN 'STR'
     WHEN 'oak' THEN 'STR' WHEN 'pine' THEN 'STR' WHEN 'ash' THEN 'STR' ELSE '' END AS category,
   CASE lower(trim(type)) WHEN 'elm' THEN 'S1' WHEN 'oak' THEN 'S2' WHEN 'pine' THEN 'S3' WHEN 'ash' THEN 'S4' ELSE '' END AS property,
-  CASE lower(trim(label)) WHEN 'cleaning fees' THEN 'Cleaning Fees' WHEN 'lawn mowing' THEN 'Landscaping' WHEN 'hoa dues' THEN 'HOA'
-      WHEN 'wifi service' THEN 'Commissions/Service Fees' WHEN 'supplies' THEN 'Supplies' WHEN 'pest control and repairs' THEN 'Pest Control'
+  CASE lower(trim(label)) WHEN 'cleaning fees' THEN 'Housekeeping' WHEN 'lawn mowing' THEN 'Garden' WHEN 'hoa dues' THEN 'Dues'
+      WHEN 'wifi service' THEN 'Services' WHEN 'supplies' THEN 'Goods' WHEN 'pest control and repairs' THEN 'Services'
       ELSE '' END AS expense_type
 FROM <<worksheet_base>> AS w WHERE txn_id % 29 <> 0 AND txn_id % 31 <> 0 AND txn_id % 3 <> 2""")
 def _(s: Source) -> DataFrame:
@@ -643,7 +642,7 @@ def _(s: Source) -> DataFrame:
     rows = worksheet.parse(worksheet_rows(s))
     pairs = matching.match_date_amount(
         ledger, rows.select("w_id", "w_ord", F.col("txn_date").alias("date"), F.col("amount").alias("cost"), "source"), similarity="edit")
-    return review.prefills_from_pairs(pairs, rows, PROPERTY_OF)
+    return review.prefills_from_pairs(pairs, rows, maps.WORKSHEET)
 
 
 MATCHED_SQL = "SELECT * FROM <<decision>> AS d WHERE txn_id % 6 <= 3"
@@ -907,7 +906,7 @@ def _(s: Source) -> DataFrame:
     return verify.report_lines(compared(s))
 
 
-_PM_LABEL = case_sql("category", fixed.PM_CATEGORY_LABELS)
+_PM_LABEL = case_sql("category", maps.PM_LABELS)
 PARSED_SQL = f"""
 SELECT property, {_PM_LABEL} AS template_category, sum(coalesce(nullif(cash_in, 0), nullif(cash_out, 0), 0)) AS parsed
 FROM <<pm_txn>> AS p WHERE year(date) = 1999 AND {_PM_LABEL} IS NOT NULL GROUP BY 1, 2
@@ -916,7 +915,7 @@ FROM <<pm_txn>> AS p WHERE year(date) = 1999 AND {_PM_LABEL} IS NOT NULL GROUP B
 
 @query("pm_totals", f"SELECT property, template_category, CAST(parsed AS DOUBLE) AS parsed FROM ({PARSED_SQL}) AS p")
 def _(s: Source) -> DataFrame:
-    return rollup.pm_totals(s.adapter("pm_txn"), year=1999, labels=fixed.PM_CATEGORY_LABELS)
+    return rollup.pm_totals(s.adapter("pm_txn"), year=1999, labels=maps.PM_LABELS)
 
 
 @query("parsed_vs_filed", f"""
@@ -925,7 +924,7 @@ SELECT property, template_category, CAST(parsed AS DOUBLE) AS parsed,
   CAST(CASE WHEN property = 'L2' OR template_category = 'Plumbing' THEN parsed ELSE -1 END AS DOUBLE) AS delta
 FROM ({PARSED_SQL}) AS p""")
 def _(s: Source) -> DataFrame:
-    parsed = durable(rollup.pm_totals(s.adapter("pm_txn"), year=1999, labels=fixed.PM_CATEGORY_LABELS))
+    parsed = durable(rollup.pm_totals(s.adapter("pm_txn"), year=1999, labels=maps.PM_LABELS))
     filed = parsed.filter("property <> 'L2' AND template_category <> 'Plumbing'").select(
         "property", F.upper("template_category").alias("label"), F.length("template_category").alias("row_no"),
         (F.col("parsed") + 1).alias("filed"))
@@ -1160,7 +1159,7 @@ def _(s: Source) -> DataFrame:
     return cashflow_parsed(s).totals()
 
 
-_CF_LABEL = case_sql("category", fixed.CASHFLOW_CATEGORY_LABELS)
+_CF_LABEL = case_sql("category", maps.CASHFLOW_LABELS)
 
 
 @query("cashflow_items", f"""
@@ -1169,7 +1168,7 @@ SELECT CASE property WHEN 'L1' THEN 'L1' ELSE property || ' Elm St, IA' END AS p
 FROM ({CASHFLOW_SQL}) AS c WHERE year = 1998 AND {_CF_LABEL} IS NOT NULL""")
 def _(s: Source) -> DataFrame:
     return rollup.cashflow_items(
-        cashflow_parsed(s).summaries(), year=1998, labels=fixed.CASHFLOW_CATEGORY_LABELS, aliases={"L1 Elm St, IA": "L1"})
+        cashflow_parsed(s).summaries(), year=1998, labels=maps.CASHFLOW_LABELS, aliases={"L1 Elm St, IA": "L1"})
 
 
 # ---------------------------------------------------------------- documents
@@ -1264,7 +1263,7 @@ def _(s: Source) -> DataFrame:
 
 BUSINESS = pipeline.Business(
     STR_PROPERTIES, LTR_PROPERTIES, cards=CARDS, pm_payer=PAYER, payout_patterns=PAYOUT_PATTERNS, card_patterns=CARD_PATTERNS,
-    property_of_type=PROPERTY_OF, card_sign=-1,
+    worksheet_rules=maps.WORKSHEET, card_sign=-1,
 )
 STATEMENT_ROWS_SQL = f"""
 SELECT 'checking' AS kind, amount,
