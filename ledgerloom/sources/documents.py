@@ -11,6 +11,8 @@ from ledgerloom.functions.text import strip
 
 UNKNOWN = "unknown"
 MIN_TEXT_CHARS = 10
+#: Page numbers of a document that become one text first.
+PAGES_TOGETHER = 256
 
 
 def classify_name(name: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -47,10 +49,17 @@ def count_by_type(files: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFra
 
 
 def full_text(pages: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Text of each document: its pages in order, joined by a line break."""
-    ordered = F.array_sort(F.collect_list(F.struct("page_no", "text")))
-    joined = F.array_join(F.transform(ordered, lambda p: F.coalesce(p["text"], F.lit(""))), "\n")
-    return pages.groupBy(*keys).agg(joined.alias("text"))
+    """Text of each document: its pages in order, joined by a line break.
+
+    Runs of ``PAGES_TOGETHER`` page numbers become one text each before a document's runs meet, so a task never lists
+    a long document page by page.
+    """
+    def joined(order: str) -> Column:
+        ordered = F.array_sort(F.collect_list(F.struct(order, "text")))
+        return F.array_join(F.transform(ordered, lambda p: F.coalesce(p["text"], F.lit(""))), "\n").alias("text")
+
+    runs = pages.groupBy(*keys, F.floor(F.col("page_no") / PAGES_TOGETHER).alias("__run")).agg(joined("page_no"))
+    return runs.groupBy(*keys).agg(joined("__run"))
 
 
 def page_lines(pages: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

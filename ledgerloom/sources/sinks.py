@@ -7,20 +7,34 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.tables import map_versions
+from ledgerloom.sources.tables import load_vendor_map, map_changes
+
+#: Changes after which a save stores the whole map again.
+COMPACT = 8
 
 
 def save_vendor_map(vendor_map: DataFrame, path: str) -> None:
-    """Store a new version of the map, sorted by vendor, then point to it.
+    """Store a new version of the map: the vendors that changed or went, sorted by vendor; then point to it.
 
-    Versions are never overwritten: a run that dies leaves the version before it in place, and the map may be computed from the
-    one it follows. The pointer is one appended row, which stores without an atomic rename can do as well.
+    The first version, and one after ``COMPACT`` changes, is the whole map. Versions are never overwritten: a run that dies leaves the
+    version before it in place, and the map may be computed from the one it follows. The pointer is one appended row, which stores
+    without an atomic rename can do as well.
     """
-    spark, name = vendor_map.sparkSession, uuid.uuid4().hex
-    vendor_map.orderBy("vendor").write.parquet(f"{path.rstrip('/')}/versions/{name}")
-    known = map_versions(spark, path)
-    number = 0 if known is None else known.agg(F.max("number")).first()[0] + 1
-    spark.createDataFrame([(number, name)], "number LONG, name STRING").coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/pointer")
+    spark, name, root = vendor_map.sparkSession, uuid.uuid4().hex, path.rstrip("/")
+    versions = map_changes(spark, path)
+    whole = not versions or len(versions) > COMPACT
+    rows = vendor_map.withColumn("gone", F.lit(False)) if whole else _changed(vendor_map, load_vendor_map(spark, path))
+    rows.orderBy("vendor").write.parquet(f"{root}/versions/{name}")
+    number = versions[-1][0] + 1 if versions else 0
+    spark.createDataFrame([(number, name, whole)], "number LONG, name STRING, whole BOOLEAN").coalesce(1).write.mode("append").parquet(f"{root}/pointer")
+
+
+def _changed(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Rows of ``new`` that ``old`` lacks or has with other values, and rows of ``old`` that are no longer there, as gone."""
+    values = [c for c in old.columns if c != "vendor"]
+    side = lambda df, name: df.select("vendor", F.struct(*values).alias(name))
+    both = side(new, "new").join(side(old, "old"), "vendor", "full").filter(~F.col("new").eqNullSafe(F.col("old")))
+    return both.select("vendor", F.coalesce("new", "old").alias("v"), F.col("new").isNull().alias("gone")).select("vendor", "v.*", "gone").select(*old.columns, "gone")
 
 
 def write_stage(df: DataFrame, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,17 +33,34 @@ def stage_path(root: str, name: str, year: int) -> str:
 
 
 def map_versions(spark: SparkSession, path: str) -> DataFrame | None:
-    """Stored versions of a vendor map, one row per save; None before the first."""
-    return _read(spark, f"{path.rstrip('/')}/pointer", "number LONG, name STRING")
+    """Stored versions of a vendor map, one row per save; None before the first.
 
+    A version is a whole map or, if not ``whole``, the vendors that differ from the version before it.
+    """
+    return _read(spark, f"{path.rstrip('/')}/pointer", "number LONG, name STRING, whole BOOLEAN")
 
-def load_vendor_map(spark: SparkSession, path: str) -> DataFrame:
-    """The learned map; empty when nothing was saved yet."""
+
+def map_changes(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and name of the last whole version and of all after it: few, as every ``sinks.COMPACT`` changes make a whole one."""
     known = map_versions(spark, path)
     if known is None:
+        return []
+    whole = known.filter(F.coalesce("whole", F.lit(True))).agg(F.max("number").alias("first"))
+    return [tuple(r) for r in known.join(whole, F.col("number") >= F.col("first")).orderBy("number").select("number", "name").collect()]
+
+
+def load_vendor_map(spark: SparkSession, path: str) -> DataFrame:
+    """The learned map, every vendor as the newest version has it; empty when nothing was saved yet."""
+    versions = map_changes(spark, path)
+    if not versions:
         return spark.createDataFrame([], VENDOR_MAP)
-    name = known.agg(F.max_by("name", "number")).first()[0]
-    return spark.read.schema(VENDOR_MAP).parquet(f"{path.rstrip('/')}/versions/{name}")
+    stored = lambda name: spark.read.schema(f"{VENDOR_MAP}, gone BOOLEAN").parquet(f"{path.rstrip('/')}/versions/{name}")
+    if len(versions) == 1:
+        return stored(versions[0][1]).drop("gone")
+    log = reduce(DataFrame.unionByName, [stored(name).withColumn("number", F.lit(number)) for number, name in versions])
+    newest = log.groupBy("vendor").agg(F.max_by(F.struct(*[c for c in log.columns if c not in ("vendor", "number")]), "number").alias("v"))
+    kept = newest.select("vendor", "v.*").filter("gone IS NULL OR NOT gone")
+    return kept.select(*[c for c in log.columns if c not in ("number", "gone")])
 
 
 def read_stage(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -234,6 +234,34 @@ def test_vendor_map_is_replaced_from_itself(spark, tmp_path):
     assert rows(tables.load_vendor_map(spark, path), "vendor", "occurrences", "learned_from") == [("a", 1, [2023]), ("b", 2, [2023, 2024])]
 
 
+def test_text_of_many_pages(spark):
+    pages = spark.range(3000).selectExpr("id % 2 AS doc_id", "CAST((id * 7919) % 3000 AS INT) AS page_no", "CAST((id * 7919) % 3000 AS STRING) AS text").filter("page_no <> 40")
+    got = {r["doc_id"]: r["text"].split("\n") for r in documents.full_text(pages).collect()}
+    assert sorted(map(int, got[0] + got[1])) == [k for k in range(3000) if k != 40] and all(list(map(int, t)) == sorted(map(int, t)) for t in got.values())
+
+
+def test_vendor_map_stores_changes_only(spark, tmp_path):
+    path = str(tmp_path / "map")
+    entry = lambda v, n: (v, "STR", 0.9, n, [2023, 2024], False, "", None, "r")
+    state = {f"v{k:03d}": 1 for k in range(300)}
+    sizes, want_sizes = [], []
+    for step in range(12):
+        if step:
+            changed = [f"v{(17 * step + k) % 300:03d}" for k in range(10)] + [f"new{step}"]
+            for v in changed:
+                state[v] = state.get(v, 0) + 1
+            gone = state.pop(f"v{299 - step:03d}", None)
+            want_sizes.append(len(state) if step == 9 else len(set(changed) & set(state)) + (gone is not None))
+        sinks.save_vendor_map(spark.createDataFrame([entry(*x) for x in state.items()], VENDOR_MAP), path)
+        assert {r["vendor"]: r["occurrences"] for r in tables.load_vendor_map(spark, path).collect()} == state
+        name = tables.map_changes(spark, path)[-1][1]
+        stored = [r["vendor"] for f in sorted((tmp_path / "map" / "versions" / name).glob("part-*.parquet")) for r in spark.read.parquet(str(f)).collect()]
+        assert stored == sorted(stored)
+        sizes.append(len(stored))
+    assert sizes == [300, *want_sizes]
+    assert tables.load_vendor_map(spark, path).columns == spark.createDataFrame([], VENDOR_MAP).columns
+
+
 def test_detail_replaces_only_its_properties(spark, tmp_path):
     path = str(tmp_path / "detail")
     make = lambda p, v: spark.createDataFrame([(p, "2024-01-01", v)], "property STRING, date STRING, notes STRING")

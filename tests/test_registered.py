@@ -14,9 +14,11 @@ from workload.registry import QUERIES
 
 TEXT = [n for n in queries() if n == "pipeline" or n.startswith("op")]
 
-CHECKED = ("vendor_key", "learn_vendor_map", "review_transactions", "pnl_scanned_layout", "worksheet_items", "double_count",
+CHECKED = ("vendor_key", "learn_vendor_map", "review_transactions", "pnl_scanned_layout", "double_count",
            "duplicate_members", "stmt_generic", "pm_text", "cashflow", "compare_report", "match_date_amount_contested",
-           "match_fuzzy_contested", "double_count_contested", "double_count_strict", "pm_detail_sink", "build_year")
+           "match_fuzzy_contested", "double_count_contested", "double_count_strict", "pm_detail_sink", "build_year",
+           "stmt_card_totals", "match_date_amount_crowded", "match_fuzzy_between", "duplicates_strict", "pm_layout_errors", "pm_layout_long",
+           "cashflow_long", "vendor_map_roundtrip", "category_map", "worksheet_items", "match_prefills", "full_text")
 
 
 def key(row):

@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import guards, matching
+from ledgerloom.operators.cashflow import CashFlowPages
+from ledgerloom.operators.layout import OwnerStatements
 from ledgerloom.plans import pipeline
 from ledgerloom.scale import durable, shared_folder
 from ledgerloom.sources import sinks, tables
 from workload import maps, render
 from workload.adapters import LTR_PROPERTIES, PAYER, PAYOUT, STR_PROPERTIES, Source
-from workload.queries import _CF_LABEL, CASHFLOW_SQL, DOUBLE_SQL, double_counted
+from workload.queries import _CF_LABEL, CASHFLOW_SQL, DOUBLE_SQL, LAYOUT_SQL, double_counted
 from workload.registry import ORACLES, QUERIES, query
 
 #: rows per group of rows that can compete; half of them seek, half are offered
@@ -195,6 +197,43 @@ def _(s: Source) -> DataFrame:
     return pairs
 
 
+@query("duplicates_strict", ORACLES["duplicates"])
+def _(s: Source) -> DataFrame:
+    """Strict mode: any group of duplicates is an error, which carries all of them."""
+    groups = guards.duplicate_groups(s.adapter("ledger_lines"))
+    try:
+        guards.enforce_empty(groups)
+    except guards.GuardError as error:
+        return error.failed
+    return groups
+
+
+@query("pm_layout_errors", f"""
+SELECT doc_id, 'no property sections' AS error FROM (SELECT DISTINCT doc_id FROM ({LAYOUT_SQL}) AS x) AS d WHERE doc_id % 2 = 0
+UNION ALL SELECT -doc_id, 'no extractable text' FROM (SELECT DISTINCT doc_id FROM ({LAYOUT_SQL}) AS x) AS d""")
+def _(s: Source) -> DataFrame:
+    """Owner statements whose property headings are illegible, and documents without any words."""
+    words = render.layout_words(s.adapter("ledger"))
+    spoilt = durable(words.withColumn("text", F.when((F.col("doc_id") % 2 == 0) & (F.col("text") == "SW"), "??").otherwise(F.col("text"))))
+    listed = words.select("doc_id").distinct()
+    return OwnerStatements(spoilt, render.PROPERTY_RULES, "SW ").errors(listed.unionByName(listed.select((-F.col("doc_id")).alias("doc_id"))))
+
+
+@query("pm_layout_long", ORACLES["pm_layout"])
+def _(s: Source) -> DataFrame:
+    """The way of very long documents: states are carried from page to page, no task holds a document."""
+    statements = OwnerStatements(durable(render.layout_words(s.adapter("ledger"))), render.PROPERTY_RULES, "SW ", spread=True)
+    return statements.transactions().select(
+        "doc_id", "property", "date", "payee", "txn_type", "reference", "description", "cash_in", "cash_out", "balance", "unit", "category")
+
+
+@query("cashflow_long", ORACLES["cashflow"])
+def _(s: Source) -> DataFrame:
+    """The same for cash-flow pages."""
+    pages = CashFlowPages(durable(render.cashflow_pages(s.sql(CASHFLOW_SQL))), (PAYER,), spread=True)
+    return pages.summaries().select("doc_id", "property", "period", "side", "category", "amount")
+
+
 @query("build_year", f"""
 SELECT property, template_category, CAST(round(sum(abs(amount)), 2) AS DOUBLE) AS amount FROM (
   SELECT CASE property WHEN 'L1' THEN 'L1' ELSE property || ' Elm St, IA' END AS property, {_CF_LABEL} AS template_category, amount
