@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 
 from ledgerloom.llm import lm_score, quality, toxicity
-from ledgerloom.llm.arrays import Words
 from tests.llm.fixtures import odd_texts, table, words
 
 
@@ -87,42 +86,52 @@ def test_junk_within_the_fixed_limits_is_rejected(spark):
     assert [i for i in rows if rows[i]["kept"] != (i < len(clean))] == []
 
 
-def test_cross_entropy_equals_brute_force(spark):
+@pytest.mark.parametrize("block_bytes,bucket_bytes", [(lm_score.BLOCK_BYTES, lm_score.BUCKET_BYTES), (2000, 3000)])
+def test_cross_entropy_equals_brute_force(spark, monkeypatch, block_bytes, bucket_bytes):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(lm_score, "BUCKET_BYTES", bucket_bytes)
     rng = random.Random(4)
     texts = [" ".join(words(rng, 90, 40) if k % 3 else [f"t{rng.randrange(30)}" for _ in range(90)]) for k in range(60)] + odd_texts()
     good = [k for k in range(60) if k % 3 == 0]
     target = spark.createDataFrame([(k,) for k in [*good, good[0], None]], "doc_id long")
-    head, tail = 20, 8
-    rows = lm_score.cross_entropy_difference(table(spark, texts), target, head=head, tail=tail).select("doc.doc_id", "n_tokens", "target_loss", "background_loss", "score").collect()
-    data = [np.frombuffer((t or "").encode(), dtype=np.uint8) for t in texts]
-    split = [Words(d, np.array([0, len(d)])).hash.tolist() for d in data]
-    n = Counter(h for s in split for h in s)
-    signed = lambda h: h - (1 << 64) if h >> 63 else h
-    top = sorted(sorted(n, key=lambda h: (-n[h], signed(h)))[:head])
-    cls = lambda h: top.index(h) if h in top else head + h % tail
-    size = head + tail
-    counts = np.zeros((2, size + 1, size))
-    for k, s in enumerate(split):
-        for a, b in zip([None, *s], s):
-            counts[1, size if a is None else cls(a), cls(b)] += 1
-            counts[0, size if a is None else cls(a), cls(b)] += k in good
-    counts[1] *= counts[0].sum() / counts[1].sum()
-
-    def loss(c, a, b):
-        total, kinds = c[a].sum(), (c[a] > 0).sum()
-        uni = (c.sum(axis=0)[b] + 0.5) / (c.sum() + 0.5 * size)
-        w = total / max(total + kinds, 1)
-        return -np.log(w * (c[a, b] / total if total else 0) + (1 - w) * uni)
+    rows = lm_score.cross_entropy_difference(table(spark, texts), target, prior=3.0).select("doc.doc_id", "n_tokens", "target_loss", "background_loss", "score").collect()
+    split = [re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    steps = [list(zip([None, *w], [*w, None])) if w else [] for w in split]
+    kinds = len({x for w in split for x in w}) + 1
+    counts = []
+    for chosen in (good, range(len(texts))):
+        pairs = Counter(p for k in chosen for p in steps[k])
+        counts.append((pairs, Counter(w for k in chosen for _, w in steps[k]), pairs.total()))
+
+    def mean_loss(k, model, scale, inside):
+        own, own_words = Counter(steps[k]), Counter(w for _, w in steps[k])
+        n = lambda total, mine: (total - mine * inside) * scale
+        pairs, single, size = model
+        out = 0.0
+        for c, w in steps[k]:
+            share = (n(single[w], own_words[w]) + 1) / (n(size, len(steps[k])) + kinds)
+            out -= np.log((n(pairs[c, w], own[c, w]) + 3.0 * share) / (n(single[c], own_words[c]) + 3.0))
+        return out / max(len(steps[k]), 1)
 
+    assert len(rows) == len(texts)
     for r in rows:
-        s = split[r["doc_id"]]
-        pairs = [(size if a is None else cls(a), cls(b)) for a, b in zip([None, *s], s)]
-        t, b = (np.mean([loss(c, *p) for p in pairs]) if pairs else 0.0 for c in counts)
-        assert r["n_tokens"] == len(s) and r["target_loss"] == pytest.approx(t, abs=1e-4) and r["background_loss"] == pytest.approx(b, abs=1e-4)
+        k = r["doc_id"]
+        t, b = mean_loss(k, counts[0], 1.0, k in good), mean_loss(k, counts[1], counts[0][2] / counts[1][2], True)
+        assert r["n_tokens"] == len(split[k]) and r["target_loss"] == pytest.approx(t) and r["background_loss"] == pytest.approx(b)
+        assert r["score"] == pytest.approx(t - b, abs=1e-9)
     scores = {r["doc_id"]: r["score"] for r in rows}
     assert max(scores[k] for k in good) < min(scores[k] for k in range(60) if k % 3) and scores[len(texts) - 13] == 0.0
 
 
+def test_rare_words_tell_copies_apart(spark):
+    rng = random.Random(11)
+    common = [" ".join([*words(rng, 40, 30), *(f"w{k}x{i}" for i in range(20))]) for k in range(40)]
+    docs = table(spark, common + common[:4])  # the first four texts occur twice; all rare words count
+    rows = {r["doc_id"]: r["background_loss"] for r in lm_score.cross_entropy_difference(docs, docs.filter("doc_id = 39")).select("doc.doc_id", "background_loss").collect()}
+    twice = [0, 1, 2, 3, 40, 41, 42, 43]
+    assert max(rows[k] for k in twice) < min(rows[k] for k in rows if k not in twice)
+
+
 def test_scores_without_target_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long")
     rows = lm_score.cross_entropy_difference(table(spark, odd_texts()), none).select("score").collect()
