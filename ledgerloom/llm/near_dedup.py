@@ -10,10 +10,11 @@ bucket. A pair of similarity 0.8 is missed with probability (1 - 0.8**3)**12 = 0
 
 Links. Copies with the same words are one node from the start. In every bucket the most popular member (the one that meets
 most others over all buckets) is compared with the others, and links merge components: a group of thousands of near copies mostly ends
-here, after one comparison each. Buckets that still hold several components are compared in blocks of ``CHUNK`` members: the
-share of equal samples estimates the similarity of every pair of different components, and pairs that may reach the
-threshold (``MARGIN`` standard deviations) are verified on their texts. So every candidate pair is verified, estimated to be too far apart, or already
-connected: there is no cap, and pairs of a block never become rows unless they are nearly similar.
+here, after one comparison each. The share of equal samples estimates a pair's similarity first, and only pairs that may reach the threshold
+(``MARGIN`` standard deviations) are verified on their texts. Buckets that still hold several components are compared in blocks of
+``CHUNK`` members: the same estimate finds the members that may be near another component; these alone meet again with their texts, are
+verified inside the block's task, and give the links of a spanning forest. So every candidate pair is verified, estimated to be too far
+apart, or already connected: there is no cap, and pairs of a block never become rows.
 
 Defined results: null and empty texts have no words and form one class; a text of fewer than five words is one
 shingle; rows with a null or repeated id stay separate rows; extra columns stay inside the struct ``doc``.
@@ -38,6 +39,7 @@ BANDS, ROWS = 12, 3
 SAMPLES = 144
 MARGIN = 4
 CHUNK = 512
+CHUNK_BYTES = 4 << 20
 CELLS = 18
 _HASH_BITS = U64(48)
 _HASH_MASK = U64((1 << 48) - 1)
@@ -186,44 +188,122 @@ def _similar(pairs: DataFrame, idf, size: int) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidy(compare), "a long, b long, similarity double")
 
 
-def _close(members: DataFrame, threshold: float, rows: int, samples: int) -> DataFrame:
-    """Pairs (a, b) of members (band, bucket, size, node, root, samples) whose samples don't rule the threshold out.
+def _least(threshold: float, samples: int) -> float:
+    return threshold - MARGIN * (threshold * (1 - threshold) / samples) ** 0.5
 
-    A pair of different roots is given by the first band in which it shares a bucket.
-    """
-    least = threshold - MARGIN * (threshold * (1 - threshold) / samples) ** 0.5
-    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK)).alias("chunk")
-    held = durable(
-        members.withColumn("chunk", chunk).groupBy("band", "bucket", "chunk")
-        .agg(F.collect_list(F.struct("node", "root", "samples")).alias("held"))  # about CHUNK members
-    )
-    other = held.select("bucket", F.col("chunk").alias("other"), F.col("held").alias("others"))
-    blocks = held.join(other, "bucket").filter("chunk <= other").select("held", "others", (F.col("chunk") == F.col("other")).alias("alone"), "band")
+
+def _estimated(pairs: DataFrame, drawn: DataFrame, threshold: float, samples: int) -> DataFrame:
+    """Those pairs (a, b) whose samples don't rule the threshold out; drawn: node, samples."""
+    least = _least(threshold, samples)
+    of = lambda name: drawn.select(F.col("node").alias(name), F.col("samples").alias(f"samples_{name}"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def side(column: pa.Array, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            own = column[at].values
-            drawn = b"".join(own.field(2).to_pylist())
-            return own.field(0).to_numpy(), own.field(1).to_numpy(), np.frombuffer(drawn, dtype=np.uint32).reshape(-1, samples)
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype=np.uint32).reshape(-1, samples) for k in (2, 3))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= least))
+
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "samples_a", "samples_b").mapInArrow(tidy(compare), "a long, b long")
+
+
+def _blocks(members: DataFrame, *fields: str) -> DataFrame:
+    """(bucket, band, held, others, alone): each pair of a bucket's chunks; members have band, bucket, chunk, chunks and the fields.
+
+    Most buckets are one chunk, which meets itself where it is; other pairs are dealt by bucket and second chunk.
+    """
+    held = durable(members.groupBy("band", "bucket", "chunk", "chunks").agg(F.collect_list(F.struct(*fields)).alias("held")))
+    alone = held.select("bucket", "band", "held", F.col("held").alias("others"), F.lit(True).alias("alone"))
+    ahead = held.filter("chunk < chunks - 1").withColumn("other", F.explode(F.sequence(F.col("chunk") + 1, F.col("chunks") - 1)))
+    others = held.filter("chunks > 1").select("bucket", F.col("chunk").alias("other"), F.col("held").alias("others"))
+    return alone.unionAll(ahead.join(others, ["bucket", "other"]).select("bucket", "band", "held", "others", F.lit(False).alias("alone")))
+
+
+def _near(x: pa.Array, y: pa.Array, alone: bool, band: int, rows: int, samples: int, least: float):
+    """Places in two lists of members (node, root, samples) whose roots differ and whose samples don't rule the threshold out, and
+    their shares of equal samples. A pair belongs to the first band in which it shares a bucket."""
+    nodes, roots, drawn = zip(*[(m.field("node").to_numpy(), m.field("root").to_numpy(), np.frombuffer(b"".join(m.field("samples").to_pylist()), dtype=np.uint32).reshape(-1, samples))
+                                for m in (x, y)])
+    for first in range(0, len(nodes[0]), 64):
+        part = slice(first, first + 64)
+        equal = drawn[0][part, None, :] == drawn[1][None, :, :]
+        share = equal.mean(axis=2)
+        on = (share >= least) & (roots[0][part, None] != roots[1][None, :])
+        if alone:
+            on &= nodes[0][part, None] < nodes[1][None, :]
+        i, j = np.nonzero(on)
+        new = ~equal[i, j, : band * rows].reshape(len(i), band, rows).all(axis=2).any(axis=1) if band else np.ones(len(i), dtype=bool)
+        yield first + i[new], j[new], share[i[new], j[new]]
+
+
+def _open_members(members: DataFrame, threshold: float, rows: int, samples: int) -> DataFrame:
+    """(bucket, node) of members (band, bucket, size, node, root, samples) that may be near a member of another root."""
+    chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.lit(1))
+    dealt = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                bucket, band, alone = (batch.column(c)[at].as_py() for c in (0, 1, 4))
+                x, y = batch.column(2)[at].values, batch.column(3)[at].values
+                hit = [np.zeros(0, dtype=np.int64)]
+                for i, j, _ in _near(x, y, alone, band, rows, samples, _least(threshold, samples)):
+                    hit += [x.field("node").to_numpy()[i], y.field("node").to_numpy()[j]]
+                hit = np.unique(np.concatenate(hit))
+                if len(hit):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), bucket)), pa.array(hit)], names=["bucket", "node"])
+
+    return _blocks(dealt, "node", "root", "samples").mapInArrow(tidy(mark), "bucket long, node long").distinct()
+
+
+def _forest(members: DataFrame, idf, threshold: float, size: int, rows: int, samples: int) -> DataFrame:
+    """Links (a, b) of roots, at most one less than members in each block: all pairs of members (band, bucket, node, root, samples, text)
+    are verified on their texts, ruled out by their samples, or connected in the block before."""
+    held = members.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum(F.octet_length("text")) / CHUNK_BYTES), F.lit(1)).alias("chunks"))
+    dealt = members.join(held, "bucket").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
 
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
             for at in range(batch.num_rows):
-                (x, x_root, x_drawn), (y, y_root, y_drawn) = side(batch.column(0), at), side(batch.column(1), at)
-                band = batch.column(3)[at].as_py()
-                for first in range(0, len(x), 64):
-                    equal = x_drawn[first : first + 64, None, :] == y_drawn[None, :, :]
-                    on = (equal.mean(axis=2) >= least) & (x_root[first : first + 64, None] != y_root[None, :])
-                    if batch.column(2)[at].as_py():
-                        on &= x[first : first + 64, None] < y[None, :]
-                    i, j = np.nonzero(on)
-                    before = equal[i, j, : band * rows].reshape(len(i), band, rows).all(axis=2).any(axis=1) if band else np.zeros(len(i), dtype=bool)
-                    a.append(x[first + i[~before]])
-                    b.append(y[j[~before]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
-    found = blocks.mapInArrow(tidy(compare), "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+                band, alone = (batch.column(c)[at].as_py() for c in (1, 4))
+                x, y = batch.column(2)[at].values, batch.column(3)[at].values
+                found = [np.concatenate(k) for k in zip(*_near(x, y, alone, band, rows, samples, _least(threshold, samples)))]
+                left, right, share = found if found else [np.zeros(0)] * 3
+                if not len(left):
+                    continue
+                sides = [(_shingles_of(m.field("text"), size, idf.value), m.field("root").to_pylist()) for m in (x, y)]
+                parent: dict[int, int] = {}
+
+                def top(r: int) -> int:
+                    while parent.get(r, r) != r:
+                        parent[r] = r = parent.get(parent[r], parent[r])
+                    return r
+
+                links = []
+                for k in np.argsort(-share, kind="stable").tolist():  # likely links first, so that most others are connected by then
+                    (mine, mine_root), (their, their_root) = ((side[0][i], side[1][i]) for side, i in zip(sides, (int(left[k]), int(right[k]))))
+                    a, b = top(mine_root), top(their_root)
+                    if a != b and _similarity(mine, their) >= threshold:
+                        parent[max(a, b)] = min(a, b)
+                        links.append((mine_root, their_root))
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array([l for l, _ in links]), pa.array([r for _, r in links])], names=["a", "b"])
+
+    return _blocks(dealt, "node", "root", "samples", "text").mapInArrow(tidy(link), "a long, b long").distinct()
+
+
+def _shingles_of(texts: pa.Array, size: int, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Shingles, ascending, and their weights, of each text."""
+    out = []
+    for _, n, data, offsets in slices(texts):
+        keys, times, _ = _elements(data, offsets, size)
+        weights, begin = _weights(keys, times, idf), np.searchsorted(keys >> _HASH_BITS, np.arange(n + 1, dtype=U64))
+        out += [(keys[i:j] & _HASH_MASK, weights[i:j]) for i, j in zip(begin[:-1], begin[1:])]
+    return out
+
+
+def _similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
+    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
+    both = float(np.minimum(x[1][i], y[1][j]).sum(dtype=np.float64))
+    return both / max(float(x[1].sum(dtype=np.float64) + y[1].sum(dtype=np.float64)) - both, 1e-12)
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
@@ -255,15 +335,16 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
 
     hubs = live.join(nodes, "node").groupBy("bucket").agg(F.max_by("node", F.struct("popularity", "node")).alias("hub"))
     to_hubs = live.join(hubs, "bucket").filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    first = links(to_hubs)
+    drawn_of = durable(signed.join(nodes.select(F.col("node").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("node"), "samples"))
+    first = links(durable(_estimated(to_hubs, drawn_of, threshold, samples)))
     of_first = components(first)
     roots = durable(nodes.join(of_first, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
     placed = live.join(roots, "node")
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("bucket")
-    members = placed.join(open_, "bucket", "left_semi").join(signed.select(F.col("uid").alias("node"), "samples"), "node")
-    second = links(_close(members, threshold, rows, samples))
-    at = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
-    merged = components(second.join(at("a"), "a").join(at("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    members = placed.join(open_, "bucket", "left_semi").join(drawn_of, "node")
+    left = durable(_open_members(members, threshold, rows, samples))
+    again = members.join(left, ["bucket", "node"], "left_semi").join(bodies.select(F.col("uid").alias("node"), "text"), "node")
+    merged = components(durable(_forest(again, idf, threshold, size, rows, samples)))
     roots = (
         roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
         .select("node", F.coalesce("new", "root").alias("root"))
