@@ -177,8 +177,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_repeats")
 def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
-    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
-    return found.select("doc.doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    total = lambda runs: F.aggregate(runs, F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    longest = F.coalesce(F.array_max(F.transform("shared", lambda s: s["end"] - s["start"])), F.lit(0).cast("long"))
+    return found.select("doc.doc_id", "n_bytes", total("removed").alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                        total("shared").alias("n_shared"), longest.alias("longest_shared"))
 
 
 # Edits row by row, forwards: for each place in the pattern (0 beginning, 1 after system, 2 after user, 3 after assistant) the

@@ -1,22 +1,24 @@
-"""Suffix-array dedup: every byte covered by a string of ``LENGTH`` bytes that also starts anywhere else.
+"""Suffix-array dedup: maximal repeats from common-prefix interval trees, and every byte covered by a repeat of ``LENGTH`` bytes.
 
-Sampling. All ``GRAM``-byte hashes that are least in some window of ``LENGTH - GRAM + 1`` of them become *anchors* (about one per 175 bytes).
-A string of ``LENGTH`` bytes holds an anchor at the same place wherever it stands, so no repeat escapes. An anchor's context is what a repeat
-around it can reach: ``LENGTH - GRAM`` bytes before it and ``LENGTH`` from it on, inside its document. Anchors whose hash is
+Sampling. All ``GRAM``-byte hashes that are least in some window of strings of the shape's least length become *anchors*. A string of that
+length holds an anchor at the same place wherever it stands, so no repeat escapes. An anchor's context is what a repeat
+around it can reach: as many bytes before it as its first window allows and ``LENGTH`` from it on, inside its document. Anchors whose hash is
 alone are dropped; contexts found twice are covered as a whole, so exact copies, however many, end here as one counted row.
 
-Trees. Two contexts that share a repeat agree on 225 bytes from the anchor or on 175 before it, so the rest meet in buckets by these two
-hashes. A bucket's contexts are sorted as suffixes (an enhanced suffix array: order and common prefixes of neighbours);
-a stack scan yields the tree of common-prefix intervals. In each interval the left sides are sorted too: a member's longest common left
-extension with another member plus the interval's prefix length says whether they share ``LENGTH`` bytes. Intervals whose left neighbours
-differ are maximal repeats: ``repeat_groups`` returns them with all occurrences (a report for tables of moderate repetition: it
-keeps every bucket whole).
+Trees. Two contexts that share a repeat agree on a gram and half of the rest of a window, ahead of the anchor or behind it, so they meet in
+buckets by these two hashes. A bucket's contexts are sorted as suffixes (an enhanced suffix array: order and common prefixes of neighbours);
+a stack scan yields the tree of common-prefix intervals. In each interval the left sides are sorted too, and a second stack scan yields the
+sets of members that share a left extension. Such a set is all that holds its string; it is left-diverse by construction, and right-diverse
+if it lies in several children of the interval: then the string is a maximal repeat. Strings whose own windows don't select the anchor are
+left to those that they do select, as it need not be an anchor at all occurrences. ``repeat_groups`` lists these with all occurrences, and joins
+the pieces that neighbouring anchors see of a longer one. ``without_repeats`` needs only each member's farthest extent over its sets,
+which is the longest common prefix with its neighbours by left side, and the same among other documents for ``shared``.
 
-For removal, buckets of more than ``LARGE`` different contexts don't go through one task: their windows are hashed and counted as
-rows, which gives the same result.
+Buckets of more than ``LARGE`` different contexts don't go through one task: their windows are hashed and counted as
+rows. That gives the same extents, and the same groups after pieces have been joined.
 
-Defined results: a null text has no bytes; texts shorter than ``LENGTH`` keep everything; matches never cross documents and are judged on the
-input; repeated rows are copies of each other; extra columns stay in ``doc``.
+Defined results: a null text has no bytes; shorter texts keep everything; matches never cross documents and are judged on the
+input; repeated rows are copies of each other; very long texts are cut into anchors like others, and only contexts move; extra columns stay in ``doc``.
 """
 
 from __future__ import annotations
@@ -30,27 +32,46 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ledgerloom.llm.arrays import U64, Sums, mixed, slices, text_of, tidy, whole
-from ledgerloom.scale import durable
+from ledgerloom.scale import durable, join_unique
 
 LENGTH = 400
+#: strings of so many bytes, about fifty words, count as shared with another document
+SHARED = 300
 GRAM = 50
 #: contexts of a bucket that one task takes: about 50 MB of bytes
 LARGE = 100_000
 
 
 class Shape(NamedTuple):
+    """Strings of ``length`` bytes are repeats, those of ``shared`` bytes are reported; an anchor is ``gram`` bytes."""
+
     length: int = LENGTH
     gram: int = GRAM
+    shared: int = SHARED
+
+    @property
+    def least(self) -> int:
+        return min(self.length, self.shared)
+
+    @property
+    def reach(self) -> int:
+        return max(self.length, self.shared)
 
     @property
     def before(self) -> int:
-        return self.length - self.gram
+        return self.least - self.gram
 
     @property
     def half(self) -> int:
-        return (self.length - self.gram) // 2
+        return (self.least - self.gram) // 2
+
+    @property
+    def width(self) -> int:
+        """Bytes of a context beyond what its bucket has in common."""
+        return self.before + self.reach - self.gram - self.half
 
 
 def _sliding(x: np.ndarray, width: int, take) -> np.ndarray:
@@ -65,44 +86,63 @@ def _sliding(x: np.ndarray, width: int, take) -> np.ndarray:
     return take(down[:n], up[width - 1 : width - 1 + n])
 
 
-def _anchors(sums: Sums, offsets: np.ndarray, shape: Shape) -> np.ndarray:
-    """Places of all hashes that are least in some window inside one row."""
+def _anchors(sums: Sums, offsets: np.ndarray, shape: Shape, bounds: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all hashes that are least in some window inside one row; with ``bounds`` how far the next smaller hash is to the left (upper
+    half) and to the right, as one number."""
     size, width = int(offsets[-1]), shape.before + 1
-    if size < shape.length:
-        return np.zeros(0, dtype=np.int64)
+    if size < shape.least:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     at = np.arange(size - shape.gram + 1)
     grams = sums.of(at, at + shape.gram) | U64(1)
     least = _sliding(grams, width, np.minimum)
     start = np.arange(len(least))
     row_end = offsets[np.searchsorted(offsets, start, side="right")]
-    least[start + shape.length > row_end] = 0  # a window over the end of its row
+    least[start + shape.least > row_end] = 0  # a window over the end of its row
     around = np.concatenate([np.zeros(width - 1, dtype=U64), least, np.zeros(width - 1, dtype=U64)])
-    return np.flatnonzero(_sliding(around, width, np.maximum) == grams)
-
-
-def anchors(texts: DataFrame, shape: Shape) -> DataFrame:
-    """(key, position, gram, context, ahead, behind, left, right) of every anchor; texts: key, text."""
+    found = np.flatnonzero(_sliding(around, width, np.maximum) == grams)
+    inner = np.zeros(len(found), dtype=np.int64)
+    if bounds:
+        padded = np.concatenate([np.full(width, np.iinfo(np.uint64).max, dtype=U64), grams, np.full(width, np.iinfo(np.uint64).max, dtype=U64)])
+        step = np.arange(1, width)
+        for first in range(0, len(found), 4096):
+            own = found[first : first + 4096, None]
+            for sign, scale in ((-1, 1 << 16), (1, 1)):
+                smaller = padded[own + width + sign * step] < grams[own]
+                inner[first : first + 4096] += scale * np.where(smaller.any(axis=1), smaller.argmax(axis=1) + 1, width)
+    return found, inner
+
+
+def _inside(inner: np.ndarray, l: np.ndarray, r: np.ndarray, shape: Shape) -> np.ndarray:
+    """Is the anchor least in some window of the string that goes ``l`` bytes before it and ``r`` from it on? Then it is an anchor
+    wherever that string stands."""
+    first = np.maximum(1 - (inner >> 16), -l)
+    last = np.minimum((inner & 65535) - 1 - shape.before, r - shape.least)
+    return np.maximum(first, -shape.before) <= np.minimum(last, 0)
+
+
+def anchors(texts: DataFrame, shape: Shape, bounds: bool = False) -> DataFrame:
+    """(key, doc, position, gram, context, ahead, behind, left, right, inner) of every anchor; texts: key, doc, text."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, _, data, offsets in slices(batch.column(1)):
+            for first, _, data, offsets in slices(batch.column(2)):
                 sums = Sums(data)
-                at = _anchors(sums, offsets, shape)
+                at, inner = _anchors(sums, offsets, shape, bounds)
                 row = np.searchsorted(offsets, at, side="right") - 1
-                low, high = np.maximum(offsets[row], at - shape.before), np.minimum(offsets[row + 1], at + shape.length)
+                low, high = np.maximum(offsets[row], at - shape.before), np.minimum(offsets[row + 1], at + shape.reach)
                 left, right = at - low, high - at
                 context = mixed(sums.of(low, high) ^ mixed((left * 65536 + right).astype(U64)))
                 ahead_ok, behind_ok = right >= shape.gram + shape.half, left >= shape.half
                 ahead = sums.of(at, np.where(ahead_ok, at + shape.gram + shape.half, at))
                 behind = mixed(sums.of(np.where(behind_ok, at - shape.half, at), at + shape.gram) ^ U64(0x5851F42D4C957F2D))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(row + first)), pa.array((at - offsets[row]).astype(np.int32)),
+                    batch.column(0).take(pa.array(row + first)), batch.column(1).take(pa.array(row + first)), pa.array((at - offsets[row]).astype(np.int32)),
                     pa.array(sums.of(at, at + shape.gram).view(np.int64)), pa.array(context.view(np.int64)),
                     pa.array(ahead.view(np.int64), mask=~ahead_ok), pa.array(behind.view(np.int64), mask=~behind_ok),
-                    pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)),
-                ], names=["key", "position", "gram", "context", "ahead", "behind", "left", "right"])
+                    pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), pa.array(inner),
+                ], names=["key", "doc", "position", "gram", "context", "ahead", "behind", "left", "right", "inner"])
 
-    return texts.mapInArrow(tidy(find), "key binary, position int, gram long, context long, ahead long, behind long, left int, right int")
+    return texts.mapInArrow(tidy(find), "key binary, doc long, position int, gram long, context long, ahead long, behind long, left int, right int, inner long")
 
 
 def _common(x: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -115,8 +155,9 @@ def _common(x: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np
     return np.minimum(out, np.minimum(size[i], size[j]))
 
 
-def _order(x: np.ndarray, group: np.ndarray) -> np.ndarray:
-    return np.lexsort((np.ascontiguousarray(x).view(f"S{x.shape[1]}").ravel(), group))
+def _order(side: Side, group: np.ndarray) -> np.ndarray:
+    """Rows by group and bytes; of equal bytes the shorter first, as its filling is not text."""
+    return np.lexsort((side.size, np.ascontiguousarray(side.data).view(f"S{side.data.shape[1]}").ravel(), group))
 
 
 def intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
@@ -139,48 +180,95 @@ class Side(NamedTuple):
     shared: int
 
 
-def _tree(left: Side, right: Side, group: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(member, left extent, right extent, interval, maximal) where a member shares ``length`` bytes within a prefix interval of its group."""
+class Level(NamedTuple):
+    """Members of some prefix intervals, by interval and left side."""
+
+    number: np.ndarray
+    member: np.ndarray
+    #: length of the interval's prefix
+    prefix: np.ndarray
+    #: which child of the interval a member lies in
+    child: np.ndarray
+    #: common left extension with the member before; less than 0 for the first of an interval; one value more than members
+    common: np.ndarray
+
+
+def _levels(left: Side, right: Side, group: np.ndarray) -> Iterator[Level]:
+    """The prefix intervals of all groups, some at a time."""
     n = len(group)
-    order = _order(right.data, group)
+    order = _order(right, group)
     # One more than the common bytes; 0 closes all intervals between groups.
     lcp = np.where(group[order[:-1]] == group[order[1:]], _common(right.data, right.size, order[:-1], order[1:]) + 1, 0)
     place = np.empty(n, dtype=np.int64)
-    by_left = _order(left.data, group)
+    by_left = _order(left, group)
     place[by_left] = np.arange(n)
     found = np.array(list(intervals(lcp.tolist())), dtype=np.int64).reshape(-1, 3)
     sizes = found[:, 2] - found[:, 1] + 1
     upto = np.cumsum(sizes)
     first = 0
-    while first < len(found):  # some intervals at a time, about two million members
+    while first < len(found):  # about two million members at a time
         last = max(int(np.searchsorted(upto, (upto[first - 1] if first else 0) + (2 << 20), side="right")), first + 1)
         own, size = found[first:last], sizes[first:last]
         number = np.repeat(np.arange(first, last), size)
         at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - own[:, 1], size)
-        # Members of each interval by their left sides.
-        key = np.sort(number * n + place[order[at]])
-        number, member = key // n, by_left[key % n]
-        same = number[1:] == number[:-1]
+        # A child ends where neighbours have only the interval's prefix in common.
+        child = np.cumsum((at > found[number, 1]) & (lcp[np.maximum(at - 1, 0)] == found[number, 0]))
+        by = np.argsort(number * n + place[order[at]])
+        number, member, child = number[by], order[at][by], child[by]
         common = np.full(len(member) + 1, -1, dtype=np.int64)
-        pair = np.flatnonzero(same)
-        common[pair + 1] = _common(left.data, left.size, member[pair], member[pair + 1])
-        best = np.maximum(common[:-1], common[1:]) + left.shared
-        prefix = found[number, 0] - 1 + right.shared
-        # Left-diverse: the bytes before the members are not all the same.
-        before = np.where(left.size[member] > 0, left.data[member, 0], -1) if left.shared == 0 else None
-        if before is None:
-            diverse = np.ones(len(found), dtype=bool)
-        else:
-            diverse = np.zeros(len(found), dtype=bool)
-            diverse[number[1:][same & ((before[1:] != before[:-1]) | (before[1:] < 0))]] = True
-        on = best + prefix >= length
-        yield member[on], best[on], prefix[on], number[on], diverse[number[on]]
+        pair = np.flatnonzero(number[1:] == number[:-1])
+        common[pair + 1] = _common(left.data, left.size, member[pair], member[pair + 1]) + left.shared
+        yield Level(number, member, found[number, 0] - 1 + right.shared, child, common)
         first = last
 
 
+def _extents(left: Side, right: Side, group: np.ndarray, owner: np.ndarray, shape: Shape) -> np.ndarray:
+    """Farthest left and right of each member in repeats of ``length`` bytes, then in strings of ``shared`` bytes that another owner
+    has too; -1 where there is none. Owner 0 stands for several."""
+    out = np.full((4, len(group)), -1, dtype=np.int64)
+    for level in _levels(left, right, group):
+        best = np.maximum(level.common[:-1], level.common[1:])
+        own = owner[level.member]
+        # Runs of members of one owner: what they share with others is at most what the run's ends share with the next members.
+        start = np.concatenate([[True], (level.number[1:] != level.number[:-1]) | (own[1:] != own[:-1]) | (own[1:] == 0)])
+        run = np.cumsum(start)
+        far = 1 << 40  # beyond all lengths: makes each run's values smaller than those of the one before
+        before = np.minimum.accumulate(level.common[:-1] - run * far) + run * far
+        after = (np.minimum.accumulate((level.common[1:] + run * far)[::-1])[::-1]) - run * far
+        for k, (reach, least) in enumerate(((best, shape.length), (np.maximum(before, after), shape.shared))):
+            on = (reach >= 0) & (reach + level.prefix >= least)
+            np.maximum.at(out[2 * k], level.member[on], reach[on])
+            np.maximum.at(out[2 * k + 1], level.member[on], level.prefix[on])
+    return out
+
+
+def _sets(left: Side, right: Side, group: np.ndarray, inner: np.ndarray, shape: Shape) -> Iterator[tuple[np.ndarray, ...]]:
+    """(member, left extent, right extent, set): all sets of members that hold a maximal repeat of the least length or more."""
+    count = 0
+    for level in _levels(left, right, group):
+        shared = level.common[1:-1]
+        found = np.array(list(intervals(np.where((shared >= 0) & (shared + level.prefix[1:] >= shape.least), shared + 1, 0).tolist())), dtype=np.int64).reshape(-1, 3)
+        sizes = found[:, 2] - found[:, 1] + 1
+        upto = np.cumsum(sizes)
+        first = 0
+        while first < len(found):
+            last = max(int(np.searchsorted(upto, (upto[first - 1] if first else 0) + (2 << 20), side="right")), first + 1)
+            own, size = found[first:last], sizes[first:last]
+            begin = np.cumsum(size) - size
+            at = np.arange(size.sum()) - np.repeat(begin - own[:, 1], size)
+            child = level.child[at]
+            some = own[:, 1]  # all members agree on the string, so any can say whether the anchor is its own
+            wanted = (np.minimum.reduceat(child, begin) != np.maximum.reduceat(child, begin)) & _inside(inner[level.member[some]], own[:, 0] - 1, level.prefix[some], shape)
+            on = np.repeat(wanted, size)
+            number = np.repeat(np.arange(count, count + len(own)), size)
+            yield level.member[at][on], np.repeat(own[:, 0] - 1, size)[on], level.prefix[at][on], number[on]
+            count += len(own)
+            first = last
+
+
 def _sides(table: pa.Table, shape: Shape, ahead: bool) -> tuple[Side, Side]:
     body = table["body"].combine_chunks()
-    width = 2 * shape.before - shape.half
+    width = shape.width
     start = int(np.frombuffer(body.buffers()[1], dtype=np.int32)[body.offset])
     data = np.frombuffer(body.buffers()[2], dtype=np.uint8)[start : start + len(body) * width].reshape(-1, width)
     cut = shape.before if ahead else shape.before - shape.half
@@ -191,9 +279,12 @@ def _sides(table: pa.Table, shape: Shape, ahead: bool) -> tuple[Side, Side]:
     )
 
 
+EXTENTS = ("l", "r", "shared_l", "shared_r")
+
+
 def _trees(contexts: DataFrame, shape: Shape, groups: bool) -> DataFrame:
-    """Buckets through the trees: extents of each context, with ``groups`` for each interval."""
-    names = ["context", "l", "r", *(["interval", "maximal"] if groups else [])]
+    """Buckets through the trees: extents of each context, with ``groups`` those of each set that holds a maximal repeat."""
+    names = ["context", "l", "r", "interval"] if groups else ["context", *EXTENTS]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -205,17 +296,16 @@ def _trees(contexts: DataFrame, shape: Shape, groups: bool) -> DataFrame:
                     continue
                 bucket, context = own["bucket"].to_numpy(), own["context"].to_numpy()
                 left, right = _sides(own, shape, ahead)
-                l, r = np.full(len(bucket), -1, dtype=np.int64), np.full(len(bucket), -1, dtype=np.int64)
-                for member, a, b, interval, maximal in _tree(left, right, np.cumsum(np.concatenate([[0], bucket[1:] != bucket[:-1]])), shape.length):
-                    if groups:
-                        name = mixed(bucket[member].view(U64) ^ mixed(interval.astype(U64))).view(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(context[member]), pa.array(a), pa.array(b), pa.array(name), pa.array(maximal)], names=names)
-                    else:
-                        np.maximum.at(l, member, a)
-                        np.maximum.at(r, member, b)
-                on = l >= 0
-                if on.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(context[on]), pa.array(l[on]), pa.array(r[on])], names=names)
+                group = np.cumsum(np.concatenate([[0], bucket[1:] != bucket[:-1]]))
+                if groups:
+                    for member, l, r, number in _sets(left, right, group, own["inner"].to_numpy(), shape):
+                        name = mixed(bucket[member].view(U64) ^ mixed(number.astype(U64))).view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(context[member]), pa.array(l), pa.array(r), pa.array(name)], names=names)
+                else:
+                    far = _extents(left, right, group, own["owner"].to_numpy(), shape)
+                    on = (far >= 0).any(axis=0)
+                    if on.any():
+                        yield pa.RecordBatch.from_arrays([pa.array(context[on]), *[pa.array(x[on]) for x in far]], names=names)
 
         for batch in batches:
             table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
@@ -228,12 +318,11 @@ def _trees(contexts: DataFrame, shape: Shape, groups: bool) -> DataFrame:
             yield from done(rest)
 
     dealt = contexts.repartition("bucket").sortWithinPartitions("bucket")
-    kinds = {"context": "long", "l": "long", "r": "long", "interval": "long", "maximal": "boolean"}
-    return dealt.mapInArrow(tidy(scan), ", ".join(f"{c} {kinds[c]}" for c in names))
+    return dealt.mapInArrow(tidy(scan), ", ".join(f"{c} long" for c in names))
 
 
-def _windows(contexts: DataFrame, shape: Shape) -> DataFrame:
-    """The same extents for large buckets: all windows of ``length`` bytes around the anchors, hashed and counted."""
+def _windows(contexts: DataFrame, shape: Shape, length: int) -> DataFrame:
+    """(context, window, owner, back, inner) of all windows of ``length`` bytes around the anchors of large buckets; inner: whether the anchor is the window's own."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,115 +332,168 @@ def _windows(contexts: DataFrame, shape: Shape) -> DataFrame:
                 if not own.num_rows:
                     continue
                 left, right = _sides(own, shape, ahead)
-                for at, (bucket, context) in enumerate(zip(own["bucket"].to_pylist(), own["context"].to_pylist())):
+                for at, (bucket, context, owner, inner) in enumerate(zip(*(own[c].to_pylist() for c in ("bucket", "context", "owner", "inner")))):
                     # A window goes ``back`` bytes before the anchor; what the bucket has in common need not be hashed.
-                    back = np.arange(max(left.shared, shape.length - right.shared - int(right.size[at])), min(left.shared + int(left.size[at]), shape.length - right.shared) + 1)
+                    back = np.arange(max(left.shared, length - right.shared - int(right.size[at])), min(left.shared + int(left.size[at]), length - right.shared) + 1)
                     if len(back):
                         zero = np.zeros(len(back), dtype=np.int64)
                         a = Sums(left.data[at]).of(zero, back - left.shared)
-                        b = Sums(right.data[at]).of(zero, shape.length - back - right.shared)
+                        b = Sums(right.data[at]).of(zero, length - back - right.shared)
                         window = mixed(mixed(a ^ mixed(b + back.astype(U64))) ^ np.array([bucket]).view(U64))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(back), context)), pa.array(window.view(np.int64)), pa.array(back)], names=["context", "window", "back"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(back), context)), pa.array(window.view(np.int64)), pa.array(np.full(len(back), owner)), pa.array(back),
+                                                          pa.array(_inside(np.full(len(back), inner), back, length - back, shape))], names=["context", "window", "owner", "back", "inner"])
+
+    return durable(contexts.mapInArrow(tidy(cut), "context long, window long, owner long, back long, inner boolean"))
+
+
+def _spread(contexts: DataFrame, shape: Shape, groups: bool) -> DataFrame:
+    """What ``_trees`` returns, for large buckets: by windows as rows; a group is a window with all that hold it."""
+    if groups:
+        rows = _windows(contexts, shape, shape.least).filter("inner")
+        twice = rows.groupBy("window").agg(F.min("context").alias("a"), F.max("context").alias("b")).filter("a <> b").select("window")
+        return join_unique(rows, twice, ["window"], "inner").select("context", F.col("back").alias("l"), (shape.least - F.col("back")).alias("r"), F.col("window").alias("interval"))
+
+    def held(length: int, by: str, several: str, names: tuple[str, str]) -> DataFrame:
+        rows = _windows(contexts, shape, length)
+        twice = rows.groupBy("window").agg(F.min(by).alias("a"), F.max(by).alias("b"), F.count(F.lit(1)).alias("n")).filter(several).select("window")
+        found = join_unique(rows, twice, ["window"], "inner").groupBy("context").agg(F.max("back").alias(names[0]), (F.lit(length) - F.min("back")).alias(names[1]))
+        return found.select("context", *[(F.col(c) if c in names else F.lit(-1).cast("long")).alias(c) for c in EXTENTS])
 
-    rows = durable(contexts.mapInArrow(tidy(cut), "context long, window long, back long"))
-    twice = rows.groupBy("window").agg(F.min("context").alias("a"), F.max("context").alias("b")).filter("a <> b").select("window")
-    held = rows.join(twice, "window", "left_semi").groupBy("context").agg(F.max("back").alias("l"), (F.lit(shape.length) - F.min("back")).alias("r"))
-    return held.select("context", "l", "r")
+    # Owner 0 stands for several documents: two such contexts are enough, and one beside any other.
+    return held(shape.length, "context", "a <> b", ("l", "r")).unionByName(held(shape.shared, "owner", "a <> b OR a = 0 AND n > 1", ("shared_l", "shared_r")))
 
 
 def _found(docs: DataFrame, text: str, shape: Shape, large: int, groups: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Anchors that may repeat, and extents of their contexts: the largest, with ``groups`` those of each interval."""
-    texts = docs.filter(F.length(text) > 0).select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("key"), F.col(text).cast("string").alias("text"))
-    every = durable(anchors(texts, shape))
+    """Anchors that may repeat, and extents of their contexts: the farthest, with ``groups`` those of each set (interval)."""
+    texts = docs.filter(F.length(text) > 0).select(
+        F.unhex(F.md5(F.col(text).cast("binary"))).alias("key"), (F.monotonically_increasing_id() + 1).alias("doc"), F.col(text).cast("string").alias("text"))
+    every = durable(anchors(texts, shape, groups))
     twice = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     shared = durable(every.join(twice, "gram", "left_semi").drop("gram"))
+    long = F.col("left") + F.col("right")
     distinct = durable(shared.groupBy("context").agg(
-        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("ahead", "behind", "left", "right")], F.min(F.struct("key", "position")).alias("at"))
-        .withColumn("repeated", (F.col("n") > 1) & (F.col("left") + F.col("right") >= shape.length))
-        .withColumn("whole", F.col("repeated") & (F.col("left") == shape.before) & (F.col("right") == shape.length)))
-    full = distinct.filter("repeated").select("context", F.col("left").cast("long").alias("l"), F.col("right").cast("long").alias("r"))
+        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("ahead", "behind", "left", "right", "inner")], F.min(F.struct("key", "position")).alias("at"),
+        F.when(F.min("doc") == F.max("doc"), F.min("doc")).otherwise(0).alias("owner"))
+        .withColumn("repeated", (F.col("n") > 1) & (long >= shape.least))
+        .withColumn("whole", F.col("repeated") & (F.col("owner") == 0) & (F.col("left") == shape.before) & (F.col("right") == shape.reach)))
+    side = lambda c, on: F.when(on, F.col(c).cast("long")).otherwise(-1)
+    removed, elsewhere = long >= shape.length, (F.col("owner") == 0) & (long >= shape.shared)
+    full = distinct.filter("repeated").select("context", *[side(c, on).alias(name) for (c, on), name in zip(
+        (("left", removed), ("right", removed), ("left", elsewhere), ("right", elsewhere)), EXTENTS)])
     by_bucket = distinct.select(
-        "context", "at", "whole", F.posexplode(F.array("ahead", "behind")).alias("kind", "bucket")).filter("bucket IS NOT NULL")
+        "context", "at", "owner", "inner", "whole", F.posexplode(F.array("ahead", "behind")).alias("kind", "bucket")).filter("bucket IS NOT NULL")
     # A bucket in which every context is covered as a whole has nothing to add.
     sizes = by_bucket.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.bool_and("whole").alias("settled")).filter(
         "size > 1" if groups else "size > 1 AND NOT settled").select("bucket", "size")
     meeting = by_bucket.join(sizes, "bucket").select(
-        F.col("at.key").alias("key"), F.struct(F.col("at.position").alias("position"), "context", "bucket", (F.col("kind") == 0).alias("is_ahead"), (F.col("size") > large).alias("large")).alias("a"))
+        F.col("at.key").alias("key"), F.struct(F.col("at.position").alias("position"), "context", "bucket", (F.col("kind") == 0).alias("is_ahead"), (F.col("size") > large).alias("large"), "owner", "inner").alias("a"))
     wanted = durable(meeting.groupBy("key").agg(F.collect_list("a").alias("anchors")))
     bodies = texts.groupBy("key").agg(F.first("text").alias("text"))
-    width = 2 * shape.before - shape.half
+    width = shape.width
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(0).cast(pa.binary())
             for doc in range(batch.num_rows):
                 row = batch.column(1)[doc].values
-                position, context, bucket, ahead, big = (row.field(k).to_numpy(zero_copy_only=False) for k in range(5))
+                position, context, bucket, ahead, big, owner, inner = (row.field(k).to_numpy(zero_copy_only=False) for k in range(7))
                 body = np.frombuffer(raw[doc].as_buffer(), dtype=np.uint8)
                 # Outward from what the bucket has in common, filled up with zeros.
-                padded = np.concatenate([np.zeros(shape.length, dtype=np.uint8), body, np.zeros(shape.length, dtype=np.uint8)])
-                at = position.astype(np.int64) + shape.length
+                padded = np.concatenate([np.zeros(shape.reach, dtype=np.uint8), body, np.zeros(shape.reach, dtype=np.uint8)])
+                at = position.astype(np.int64) + shape.reach
                 sides = np.empty((len(at), width), dtype=np.uint8)
                 for kind, skip_left, skip_right in ((ahead, 0, shape.gram + shape.half), (~ahead, shape.half, shape.gram)):
                     p = at[kind][:, None]
                     sides[kind] = np.concatenate([
-                        padded[p - 1 - np.arange(skip_left, shape.before)], padded[p + np.arange(skip_right, shape.length)]], axis=1)
+                        padded[p - 1 - np.arange(skip_left, shape.before)], padded[p + np.arange(skip_right, shape.reach)]], axis=1)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(bucket), pa.array(context), pa.array(ahead), pa.array(big),
-                    pa.array(np.minimum(position, shape.before).astype(np.int32)), pa.array(np.minimum(len(body) - position, shape.length).astype(np.int32)),
+                    pa.array(bucket), pa.array(context), pa.array(ahead), pa.array(big), pa.array(owner), pa.array(inner),
+                    pa.array(np.minimum(position, shape.before).astype(np.int32)), pa.array(np.minimum(len(body) - position, shape.reach).astype(np.int32)),
                     pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.arange(0, (len(at) + 1) * width, width, dtype=np.int32)), pa.py_buffer(sides)]),
-                ], names=["bucket", "context", "is_ahead", "large", "left", "right", "body"])
+                ], names=["bucket", "context", "is_ahead", "large", "owner", "inner", "left", "right", "body"])
 
     contexts = bodies.join(wanted, "key").select("text", "anchors").mapInArrow(
-        tidy(cut), "bucket long, context long, is_ahead boolean, large boolean, left int, right int, body binary")
+        tidy(cut), "bucket long, context long, is_ahead boolean, large boolean, owner long, inner long, left int, right int, body binary")
     crowded = not sizes.filter(F.col("size") > large).isEmpty()
     if crowded:
         contexts = durable(contexts)
     found = _trees(contexts.filter("NOT large").drop("large") if crowded else contexts.drop("large"), shape, groups)
-    if crowded and not groups:
-        found = found.unionByName(_windows(contexts.filter("large").drop("large"), shape))
+    if crowded:
+        found = found.unionByName(_spread(contexts.filter("large").drop("large"), shape, groups))
     if groups:
-        full = full.select("*", F.col("context").alias("interval"), F.lit(True).alias("maximal"))
-        return shared, durable(found.unionByName(full))
-    return shared, durable(found.unionByName(full).groupBy("context").agg(F.max("l").alias("l"), F.max("r").alias("r")))
-
-
-def repeat_groups(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(group, key, start, end): maximal repeats around anchors with all their occurrences; key is the MD5 of the text."""
-    shared, found = _found(docs, text, Shape(length, gram), 1 << 62, groups=True)
-    return shared.join(found.filter("maximal"), "context").select(
-        F.col("interval").alias("group"), "key", (F.col("position") - F.col("l")).alias("start"), (F.col("position") + F.col("r")).alias("end")).distinct()
-
-
-def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, large: int = LARGE) -> DataFrame:
-    """One row per document: ``doc``, n_bytes, removed (maximal runs of bytes, end exclusive), kept (the other bytes)."""
-    shared, extents = _found(docs, text, Shape(length, gram), large)
-    spans = shared.select("key", "position", "context").distinct().join(extents, "context").select(
-        "key", F.struct((F.col("position") - F.col("l")).alias("start"), (F.col("position") + F.col("r")).alias("end")).alias("span"))
-    removed = spans.groupBy("key").agg(F.collect_set("span").alias("spans"))
+        found = durable(found)
+        # A context that stands twice is a repeat by itself, unless others hold it whole: then it is among their sets.
+        sizes_of = distinct.filter("repeated").select("context", F.col("left").cast("long").alias("l"), F.col("right").cast("long").alias("r"))
+        alone = sizes_of.join(found.select("context", "l", "r").distinct(), ["context", "l", "r"], "left_anti")
+        return shared, found.unionByName(alone.withColumn("interval", F.col("context")))
+    return shared, durable(found.unionByName(full).groupBy("context").agg(*[F.max(c).alias(c) for c in EXTENTS]))
+
+
+def repeat_groups(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, large: int = LARGE) -> DataFrame:
+    """(group, key, start, end): maximal repeats of at least ``length`` bytes with all their occurrences; key is the MD5 of the text, so exact
+    copies are one occurrence.
+
+    An anchor sees ``length - gram`` bytes before it and ``length`` from it on. Pieces of a longer repeat that have the same occurrences are
+    joined; where a piece stands in more places than the whole, the piece is a group of its own, and the whole is given as far as one
+    anchor sees it.
+    """
+    shared, found = _found(docs, text, Shape(length, gram, length), large, groups=True)
+    places = shared.select("key", "position", "context").distinct()
+    pieces = durable(places.join(found, "context").select(
+        "interval", "key", (F.col("position") - F.col("l")).alias("start"), (F.col("position") + F.col("r")).alias("end")).distinct())
+    first = pieces.groupBy("interval").agg(F.min(F.struct("key", "start", "end")).alias("first"))
+    # Pieces whose occurrences are the same but for a shift have equal signatures.
+    signed = join_unique(pieces, first, ["interval"], "inner").groupBy("interval").agg(
+        F.first("first").alias("first"), F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("key", F.col("start") - F.col("first.start")).cast("decimal(20,0)")).alias("signature"))
+    alike = Window.partitionBy("signature", "n", "first.key")
+    upto = alike.orderBy("first.start", "first.end", "interval")
+    ends = signed.withColumn("gap", F.coalesce(F.col("first.start") > F.max("first.end").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)))
+    island = Window.partitionBy("signature", "n", "first.key", "island")
+    joined = (
+        ends.withColumn("island", F.sum(F.col("gap").cast("int")).over(upto))
+        .withColumns({"low": F.min("first.start").over(island), "high": F.max("first.end").over(island)})
+        .filter("gap").select("interval", (F.col("first.start") - F.col("low")).alias("shift"), (F.col("high") - F.col("low")).alias("size"))
+    )
+    start = F.col("start") - F.col("shift")
+    return join_unique(pieces, joined, ["interval"], "inner").select(F.col("interval").alias("group"), "key", start.alias("start"), (start + F.col("size")).alias("end"))
+
+
+def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, large: int = LARGE, shared: int = SHARED) -> DataFrame:
+    """One row per document: ``doc``, n_bytes, removed (maximal runs of bytes, end exclusive), kept (the other bytes), shared (maximal runs
+    covered by strings of ``shared`` bytes that stand in another document too, exact copies included)."""
+    anchored, extents = _found(docs, text, Shape(length, gram, shared), large)
+    at_ = F.col("position")
+    span = lambda l, r: F.when(F.col(l) >= 0, F.struct((at_ - F.col(l)).alias("start"), (at_ + F.col(r)).alias("end")))
+    spans = anchored.select("key", "position", "context").distinct().join(extents, "context").select("key", span("l", "r").alias("span"), span("shared_l", "shared_r").alias("shared"))
+    found = spans.groupBy("key").agg(F.collect_set("span").alias("spans"), F.collect_set("shared").alias("shared"))
     at = docs.columns.index(text)
-    rows = docs.select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("key"), whole(docs)).join(removed, "key", "left").select("doc", "spans")
+    rows = docs.select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("key"), whole(docs)).join(found, "key", "left").select("doc", "spans", "shared")
     run = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([rows.schema["doc"], T.StructField("n_bytes", T.LongType()), T.StructField("removed", run), T.StructField("kept", T.BinaryType())])
+    schema = T.StructType([rows.schema["doc"], T.StructField("n_bytes", T.LongType()), T.StructField("removed", run), T.StructField("kept", T.BinaryType()), T.StructField("shared", run)])
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def merged(spans_: list[dict] | None) -> list[dict]:
+        out: list[dict] = []
+        for s in sorted(spans_ or [], key=lambda s: s["start"]):
+            if out and s["start"] <= out[-1]["end"]:
+                out[-1]["end"] = max(out[-1]["end"], s["end"])
+            else:
+                out.append(dict(s))
+        return out
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = text_of(batch, at).cast(pa.binary())
             for first in range(0, batch.num_rows, 1000):
-                sizes, runs_, kept = [], [], []
-                for body, spans_ in zip(raw.slice(first, 1000).to_pylist(), batch.column(1).slice(first, 1000).to_pylist()):
-                    body, merged = body or b"", []
-                    for s in sorted(spans_ or [], key=lambda s: s["start"]):
-                        if merged and s["start"] <= merged[-1]["end"]:
-                            merged[-1]["end"] = max(merged[-1]["end"], s["end"])
-                        else:
-                            merged.append(dict(s))
-                    cuts = [0, *[x for s in merged for x in (s["start"], s["end"])], len(body)]
-                    sizes.append(len(body))
-                    runs_.append(merged)
+                part = slice(first, first + 1000)
+                bodies = [b or b"" for b in raw[part].to_pylist()]
+                gone, common = ([merged(x) for x in batch.column(k)[part].to_pylist()] for k in (1, 2))
+                kept = []
+                for body, spans_ in zip(bodies, gone):
+                    cuts = [0, *[x for s in spans_ for x in (s["start"], s["end"])], len(body)]
                     kept.append(b"".join(body[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(first, len(sizes)), pa.array(sizes, pa.int64()),
-                    pa.array(runs_, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())], names=schema.names)
+                    batch.column(0)[part], pa.array([len(b) for b in bodies], pa.int64()),
+                    pa.array(gone, kind), pa.array(kept, pa.binary()), pa.array(common, kind)], names=schema.names)
 
     return rows.mapInArrow(tidy(cut), schema)

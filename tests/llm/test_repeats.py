@@ -3,7 +3,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerloom.llm import repeats
 from tests.llm.fixtures import odd_texts, table
@@ -23,15 +22,35 @@ def brute(texts, length):
     return [(len(b), bytes(x for x, c in zip(b, m) if not c), sum(m)) for b, m in zip(data, cover)]
 
 
+def brute_shared(texts, length):
+    """Runs of bytes covered by strings of ``length`` bytes that another row has too."""
+    data, owners = [(t or "").encode() for t in texts], {}
+    for d, body in enumerate(data):
+        for i in range(len(body) - length + 1):
+            owners.setdefault(body[i : i + length], set()).add(d)
+    out = []
+    for body in data:
+        runs = []
+        for i in range(len(body) - length + 1):
+            if len(owners[body[i : i + length]]) > 1:
+                if runs and i <= runs[-1][1]:
+                    runs[-1][1] = i + length
+                else:
+                    runs.append([i, i + length])
+        out.append([tuple(r) for r in runs])
+    return out
+
+
 def check(spark, texts, **shape):
-    rows = repeats.without_repeats(table(spark, texts), **shape).select("doc.doc_id", "n_bytes", "removed", "kept").collect()
-    want = brute(texts, shape.get("length", 400))
+    rows = repeats.without_repeats(table(spark, texts), **shape).select("doc.doc_id", "n_bytes", "removed", "kept", "shared").collect()
+    want, shared = brute(texts, shape.get("length", 400)), brute_shared(texts, shape.get("shared", 300))
     assert len(rows) == len(texts)
     for r in rows:
         n, kept, gone = want[r["doc_id"]]
         assert (r["n_bytes"], bytes(r["kept"]), sum(s["end"] - s["start"] for s in r["removed"])) == (n, kept, gone), r["doc_id"]
         ends = [x for s in r["removed"] for x in (s["start"], s["end"])]
         assert ends == sorted(set(ends))
+        assert [tuple(s) for s in r["shared"]] == shared[r["doc_id"]], r["doc_id"]
     return rows
 
 
@@ -53,7 +72,8 @@ def planted(seed, n, alphabet, passages, sizes):
 @pytest.mark.parametrize("seed,alphabet,large", [(1, "abcdefgh ", 4096), (2, "ab", 4096), (3, "abé漢 ", 4096), (4, "abcd", 3)])
 def test_small_shapes_equal_brute_force(spark, seed, alphabet, large):
     texts = planted(seed, 60, alphabet, 5, [60, 120, 200])
-    check(spark, texts, length=40, gram=10, large=large)
+    check(spark, texts, length=40, gram=10, large=large, shared=28)
+    check(spark, texts, length=28, gram=10, large=large, shared=40)
 
 
 def test_production_shape_equals_brute_force(spark):
@@ -83,24 +103,93 @@ def test_intervals_are_the_prefix_tree():
     assert set(repeats.intervals(lcp)) == want
 
 
-def _by_group(groups):
+def brute_groups(texts, length, longest):
+    """Maximal repeats of ``length`` to ``longest`` bytes as {string: {(text, start)}}, over different texts, copies counted."""
+    data = [(t or "").encode() for t in texts]
+    copies = {b: data.count(b) for b in data}
+    level = {}
+    for body in copies:
+        for i in range(len(body) - length + 1):
+            level.setdefault(body[i : i + length], []).append((body, i))
     out = {}
-    for r in groups.collect():
-        out.setdefault(r["group"], []).append(r)
+    while level and len(next(iter(level))) <= longest:
+        longer = {}
+        for string, places in level.items():
+            if sum(copies[b] for b, _ in places) < 2:
+                continue
+            # The end of a text differs from everything, unless all occurrences are copies of one place.
+            after = {b[i + len(string) : i + len(string) + 1] or (b, i) for b, i in places}
+            before = {b[i - 1 : i] if i else (b, i) for b, i in places}
+            at_end = any(i + len(string) == len(b) for b, i in places)
+            at_start = any(i == 0 for b, i in places)
+            if (len(after) > 1 or at_end) and (len(before) > 1 or at_start):
+                out[string] = set(places)
+            for b, i in places:
+                if i + len(string) < len(b):
+                    longer.setdefault(b[i : i + len(string) + 1], []).append((b, i))
+        level = longer
     return out
 
 
-def test_groups_list_all_occurrences(spark):
-    rng = random.Random(4)
-    text = lambda k: "".join(rng.choice("abcdefghijkl ") for _ in range(k))
-    passage = text(150)
-    texts = [text(100) + passage + text(80) for _ in range(5)]
-    groups = repeats.repeat_groups(table(spark, texts), length=40, gram=10)
-    bodies = {hashlib.md5(t.encode()).digest(): t for t in texts}
-    for rows in _by_group(groups).values():
-        assert len({bodies[bytes(r["key"])][r["start"] : r["end"]] for r in rows if r["end"] - r["start"] == max(x["end"] - x["start"] for x in rows)}) >= 1
-    whole = groups.groupBy("group").agg(F.countDistinct("key").alias("docs"), F.max(F.col("end") - F.col("start")).alias("n"))
-    assert whole.filter("docs = 5 AND n >= 40").count() >= 1
+def check_groups(spark, texts, length, gram, longest, **how):
+    """Every group is a repeat with all its occurrences, and every maximal repeat of up to ``longest`` bytes is a group."""
+    bodies = {hashlib.md5(t.encode()).digest(): t.encode() for t in texts if t}
+    groups = {}
+    for r in repeats.repeat_groups(table(spark, texts), length=length, gram=gram, **how).collect():
+        groups.setdefault(r["group"], []).append((bodies[bytes(r["key"])], r["start"], r["end"]))
+    found = {}
+    for rows in groups.values():
+        strings = {b[s:e] for b, s, e in rows}
+        assert len(strings) == 1 and len(next(iter(strings))) >= length
+        string = strings.pop()
+        places = {(b, s) for b, s, _ in rows}
+        assert len(places) == len(rows)
+        everywhere = {(b, i) for b in bodies.values() for i in range(len(b) - len(string) + 1) if b[i : i + len(string)] == string}
+        assert places == everywhere
+        assert string not in found
+        found[string] = places
+    for string, places in brute_groups(texts, length, longest).items():
+        assert found.get(string) == places, (len(string), len(places))
+    return found
+
+
+@pytest.mark.parametrize("seed,alphabet,large", [(4, "abcdefghijkl ", 4096), (5, "abcd", 4096), (6, "abé漢 ", 4096), (7, "abcdefgh ", 3)])
+def test_groups_equal_brute_force(spark, seed, alphabet, large):
+    texts = planted(seed, 40, alphabet, 4, [60, 90, 150])
+    texts += [texts[0], texts[0], None, "", "x" * 30]
+    # Through windows every piece is joined from strings of the least length, so only these are promised.
+    check_groups(spark, texts, 40, 10, 40 if large > 3 else 0, large=large)
+
+
+@pytest.mark.parametrize("large", [4096, 3])
+def test_groups_of_planted_passages_are_whole(spark, large):
+    rng = random.Random(8)
+    text = lambda k: "".join(rng.choice("abcdefghijklmnop ") for _ in range(k))
+    passages = [text(k) for k in (400, 401, 430, 459, 750, 1200, 2000) for _ in range(3)]
+    texts = [text(rng.randrange(300)) for _ in range(30)]
+    at = {}
+    for p in passages:
+        for d in rng.sample(range(30), 3):
+            at.setdefault(p, []).append((d, len(texts[d])))
+            texts[d] += p + text(1 + rng.randrange(120))
+    found = check_groups(spark, texts, 400, 50, 400, large=large)
+    held = lambda string, p: p.encode() in string and len(string) <= len(p) + 6  # noqa: E731  (a chance letter or two on either side)
+    for p, places in at.items():
+        assert any(held(string, p) and len(own) == 3 for string, own in found.items() if len(string) >= len(p)), len(p)
+
+
+def test_groups_of_odd_rows(spark):
+    assert repeats.repeat_groups(table(spark, [])).count() == 0
+    assert repeats.repeat_groups(table(spark, [None, "", "short"])).count() == 0
+    copies = repeats.repeat_groups(table(spark, odd_texts()))
+    assert copies.filter("end - start < 400").count() == 0 and copies.count() > 0
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcdefghij ") for _ in range(1_500_000))
+    rows = {r["doc_id"]: r for r in repeats.without_repeats(table(spark, [long, "y" + long[700_000:700_600] + "z", "a" * 1_000_000])).select("doc.doc_id", "removed", "kept").collect()}
+    assert [tuple(s) for s in rows[0]["removed"]] == [(700_000, 700_600)] and bytes(rows[1]["kept"]) == b"yz" and rows[2]["kept"] == b""
 
 
 def test_sliding_least_and_greatest():
