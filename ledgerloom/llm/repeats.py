@@ -435,8 +435,7 @@ def repeat_groups(docs: DataFrame, text: str = "text", length: int = LENGTH, gra
 
     An anchor sees ``length - gram`` bytes before it and ``length`` from it on. Pieces of a longer repeat that have the same occurrences are
     joined; where a piece stands in more places than the whole, the piece is a group of its own, and the whole is given as far as one
-    anchor sees it. The rows grow with the occurrences: a text that repeats one short period over n bytes has of the order of n * n of them,
-    so this report is not for tables with long runs of that kind; ``without_repeats`` has no such limit.
+    anchor sees it.
     """
     shared, found = _found(docs, text, Shape(length, gram, length), large, groups=True)
     places = shared.select("key", "position", "context").distinct()
