@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.text import strip
 
 MONEY = "decimal(18,2)"
-SHARE = "decimal(28,10)"
+#: sums of many amounts have more digits than one amount
+TOTAL = "decimal(38,2)"
+SHARE = "decimal(38,10)"
 
 
 def parse_money(c: Column) -> Column:
@@ -37,7 +39,7 @@ def display_amount(amount: Column, sign: str = "abs") -> Column:
 
 def share(amount: Column, n: int) -> Column:
     """One of ``n`` equal shares, kept at ten decimals."""
-    return (amount.cast("decimal(24,10)") / F.lit(n)).cast(SHARE)
+    return (amount.cast(SHARE) / F.lit(n)).cast(SHARE)
 
 
 def tolerance(

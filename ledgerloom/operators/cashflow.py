@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.fixed_values import CASHFLOW_SKIPPED_STARTS
-from ledgerloom.functions.money import MONEY
+from ledgerloom.functions.money import TOTAL
 from ledgerloom.functions.text import starts_with_any, strip
 from ledgerloom.scale import computed_once, durable, needs_spreading, running_last
 
@@ -24,9 +24,9 @@ def is_cashflow_page(text: Column) -> Column:
 
 
 def last_amount(line: Column) -> Column:
-    """Last amount on a line: the annual total."""
+    """Last amount on a line: the annual total, a sum."""
     found = F.regexp_extract_all(line, F.lit(f"({AMOUNT})"), F.lit(1))
-    return F.regexp_replace(F.try_element_at(found, F.lit(-1)), ",", "").try_cast(MONEY)
+    return F.regexp_replace(F.try_element_at(found, F.lit(-1)), ",", "").try_cast(TOTAL)
 
 
 @dataclass(frozen=True)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.money import TOTAL
 from ledgerloom.scale import durable
 from workload.adapters import CARDS, LTR_PROPERTIES, PAYER
 
@@ -20,7 +21,7 @@ PROPERTY_TITLES = {"L1": "SW 12 Elm St", "L2": "SW 34 Oak Ave", "L3": "SW 56 Pin
 
 
 def money(c: Column) -> Column:
-    return F.format_number(c.cast("decimal(18,2)"), 2)
+    return F.format_number(c.cast(TOTAL), 2)
 
 
 def month_day(d: Column) -> Column:
