@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fixed
-from ledgerloom.functions.money import cash_amount
+from ledgerloom.functions.money import MONEY, TOTAL, cash_amount
 from ledgerloom.functions.text import lookup, map_status, vendor_key
 from ledgerloom.operators import categorize, guards, learning, matching, review, rollup, verify, worksheet
 from ledgerloom.operators import statement as generic
@@ -817,7 +817,9 @@ _PM_SUMS = f"(SELECT c.*, t.* EXCLUDE (doc_id) FROM ({PM_CONS_SQL}) AS c JOIN (S
 ]))
 def _(s: Source) -> DataFrame:
     txns = s.adapter("pm_txn").select(F.year("date").alias("doc_id"), F.col("property").alias("property_id"), "cash_in", "cash_out")
-    return guards.pm_report_checks(s.sql(PM_CONS_SQL), s.sql(PM_HEADS_SQL), txns)
+    # A property's year is a sum: it needs more digits than one amount.
+    cons, heads = (s.sql(sql.replace(MONEY.upper(), TOTAL.upper())) for sql in (PM_CONS_SQL, PM_HEADS_SQL))
+    return guards.pm_report_checks(cons, heads, txns)
 
 
 @query("guard_platform", check_sql("'platform'", "platform_vs_bank",
