@@ -20,7 +20,7 @@ from ledgerloom.operators import pm_text
 from ledgerloom.plans import pipeline
 from ledgerloom.scale import durable, shared_folder
 from ledgerloom.sources import documents, sinks, tables
-from workload import maps, render
+from workload import maps, render, rules
 from workload.adapters import CARDS, LTR_PROPERTIES, PAYER, STR_PROPERTIES, Source
 from workload.registry import query
 
@@ -621,8 +621,7 @@ def _(s: Source) -> DataFrame:
 # ---------------------------------------------------------------- linkage
 
 
-@query("match_date_amount", """
-SELECT txn_id AS q_id, txn_id AS w_id FROM <<worksheet_base>> AS w WHERE txn_id % 29 <> 0 AND txn_id % 31 <> 0 AND txn_id % 3 <> 2""")
+@query("match_date_amount", rules.BLOCKS_PAIRS_SQL)
 def _(s: Source) -> DataFrame:
     ledger = s.adapter("ledger").select(F.col("txn_id").alias("q_id"), F.col("txn_id").alias("q_ord"), "date", "amount", "description")
     sheet = worksheet.parse(worksheet_rows(s)).select("w_id", "w_ord", F.col("txn_date").alias("date"), F.col("amount").alias("cost"), "source")
@@ -630,13 +629,13 @@ def _(s: Source) -> DataFrame:
 
 
 @query("match_prefills", f"""
-SELECT w.txn_id AS ord, CASE lower(trim(type)) WHEN 'garage' THEN 'Skip' WHEN 'all cottages' THEN 'STR - Split' WHEN 'elm' THEN 'STR'
+SELECT m.q_id AS ord, CASE lower(trim(type)) WHEN 'garage' THEN 'Skip' WHEN 'all cottages' THEN 'STR - Split' WHEN 'elm' THEN 'STR'
     WHEN 'oak' THEN 'STR' WHEN 'pine' THEN 'STR' WHEN 'ash' THEN 'STR' ELSE '' END AS category,
   CASE lower(trim(type)) WHEN 'elm' THEN 'S1' WHEN 'oak' THEN 'S2' WHEN 'pine' THEN 'S3' WHEN 'ash' THEN 'S4' ELSE '' END AS property,
   CASE lower(trim(label)) WHEN 'cleaning fees' THEN 'Housekeeping' WHEN 'lawn mowing' THEN 'Garden' WHEN 'hoa dues' THEN 'Dues'
       WHEN 'wifi service' THEN 'Services' WHEN 'supplies' THEN 'Goods' WHEN 'pest control and repairs' THEN 'Services'
       ELSE '' END AS expense_type
-FROM <<worksheet_base>> AS w WHERE txn_id % 29 <> 0 AND txn_id % 31 <> 0 AND txn_id % 3 <> 2""")
+FROM <<worksheet_base>> AS w JOIN ({rules.EDIT_PAIRS_SQL}) AS m ON w.txn_id = m.w_id""")
 def _(s: Source) -> DataFrame:
     ledger = s.adapter("ledger").select(F.col("txn_id").alias("q_id"), F.col("txn_id").alias("q_ord"), "date", "amount", "description")
     rows = worksheet.parse(worksheet_rows(s))
@@ -645,7 +644,10 @@ def _(s: Source) -> DataFrame:
     return review.prefills_from_pairs(pairs, rows, maps.WORKSHEET)
 
 
-MATCHED_SQL = "SELECT * FROM <<decision>> AS d WHERE txn_id % 6 <= 3"
+FUZZY_SQL = rules.fuzzy_pairs_sql(key_sql)
+MATCHED_SQL = f"""
+SELECT x.txn_id, {key_sql('x.description')} AS vendor, y.category
+FROM ({FUZZY_SQL}) AS m JOIN <<ledger>> AS x ON x.txn_id = m.q_id JOIN <<prior_filing>> AS y ON y.w_id = m.w_id"""
 
 
 def _fuzzy_inputs(s: Source) -> tuple[DataFrame, DataFrame]:
@@ -653,7 +655,7 @@ def _fuzzy_inputs(s: Source) -> tuple[DataFrame, DataFrame]:
     return ledger, s.adapter("prior_filing")
 
 
-@query("match_fuzzy", f"SELECT txn_id AS q_id, txn_id AS w_id, CAST(1.0 AS DOUBLE) AS score FROM ({MATCHED_SQL}) AS m")
+@query("match_fuzzy", FUZZY_SQL)
 def _(s: Source) -> DataFrame:
     return matching.match_fuzzy(*_fuzzy_inputs(s))
 
@@ -669,7 +671,7 @@ def matched_rows(s: Source) -> tuple[DataFrame, DataFrame, DataFrame]:
 @query("learn_from_prior", f"""
 SELECT vendor, arg_min(category, txn_id) AS category, CAST(count(*) AS BIGINT) AS occurrences, min(category) <> max(category) AS ambiguous,
   '1999' AS learned_from
-FROM (SELECT *, {key_sql('description')} AS vendor FROM ({MATCHED_SQL}) AS m) AS k GROUP BY vendor""")
+FROM ({MATCHED_SQL}) AS k GROUP BY vendor""")
 def _(s: Source) -> DataFrame:
     _, _, rows = matched_rows(s)
     learned = learning.learn_from_matches(learning.empty_map(rows), rows, year=1999)
@@ -677,11 +679,12 @@ def _(s: Source) -> DataFrame:
 
 
 @query("prior_learning_report", f"""
+WITH x AS MATERIALIZED ({MATCHED_SQL})
 SELECT count(*) AS matched, (SELECT count(*) FROM <<ledger>> AS l) - count(*) AS unmatched_bank,
   (SELECT count(*) FROM <<prior_filing>> AS p) - count(*) AS unmatched_prior,
-  (SELECT count(DISTINCT {key_sql('description')}) FROM ({MATCHED_SQL}) AS m) AS new_vendors_learned,
-  (SELECT count(*) FROM (SELECT {key_sql('description')} AS v FROM ({MATCHED_SQL}) AS m GROUP BY 1 HAVING min(category) <> max(category)) AS a) AS ambiguous
-FROM ({MATCHED_SQL}) AS x""")
+  count(DISTINCT vendor) AS new_vendors_learned,
+  (SELECT count(*) FROM (SELECT vendor FROM x GROUP BY vendor HAVING min(category) <> max(category)) AS a) AS ambiguous
+FROM x""")
 def _(s: Source) -> DataFrame:
     ledger, filings, rows = matched_rows(s)
     empty = learning.empty_map(rows)
