@@ -129,6 +129,9 @@ FROM <<events>>
 """
 
 
+_NAME = re.compile(r"<<(\w+)>>")
+
+
 def expand(sql: str, spark: bool) -> str:
     """Replace ``<<name>>`` by a subquery or a table name, as often as needed."""
 
@@ -140,8 +143,9 @@ def expand(sql: str, spark: bool) -> str:
             raise KeyError(name)
         return "{" + name + "}" if spark else name
 
-    while "<<" in sql:
-        sql = re.sub(r"<<(\w+)>>", one, sql)
+    # Shifts of bits (``1 << n``) stay as they are.
+    while _NAME.search(sql):
+        sql = _NAME.sub(one, sql)
     if not spark:
         sql = re.sub(r"date_add\((\w+), CAST\(([^()]*) AS INT\)\)", r"(\1 + CAST(\2 AS INT))", sql)
     return sql
