@@ -8,7 +8,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.similarity import blocks_bound, edit_bound, edit_similarity, letter_counts, token_set_quick, token_set_score
+from ledgerloom.functions.similarity import EditDistances, blocks_bound, edit_bound, edit_similarity, letter_counts, token_set_quick, token_set_score
 from ledgerloom.operators import matching
 from tests.helpers import d, rows
 
@@ -210,3 +210,57 @@ def test_equal_payouts_in_one_week_are_one_class(spark):
         spark.createDataFrame(deposits, "q_id INT, q_ord BIGINT, date DATE, amount DECIMAL(18,2), description STRING"),
         spark.createDataFrame(pm, "ord BIGINT, reference STRING, date DATE, cash_out DECIMAL(18,2), category STRING"), payer="Acme PM", tolerance=0)
     assert rows(got, "q_id", "reference") == sorted([(i, f"R{i:02d}") for i in range(20)], key=repr)
+
+
+def edit(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        row, old = [i + 1], row
+        for j, y in enumerate(b):
+            row.append(min(row[-1] + 1, old[j + 1] + 1, old[j] + (x != y)))
+    return 1 - row[-1] / max(len(a), len(b)) if a or b else 1.0
+
+
+def test_bulk_edit_similarities():
+    r = random.Random(9)
+    texts = ["".join(r.choice("abcé👩 ") for _ in range(r.choice([0, 1, 5, 30, 63, 64, 65, 90]))) for _ in range(40)]
+    bulk = EditDistances(texts)
+    for a in [*texts, "zz", "z" * 70]:
+        assert list(bulk.similarities(a)) == [edit(a, b) for b in texts]
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_best_pairs_equal_sequential_and_few_become_rows(spark, monkeypatch, copies):
+    """A crowded date by edit similarity: a seeker's best pairs are rows, the next ones once they are not enough."""
+    monkeypatch.setattr(matching, "BEST", 3)
+    monkeypatch.setattr(matching, "MORE", 2)
+    monkeypatch.setattr(matching, "PIECE_ROWS", 20)
+    monkeypatch.setattr(matching, "BLOCK_ROWS", 15)
+    r = random.Random(5)
+    names = ["alpha bakery", "Bolt hardware", "city of xyz", "DELTA air", ""]
+    text = lambda i: r.choice(names) + (r.choice(["", " inc"]) if copies else f" {i}")
+    q = [(i, i, DAY, d(f"-5.{r.choice(['00', '30'])}"), text(i)) for i in range(60)]
+    w = [(200 + i, i, DAY, d(f"5.{r.choice(['00', '40', '60'])}"), text(i)) for i in range(50)]
+    want = sequential(q, w, lambda a, b: abs(abs(a[3]) - b[3]) <= d("0.50"), lambda a, b: edit(a[4].lower(), b[4].lower()))
+    edges = []
+    whole = matching.assign_in_order
+    monkeypatch.setattr(matching, "assign_in_order", lambda q, w, e: edges.append(e.count()) or whole(q, w, e))
+    got = matching.match_date_amount(
+        spark.createDataFrame(q, "q_id INT, q_ord BIGINT, date DATE, amount DECIMAL(18,2), description STRING"),
+        spark.createDataFrame(w, "w_id INT, w_ord BIGINT, date DATE, cost DECIMAL(18,2), source STRING"), similarity="edit", all_pairs=50)
+    assert sorted(tuple(x) for x in got.collect()) == want and len(want) > 40
+    assert edges[0] <= 60 * 3 or copies
+
+
+def test_recurring_texts_are_scored_once(spark, monkeypatch):
+    r = random.Random(6)
+    make = lambda base: [(base + i, i, DAY, d(str(i // 20)), r.choice(["acme corp", "acme cord", "blue hut"])) for i in range(200)]
+    q, w = make(0), make(1000)
+    tables = []
+    store = matching.durable
+    monkeypatch.setattr(matching, "durable", lambda df: tables.append(df) or store(df))
+    schema = "{0}_id INT, {0}_ord BIGINT, date DATE, amount DECIMAL(18,2), description STRING"
+    got = matching.match_fuzzy(spark.createDataFrame(q, schema.format("q")), spark.createDataFrame(w, schema.format("w")))
+    want = sequential(q, w, lambda a, b: a[3] == b[3], lambda a, b: token_set_score(a[4], b[4]), least=0.72)
+    assert sorted((x.q_id, x.w_id) for x in got.collect()) == want
+    assert [t.count() for t in tables if "quick" in t.columns] == [9]
