@@ -66,3 +66,18 @@ def test_everything_else_works_without_the_text_operators(tmp_path):
     assert said.returncode == 0, said.stderr
     n, text, same = said.stdout.split()
     assert int(n) > 70 and text == "False" and same == "True"
+
+
+@pytest.mark.parametrize("name", ["match_date_amount", "match_prefills", "match_fuzzy", "learn_from_prior", "prior_learning_report"])
+def test_rows_with_copies_equal_sql(spark, sf, tmp_path, name):
+    """Every order twice under shifted keys: several rows compete for each partner."""
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t}_1 AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+        more = "UNION ALL SELECT * REPLACE (o_orderkey + 10000000 AS o_orderkey) FROM orders_1" if t == "orders" else ""
+        con.execute(f"COPY (SELECT * FROM {t}_1 {more}) TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
+    df = queries()[name](spark, str(tmp_path))
+    got = sorted([tuple(cell(r[c]) for c in df.columns) for r in df.collect()], key=key)
+    want = sorted([tuple(map(cell, r)) for r in con.execute(f"SELECT {', '.join(df.columns)} FROM ({oracle_sql()[name]})").fetchall()], key=key)
+    assert got == want and got
