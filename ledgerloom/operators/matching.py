@@ -2,7 +2,8 @@
 
 Rows that compete, directly or through others, form a connected component, and components don't influence each other. A
 component of at most ``COMPONENT_ROWS`` rows and pairs is settled by the sequential rule itself, inside one task; all
-components run in parallel.
+components run in parallel. Where a column already tells rows apart that can't meet (a date, an amount), its values are blocks
+of components, and only blocks beyond that size are taken apart.
 
 For larger components the rule ("serial dictatorship") is computed in parallel rounds of proposals. Every row
 proposes to its best partner that has not refused it; a partner keeps the earliest proposer and refuses the others;
@@ -38,10 +39,12 @@ from ledgerloom.functions.similarity import (
     EditDistances, blocks_bound, edit_bound, edit_similarity, letter_counts, matching_blocks_ratio, token_set_quick, token_set_ratio,
 )
 from ledgerloom.functions.text import vendor_key
-from ledgerloom.scale import CHUNK_ROWS, chunk_of, components, computed_once, durable, group_rank, join_unique, needs_spreading
+from ledgerloom.scale import CHUNK_ROWS, chunk_of, components, computed_once, durable, group_rank, islands, join_unique, needs_spreading
 
 _SEP = "\u0001"
 COMPONENT_ROWS = 400_000
+#: Rows and pairs of blocks that share a task, about.
+BIN_ROWS = 50_000
 #: Rounds whose tables are read side by side before they become one.
 ROUNDS_KEPT = 16
 ROW = ("root", "q_id", "q_ord", "list", "n_choices")
@@ -245,9 +248,8 @@ def _first_with_room(table: pa.Table) -> pa.Table:
 
 
 def _settle(table: pa.Table) -> pa.Table:
-    """The sequential rule on one component: rows (seekers), offers and pairs of classes in one table."""
-    columns = {c: table[c].to_pylist() for c in table.column_names if c != "root"}
-    rows = list(zip(*(columns[c] for c in ("kind", "q_id", "q_ord", "q_class", "w_id", "w_ord", "w_class", "score"))))
+    """The sequential rule on whole components: rows (seekers), offers and pairs of classes in one table."""
+    rows = list(zip(*(table[c].to_pylist() for c in ("kind", "q_id", "q_ord", "q_class", "w_id", "w_ord", "w_class", "score"))))
     queues: dict[str, deque] = {}
     for _, _, _, _, w_id, w_ord, w_class, _ in sorted((r for r in rows if r[0] == "offer"), key=lambda r: r[5]):
         queues.setdefault(w_class, deque()).append((w_ord, w_id))
@@ -297,7 +299,36 @@ def assign_in_order(seekers: DataFrame, offers: DataFrame, edges: DataFrame) ->
     ``seekers(q_id, q_ord, q_class)``, ``offers(w_id, w_ord, w_class)``, ``edges(q_class, w_class, score)`` with
     one row per pair of classes. Orders are unique integers; all three are read several times and should be stored tables. Returns ``(q_id, w_id, score)``:
     each seeker in order takes the free offer with the best score, the earliest offer on ties.
+
+    All three may carry a ``block`` that no pair leaves. Blocks of at most ``COMPONENT_ROWS`` rows and pairs are then settled by the
+    rule itself, many in one task, without looking for their components.
     """
+    if "block" not in edges.columns:
+        return _assign(seekers.drop("block"), offers.drop("block"), edges)
+    seekers, offers = seekers.filter("block IS NOT NULL"), offers.filter("block IS NOT NULL")
+    rows = (
+        seekers.withColumn("kind", F.lit("seeker"))
+        .unionByName(offers.withColumn("kind", F.lit("offer")), allowMissingColumns=True)
+        .unionByName(edges.withColumn("kind", F.lit("pair")), allowMissingColumns=True)
+    )
+    bins = max(1, -(-rows.count() // BIN_ROWS))
+    rows = rows.withColumn("bin", F.pmod(F.xxhash64("block"), F.lit(bins)))
+    # Bins are few and counted first: only a full one can hold a large block, and its blocks go apart.
+    n = F.count(F.lit(1)).alias("n")
+    full = durable(rows.groupBy("bin").agg(n).filter(F.col("n") > COMPONENT_ROWS).select("bin"))
+    schema = T.StructType([seekers.schema["q_id"], offers.schema["w_id"], T.StructField("score", T.DoubleType())])
+    if full.isEmpty():
+        return rows.drop("block").groupBy("bin").applyInArrow(_settle, schema)
+    in_full = lambda df, how: df.join(full, "bin", how)
+    large = durable(in_full(rows, "left_semi").groupBy("block").agg(n).filter(F.col("n") > COMPONENT_ROWS).select("block"))
+    settled = in_full(rows, "left_anti").drop("block").groupBy("bin").applyInArrow(_settle, schema).unionByName(
+        in_full(rows, "left_semi").drop("bin").join(large, "block", "left_anti").groupBy("block").applyInArrow(_settle, schema))
+    if large.isEmpty():
+        return settled
+    return settled.unionByName(_assign(*[durable(df.join(large, "block", "left_semi").drop("block")) for df in (seekers, offers, edges)]))
+
+
+def _assign(seekers: DataFrame, offers: DataFrame, edges: DataFrame) -> DataFrame:
     q_degree = edges.groupBy("q_class").agg(F.count(F.lit(1)).alias("q_degree"))
     w_degree = edges.groupBy("w_class").agg(F.count(F.lit(1)).alias("w_degree"))
     marked = durable(
@@ -328,6 +359,16 @@ def _near_money(money: Column, tolerance: float) -> Column:
     return _near(bucket) if _cents(tolerance) else bucket
 
 
+def _cell(money: Column, tolerance: float) -> Column:
+    """Wide buckets: most amounts reach into one or two of them (see ``_cells_in_reach``)."""
+    return _bucket(money, 4 * tolerance)
+
+
+def _cells_in_reach(money: Column, tolerance: float) -> Column:
+    tol = F.lit(str(_cents(tolerance))).cast("decimal(18,2)")
+    return F.explode(F.sequence(*[_cell(x, tolerance).cast("bigint") for x in (money - tol, money + tol)])) if _cents(tolerance) else _cell(money, 0)
+
+
 def _near(bucket: Column) -> Column:
     return F.explode(F.array(bucket - 1, bucket, bucket + 1))
 
@@ -350,13 +391,13 @@ def match_date_amount(
     tol = F.lit(str(tolerance)).cast("decimal(18,2)")
     # Both sides are parsed and keyed once; every later step reads the stored rows.
     q = durable(queue.filter("date IS NOT NULL AND amount IS NOT NULL").select(
-        "q_id", "q_ord", "date", F.abs("amount").alias("size"), F.lower(F.coalesce("description", F.lit(""))).alias("a")
-    ).withColumn("q_class", class_key(F.col("date"), F.col("size"), F.col("a"))))
+        "q_id", "q_ord", "date", F.abs("amount").alias("size"), F.lower(F.coalesce("description", F.lit(""))).alias("a")))
     w = durable(worksheet.filter("date IS NOT NULL AND cost IS NOT NULL").select(
-        "w_id", "w_ord", "date", "cost", F.lower(F.coalesce("source", F.lit(""))).alias("b")
-    ).withColumn("w_class", class_key(F.col("date"), F.col("cost"), F.col("b"))))
-    qc = q.select("q_class", "date", "size", "a").distinct().withColumn("bucket", _bucket(F.col("size"), tolerance))
-    wc = w.select("w_class", "date", "cost", "b").distinct().withColumn("bucket", _near_money(F.col("cost"), tolerance))
+        "w_id", "w_ord", "date", "cost", F.lower(F.coalesce("source", F.lit(""))).alias("b")))
+    q, qc = _numbered(q, ["date", "size", "a"], "q_class", "q_ord")
+    w, wc = _numbered(w, ["date", "cost", "b"], "w_class", "w_ord")
+    qc = qc.withColumn("bucket", _bucket(F.col("size"), tolerance))
+    wc = wc.withColumn("bucket", _near_money(F.col("cost"), tolerance))
     crowded = durable(_crowded_dates(q, w, qc, wc, all_pairs))
     if crowded.isEmpty():
         return _match_all_pairs(q, w, qc, wc, tol, similarity)
@@ -367,6 +408,12 @@ def match_date_amount(
     return _match_all_pairs(durable(rest(q)), durable(rest(w)), rest(qc), rest(wc), tol, similarity).unionByName(matched)
 
 
+def _numbered(rows: DataFrame, key: list[str], name: str, order: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with the number of their class (its first order, short on the way where texts are not), and the classes."""
+    classes = durable(rows.groupBy(*key).agg(F.min(order).cast("long").alias(name)))
+    return durable(rows.join(classes, key).drop(*[k for k in key if k != "date"])), classes
+
+
 def _crowded_dates(q: DataFrame, w: DataFrame, qc: DataFrame, wc: DataFrame, all_pairs: int) -> DataFrame:
     """Dates whose classes make more than ``all_pairs`` pairs."""
 
@@ -384,26 +431,31 @@ def _crowded_dates(q: DataFrame, w: DataFrame, qc: DataFrame, wc: DataFrame, all
 
 
 def _scored(pairs: DataFrame, similarity: str) -> DataFrame:
-    """(q_class, w_class, score) of pairs with texts ``a`` and ``b``."""
+    """Pairs with a score in place of their texts ``a`` and ``b``."""
     if similarity == "blocks":
         # Equal texts need no comparison; only the rest goes to Python.
         equal = pairs.filter("a = b").withColumn("score", F.lit(1.0))
         pairs = equal.unionByName(pairs.filter("a <> b").withColumn("score", matching_blocks_ratio(F.col("a"), F.col("b"))))
     else:
         pairs = pairs.withColumn("score", edit_similarity(F.col("a"), F.col("b")))
-    return pairs.select("q_class", "w_class", "score")
+    return pairs.drop("a", "b")
 
 
 def _rows(q: DataFrame, w: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return q.select("q_id", "q_ord", "q_class"), w.select("w_id", "w_ord", "w_class")
+    return q.select("q_id", "q_ord", "q_class", F.col("date").alias("block")), w.select("w_id", "w_ord", "w_class", F.col("date").alias("block"))
 
 
 def _match_all_pairs(q: DataFrame, w: DataFrame, qc: DataFrame, wc: DataFrame, tol: Column, similarity: str) -> DataFrame:
     pairs = qc.join(wc, ["date", "bucket"]).filter(F.abs(F.col("size") - F.col("cost")) <= tol)
-    pairs = durable(pairs.select("q_class", "w_class", "a", "b"))
-    several = pairs.groupBy("q_class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("q_class")
-    single = pairs.join(several, "q_class", "left_anti").select("q_class", "w_class", F.lit(0.0).alias("score"))
-    edges = durable(_scored(pairs.join(several, "q_class", "left_semi"), similarity).unionByName(single))
+    pairs = pairs.select("q_class", "w_class", F.col("date").alias("block"), "a", "b")
+    if similarity == "blocks":
+        # Only rows with a choice need scores, which cost more than a second look at the pairs.
+        pairs = durable(pairs)
+        several = pairs.groupBy("q_class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("q_class")
+        single = pairs.join(several, "q_class", "left_anti").select("q_class", "w_class", "block", F.lit(0.0).alias("score"))
+        edges = durable(_scored(pairs.join(several, "q_class", "left_semi"), similarity).unionByName(single))
+    else:
+        edges = durable(_scored(pairs, similarity))
     return assign_in_order(*_rows(q, w), edges).select("q_id", "w_id")
 
 
@@ -464,7 +516,7 @@ def _match_by_best(q: DataFrame, w: DataFrame, qc: DataFrame, wc: DataFrame, tol
     offers = durable(wc.join(heads, "w_class").join(pieces, by).select("w_class", *by, cents(F.col("cost")).alias("money"), "b", "head", spread("w_class", "pieces").alias("piece")))
     first = durable(q.groupBy("q_class").agg(F.min("q_ord").cast("long").alias("first")))
     going = durable(first.select("*", F.lit(None).cast("double").alias("end_score"), F.lit(None).cast("long").alias("end_head")))
-    schema = T.StructType([*qc.select("q_class").schema, *offers.select("w_class").schema, T.StructField("score", T.DoubleType()), T.StructField("head", T.LongType())])
+    schema = T.StructType([qc.schema["q_class"], offers.schema["w_class"], T.StructField("score", T.DoubleType()), T.StructField("head", T.LongType())])
     reach, known = None, None
     while True:
         texts = qc.join(going, "q_class")
@@ -522,7 +574,7 @@ def _best_pairs(k: int, single: bool) -> Callable[[pa.Table, pa.Table], pa.Table
                         at = at[np.lexsort((head[at], -score[at]))[:k]]
                 for values, found in zip(out, ([row["q_class"]] * len(at), [classes[i] for i in at], score[at], head[at])):
                     values.extend(found)
-        types = [pa.string(), pa.string(), pa.float64(), pa.int64()]
+        types = [pa.int64(), pa.int64(), pa.float64(), pa.int64()]
         return pa.table([pa.array(v, t) for v, t in zip(out, types)], names)
 
     return best
@@ -537,13 +589,13 @@ def fuzzy_candidates(txns: DataFrame, filings: DataFrame, *, days: int = 3, thre
         "bucket", _near(F.floor(F.unix_date("filed") / F.lit(days + 1)))
     )
     pairs = t.join(p, ["amount", "bucket"]).filter(F.abs(F.datediff("date", "filed")) <= days)
-    pairs = durable(pairs.select("q_class", "w_class", "a", "b"))
+    pairs = durable(pairs.select("q_class", "w_class", F.col("amount").alias("block"), "a", "b"))
     # Vendor keys recur, so each pair of texts is scored once. Most are decided by their sets of words; only the rest goes to Python.
     texts = durable(pairs.select("a", "b").distinct().withColumn("quick", token_set_quick(F.col("a"), F.col("b"), threshold)))
     open_ = texts.filter("quick IS NULL").withColumn("score", token_set_ratio(F.col("a"), F.col("b")))
     scored = texts.filter("quick IS NOT NULL").withColumn("score", F.col("quick")).unionByName(open_)
     alike = scored.filter((F.col("score") >= threshold) & (F.col("score") > 0)).select("a", "b", "score")
-    return join_unique(pairs, alike, ["a", "b"], "inner").select("q_class", "w_class", "score")
+    return join_unique(pairs, alike, ["a", "b"], "inner").select("q_class", "w_class", "block", "score")
 
 
 def match_fuzzy(txns: DataFrame, filings: DataFrame, *, days: int = 3, threshold: float = 0.72) -> DataFrame:
@@ -556,11 +608,12 @@ def match_fuzzy(txns: DataFrame, filings: DataFrame, *, days: int = 3, threshold
     p = computed_once(filings, "w_id", "w_ord", "date", "amount", vendor_key(F.col("description")).alias("b"))
     p = durable(p.withColumn("w_class", class_key(F.col("date"), F.col("amount"), F.col("b"))))
     edges = durable(fuzzy_candidates(t, p, days=days, threshold=threshold))
-    return assign_in_order(t.select("q_id", "q_ord", "q_class"), p.select("w_id", "w_ord", "w_class"), edges)
+    block = F.col("amount").alias("block")
+    return assign_in_order(t.select("q_id", "q_ord", "q_class", block), p.select("w_id", "w_ord", "w_class", block), edges)
 
 
-def payout_groups(pm_txns: DataFrame, *, category: str = OWNER_PAYOUT_CATEGORY) -> DataFrame:
-    """Owner payouts per reference: sum (null counts as nothing), members, first position."""
+def payout_groups(pm_txns: DataFrame, *more: Column, category: str = OWNER_PAYOUT_CATEGORY) -> DataFrame:
+    """Owner payouts per reference: sum (null counts as nothing), members, first position, and ``more`` aggregates."""
     return (
         pm_txns.filter((F.col("category") == category) & F.col("reference").isNotNull())
         .groupBy("reference")
@@ -568,6 +621,7 @@ def payout_groups(pm_txns: DataFrame, *, category: str = OWNER_PAYOUT_CATEGORY)
             F.coalesce(F.sum("cash_out"), F.lit(0)).cast("decimal(18,2)").alias("group_sum"),
             F.count(F.lit(1)).alias("members"),
             F.min("ord").alias("first_ord"),
+            *more,
         )
     )
 
@@ -588,40 +642,46 @@ def double_counts(
     """
     tol = F.lit(str(tolerance)).cast("decimal(18,2)")
     # Payouts with the same sum and the same days are interchangeable: one class, used in order.
-    members = (
-        pm_txns.filter((F.col("category") == category) & F.col("reference").isNotNull())
-        .groupBy("reference").agg(F.array_sort(F.collect_set("date")).alias("paid_on"))  # days of one payout: bounded by the calendar
-    )
+    paid_on = F.array_sort(F.collect_set("date")).alias("paid_on")  # days of one payout: bounded by the calendar
     groups = durable(
-        payout_groups(pm_txns, category=category).join(members, "reference")
+        payout_groups(pm_txns, paid_on, category=category)
         .withColumn("w_class", class_key(F.col("group_sum"), F.array_join(F.transform("paid_on", lambda x: x.cast("string")), " ")))
+        .withColumn("money", _bucket(F.col("group_sum"), tolerance))
     )
     q = durable(
         deposits.filter((F.col("amount") > 0) & F.lower("description").contains(payer.lower())).select(
-            "q_id", "q_ord", "date", "amount", class_key(F.col("date"), F.col("amount")).alias("q_class")
+            "q_id", "q_ord", "date", "amount", class_key(F.col("date"), F.col("amount")).alias("q_class"), _bucket(F.col("amount"), tolerance).alias("money")
         )
     )
-    qc = (
-        q.select("q_class", "date", "amount").distinct()
-        .withColumn("money", _near_money(F.col("amount"), tolerance))
-        .withColumn("span", _near(F.floor(F.unix_date("date") / F.lit(days + 1))))
-    )
-    g = groups.select("w_class", "group_sum", "paid_on").distinct().select(
-        "w_class", "group_sum", F.explode("paid_on").alias("paid"), _bucket(F.col("group_sum"), tolerance).alias("money")
-    ).withColumn("span", F.floor(F.unix_date("paid") / F.lit(days + 1)))
+    q, w = _blocks_of_sums(q, groups, tolerance)
+    # A payout's days are in order, so of those close to a deposit only the first one's predecessor is not close: one row per pair.
+    paid = F.inline(F.transform("paid_on", lambda x, i: F.struct(x.alias("paid"), F.get("paid_on", i - 1).alias("before"))))
+    cell = 4 * (days or 1)
+    qc = q.select("date", "amount", "block").distinct().withColumn("money", _cells_in_reach(F.col("amount"), tolerance)).withColumn(
+        "span", F.explode(F.sequence(F.floor((F.unix_date("date") - days) / F.lit(cell)), F.floor((F.unix_date("date") + days) / F.lit(cell)))))
+    g = groups.select("w_class", "group_sum", "paid_on").distinct().select("w_class", "group_sum", paid, _cell(F.col("group_sum"), tolerance).alias("money"))
+    close = lambda day: F.coalesce(F.abs(F.datediff("date", day)) <= days, F.lit(False))
     edges = durable(
-        qc.join(g, ["money", "span"])
-        .filter((F.abs(F.col("amount") - F.col("group_sum")) <= tol) & (F.abs(F.datediff("date", "paid")) <= days))
-        .select("q_class", "w_class").distinct()
-        .withColumn("score", F.lit(0.0))
+        qc.join(g.withColumn("span", F.floor(F.unix_date("paid") / F.lit(cell))), ["money", "span"])
+        .filter((F.abs(F.col("amount") - F.col("group_sum")) <= tol) & close("paid") & ~close("before"))
+        .select(class_key(F.col("date"), F.col("amount")).alias("q_class"), "w_class", "block", F.lit(0.0).alias("score"))
     )
-    offers = durable(groups.select(F.col("reference").alias("w_id"), F.col("first_ord").alias("w_ord"), "w_class"))
-    pairs = assign_in_order(q.select("q_id", "q_ord", "q_class"), offers, edges)
-    return pairs.select("q_id", F.col("w_id").alias("reference")).join(groups.drop("w_class", "paid_on"), "reference").select(
+    pairs = assign_in_order(q.select("q_id", "q_ord", "q_class", "block"), w, edges)
+    return pairs.select("q_id", F.col("w_id").alias("reference")).join(groups.drop("w_class", "paid_on", "money"), "reference").select(
         "q_id", "reference", "group_sum", "members"
     )
 
 
+def _blocks_of_sums(q: DataFrame, groups: DataFrame, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """Deposits and payouts as offers with their block: sums whose buckets follow each other without a gap."""
+    w = groups.select(F.col("reference").alias("w_id"), F.col("first_ord").alias("w_ord"), "w_class", "money")
+    if not _cents(tolerance):
+        return q.withColumn("block", F.col("money")).drop("money"), w.withColumnRenamed("money", "block")
+    found = durable(islands(q.select("money").unionAll(w.select("money")), "money"))
+    own = lambda df: durable(df.join(found, "money").drop("money"))
+    return own(q), own(w)
+
+
 def exclude_deposits(rows: DataFrame, deposits: DataFrame) -> DataFrame:
     """Drop every row that equals a double-counted deposit in date, description and amount."""
     key = ["date", "description", "amount"]

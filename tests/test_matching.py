@@ -264,3 +264,31 @@ def test_recurring_texts_are_scored_once(spark, monkeypatch):
     want = sequential(q, w, lambda a, b: a[3] == b[3], lambda a, b: token_set_score(a[4], b[4]), least=0.72)
     assert sorted((x.q_id, x.w_id) for x in got.collect()) == want
     assert [t.count() for t in tables if "quick" in t.columns] == [9]
+
+
+@pytest.mark.parametrize("bins", [50_000, 3])
+def test_blocks_are_settled_without_components(spark, monkeypatch, bins):
+    monkeypatch.setattr(matching, "components", lambda edges: pytest.fail("components of small blocks"))
+    monkeypatch.setattr(matching, "BIN_ROWS", bins)
+    q, w = ledger(30, 5), sheet(30, 6)
+    want = sequential(q, w, lambda a, b: a[2] == b[2] and abs(abs(a[3]) - b[3]) <= d("0.50"), lambda a, b: EditDistances([b[4]]).similarities(a[4])[0])
+    got = matching.match_date_amount(
+        spark.createDataFrame(q, "q_id INT, q_ord INT, date DATE, amount DECIMAL(18,2), description STRING"),
+        spark.createDataFrame(w, "w_id INT, w_ord INT, date DATE, cost DECIMAL(18,2), source STRING"), similarity="edit")
+    assert rows(got, "q_id", "w_id") == sorted(want, key=repr)
+
+
+def test_sums_in_reach_share_a_block(spark, monkeypatch):
+    """Deposits and payouts whose sums follow each other; payouts on several days give one pair each."""
+    monkeypatch.setattr(matching, "components", lambda edges: pytest.fail("components of small blocks"))
+    days = lambda n: DAY + dt.timedelta(days=n)
+    deposits = [(i, i, days(i % 9), d(f"{100 + i % 3 * 0.4 + i // 9 * 40:.2f}"), "from acme") for i in range(27)]
+    payouts = [(i, days(i % 7), d(f"{100 + i % 3 * 0.4 + i // 9 * 40:.2f}")) for i in range(27)]
+    parts = [(2 * i + k, f"{i:02}", day + dt.timedelta(days=k * (i % 4)), amount if k == 0 else d("0"), "payout") for i, day, amount in payouts for k in (0, 1)]
+    want = sequential(
+        [(*x[:4],) for x in deposits], [(f"{i:02}", i, day, amount) for i, day, amount in payouts],
+        lambda a, b: abs(a[3] - b[3]) <= d("0.50") and any(abs((a[2] - b[2]).days - k * (int(b[0]) % 4)) <= 5 for k in (0, 1)), lambda a, b: 0)
+    got = matching.double_counts(
+        spark.createDataFrame(deposits, "q_id INT, q_ord INT, date DATE, amount DECIMAL(18,2), description STRING"),
+        spark.createDataFrame(parts, "ord INT, reference STRING, date DATE, cash_out DECIMAL(18,2), category STRING"), payer="acme", category="payout")
+    assert rows(got, "q_id", "reference") == sorted(want, key=repr)

@@ -80,3 +80,9 @@ def test_components(spark, edges, want):
 def test_long_strings_do_not_fit_a_broadcast(spark):
     few = spark.createDataFrame([("x" * 1000,)] * 5, "t STRING")
     assert scale.fits_broadcast(few) and not scale.fits_broadcast(few, max_bytes=4000) and not scale.fits_broadcast(few, max_rows=4)
+
+
+def test_islands_begin_after_gaps(spark):
+    numbers = spark.createDataFrame([(n,) for n in (5, 3, 4, 4, 9, -2, -1, 10, 7)], "n BIGINT")
+    assert rows(scale.islands(numbers, "n"), "n", "block") == sorted(
+        [(3, 3), (4, 3), (5, 3), (7, 7), (9, 9), (10, 9), (-2, -2), (-1, -2)], key=repr)

@@ -703,7 +703,7 @@ WHERE contains(lower(d.description), 'acme pm') AND abs(d.amount - g.total) <= 0
 
 
 def double_counted(s: Source) -> tuple[DataFrame, DataFrame]:
-    deposits = s.adapter("deposits")
+    deposits = durable(s.adapter("deposits"))
     pairs = matching.double_counts(deposits, s.adapter("pm_txn"), payer=PAYER)
     return deposits, pairs
 
