@@ -150,7 +150,7 @@ class _Plan:
         return out
 
 
-class _Filter:
+class KeyFilter:
     """Bits of a set of hashes: no misses, wrong hits with a probability of about keys / bits."""
 
     BLOCK = 1 << 16
@@ -176,7 +176,7 @@ class _Filter:
         return (self.table[(place >> U64(3)).astype(np.int64)] >> (place & U64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _grown(texts: DataFrame, depth: int, kept: _Filter, plan: _Plan, least: int) -> DataFrame:
+def _grown(texts: DataFrame, depth: int, kept: KeyFilter, plan: _Plan, least: int) -> DataFrame:
     """(w1, .., w<depth>, a): phrases of ``depth`` words with at least ``least`` occurrences.
 
     ``kept`` says of words (depth 2) or pairs (depth 3) whether they are frequent; suffixes go down only below such prefixes.
@@ -185,7 +185,7 @@ def _grown(texts: DataFrame, depth: int, kept: _Filter, plan: _Plan, least: int)
     shared = texts.sparkSession.sparkContext.broadcast((vars(kept), vars(plan)))  # numbers and arrays
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_, plan = _Filter.__new__(_Filter), _Plan.__new__(_Plan)
+        filter_, plan = KeyFilter.__new__(KeyFilter), _Plan.__new__(_Plan)
         vars(filter_).update(shared.value[0])
         vars(plan).update(shared.value[1])
 
@@ -255,7 +255,7 @@ def phrase_counts(texts: DataFrame, least: int = 10, budget: int = BUDGET) -> tu
     """
     words = durable(word_counts(texts))
     frequent = words.filter(F.col("n") >= least)
-    pairs = durable(_grown(texts, 2, _Filter(frequent.select(F.col("id").alias("key")), frequent.count()), _Plan(_cells(frequent, "id", "n"), [], budget), least))
+    pairs = durable(_grown(texts, 2, KeyFilter(frequent.select(F.col("id").alias("key")), frequent.count()), _Plan(_cells(frequent, "id", "n"), [], budget), least))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,7 +265,7 @@ def phrase_counts(texts: DataFrame, least: int = 10, budget: int = BUDGET) -> tu
     keys = pairs.select("w1", "w2").mapInArrow(keyed, "key long")
     as_unsigned = lambda x: np.array([x], dtype=np.int64).view(U64)
     heavy = [(int(extended(as_unsigned(r["w1"]), as_unsigned(r["w2"]))[0]), r["a"]) for r in pairs.filter(F.col("a") > budget).toLocalIterator()]
-    triples = durable(_grown(texts, 3, _Filter(keys, pairs.count()), _Plan(_cells(pairs, "w1", "a"), heavy, budget), least))
+    triples = durable(_grown(texts, 3, KeyFilter(keys, pairs.count()), _Plan(_cells(pairs, "w1", "a"), heavy, budget), least))
     return words, pairs, triples
 
 

@@ -16,6 +16,9 @@ here, after one comparison each. The share of equal samples estimates a pair's s
 verified inside the block's task, and give the links of a spanning forest. So every candidate pair is verified, estimated to be too far
 apart, or already connected: there is no cap, and pairs of a block never become rows.
 
+Moves. Texts and samples of texts that share a bucket are picked where they lie, by a bit table of their ids; a wrong hit is a row that
+no join asks for. Whole documents move once, to meet their labels; labels grow with the table and are never broadcast.
+
 Defined results: null and empty texts have no words and form one class; a text of fewer than five words is one
 shingle; rows with a null or repeated id stay separate rows; extra columns stay inside the struct ``doc``.
 """
@@ -26,11 +29,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.arrays import U64, Words, mixed, shingles, slices, tidy, whole
+from ledgerloom.llm.collocations import KeyFilter
 from ledgerloom.scale import components, durable
 
 THRESHOLD = 0.8
@@ -205,6 +210,19 @@ def _estimated(pairs: DataFrame, drawn: DataFrame, threshold: float, samples: in
     return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "samples_a", "samples_b").mapInArrow(tidy(compare), "a long, b long")
 
 
+def _among(nodes: DataFrame, uid: str = "uid") -> Column:
+    """Whether a row's id is one of ``nodes(node)``: true for all of them and, with a probability of about 1/16 or less, for others."""
+    bits = nodes.sparkSession.sparkContext.broadcast(vars(KeyFilter(nodes.select(F.xxhash64("node").alias("key")), nodes.count())))
+
+    @F.pandas_udf("boolean")
+    def has(keys: pd.Series) -> pd.Series:
+        filter_ = KeyFilter.__new__(KeyFilter)
+        vars(filter_).update(bits.value)
+        return pd.Series(filter_.has(keys.to_numpy().view(U64)))
+
+    return has(F.xxhash64(uid))
+
+
 def _blocks(members: DataFrame, *fields: str) -> DataFrame:
     """(bucket, band, held, others, alone): each pair of a bucket's chunks; members have band, bucket, chunk, chunks and the fields.
 
@@ -325,8 +343,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     drawn = same.select("node", F.posexplode("buckets").alias("band", "bucket"))
     shared = drawn.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     live = durable(drawn.join(shared, "bucket"))
-    nodes = live.groupBy("node").agg(F.sum("size").alias("popularity"))
-    bodies = durable(plain.join(nodes.select(F.col("node").alias("uid")), "uid", "left_semi"))
+    nodes = durable(live.groupBy("node").agg(F.sum("size").alias("popularity")))
+    meets = _among(nodes)
+    bodies = durable(plain.filter(meets))
 
     def links(pairs: DataFrame) -> DataFrame:
         texts_of = lambda name: bodies.select(F.col("uid").alias(name), F.col("text").alias(f"text_{name}"))
@@ -335,7 +354,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
 
     hubs = live.join(nodes, "node").groupBy("bucket").agg(F.max_by("node", F.struct("popularity", "node")).alias("hub"))
     to_hubs = live.join(hubs, "bucket").filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    drawn_of = durable(signed.join(nodes.select(F.col("node").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("node"), "samples"))
+    drawn_of = durable(signed.filter(meets).select(F.col("uid").alias("node"), "samples"))
     first = links(durable(_estimated(to_hubs, drawn_of, threshold, samples)))
     of_first = components(first)
     roots = durable(nodes.join(of_first, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
@@ -360,4 +379,4 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first"), F.count(F.lit(1)).alias("class_size")
     ).select("root", F.col("first.uid").alias("representative"), F.col("first.id").alias("class_id"), "class_size")
     labels = ids.select("uid", "root").join(best, "root").drop("root")
-    return keyed.join(labels, "uid").select("doc", "uid", "representative", "class_id", "class_size")
+    return keyed.join(labels.hint("shuffle_hash"), "uid").select("doc", "uid", "representative", "class_id", "class_size")

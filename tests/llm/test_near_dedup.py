@@ -96,3 +96,13 @@ def test_samples_agree_as_often_as_weights(spark):
     s = near_dedup._samples(np.tile(elements, 2), np.concatenate([a, b]), np.array([0, 400, 800]), 3000)
     true = np.minimum(a, b).sum() / np.maximum(a, b).sum()
     assert abs((s[:, 0] == s[:, 1]).mean() - true) < 0.03
+
+
+def test_texts_are_picked_where_they_lie(spark):
+    """All nodes and few others pass the bit table; documents meet their labels by a join that is the same at every size."""
+    nodes = spark.range(0, 60_000, 3).withColumnRenamed("id", "node")
+    kept = {r["uid"] for r in spark.range(60_000).withColumnRenamed("id", "uid").filter(near_dedup._among(nodes)).collect()}
+    assert kept >= set(range(0, 60_000, 3)) and len(kept) < 20_000 + 4_000
+    assert not spark.range(100).withColumnRenamed("id", "uid").filter(near_dedup._among(nodes.limit(0))).count()
+    plan = near_dedup.near_duplicates(table(spark, variants(3, 1, 6, 4)))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan
