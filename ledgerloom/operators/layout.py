@@ -2,7 +2,8 @@
 
 Words are clustered into physical lines, lines are walked in (page, y) order by three scans, and wrapped lines
 are given to the nearest date row with windows that never leave a page. The scans are windows over a document;
-when some document is very long they run page by page instead, so that it spreads over its pages.
+when some document is very long they run page by page instead, so that it spreads over its pages, and over the few lines that change
+the state; all other lines take the state of the last of these before them.
 """
 
 from __future__ import annotations
@@ -155,8 +156,43 @@ class OwnerStatements:
             }
         )
         lines = computed_once(lines, keys=["doc_id", "page", "y"])
+        if not self._spread:
+            lines = self._scanned(lines, spread=False)
+        else:
+            # Few lines change the state. Only they are walked from page to page; the others take the state of the last one before them.
+            lines = durable(lines)
+            tells = F.coalesce(
+                F.col("header_name").isNotNull() | F.col("is_appendix") | F.col("is_rent_roll") | F.col("limits_here").isNotNull()
+                | F.col("line").contains(CONSOLIDATED_MARKER) | (F.col("words")[0]["text"] == "Total"), F.lit(False))
+            lines = self._carried(lines.filter(~tells), durable(self._scanned(lines.filter(tells), spread=True)))
+        return durable(lines) if self.stored else lines
+
+    @staticmethod
+    def _carried(quiet: DataFrame, told: DataFrame) -> DataFrame:
+        """All lines with their state; ``told`` are the lines that may change it, with theirs. Lines move once, to their page."""
+        states = [c for c in told.columns if c not in quiet.columns]
+        told = told.select(*quiet.columns, F.struct(*states).alias("own"))
+        here = told.groupBy("doc_id", "page").agg(F.max_by("own", "y").alias("here"))
+        pages = quiet.select("doc_id", "page").unionAll(told.select("doc_id", "page")).distinct()
+        earlier = Window.partitionBy("doc_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+        carry = pages.join(here, ["doc_id", "page"], "left").select("doc_id", "page", F.last("here", ignorenulls=True).over(earlier).alias("carry"))
+        lines = quiet.unionByName(told, allowMissingColumns=True).join(carry, ["doc_id", "page"], "left")
+        page = Window.partitionBy("doc_id", "page").orderBy("y").rowsBetween(Window.unboundedPreceding, 0)
+        lines = lines.withColumn("now", F.coalesce(F.last("own", ignorenulls=True).over(page), "carry"))
+        before = F.coalesce("now.event", "now.before")
+        other = {
+            "is_total": F.lit(False), "event": F.lit(None).cast("string"), "before": before, "opens": F.lit(False), "latch": F.lit(False),
+            "outside": F.coalesce(before, F.lit("end")) == "end", "ended": F.coalesce("now.ended", F.lit(False)),
+        }
+        return lines.select(*quiet.columns, *[
+            F.when(F.col("own").isNotNull(), F.col(f"now.{c}")).otherwise(other[c] if c in other else F.col(f"now.{c}")).alias(c) for c in states])
+
+    @staticmethod
+    def _scanned(lines: DataFrame, spread: bool) -> DataFrame:
+        """Lines with property, block and summary state, by three scans."""
+        first = F.col("words")[0]
         pos = F.struct("page", "y")
-        scan = {"group": ["doc_id"], "chunk": F.col("page"), "order": ["page", "y"], "spread": self._spread}
+        scan = {"group": ["doc_id"], "chunk": F.col("page"), "order": ["page", "y"], "spread": spread}
         # 1. Current property and the limits of the latest table header.
         lines = running_last(
             lines,
@@ -194,8 +230,7 @@ class OwnerStatements:
             },
             **scan,
         )
-        lines = lines.withColumn("ended", F.coalesce("ended", F.lit(False)))
-        return durable(lines) if self.stored else lines
+        return lines.withColumn("ended", F.coalesce("ended", F.lit(False)))
 
     @cached_property
     def _outside(self) -> DataFrame:

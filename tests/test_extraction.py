@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -205,6 +206,33 @@ def test_owner_statement(owner_words, spread):
     assert rows(parsed.errors(docs)) == [(2, "no property sections"), (3, "no extractable text")]
 
 
+def test_long_documents_scan_only_lines_that_change_the_state(spark, monkeypatch):
+    """Both ways of walking agree on every line; page by page, only headings, totals and markers are scanned."""
+    from ledgerloom.operators import layout
+
+    rng, words = random.Random(4), []
+    texts = ["SW 12 Elm St", "SW 34 Oak Ave", "Total 5.00 6.00", "Total", "Consolidated Summary", "Rent Roll", "Cash Flow - 12 Month", "SW elsewhere"]
+    for doc in range(1, 5):
+        for number in range(1, 9):
+            if rng.random() < 0.2:
+                continue
+            for line in range(12):
+                if rng.random() < 0.12:
+                    words += [(doc, number, i, t, float(x), 10.0 * line) for i, (t, x) in enumerate(HEAD)]
+                else:
+                    text = rng.choice(texts[:-2] if number < 7 else texts) if rng.random() < 0.25 else "02/11/2024 Doe Cash In 3.00"
+                    words += [(doc, number, i, t, 40.0 + 60 * i, 10.0 * line) for i, t in enumerate(text.split())]
+    table = spark.createDataFrame(words, "doc_id INT, page INT, word_no INT, text STRING, x0 DOUBLE, top DOUBLE").cache()
+    scanned, scan = [], layout.running_last
+    monkeypatch.setattr(layout, "running_last", lambda df, **x: (scanned.append((x["spread"], df.count())), scan(df, **x))[1])
+    walked = [OwnerStatements(table, (("elm", "L1"), ("oak", "L2")), "SW ", spread=spread) for spread in (False, True)]
+    names = ["doc_id", "page", "y", "property", "before", "outside", "opens", "is_total", "block", "consolidated", "ended"]
+    one_way, other_way = (rows(w._walked, *names) for w in walked)
+    assert one_way == other_way and len({r[4] for r in one_way}) == 3
+    assert rows(walked[0].transactions(), "doc_id", "page", "y", "property", "cash_in") == rows(walked[1].transactions(), "doc_id", "page", "y", "property", "cash_in")
+    assert max(n for spread, n in scanned if spread) < len(one_way) / 2
+
+
 def test_lines_round_half_to_even(spark):
     words = spark.createDataFrame(page([("b", 2, 2.5), ("a", 1, 2.4), ("c", 1, 3.5)]), "doc_id INT, page INT, word_no INT, text STRING, x0 DOUBLE, top DOUBLE")
     assert rows(words_to_lines(words), "y", "line") == [(2, "a b"), (4, "c")]
