@@ -160,6 +160,12 @@ def _(s: Source) -> DataFrame:
 # ---------------------------------------------------------------- learning and categorization
 
 
+def with_middle(rows: DataFrame) -> DataFrame:
+    """Rows with about the middle transaction number. It is stored: found anew, it depends on the order in which parts of the table arrive."""
+    middle = durable(rows.agg(F.expr("percentile_approx(txn_id, 0.5)").alias("m")))
+    return rows.join(F.broadcast(middle), F.lit(True))
+
+
 @query("learn_vendor_map", MAP_SQL)
 def _(s: Source) -> DataFrame:
     reviewed = s.adapter("decision").filter(F.year("date") < SPLIT_YEAR).withColumns(
@@ -173,8 +179,7 @@ def _(s: Source) -> DataFrame:
     """A map learned from the first half of the rows and extended by the rest equals one pass over all."""
     rows = s.adapter("decision").withColumns({"year": F.year("date"), "seq": F.col("txn_id")})
     # Order of first sight is by transaction number: fold the lower numbers first, whatever their year.
-    middle = rows.agg(F.expr("percentile_approx(txn_id, 0.5)").alias("m"))
-    rows = rows.join(F.broadcast(middle), F.lit(True))
+    rows = with_middle(rows)
     early = learning.learn_from_reviews(learning.empty_map(rows), rows.filter("txn_id <= m"))
     return learning.learn_from_reviews(early, rows.filter("txn_id > m"))
 
@@ -1259,8 +1264,7 @@ def _(s: Source) -> DataFrame:
     """Save half of the learning, load it, learn the rest from the loaded map, save over it and load again."""
     path = f"{shared_folder(s.spark)}/vendor_map_{uuid.uuid4().hex}"
     reviewed = s.adapter("decision").filter(F.year("date") < SPLIT_YEAR).withColumns({"year": F.year("date"), "seq": F.col("txn_id")})
-    middle = reviewed.agg(F.expr("percentile_approx(txn_id, 0.5)").alias("m"))
-    reviewed = reviewed.join(F.broadcast(middle), F.lit(True))
+    reviewed = with_middle(reviewed)
     sinks.save_vendor_map(learning.learn_from_reviews(tables.load_vendor_map(s.spark, path), reviewed.filter("txn_id <= m")), path)
     sinks.save_vendor_map(learning.learn_from_reviews(tables.load_vendor_map(s.spark, path), reviewed.filter("txn_id > m")), path)
     return tables.load_vendor_map(s.spark, path)
