@@ -229,6 +229,13 @@ def test_bulk_edit_similarities():
         assert list(bulk.similarities(a)) == [edit(a, b) for b in texts]
 
 
+def test_recurring_parts_are_compared_once():
+    texts = [f"{city} *{i} {kind}" for i in range(300) for city in ("rome", "oslo") for kind in ("food", "fuel")]
+    bulk = EditDistances(texts)
+    assert len(bulk.heads.length) + len(bulk.tails.length) < len(texts) / 2
+    assert list(bulk.similarities("fuel oslo 17")) == [edit("fuel oslo 17", b) for b in texts]
+
+
 @pytest.mark.parametrize("copies", [False, True])
 def test_best_pairs_equal_sequential_and_few_become_rows(spark, monkeypatch, copies):
     """A crowded date by edit similarity: a seeker's best pairs are rows, the next ones once they are not enough."""
@@ -252,6 +259,21 @@ def test_best_pairs_equal_sequential_and_few_become_rows(spark, monkeypatch, cop
     assert edges[0] <= 60 * 3 or copies
 
 
+def test_crowded_date_is_settled_in_steps_without_components(spark, monkeypatch):
+    """All want the same offers: the earliest rows are settled for good, and only a few lists grow."""
+    monkeypatch.setattr(matching, "components", lambda edges: pytest.fail("components of one date"))
+    monkeypatch.setattr(matching, "STEP_ROWS", 25, raising=False)
+    monkeypatch.setattr(matching, "BEST", 4)
+    r = random.Random(7)
+    q = [(i, i, DAY, d("-5"), f"shop {r.randrange(10 ** 4)}") for i in range(40)]
+    w = [(200 + i, i, DAY, d("5"), f"shop *{i} store") for i in range(60)]
+    want = sequential(q, w, lambda a, b: True, lambda a, b: edit(a[4], b[4]))
+    got = matching.match_date_amount(
+        spark.createDataFrame(q, "q_id INT, q_ord BIGINT, date DATE, amount DECIMAL(18,2), description STRING"),
+        spark.createDataFrame(w, "w_id INT, w_ord BIGINT, date DATE, cost DECIMAL(18,2), source STRING"), similarity="edit", all_pairs=50)
+    assert sorted(tuple(x) for x in got.collect()) == want and len(want) == 40
+
+
 def test_recurring_texts_are_scored_once(spark, monkeypatch):
     r = random.Random(6)
     make = lambda base: [(base + i, i, DAY, d(str(i // 20)), r.choice(["acme corp", "acme cord", "blue hut"])) for i in range(200)]
