@@ -33,6 +33,8 @@ FAN = 8
 CARRIED = 1024
 BLOCK = 200_000
 BLOCK_BYTES = 32 << 20
+#: Text that is encoded at once: what encoding holds besides the vocabulary is many times as much.
+SLICE_BYTES = 1 << 19
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,7 +148,7 @@ def pieces(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "tex
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = chunk_ids(tokenizer)
         for batch in batches:
-            for first, rows, data, offsets in slices(batch.column(1)):
+            for first, rows, data, offsets in slices(batch.column(1), SLICE_BYTES):
                 ids, begin = encoder.encode(data, offsets)
                 ids = np.insert(ids, begin[1:], end_id).astype("<u4")
                 begin = begin + np.arange(rows + 1)
